@@ -42,3 +42,256 @@ def q_daily_rollup(spark, sf):
 @query("daily_rollup_window")
 def q_daily_rollup_window(spark, sf):
     return facts.daily_rollup(_stage(spark, sf), _cities(spark, sf), *WINDOW)
+
+
+# ---------------------------------------------------------------------------
+# shared derived inputs
+# ---------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from stratus.functions import constants as KC  # noqa: E402
+from stratus.operators import checks, control, dims, joins, mart, writes  # noqa: E402
+from stratus.operators.windows import latest_per_key  # noqa: E402
+from stratus.sources import generators as G  # noqa: E402
+
+SPLIT_DAY = "2024-01-16"           # first day of the second load window
+RUN1_NOW = "2024-01-15 08:00:00"   # time stamp of the first load
+RUN2_NOW = "2024-01-31 08:00:00"   # time stamp of the second load
+
+
+def _cfg(spark, sf):
+    return S.cities_config(S.table(spark, sf, "customer"), S.table(spark, sf, "nation"),
+                           S.table(spark, sf, "region"))
+
+
+def _countries(spark, sf):
+    """Country dimension with the nation key as id."""
+    n = S.table(spark, sf, "nation").select(F.col("n_name").alias("country_name"),
+                                             F.col("n_nationkey").alias("id"))
+    return dims.dim_countries(_cfg(spark, sf)).join(n, "country_name", "inner")
+
+
+def _log(spark, sf):
+    return S.load_log_from_events(S.table(spark, sf, "events"))
+
+
+# ---------------------------------------------------------------------------
+# facts, compass, dimensions
+# ---------------------------------------------------------------------------
+@query("hourly_fact")
+def q_hourly_fact(spark, sf):
+    return facts.hourly_fact(_stage(spark, sf), _cities(spark, sf), G.wind_bands(spark))
+
+
+@query("wind_band_join")
+def q_wind_band_join(spark, sf):
+    st = _stage(spark, sf).select("event_id", "wind_direction_10m")
+    return joins.band_join(st, "wind_direction_10m", G.wind_bands(spark), "wind_dir_id")
+
+
+@query("wind_band_lookup")
+def q_wind_band_lookup(spark, sf):
+    st = _stage(spark, sf).select("event_id", "wind_direction_10m")
+    return joins.band_lookup(st, "wind_direction_10m", G.wind_bands(spark), "wind_dir_id") \
+                .select("event_id", "wind_direction_10m", F.col("wind_dir_id").cast("smallint").alias("wind_dir_id"))
+
+
+@query("compass16")
+def q_compass16(spark, sf):
+    st = _stage(spark, sf).select("event_id", "wind_direction_10m")
+    return st.select("event_id", "wind_direction_10m", joins.compass16("wind_direction_10m").alias("compass_id"))
+
+
+@query("dim_calendar")
+def q_dim_calendar(spark, sf):
+    return dims.calendar_span(S.table(spark, sf, "orders"), "o_orderdate")
+
+
+@query("time_of_day")
+def q_time_of_day(spark, sf):
+    return dims.time_attributes(S.table(spark, sf, "events"), "ts", keep=["event_id"])
+
+
+@query("dim_weather_code")
+def q_dim_weather_code(spark, sf):
+    return dims.dim_weather_code(G.wmo_codes(spark), _stage(spark, sf))
+
+
+@query("dim_country_first")
+def q_dim_country_first(spark, sf):
+    return dims.dim_countries(_cfg(spark, sf))
+
+
+@query("dim_city_latest")
+def q_dim_city_latest(spark, sf):
+    return dims.dim_cities(_stage(spark, sf), _cfg(spark, sf), _countries(spark, sf), tie="event_id")
+
+
+CITY_ATTRS = ["latitude", "longitude", "elevation_m", "timezone", "is_capital", "climate_zone", "country_id"]
+
+
+def _city_load(spark, sf, lo, hi, now):
+    st = _stage(spark, sf)
+    st = st.where(F.col("measured_at") >= F.lit(lo).cast("timestamp_ntz")) if lo else st
+    st = st.where(F.col("measured_at") < F.lit(hi).cast("timestamp_ntz")) if hi else st
+    d = dims.dim_cities(st, _cfg(spark, sf), _countries(spark, sf), tie="event_id")
+    return d.withColumn("loaded_at", F.lit(now).cast("timestamp_ntz")) \
+            .withColumn("updated_at", F.lit(now).cast("timestamp_ntz"))
+
+
+@query("scd1_merge")
+def q_scd1_merge(spark, sf):
+    target = _city_load(spark, sf, None, SPLIT_DAY, RUN1_NOW)
+    source = _city_load(spark, sf, SPLIT_DAY, None, RUN2_NOW).drop("loaded_at", "updated_at")
+    return writes.scd1_merge(target, source, "city_name", CITY_ATTRS,
+                             F.lit(RUN2_NOW).cast("timestamp_ntz"))
+
+
+@query("insert_absent")
+def q_insert_absent(spark, sf):
+    o = S.table(spark, sf, "orders")
+    target = o.where(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
+    new = o.where(F.col("o_orderdate") >= F.lit("1999-01-01").cast("timestamp_ntz")) \
+           .withColumn("o_orderstatus", F.lit("X"))
+    return writes.insert_absent(target, new, ["o_orderkey"])
+
+
+@query("replace_range")
+def q_replace_range(spark, sf):
+    ev = S.table(spark, sf, "events")
+    partial = facts.daily_rollup(S.events_as_stage(ev.where(F.col("event_type") != "error")), _cities(spark, sf))
+    fresh = facts.daily_rollup(S.events_as_stage(ev), _cities(spark, sf), *WINDOW)
+    return writes.replaced(partial, fresh, "date_id", *WINDOW, kind="date_id")
+
+
+@query("assign_ids")
+def q_assign_ids(spark, sf):
+    from pyspark.sql import Window
+    st = _stage(spark, sf)
+    split = F.lit(SPLIT_DAY).cast("timestamp_ntz")
+    old = st.where(F.col("measured_at") < split).select(F.col("location_name").alias("city_name")).distinct()
+    target = old.select("city_name", F.row_number().over(Window.orderBy("city_name")).alias("id"))
+    names = st.where(F.col("measured_at") >= split).select(F.col("location_name").alias("city_name"))
+    return writes.assign_ids(target, names, "city_name", "id")
+
+
+# ---------------------------------------------------------------------------
+# mart
+# ---------------------------------------------------------------------------
+def _fact(spark, sf):
+    return facts.daily_rollup(_stage(spark, sf), _cities(spark, sf))
+
+
+def _mart(spark, sf):
+    st = _stage(spark, sf)
+    return mart.daily_mart(_fact(spark, sf), dims.calendar_span(st, "measured_at"),
+                           dims.dim_weather_code(G.wmo_codes(spark), st))
+
+
+@query("daily_mart")
+def q_daily_mart(spark, sf):
+    return _mart(spark, sf)
+
+
+@query("daily_mart_wide")
+def q_daily_mart_wide(spark, sf):
+    cities = dims.dim_cities(_stage(spark, sf), _cfg(spark, sf), _countries(spark, sf), tie="event_id")
+    cities = cities.join(_cities(spark, sf), "city_name", "inner")
+    return mart.daily_mart_wide(_mart(spark, sf), cities, _countries(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# control plane
+# ---------------------------------------------------------------------------
+def _gaps(spark, sf):
+    cities = _stage(spark, sf).select(F.col("location_name").alias("city_name"))
+    return control.date_gaps(_log(spark, sf), cities, start="2024-01-01", today=TODAY)
+
+
+@query("date_gaps")
+def q_date_gaps(spark, sf):
+    return _gaps(spark, sf)
+
+
+@query("missing_days")
+def q_missing_days(spark, sf):
+    return control.missing_days_per_city(_gaps(spark, sf), "stage")
+
+
+@query("top_gaps")
+def q_top_gaps(spark, sf):
+    return _gaps(spark, sf).orderBy("missing_date", "city_name", "layer").limit(20)
+
+
+@query("coverage")
+def q_coverage(spark, sf):
+    from stratus.operators.aggregates import coverage
+    return coverage(S.table(spark, sf, "orders"), "o_orderdate", "o_custkey", out="cities")
+
+
+@query("pending_chunks")
+def q_pending_chunks(spark, sf):
+    return control.pending_chunks(_log(spark, sf), _cfg(spark, sf), 2023, "2024-01-30")
+
+
+def _orders_daily(df):
+    from stratus.functions.numeric import sum2
+    return (df.groupBy("o_custkey", F.to_date("o_orderdate").alias("order_date"))
+              .agg(F.count(F.lit(1)).alias("n_orders"), sum2("o_totalprice").alias("total_price")))
+
+
+def _orders_partial(o):
+    return o.where((F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
+                   | (F.col("o_orderstatus") == "F"))
+
+
+ORDERS_TODAY = "2001-08-01"
+
+
+@query("gap_months")
+def q_gap_months(spark, sf):
+    o = S.table(spark, sf, "orders")
+    up = o.select("o_custkey", F.to_date("o_orderdate").alias("d"))
+    down = _orders_daily(_orders_partial(o)).select("o_custkey", F.col("order_date").alias("d"))
+    return control.gap_months(up, down, ["o_custkey"], "d", ORDERS_TODAY)
+
+
+@query("fill_gaps")
+def q_fill_gaps(spark, sf):
+    o = S.table(spark, sf, "orders")
+    down = _orders_daily(_orders_partial(o))
+    up_keys = o.select("o_custkey", F.to_date("o_orderdate").alias("d"))
+    gaps = control.gap_months(up_keys, down.select("o_custkey", F.col("order_date").alias("d")),
+                              ["o_custkey"], "d", ORDERS_TODAY)
+    return control.fill_gaps(o, down, _orders_daily, gaps, "order_date", up_day="o_orderdate")
+
+
+@query("load_status")
+def q_load_status(spark, sf):
+    return control.load_status(_log(spark, sf))
+
+
+@query("incomplete_days")
+def q_incomplete_days(spark, sf):
+    return control.incomplete_days(_log(spark, sf))
+
+
+@query("run_summary")
+def q_run_summary(spark, sf):
+    return control.run_ok(_log(spark, sf), by=("run_date",))
+
+
+@query("constraint_checks")
+def q_constraint_checks(spark, sf):
+    li, o = S.table(spark, sf, "lineitem"), S.table(spark, sf, "orders")
+    c, n = S.table(spark, sf, "customer"), S.table(spark, sf, "nation")
+    return checks.constraint_report([
+        ("lineitem_pk", checks.check_unique(li, ["l_orderkey", "l_linenumber"])),
+        ("orders_pk", checks.check_unique(o, ["o_orderkey"])),
+        ("lineitem_not_null", checks.check_not_null(li, ["l_orderkey", "l_linenumber", "l_shipdate"])),
+        ("lineitem_fk_orders", checks.check_fk(li, ["l_orderkey"], o, ["o_orderkey"])),
+        ("orders_fk_customer", checks.check_fk(o, ["o_custkey"], c, ["c_custkey"])),
+        ("customer_fk_nation", checks.check_fk(c, ["c_nationkey"], n, ["n_nationkey"])),
+        ("lineitem_returnflag_in", checks.check_in(li, "l_returnflag", ["R", "A", "N"])),
+        ("orders_status_in", checks.check_in(o, "o_orderstatus", ["F"])),
+    ])

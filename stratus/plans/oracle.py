@@ -114,3 +114,306 @@ SELECT * FROM fact"""
 ORACLE["daily_rollup_window"] = f"""
 WITH {STAGE},{CITIES},{daily_fact_cte(where="CAST(measured_at AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'")}
 SELECT * FROM fact"""
+
+
+# -- literal relations, generated from the same fixed values -------------------
+from stratus.functions.constants import WIND_BANDS, WMO_CODES  # noqa: E402
+
+
+def _sql_lit(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return str(v)
+
+
+BANDS = "bands(id, degree_from, degree_to) AS (VALUES " + ", ".join(
+    f"({i}, {a}, {b})" for i, a, b, _, _ in WIND_BANDS) + ")"
+SEED = "seed(id, description, severity, precipitation_type) AS (SELECT CAST(c0 AS SMALLINT), c1, c2, c3 FROM (VALUES " + \
+    ", ".join("(" + ", ".join(_sql_lit(x) for x in r) + ")" for r in WMO_CODES) + ") t(c0, c1, c2, c3))"
+
+CONFIG = """
+cfg AS (
+  SELECT c.c_name AS name, c.c_acctbal / 100 AS lat, c.c_acctbal / 50 AS lon, 'UTC' AS tz,
+         n.n_name AS country, 'N' || CAST(c.c_nationkey AS VARCHAR) AS country_iso2,
+         'NAT' || CAST(c.c_nationkey AS VARCHAR) AS country_iso3, r.r_name AS continent,
+         c.c_mktsegment AS region, c.c_acctbal > 5000 AS is_capital,
+         CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 'Cfb' WHEN 'BUILDING' THEN 'Dfb' WHEN 'FURNITURE' THEN 'Csa'
+                             WHEN 'HOUSEHOLD' THEN 'Bsk' WHEN 'MACHINERY' THEN 'ET' END AS climate_zone,
+         c.c_acctbal > 0 AS active, c.c_custkey AS pos
+  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+                  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+),
+countries AS (
+  SELECT country AS country_name, country_iso2 AS iso_code_2, country_iso3 AS iso_code_3, continent, region
+  FROM (SELECT *, row_number() OVER (PARTITION BY country ORDER BY pos) AS rn FROM cfg) t WHERE rn = 1
+),
+countries_id AS (
+  SELECT k.*, n.n_nationkey AS id FROM countries k JOIN nation n ON n.n_name = k.country_name
+)"""
+
+
+def city_dim_cte(name: str, where: str = "TRUE") -> str:
+    """Latest stage geo per place (NULL load time first, then highest event id) + config."""
+    return f"""
+{name}_latest AS (
+  SELECT location_name, latitude, longitude, elevation_m, timezone FROM (
+    SELECT *, row_number() OVER (PARTITION BY location_name
+                                 ORDER BY loaded_at DESC NULLS FIRST, event_id DESC) AS rn
+    FROM stage WHERE {where}) t WHERE rn = 1
+),
+{name} AS (
+  SELECT l.location_name AS city_name, l.latitude, l.longitude, l.elevation_m, l.timezone,
+         f.is_capital, f.climate_zone, k.id AS country_id
+  FROM {name}_latest l LEFT JOIN cfg f ON f.name = l.location_name
+  LEFT JOIN countries_id k ON k.country_name = f.country
+)"""
+
+
+ORACLE["hourly_fact"] = f"""
+WITH {STAGE},{CITIES}, {BANDS}
+SELECT CAST(strftime(s.measured_at, '%Y%m%d') AS INTEGER) AS date_id,
+       CAST(hour(s.measured_at) * 100 + minute(s.measured_at) AS INTEGER) AS time_id,
+       c.id AS city_id, CAST(s.weather_code AS SMALLINT) AS weather_code_id,
+       CAST(b10.id AS SMALLINT) AS wind_dir_10m_id, CAST(b100.id AS SMALLINT) AS wind_dir_100m_id,
+       s.temperature_2m, s.relative_humidity_2m, s.apparent_temperature, s.precipitation, s.rain,
+       s.snowfall, s.pressure_msl, s.cloud_cover, s.wind_speed_10m, s.wind_gusts_10m,
+       s.shortwave_radiation, s.sunshine_duration, s.wet_bulb_temperature_2m, s.is_day
+FROM stage s JOIN cities c ON c.city_name = s.location_name
+LEFT JOIN bands b10 ON s.wind_direction_10m BETWEEN b10.degree_from AND b10.degree_to
+LEFT JOIN bands b100 ON s.wind_direction_100m BETWEEN b100.degree_from AND b100.degree_to"""
+
+ORACLE["wind_band_join"] = f"""
+WITH {STAGE}, {BANDS}
+SELECT s.event_id, s.wind_direction_10m, CAST(b.id AS SMALLINT) AS wind_dir_id
+FROM stage s LEFT JOIN bands b ON s.wind_direction_10m BETWEEN b.degree_from AND b.degree_to"""
+
+ORACLE["wind_band_lookup"] = ORACLE["wind_band_join"]
+
+ORACLE["compass16"] = f"""
+WITH {STAGE}
+SELECT event_id, wind_direction_10m,
+       CAST(((CAST(floor((wind_direction_10m + 11.25) / 22.5) AS BIGINT) % 16 + 16) % 16) + 1 AS SMALLINT) AS compass_id
+FROM stage"""
+
+CAL_COLS = """
+       CAST(strftime(d, '%Y%m%d') AS INTEGER) AS id, CAST(d AS DATE) AS date,
+       CAST(year(d) AS SMALLINT) AS year, CAST(quarter(d) AS SMALLINT) AS quarter,
+       CAST(month(d) AS SMALLINT) AS month, monthname(d) AS month_name,
+       CAST(weekofyear(d) AS SMALLINT) AS week_of_year, CAST(day(d) AS SMALLINT) AS day,
+       CAST(isodow(d) AS SMALLINT) AS day_of_week, dayname(d) AS day_name,
+       isodow(d) IN (6, 7) AS is_weekend,
+       (year(d) % 4 = 0 AND (year(d) % 100 <> 0 OR year(d) % 400 = 0)) AS is_leap_year"""
+
+ORACLE["dim_calendar"] = f"""
+WITH span AS (SELECT min(CAST(o_orderdate AS DATE)) AS a, max(CAST(o_orderdate AS DATE)) AS b FROM orders),
+days AS (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS d FROM span)
+SELECT {CAL_COLS} FROM days"""
+
+ORACLE["time_of_day"] = """
+SELECT event_id,
+       CAST(hour(ts) * 100 + minute(ts) AS INTEGER) AS id,
+       strftime(ts, '%H:%M:%S') AS time_value,
+       CAST(hour(ts) AS SMALLINT) AS hour_24h,
+       CAST(CASE WHEN hour(ts) = 0 THEN 12 WHEN hour(ts) <= 12 THEN hour(ts) ELSE hour(ts) - 12 END AS SMALLINT) AS hour_12h,
+       CAST(minute(ts) AS SMALLINT) AS minute,
+       CASE WHEN hour(ts) < 12 THEN 'AM' ELSE 'PM' END AS am_pm,
+       strftime(ts, '%H:%M') AS time_24h,
+       strftime(ts, '%-I:%M%p') AS time_12h,
+       CASE WHEN hour(ts) BETWEEN 6 AND 11 THEN 'Morning' WHEN hour(ts) BETWEEN 12 AND 17 THEN 'Afternoon'
+            WHEN hour(ts) BETWEEN 18 AND 23 THEN 'Evening' ELSE 'Night' END AS part_of_day
+FROM events"""
+
+ORACLE["dim_weather_code"] = f"""
+WITH {STAGE}, {SEED}
+SELECT * FROM seed
+UNION ALL
+SELECT DISTINCT CAST(weather_code AS SMALLINT), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)
+FROM stage WHERE weather_code IS NOT NULL AND weather_code NOT IN (SELECT id FROM seed)"""
+
+ORACLE["dim_country_first"] = f"""
+WITH {CONFIG.strip()}
+SELECT * FROM countries"""
+
+ORACLE["dim_city_latest"] = f"""
+WITH {STAGE},{CONFIG},{city_dim_cte("dc")}
+SELECT * FROM dc"""
+
+ORACLE["scd1_merge"] = f"""
+WITH {STAGE},{CONFIG},
+{city_dim_cte("t", "measured_at < TIMESTAMP '2024-01-16 00:00:00'").strip()},
+{city_dim_cte("s", "measured_at >= TIMESTAMP '2024-01-16 00:00:00'").strip()}
+SELECT coalesce(s.city_name, t.city_name) AS city_name,
+       CASE WHEN s.city_name IS NOT NULL THEN s.latitude ELSE t.latitude END AS latitude,
+       CASE WHEN s.city_name IS NOT NULL THEN s.longitude ELSE t.longitude END AS longitude,
+       CASE WHEN s.city_name IS NOT NULL THEN s.elevation_m ELSE t.elevation_m END AS elevation_m,
+       CASE WHEN s.city_name IS NOT NULL THEN s.timezone ELSE t.timezone END AS timezone,
+       CASE WHEN s.city_name IS NOT NULL THEN s.is_capital ELSE t.is_capital END AS is_capital,
+       CASE WHEN s.city_name IS NOT NULL THEN s.climate_zone ELSE t.climate_zone END AS climate_zone,
+       CASE WHEN s.city_name IS NOT NULL THEN s.country_id ELSE t.country_id END AS country_id,
+       CASE WHEN t.city_name IS NOT NULL THEN TIMESTAMP '2024-01-15 08:00:00' ELSE TIMESTAMP '2024-01-31 08:00:00' END AS loaded_at,
+       CASE WHEN s.city_name IS NOT NULL THEN TIMESTAMP '2024-01-31 08:00:00' ELSE TIMESTAMP '2024-01-15 08:00:00' END AS updated_at
+FROM t FULL OUTER JOIN s ON s.city_name = t.city_name"""
+
+ORACLE["insert_absent"] = """
+WITH target AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'),
+new AS (SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+        FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01')
+SELECT * FROM target
+UNION ALL
+SELECT * FROM new n WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.o_orderkey = n.o_orderkey)"""
+
+ORACLE["replace_range"] = f"""
+WITH {STAGE},{CITIES},
+partial_stage AS (SELECT s.* FROM stage s JOIN events e ON e.event_id = s.event_id WHERE e.event_type <> 'error'),
+{daily_fact_cte("part", stage="partial_stage").strip()},
+{daily_fact_cte("fresh", where="CAST(measured_at AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'").strip()}
+SELECT * FROM part WHERE date_id NOT BETWEEN 20240110 AND 20240120
+UNION ALL
+SELECT * FROM fresh"""
+
+ORACLE["assign_ids"] = f"""
+WITH {STAGE},
+old AS (SELECT city_name, row_number() OVER (ORDER BY city_name) AS id
+        FROM (SELECT DISTINCT location_name AS city_name FROM stage WHERE measured_at < TIMESTAMP '2024-01-16') t),
+new AS (SELECT DISTINCT location_name AS city_name FROM stage WHERE measured_at >= TIMESTAMP '2024-01-16'
+        AND location_name NOT IN (SELECT city_name FROM old))
+SELECT city_name, CAST((SELECT coalesce(max(id), 0) FROM old) + row_number() OVER (ORDER BY city_name) AS INTEGER) AS id
+FROM new"""
+
+MART_SELECT = """
+SELECT cal.d AS date, f.city_id, sd.description AS weather_description,
+       f.temp_avg, f.temp_min, f.temp_max, f.apparent_temp_avg, f.precipitation_sum, f.snowfall_sum,
+       f.sunshine_duration_hours AS sunshine_hours, f.avg_wind_speed_10m AS wind_speed_avg,
+       f.max_wind_gusts AS wind_gusts_max, f.avg_relative_humidity AS humidity_avg,
+       f.avg_pressure_msl AS pressure_avg, f.is_frost_day, f.is_hot_day, f.is_rainy_day, f.is_snowy_day
+FROM fact f
+JOIN (SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS cid, d FROM cal_days) cal ON cal.cid = f.date_id
+LEFT JOIN seed sd ON sd.id = f.dominant_weather_code_id"""
+
+CAL_DAYS = """
+cal_days AS (
+  SELECT CAST(unnest(generate_series(min(CAST(measured_at AS DATE)), max(CAST(measured_at AS DATE)), INTERVAL 1 DAY)) AS DATE) AS d
+  FROM stage
+)"""
+
+ORACLE["daily_mart"] = f"""
+WITH {STAGE},{CITIES},{daily_fact_cte()}, {SEED},{CAL_DAYS},
+mart AS ({MART_SELECT})
+SELECT * FROM mart"""
+
+ORACLE["daily_mart_wide"] = f"""
+WITH {STAGE},{CITIES},{daily_fact_cte()}, {SEED},{CAL_DAYS},{CONFIG},{city_dim_cte("dc")},
+mart AS ({MART_SELECT})
+SELECT m.*, dc.city_name, dc.is_capital, dc.climate_zone, dc.latitude, dc.longitude,
+       k.country_name, k.region
+FROM mart m
+LEFT JOIN (SELECT dc.*, c.id FROM dc JOIN cities c ON c.city_name = dc.city_name) dc ON dc.id = m.city_id
+LEFT JOIN countries_id k ON k.id = dc.country_id"""
+
+LOG = f"""
+log AS (
+  SELECT CAST(ts AS DATE) AS run_date, 'Customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0') AS city_name,
+         CASE WHEN event_type IN ('view', 'click') THEN 'core' ELSE 'stage' END AS layer,
+         CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status,
+         CASE WHEN event_type = 'error' THEN CAST(NULL AS INTEGER) ELSE 20 + {K} % 6 END AS rows_loaded,
+         24 AS expected_rows, ts AS executed_at,
+         CASE WHEN event_type = 'error' THEN 'HTTP error ' || CAST({K} AS VARCHAR) END AS error_msg,
+         event_id AS id
+  FROM events
+)"""
+
+GAPS = f"""
+{LOG},
+gap_cities AS (SELECT DISTINCT 'Customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0') AS city_name FROM events),
+gaps AS (
+  SELECT CAST(d AS DATE) AS missing_date, c.city_name, l.layer
+  FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY)) AS d) days
+  CROSS JOIN gap_cities c CROSS JOIN (VALUES ('stage'), ('core')) l(layer)
+  WHERE NOT EXISTS (SELECT 1 FROM log o WHERE o.status = 'success' AND o.run_date = CAST(days.d AS DATE)
+                    AND o.city_name = c.city_name AND o.layer = l.layer)
+)"""
+
+ORACLE["date_gaps"] = f"WITH {GAPS.strip()}\nSELECT * FROM gaps"
+
+ORACLE["missing_days"] = f"""WITH {GAPS.strip()}
+SELECT city_name, count(*) AS missing_days FROM gaps WHERE layer = 'stage' GROUP BY city_name"""
+
+ORACLE["top_gaps"] = f"""WITH {GAPS.strip()}
+SELECT * FROM gaps ORDER BY missing_date, city_name, layer LIMIT 20"""
+
+ORACLE["coverage"] = """
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(DISTINCT o_custkey) AS cities
+FROM orders GROUP BY 1"""
+
+ORACLE["pending_chunks"] = f"""
+WITH {CONFIG.strip()}, {LOG.strip()},
+months AS (SELECT CAST(unnest(generate_series(DATE '2023-01-01', DATE '2024-01-01', INTERVAL 1 MONTH)) AS DATE) AS m),
+chunks AS (SELECT f.name AS city_name, m AS chunk_start, least(last_day(m), DATE '2024-01-30') AS chunk_end
+           FROM cfg f CROSS JOIN months WHERE coalesce(f.active, false)),
+ok AS (SELECT DISTINCT city_name, run_date FROM log WHERE layer = 'stage' AND status = 'success')
+SELECT c.city_name, c.chunk_start, c.chunk_end FROM chunks c
+WHERE (SELECT count(*) FROM ok WHERE ok.city_name = c.city_name AND ok.run_date BETWEEN c.chunk_start AND c.chunk_end)
+      < date_diff('day', c.chunk_start, c.chunk_end) + 1"""
+
+ORDERS_DAILY = """
+SELECT o_custkey, CAST(o_orderdate AS DATE) AS order_date, count(*) AS n_orders,
+       CAST(round(TRY_CAST(sum(o_totalprice) AS DECIMAL(38,12)), 2) AS DOUBLE) AS total_price
+FROM {src} GROUP BY 1, 2"""
+
+GAP_MONTHS = f"""
+partial AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01' OR o_orderstatus = 'F'),
+down AS ({ORDERS_DAILY.format(src="partial")}),
+gm AS (
+  SELECT DISTINCT CAST(date_trunc('month', d) AS DATE) AS start_date,
+         least(last_day(d), DATE '2001-07-31') AS end_date
+  FROM (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d FROM orders
+        EXCEPT SELECT o_custkey, order_date FROM down) x
+)"""
+
+ORACLE["gap_months"] = f"WITH {GAP_MONTHS.strip()}\nSELECT * FROM gm"
+
+ORACLE["fill_gaps"] = f"""
+WITH {GAP_MONTHS.strip()},
+fresh_src AS (SELECT o.* FROM orders o WHERE EXISTS (
+  SELECT 1 FROM gm WHERE gm.start_date <= gm.end_date AND CAST(o.o_orderdate AS DATE) BETWEEN gm.start_date AND gm.end_date)),
+fresh AS ({ORDERS_DAILY.format(src="fresh_src")})
+SELECT * FROM down d WHERE NOT EXISTS (
+  SELECT 1 FROM gm WHERE gm.start_date <= gm.end_date AND d.order_date BETWEEN gm.start_date AND gm.end_date)
+UNION ALL SELECT * FROM fresh"""
+
+ORACLE["load_status"] = f"""
+WITH {LOG.strip()}
+SELECT run_date, city_name, layer,
+       CASE WHEN bool_or(status = 'success') THEN 'success' ELSE 'failed' END AS status,
+       count(*) AS attempts,
+       arg_max(error_msg, (executed_at, id)) AS last_error
+FROM log GROUP BY 1, 2, 3"""
+
+ORACLE["incomplete_days"] = f"""
+WITH {LOG.strip()}
+SELECT run_date, city_name, layer, rows_loaded, expected_rows FROM log
+WHERE status = 'success' AND rows_loaded <> expected_rows"""
+
+ORACLE["run_summary"] = f"""
+WITH {LOG.strip()}
+SELECT run_date, count(*) FILTER (WHERE status = 'success') AS n_success,
+       count(*) FILTER (WHERE status = 'failed') AS n_failed,
+       NOT (count(*) FILTER (WHERE status = 'failed') > 0 AND count(*) FILTER (WHERE status = 'success') = 0) AS ok
+FROM log GROUP BY 1"""
+
+ORACLE["constraint_checks"] = """
+SELECT 'lineitem_pk' AS check_name, count(*) AS violations FROM (
+  SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1) t
+UNION ALL SELECT 'orders_pk', count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1) t
+UNION ALL SELECT 'lineitem_not_null', count(*) FROM lineitem
+  WHERE l_orderkey IS NULL OR l_linenumber IS NULL OR l_shipdate IS NULL
+UNION ALL SELECT 'lineitem_fk_orders', count(*) FROM lineitem l
+  WHERE l.l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)
+UNION ALL SELECT 'orders_fk_customer', count(*) FROM orders o
+  WHERE o.o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)
+UNION ALL SELECT 'customer_fk_nation', count(*) FROM customer c
+  WHERE c.c_nationkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM nation n WHERE n.n_nationkey = c.c_nationkey)
+UNION ALL SELECT 'lineitem_returnflag_in', count(*) FROM lineitem WHERE l_returnflag NOT IN ('R', 'A', 'N')
+UNION ALL SELECT 'orders_status_in', count(*) FROM orders WHERE o_orderstatus NOT IN ('F')"""
