@@ -295,3 +295,182 @@ def q_constraint_checks(spark, sf):
         ("lineitem_returnflag_in", checks.check_in(li, "l_returnflag", ["R", "A", "N"])),
         ("orders_status_in", checks.check_in(o, "o_orderstatus", ["F"])),
     ])
+
+
+# ---------------------------------------------------------------------------
+# forecast (orders as a 1995–2001 daily history per nation)
+# ---------------------------------------------------------------------------
+from stratus.functions.dates import date_from_id  # noqa: E402
+from stratus.operators import forecast as FC  # noqa: E402
+from stratus.operators import measures as M  # noqa: E402
+
+RUN_DATE = "2001-08-02"      # day after the last order
+HOLDOUT_RUN = "2001-07-26"   # a run a week earlier, scored against the held-out week
+
+
+def _nation_mart(spark, sf):
+    o = S.table(spark, sf, "orders")
+    c = S.table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    st = S.orders_as_stage(o.join(c, o["o_custkey"] == c["c_custkey"], "inner"), place="nation")
+    places = S.table(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("id"),
+                                                 S.place_name(F.col("n_nationkey")).alias("city_name"))
+    fact = facts.daily_rollup(st, places)
+    return mart.to_mart_names(fact).withColumn("date", date_from_id("date_id"))
+
+
+def _linear(spark, sf, run, until=None):
+    long = FC.melt_metrics(FC.history(_nation_mart(spark, sf), run, until=until))
+    return FC.forecast_linear(long, run)
+
+
+@query("forecast_linear")
+def q_forecast_linear(spark, sf):
+    return FC.pivot_forecast(_linear(spark, sf, RUN_DATE), RUN_DATE)
+
+
+@query("forecast_seasonal")
+def q_forecast_seasonal(spark, sf):
+    long = FC.melt_metrics(FC.history(_nation_mart(spark, sf), RUN_DATE))
+    fitted = FC.forecast_seasonal(long, RUN_DATE)
+    return FC.pivot_forecast(fitted.where(F.col("status") == "ok"), RUN_DATE)
+
+
+@query("forecast_skips")
+def q_forecast_skips(spark, sf):
+    long = FC.melt_metrics(FC.history(_nation_mart(spark, sf), RUN_DATE))
+    return FC.forecast_skips(long)
+
+
+@query("forecast_accuracy")
+def q_forecast_accuracy(spark, sf):
+    fc = _linear(spark, sf, HOLDOUT_RUN, until=HOLDOUT_RUN)
+    actual = FC.melt_metrics(_nation_mart(spark, sf).where(F.col("date") >= F.lit(HOLDOUT_RUN).cast("date")))
+    return FC.forecast_accuracy(fc, actual)
+
+
+@query("latest_run")
+def q_latest_run(spark, sf):
+    runs = FC.pivot_forecast(_linear(spark, sf, HOLDOUT_RUN, until=HOLDOUT_RUN), HOLDOUT_RUN) \
+             .unionByName(FC.pivot_forecast(_linear(spark, sf, RUN_DATE), RUN_DATE))
+    latest = runs.where(F.col("forecast_run_date") == F.lit(RUN_DATE).cast("date"))
+    return latest.orderBy("target_date", "city_id").limit(30)
+
+
+# ---------------------------------------------------------------------------
+# dashboard measures (orders as a daily history per customer)
+# ---------------------------------------------------------------------------
+def _orders_mart(spark, sf):
+    o = S.table(spark, sf, "orders")
+    st = S.orders_as_stage(o)
+    fact = facts.daily_rollup(st, _cities(spark, sf))
+    return mart.daily_mart(fact, dims.calendar_span(o, "o_orderdate"), G.wmo_codes(spark))
+
+
+def _orders_wide(spark, sf):
+    cfg = _cfg(spark, sf)
+    places = cfg.select(F.col("pos").alias("id"), F.col("name").alias("city_name"), "is_capital",
+                        "climate_zone", F.col("lat").alias("latitude"), F.col("lon").alias("longitude"),
+                        F.col("country").alias("_country"))
+    places = joins.lookup_id(places, _countries(spark, sf), "_country", "country_name", "id", "country_id") \
+                  .drop("_country")
+    return mart.daily_mart_wide(_orders_mart(spark, sf), places, _countries(spark, sf))
+
+
+@query("kpi")
+def q_kpi(spark, sf):
+    m = _orders_mart(spark, sf)
+    return M.kpis(m.withColumn("year", F.year("date")), by=["year"])
+
+
+@query("kpi_yoy")
+def q_kpi_yoy(spark, sf):
+    return M.kpis_yoy(_orders_mart(spark, sf))
+
+
+@query("period_compare")
+def q_period_compare(spark, sf):
+    return M.period_compare(_orders_mart(spark, sf), "avg_temperature", "quarter")
+
+
+@query("period_compare_by_city")
+def q_period_compare_by_city(spark, sf):
+    return M.period_compare(_orders_mart(spark, sf), "total_precipitation", "year", by=["city_id"])
+
+
+@query("extreme_ranking")
+def q_extreme_ranking(spark, sf):
+    return M.extreme_ranking(_orders_wide(spark, sf), "hot")
+
+
+@query("climate_scatter")
+def q_climate_scatter(spark, sf):
+    return M.climate_scatter(_orders_wide(spark, sf))
+
+
+@query("map_values")
+def q_map_values(spark, sf):
+    w = M.slice_by(M.capitals_only(_orders_wide(spark, sf)), start="1998-01-01", end="1998-12-31")
+    return M.map_values(w, "total_precipitation")
+
+
+# ---------------------------------------------------------------------------
+# landed payloads, API responses, file-stream ingest
+# ---------------------------------------------------------------------------
+from stratus.functions.text import is_daily_limit  # noqa: E402
+from stratus.sources import payload as P  # noqa: E402
+
+PAYLOAD_VARS = ["temperature_2m", "relative_humidity_2m", "precipitation", "wind_direction_10m",
+                "weather_code", "is_day"]
+PAYLOAD_CHUNK = 64   # events per landed document: a document never exceeds this many hours
+
+
+def _field(n):
+    return lambda x: x["h"][n]
+
+
+def landed_documents(stage: DataFrame) -> DataFrame:
+    """Stage rows → JSON documents of parallel arrays, one per (place, block of event ids)."""
+    rows = stage.select(
+        "location_name", "latitude", "longitude", "elevation_m", "timezone", "event_id",
+        F.floor(F.col("event_id") / PAYLOAD_CHUNK).alias("_chunk"),
+        F.struct(F.date_format("measured_at", "yyyy-MM-dd'T'HH:mm").alias("time"),
+                 *[F.col(v) for v in PAYLOAD_VARS if v not in ("weather_code", "is_day")],
+                 F.col("weather_code").cast("string").alias("weather_code"),
+                 F.col("is_day").cast("int").cast("string").alias("is_day")).alias("h"))
+    docs = rows.groupBy("location_name", "_chunk").agg(
+        F.min_by(F.struct("latitude", "longitude", "elevation_m", "timezone"), F.col("event_id")).alias("g"),
+        F.sort_array(F.collect_list(F.struct(F.col("event_id"), F.col("h")))).alias("hs"))
+    hourly = F.struct(*[F.transform("hs", _field(n)).alias(n) for n in ["time", *PAYLOAD_VARS]])
+    doc = F.struct(F.col("location_name").alias("name"), F.lit(None).cast("string").alias("country"),
+                   F.col("g.latitude").alias("latitude"), F.col("g.longitude").alias("longitude"),
+                   F.col("g.elevation_m").alias("elevation"), F.col("g.timezone").alias("timezone"),
+                   hourly.alias("hourly"))
+    return docs.select(F.to_json(doc).alias("doc"))
+
+
+@query("payload_explode")
+def q_payload_explode(spark, sf):
+    docs = landed_documents(_stage(spark, sf))
+    parsed = docs.select(F.from_json("doc", P.payload_schema(PAYLOAD_VARS)).alias("p")).select("p.*")
+    return P.explode_payload(parsed, names=PAYLOAD_VARS).drop("loaded_at")
+
+
+@query("daily_limit_filter")
+def q_daily_limit_filter(spark, sf):
+    r = S.responses_from_events(S.table(spark, sf, "events"))
+    return r.where(is_daily_limit(F.col("status"), F.col("body")))
+
+
+STREAM_COLS = ["location_name", "measured_at", "temperature_2m", "precipitation", "weather_code", "event_id"]
+
+
+@query("stream_ingest")
+def q_stream_ingest(spark, sf):
+    from stratus.session import scratch_path
+    from stratus.streaming import ingest_available, land
+    base = scratch_path(spark, "stream-ingest")
+    ev = S.table(spark, sf, "events")
+    land(ev.withColumn("day", F.to_date("ts")), f"{base}/landing", by="day")
+    ingest_available(spark, f"{base}/landing", ev.schema.add("day", "date"), f"{base}/stage",
+                     f"{base}/_checkpoint", lambda b: S.events_as_stage(b).select(*STREAM_COLS), max_files=10)
+    return spark.read.parquet(f"{base}/stage").select(*STREAM_COLS)

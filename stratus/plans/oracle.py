@@ -417,3 +417,254 @@ UNION ALL SELECT 'customer_fk_nation', count(*) FROM customer c
   WHERE c.c_nationkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM nation n WHERE n.n_nationkey = c.c_nationkey)
 UNION ALL SELECT 'lineitem_returnflag_in', count(*) FROM lineitem WHERE l_returnflag NOT IN ('R', 'A', 'N')
 UNION ALL SELECT 'orders_status_in', count(*) FROM orders WHERE o_orderstatus NOT IN ('F')"""
+
+
+# -- forecast ----------------------------------------------------------------
+from stratus.functions.constants import FORECAST_METRICS, INTERVAL_Z80  # noqa: E402
+from stratus.plans.standins import RESPONSE_BODIES  # noqa: E402
+
+
+def orders_stage(place_expr: str, joins: str = "") -> str:
+    return f"""
+SELECT 'Customer#' || lpad(CAST({place_expr} AS VARCHAR), 9, '0') AS location_name,
+       o.o_orderdate AS measured_at,
+       o.o_totalprice / 10000 - 15 AS temperature_2m,
+       o.o_totalprice / 10000 - 17 AS apparent_temperature,
+       o.o_totalprice / 10000 - 18 AS wet_bulb_temperature_2m,
+       CASE WHEN o.o_orderstatus = 'F' THEN o.o_totalprice / 50000 ELSE CAST(0.0 AS DOUBLE) END AS precipitation,
+       CASE WHEN o.o_orderstatus = 'F' THEN o.o_totalprice / 100000 ELSE CAST(0.0 AS DOUBLE) END AS rain,
+       CASE WHEN o.o_orderstatus = 'P' THEN o.o_totalprice / 200000 ELSE CAST(0.0 AS DOUBLE) END AS snowfall,
+       o.o_totalprice / 10 AS sunshine_duration,
+       o.o_totalprice / 1000 AS shortwave_radiation,
+       o.o_totalprice / 20000 AS wind_speed_10m,
+       o.o_totalprice / 15000 AS wind_gusts_10m,
+       o.o_totalprice / 5000 AS cloud_cover,
+       o.o_totalprice / 5000 AS relative_humidity_2m,
+       o.o_totalprice / 1000 + 900 AS pressure_msl,
+       CAST(CASE WHEN o.o_orderstatus = 'F' THEN 61 WHEN o.o_orderstatus = 'P' THEN 71 ELSE 0 END AS SMALLINT) AS weather_code
+FROM orders o {joins}"""
+
+
+MART_OF = """
+{name} AS (
+  SELECT CAST(strptime(CAST(date_id AS VARCHAR), '%Y%m%d') AS DATE) AS date, city_id,
+         temp_avg, temp_min, temp_max, apparent_temp_avg, precipitation_sum, snowfall_sum,
+         sunshine_duration_hours AS sunshine_hours, avg_wind_speed_10m AS wind_speed_avg,
+         max_wind_gusts AS wind_gusts_max, avg_relative_humidity AS humidity_avg,
+         avg_pressure_msl AS pressure_avg, is_frost_day, is_hot_day, is_rainy_day, is_snowy_day
+  FROM {src}
+)"""
+
+NATION_MART = f"""
+nstage AS ({orders_stage("c.c_nationkey", "JOIN customer c ON o.o_custkey = c.c_custkey")}),
+ncities AS (SELECT CAST(n_nationkey AS BIGINT) AS id, 'Customer#' || lpad(CAST(n_nationkey AS VARCHAR), 9, '0') AS city_name
+            FROM nation),
+{daily_fact_cte("nfact", stage="nstage", cities="ncities").strip()},
+{MART_OF.format(name="nmart", src="nfact").strip()}"""
+
+Z = f"CAST({INTERVAL_Z80!r} AS DOUBLE)"
+
+
+def long_of(name: str, src: str, where: str) -> str:
+    cols = ", ".join(FORECAST_METRICS)
+    return f"""
+{name} AS (
+  SELECT city_id, date AS ds, metric, y FROM (
+    SELECT * FROM (SELECT city_id, date, {cols} FROM {src} WHERE {where})
+    UNPIVOT (y FOR metric IN ({cols}))) u
+  WHERE y IS NOT NULL AND NOT isnan(y)
+)"""
+
+
+def linear_pred(name: str, long: str, run: str) -> str:
+    return f"""
+{name}_fit AS (
+  SELECT city_id, metric, count(*) AS n,
+         regr_slope(y, x) AS b, regr_intercept(y, x) AS a,
+         regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy, regr_sxy(y, x) AS sxy
+  FROM (SELECT *, CAST(date_diff('day', DATE '{run}', ds) AS DOUBLE) AS x FROM {long}) t
+  GROUP BY 1, 2 HAVING count(*) >= 60
+),
+{name}_raw AS (
+  SELECT city_id, metric, DATE '{run}' + CAST(h AS INTEGER) AS target_date, CAST(h AS SMALLINT) AS horizon_days,
+         a + b * CAST(h AS DOUBLE) AS y0,
+         sqrt(greatest(syy - sxy * sxy / sxx, 0.0) / (n - 2)) AS sigma
+  FROM {name}_fit, (SELECT unnest(range(1, 8)) AS h) hs
+),
+{name} AS (
+  SELECT city_id, metric, target_date, horizon_days,
+         CASE WHEN metric IN ('precipitation_sum', 'sunshine_hours') THEN greatest(CAST(0.0 AS DOUBLE), y0) ELSE y0 END AS yhat,
+         CASE WHEN metric = 'precipitation_sum' THEN greatest(CAST(0.0 AS DOUBLE), y0 - {Z} * sigma)
+              WHEN metric = 'temp_avg' THEN y0 - {Z} * sigma END AS yhat_lower,
+         CASE WHEN metric = 'precipitation_sum' THEN greatest(CAST(0.0 AS DOUBLE), y0 + {Z} * sigma)
+              WHEN metric = 'temp_avg' THEN y0 + {Z} * sigma END AS yhat_upper
+  FROM {name}_raw
+)"""
+
+
+def pivot_sql(pred: str, run: str) -> str:
+    cols = ",\n       ".join(f"{r2(f'max(CASE WHEN metric = {chr(39)}{m}{chr(39)} THEN yhat END)')} AS {m}"
+                            for m in FORECAST_METRICS)
+    b = []
+    for m in ("temp_avg", "precipitation_sum"):
+        for side in ("lower", "upper"):
+            b.append(f"{r2(f'max(CASE WHEN metric = {chr(39)}{m}{chr(39)} THEN yhat_{side} END)')} AS {m}_{side}")
+    return f"""
+SELECT DATE '{run}' AS forecast_run_date, target_date, city_id, horizon_days,
+       {cols},
+       {", ".join(b)}
+FROM {pred} GROUP BY target_date, city_id, horizon_days"""
+
+
+RUN = "2001-08-02"
+HOLD = "2001-07-26"
+
+ORACLE["forecast_linear"] = f"""
+WITH {NATION_MART.strip()},
+{long_of("long", "nmart", f"date >= DATE '{RUN}' - 730").strip()},
+{linear_pred("pred", "long", RUN).strip()}
+{pivot_sql("pred", RUN)}"""
+
+ORACLE["forecast_skips"] = f"""
+WITH {NATION_MART.strip()},
+{long_of("long", "nmart", f"date >= DATE '{RUN}' - 730").strip()},
+ok AS (SELECT city_id FROM long GROUP BY city_id, metric HAVING count(*) >= 60)
+SELECT DISTINCT city_id, 0 AS fitted_metrics FROM long WHERE city_id NOT IN (SELECT city_id FROM ok)"""
+
+
+def r4(expr: str) -> str:
+    return f"CAST(round(TRY_CAST({expr} AS DECIMAL(38,12)), 4) AS DOUBLE)"
+
+
+ORACLE["forecast_accuracy"] = f"""
+WITH {NATION_MART.strip()},
+{long_of("hist", "nmart", f"date >= DATE '{HOLD}' - 730 AND date < DATE '{HOLD}'").strip()},
+{long_of("actual", "nmart", f"date >= DATE '{HOLD}'").strip()},
+{linear_pred("pred", "hist", HOLD).strip()}
+SELECT p.metric, p.horizon_days, count(*) AS n,
+       {r4("avg(abs(p.yhat - a.y))")} AS mae,
+       {r4("avg(p.yhat - a.y)")} AS bias,
+       {r4("sqrt(avg((p.yhat - a.y) * (p.yhat - a.y)))")} AS rmse,
+       {r4("avg(CASE WHEN p.yhat_lower IS NOT NULL THEN CAST(a.y BETWEEN p.yhat_lower AND p.yhat_upper AS DOUBLE) END)")} AS coverage
+FROM pred p JOIN actual a ON a.city_id = p.city_id AND a.metric = p.metric AND a.ds = p.target_date
+GROUP BY 1, 2"""
+
+ORACLE["latest_run"] = f"""
+WITH {NATION_MART.strip()},
+{long_of("long", "nmart", f"date >= DATE '{RUN}' - 730").strip()},
+{linear_pred("pred", "long", RUN).strip()},
+wide AS ({pivot_sql("pred", RUN)})
+SELECT * FROM wide ORDER BY target_date, city_id LIMIT 30"""
+
+# -- measures over the per-customer orders mart ---------------------------------
+CUSTOMER_MART = f"""
+cstage AS ({orders_stage("o.o_custkey")}),
+{daily_fact_cte("cfact", stage="cstage", cities="cities").strip()},
+{MART_OF.format(name="cmart", src="cfact").strip()}"""
+
+WIDE = f"""
+{CONFIG.strip()},
+places AS (SELECT f.pos AS id, f.name AS city_name, f.is_capital, f.climate_zone, f.lat AS latitude,
+                  f.lon AS longitude, k.id AS country_id
+           FROM cfg f LEFT JOIN countries_id k ON k.country_name = f.country),
+wide AS (SELECT m.*, p.city_name, p.is_capital, p.climate_zone, p.latitude, p.longitude, k.country_name, k.region
+         FROM cmart m LEFT JOIN places p ON p.id = m.city_id LEFT JOIN countries_id k ON k.id = p.country_id)"""
+
+
+def kpi_cols(prefix: str = "") -> str:
+    return f"""
+       {r2(f'avg({prefix}temp_avg)')} AS avg_temperature,
+       {r2(f'sum({prefix}precipitation_sum)')} AS total_precipitation,
+       {r2(f'avg({prefix}pressure_avg)')} AS avg_pressure,
+       {r2(f'sum({prefix}sunshine_hours)')} AS sunshine_hours,
+       CAST(count(*) FILTER (WHERE {prefix}is_rainy_day) AS BIGINT) AS rainy_days"""
+
+
+ORACLE["kpi"] = f"""
+WITH {CITIES.strip()},{CUSTOMER_MART}
+SELECT year(date) AS year,{kpi_cols()}
+FROM cmart GROUP BY 1"""
+
+KPIS = ["avg_temperature", "total_precipitation", "avg_pressure", "sunshine_hours", "rainy_days"]
+ORACLE["kpi_yoy"] = f"""
+WITH {CITIES.strip()},{CUSTOMER_MART},
+y AS (SELECT year(date) AS year,{kpi_cols()} FROM cmart GROUP BY 1),
+spine AS (SELECT CAST(unnest(generate_series(min(year), max(year))) AS INTEGER) AS year FROM y),
+f AS (SELECT s.year, {", ".join("y." + k for k in KPIS)} FROM spine s LEFT JOIN y ON y.year = s.year),
+l AS (SELECT *, {", ".join(f"lag({k}) OVER (ORDER BY year) AS prev_{k}" for k in KPIS)} FROM f)
+SELECT *, {", ".join((f"{r2(f'{k} - prev_{k}')} AS delta_{k}" if k != "rainy_days" else f"{k} - prev_{k} AS delta_{k}") for k in KPIS)}
+FROM l"""
+
+ORACLE["period_compare"] = f"""
+WITH {CITIES.strip()},{CUSTOMER_MART},
+p AS (SELECT CAST(date_trunc('quarter', date) AS DATE) AS period, {r2('avg(temp_avg)')} AS value FROM cmart GROUP BY 1),
+spine AS (SELECT CAST(unnest(generate_series(min(period), max(period), INTERVAL 3 MONTH)) AS DATE) AS period FROM p),
+f AS (SELECT s.period, p.value, lag(p.value) OVER (ORDER BY s.period) AS prev_value
+      FROM spine s LEFT JOIN p ON p.period = s.period)
+SELECT period, value, prev_value, {r2('value - prev_value')} AS delta FROM f"""
+
+ORACLE["period_compare_by_city"] = f"""
+WITH {CITIES.strip()},{CUSTOMER_MART},
+p AS (SELECT city_id, CAST(date_trunc('year', date) AS DATE) AS period, {r2('sum(precipitation_sum)')} AS value
+      FROM cmart GROUP BY 1, 2),
+sp AS (SELECT city_id, min(period) AS a, max(period) AS b FROM p GROUP BY 1),
+spine AS (SELECT city_id, CAST(unnest(generate_series(a, b, INTERVAL 1 YEAR)) AS DATE) AS period FROM sp),
+f AS (SELECT s.city_id, s.period, p.value,
+             lag(p.value) OVER (PARTITION BY s.city_id ORDER BY s.period) AS prev_value
+      FROM spine s LEFT JOIN p ON p.city_id = s.city_id AND p.period = s.period)
+SELECT city_id, period, value, prev_value, {r2('value - prev_value')} AS delta FROM f"""
+
+PCT = lambda c: r2(f"100.0 * avg(CAST({c} AS DOUBLE))")
+ORACLE["extreme_ranking"] = f"""
+WITH {CITIES.strip()},{CUSTOMER_MART},{WIDE},
+r AS (
+  SELECT CASE grouping(region, country_name, city_name) WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 3 THEN 2 ELSE 3 END AS level,
+         region, country_name, city_name,
+         {PCT('is_hot_day')} AS hot_pct, {PCT('is_frost_day')} AS frost_pct, {PCT('is_rainy_day')} AS rainy_pct,
+         max(temp_max) AS max_temp, min(temp_min) AS min_temp, max(wind_gusts_max) AS max_gusts
+  FROM wide GROUP BY ROLLUP (region, country_name, city_name)
+)
+SELECT *, rank() OVER (PARTITION BY level ORDER BY hot_pct DESC NULLS LAST) AS rank FROM r"""
+
+CLIMATE_CASE = ("CASE upper(trim(climate_zone)) " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in __import__("stratus.functions.constants", fromlist=["x"]).CLIMATE_GROUPS.items())
+    + " END")
+
+ORACLE["climate_scatter"] = f"""
+WITH {CITIES.strip()},{CUSTOMER_MART},{WIDE}
+SELECT city_name, climate_zone, {r2('avg(temp_avg)')} AS avg_temperature,
+       {r2('sum(precipitation_sum)')} AS total_precipitation, {r2('avg(humidity_avg)')} AS avg_humidity,
+       {CLIMATE_CASE} AS climate_group
+FROM wide GROUP BY city_name, climate_zone"""
+
+ORACLE["map_values"] = f"""
+WITH {CITIES.strip()},{CUSTOMER_MART},{WIDE}
+SELECT city_name, latitude, longitude, {r2('sum(precipitation_sum)')} AS value
+FROM wide WHERE coalesce(is_capital, false) AND date BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'
+GROUP BY city_name, latitude, longitude"""
+
+# -- payloads, responses, stream -------------------------------------------------
+ORACLE["payload_explode"] = f"""
+WITH {STAGE}
+SELECT location_name, CAST(NULL AS VARCHAR) AS country,
+       first_value(latitude) OVER w AS latitude, first_value(longitude) OVER w AS longitude,
+       first_value(elevation_m) OVER w AS elevation_m, first_value(timezone) OVER w AS timezone,
+       CAST(date_trunc('minute', measured_at) AS TIMESTAMP) AS measured_at,
+       temperature_2m, relative_humidity_2m, precipitation, wind_direction_10m,
+       CAST(weather_code AS SMALLINT) AS weather_code, is_day
+FROM stage
+WINDOW w AS (PARTITION BY location_name, floor(event_id / 64) ORDER BY event_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
+
+BODY_CASE = "CASE event_type " + " ".join(f"WHEN {_sql_lit(k)} THEN {_sql_lit(v)}" for k, v in RESPONSE_BODIES.items()) + " END"
+ORACLE["daily_limit_filter"] = f"""
+WITH r AS (SELECT event_id AS id, 400 + {K} AS status, {BODY_CASE} AS body FROM events),
+t AS (SELECT *, lower(CASE WHEN ltrim(body) LIKE '{{%' AND json_valid(body)
+                           THEN coalesce(json_extract_string(body, '$.reason'), '')
+                           ELSE coalesce(body, '') END) AS txt FROM r)
+SELECT id, status, body FROM t
+WHERE status BETWEEN 400 AND 499 AND contains(txt, 'daily') AND (contains(txt, 'limit') OR contains(txt, 'exceeded'))"""
+
+ORACLE["stream_ingest"] = f"""
+WITH {STAGE}
+SELECT location_name, measured_at, temperature_2m, precipitation, weather_code, event_id FROM stage"""

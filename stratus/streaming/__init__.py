@@ -1,0 +1 @@
+from stratus.streaming.ingest import ingest_available, land, replace_batch  # noqa: F401
