@@ -125,3 +125,21 @@ def parse_local_ts(c: ColumnOrName, fmt: str = "yyyy-MM-dd'T'HH:mm") -> Column:
 
 def iso_date(d: ColumnOrName) -> Column:
     return F.date_format(_c(d), "yyyy-MM-dd")
+
+
+def run_window(today, start=None, end=None) -> tuple[str, str]:
+    """The run's (start, end) dates: both default to the day before ``today``."""
+    t = _dt.date.fromisoformat(str(today)[:10])
+    y = (t - _dt.timedelta(days=1)).isoformat()
+    return (str(start)[:10] if start else y, str(end)[:10] if end else y)
+
+
+def months_between(start, end) -> list[int]:
+    """YYYYMM partition values touched by a date window (computed from the window, not data)."""
+    s = _dt.date.fromisoformat(str(start)[:10])
+    e = _dt.date.fromisoformat(str(end)[:10])
+    out, y, m = [], s.year, s.month
+    while (y, m) <= (e.year, e.month):
+        out.append(y * 100 + m)
+        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
+    return out

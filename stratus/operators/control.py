@@ -170,3 +170,11 @@ def run_ok(attempts: DataFrame, by=("run_date",)) -> DataFrame:
                     .agg(F.count_if(F.col("status") == "success").alias("n_success"),
                          F.count_if(F.col("status") == "failed").alias("n_failed"))
                     .withColumn("ok", ~((F.col("n_failed") > 0) & (F.col("n_success") == 0))))
+
+
+def register_gap_view(spark, log: DataFrame, cities: DataFrame, today, start=K.HISTORY_START,
+                      name: str = "v_date_gaps") -> DataFrame:
+    """The stored gap view: a temp view over :func:`date_gaps` queryable with SQL."""
+    gaps = date_gaps(log, cities, start=start, today=today)
+    gaps.createOrReplaceTempView(name)
+    return gaps

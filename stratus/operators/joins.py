@@ -103,3 +103,10 @@ def fully_present(chunks: DataFrame, done: DataFrame, key: str, start: str, end:
     return (c.join(hit, [key, start, end], "left")
              .where(F.coalesce(F.col("_have"), F.lit(0)) == F.datediff(F.col(end), F.col(start)) + 1)
              .drop("_m", "_have"))
+
+
+def join_calendar(fact: DataFrame, calendar: DataFrame, key: str = "date_id") -> DataFrame:
+    """Fact → calendar on the integer date key (inner). The calendar has one row per day
+    of a bounded span (36,890 for 1950–2050), so it is broadcast."""
+    cal = calendar.withColumnRenamed("id", "_cal_id")
+    return fact.join(F.broadcast(cal), fact[key] == cal["_cal_id"], "inner").drop("_cal_id")

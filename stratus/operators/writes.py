@@ -63,13 +63,23 @@ def replace_range_table(spark: SparkSession, path: str, new: DataFrame, date_col
     e.g. the months between start and end — never from the data). Only those
     partitions are read, rewritten or, if nothing survives, deleted.
     """
-    checkpoint_dir(spark)
     part_values = list(part_values)
     if _exists(spark, path):
         cur = spark.read.parquet(path).where(F.col(part_col).isin(part_values))
         state = replaced(cur, new, date_col, start, end, key_col, key, kind)
     else:
         state = new
+    return rewrite_partitions(spark, path, state, part_col, part_values)
+
+
+def rewrite_partitions(spark: SparkSession, path: str, state: DataFrame, part_col: str, part_values) -> DataFrame:
+    """Make ``state`` the full content of partitions ``part_values`` of a Parquet table.
+
+    The plan is checkpointed first (it may read the very partitions it replaces), then
+    written with dynamic partition overwrite; listed partitions left without rows are
+    deleted, so a window that became empty does not keep stale rows.
+    """
+    checkpoint_dir(spark)
     state = state.checkpoint(eager=True)  # reliable: written to the shared checkpoint folder
     present = {r[0] for r in state.select(part_col).distinct().collect()}  # ≤ len(part_values) rows
     (state.sortWithinPartitions(part_col).write.mode("overwrite")
@@ -155,3 +165,9 @@ def append_absent_table(spark: SparkSession, path: str, new: DataFrame, keys, pa
     if n:
         append_table(fresh, path, partition_by)
     return n
+
+
+def write_partitioned(df: DataFrame, path: str, by, mode: str = "append") -> None:
+    """Physically partitioned write (e.g. by YYYYMM); Spark creates partitions on demand."""
+    cols = [by] if isinstance(by, str) else list(by)
+    df.sortWithinPartitions(*cols).write.mode(mode).partitionBy(*cols).parquet(path)

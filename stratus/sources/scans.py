@@ -65,3 +65,18 @@ def where_eq(df: DataFrame, **kv) -> DataFrame:
     for k, v in kv.items():
         cond = cond & (F.col(k) == F.lit(v))
     return df.where(cond)
+
+
+def history_from_fact(daily: DataFrame, calendar: DataFrame, cities: DataFrame, cutoff) -> DataFrame:
+    """Forecast history: daily fact ⋈ calendar ⋈ place dimension, ``date >= cutoff``,
+    with the forecast's column names (city_id, city_name, ds, 8 metrics)."""
+    cal = calendar.select(F.col("id").alias("_cid"), F.col("date").alias("ds"))
+    cal = cal.where(F.col("ds") >= as_date_lit(cutoff))
+    c = cities.select(F.col("id").alias("_pid"), "city_name")
+    f = daily.where(F.col("date_id") >= date_id(as_date_lit(cutoff)))   # implied predicate: prunes the fact
+    j = f.join(F.broadcast(cal), f["date_id"] == cal["_cid"], "inner").join(c, f["city_id"] == c["_pid"], "inner")
+    return j.select(F.col("city_id"), "city_name", "ds", "temp_avg", "temp_min", "temp_max", "precipitation_sum",
+                    F.col("sunshine_duration_hours").alias("sunshine_hours"),
+                    F.col("avg_relative_humidity").alias("humidity_avg"),
+                    F.col("avg_pressure_msl").alias("pressure_avg"),
+                    F.col("avg_wind_speed_10m").alias("wind_speed_avg"))
