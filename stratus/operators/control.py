@@ -1,14 +1,14 @@
 """Control plane: load log, date gaps, pending chunks, layer gaps and their repair.
 
-Gaps are found as *islands*: successful days are deduplicated per (place, layer) and
-the holes between consecutive days become ranges. Only the missing days are ever
+Gaps are found as *islands*: successful days are collected per (place, layer) as a
+sorted set and the holes between consecutive days become ranges. Only the missing days are ever
 materialised — there is no dates × places spine — so the work grows with the log and
 the gaps, not with places × calendar.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratus.functions import constants as K
@@ -48,30 +48,28 @@ def load_status(log: DataFrame) -> DataFrame:
                      .alias("last_error")))
 
 
-def _islands(done: DataFrame, keys, day: str, start, end) -> DataFrame:
-    """Missing-day ranges (gap_start, gap_end) between successful days per key."""
-    s, e = as_date_lit(start), as_date_lit(end)
-    d = done.where(F.col(day).between(s, e)).select(*keys, F.col(day).alias("_d")).distinct()
-    w = Window.partitionBy(*keys).orderBy("_d")
-    d = d.withColumn("_prev", F.lag("_d").over(w)).withColumn("_next", F.lead("_d").over(w))
-    lead_gap = d.where(F.col("_prev").isNull() & (F.col("_d") > s)) \
-                .select(*keys, s.alias("gap_start"), F.date_sub("_d", 1).alias("gap_end"))
-    inner = d.where(F.col("_next").isNotNull() & (F.datediff("_next", "_d") > 1)) \
-             .select(*keys, F.date_add("_d", 1).alias("gap_start"), F.date_sub("_next", 1).alias("gap_end"))
-    tail = d.where(F.col("_next").isNull() & (F.col("_d") < e)) \
-            .select(*keys, F.date_add("_d", 1).alias("gap_start"), e.alias("gap_end"))
-    return lead_gap.unionByName(inner).unionByName(tail)
-
-
 def gap_ranges(done: DataFrame, universe: DataFrame, keys, day: str, start, end) -> DataFrame:
-    """Missing ranges per key of ``universe``; keys never done get the whole [start, end]."""
+    """Missing-day ranges (gap_start, gap_end) per key of ``universe`` within [start, end].
+
+    Successful days are collected per key as a sorted set (one shuffle with map-side
+    de-duplication; a set holds at most one entry per calendar day of the window, so it
+    is bounded by the window, not by the number of log rows). The holes between
+    consecutive days — with sentinels start-1 and end+1 — are the gap ranges; a key
+    without any success gets the whole window.
+    """
     s, e = as_date_lit(start), as_date_lit(end)
     keys = list(keys)
-    holes = _islands(done.join(universe.select(*keys).distinct(), keys, "left_semi"), keys, day, start, end)
-    never = universe.select(*keys).distinct().join(
-        done.where(F.col(day).between(s, e)).select(*keys).distinct(), keys, "left_anti")
-    whole = never.where(s <= e).select(*keys, s.alias("gap_start"), e.alias("gap_end"))
-    return holes.unionByName(whole)
+    days = (done.where(F.col(day).between(s, e)).groupBy(*keys)
+                .agg(F.array_sort(F.collect_set(F.col(day))).alias("_days")))
+    j = universe.select(*keys).distinct().join(days, keys, "left")
+    ext = F.concat(F.array(F.date_sub(s, 1)), F.coalesce(F.col("_days"), F.array().cast("array<date>")),
+                   F.array(F.date_add(e, 1)))
+    holes = F.transform(F.sequence(F.lit(1), F.size(ext) - 1),
+                        lambda i: F.struct(F.date_add(F.element_at(ext, i), 1).alias("gap_start"),
+                                           F.date_sub(F.element_at(ext, i + 1), 1).alias("gap_end")))
+    holes = F.filter(holes, lambda r: r["gap_start"] <= r["gap_end"])
+    return (j.where(s <= e).select(*keys, F.explode(holes).alias("_g"))
+             .select(*keys, F.col("_g.gap_start").alias("gap_start"), F.col("_g.gap_end").alias("gap_end")))
 
 
 def date_gaps(log: DataFrame, cities: DataFrame, start=K.HISTORY_START, end=None, today=None,

@@ -73,7 +73,8 @@ def dim_weather_code(seed: DataFrame, stage: DataFrame, code: str = "weather_cod
     Insert-if-absent: the seed's descriptions win over discovered codes.
     """
     found = stage.where(F.col(code).isNotNull()).select(F.col(code).cast("smallint").alias("id")).distinct()
-    new = found.join(seed.select("id"), "id", "left_anti")
+    # the code table is keyed by a SMALLINT, so it can never exceed 65,536 rows: broadcast
+    new = found.join(F.broadcast(seed.select("id")), "id", "left_anti")
     extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in seed.schema.fields if f.name != "id"]
     return seed.unionByName(new.select("id", *extra))
 

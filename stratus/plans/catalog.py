@@ -64,11 +64,11 @@ def _cfg(spark, sf):
                            S.table(spark, sf, "region"))
 
 
-def _countries(spark, sf):
+def _countries(spark, sf, cfg=None):
     """Country dimension with the nation key as id."""
     n = S.table(spark, sf, "nation").select(F.col("n_name").alias("country_name"),
                                              F.col("n_nationkey").alias("id"))
-    return dims.dim_countries(_cfg(spark, sf)).join(n, "country_name", "inner")
+    return dims.dim_countries(cfg if cfg is not None else _cfg(spark, sf)).join(n, "country_name", "inner")
 
 
 def _log(spark, sf):
@@ -124,25 +124,28 @@ def q_dim_country_first(spark, sf):
 
 @query("dim_city_latest")
 def q_dim_city_latest(spark, sf):
-    return dims.dim_cities(_stage(spark, sf), _cfg(spark, sf), _countries(spark, sf), tie="event_id")
+    cfg = _cfg(spark, sf)
+    return dims.dim_cities(_stage(spark, sf), cfg, _countries(spark, sf, cfg), tie="event_id")
 
 
 CITY_ATTRS = ["latitude", "longitude", "elevation_m", "timezone", "is_capital", "climate_zone", "country_id"]
 
 
-def _city_load(spark, sf, lo, hi, now):
+def _city_load(spark, sf, lo, hi, now, cfg, countries):
     st = _stage(spark, sf)
     st = st.where(F.col("measured_at") >= F.lit(lo).cast("timestamp_ntz")) if lo else st
     st = st.where(F.col("measured_at") < F.lit(hi).cast("timestamp_ntz")) if hi else st
-    d = dims.dim_cities(st, _cfg(spark, sf), _countries(spark, sf), tie="event_id")
+    d = dims.dim_cities(st, cfg, countries, tie="event_id")
     return d.withColumn("loaded_at", F.lit(now).cast("timestamp_ntz")) \
             .withColumn("updated_at", F.lit(now).cast("timestamp_ntz"))
 
 
 @query("scd1_merge")
 def q_scd1_merge(spark, sf):
-    target = _city_load(spark, sf, None, SPLIT_DAY, RUN1_NOW)
-    source = _city_load(spark, sf, SPLIT_DAY, None, RUN2_NOW).drop("loaded_at", "updated_at")
+    cfg = _cfg(spark, sf)
+    countries = _countries(spark, sf, cfg)
+    target = _city_load(spark, sf, None, SPLIT_DAY, RUN1_NOW, cfg, countries)
+    source = _city_load(spark, sf, SPLIT_DAY, None, RUN2_NOW, cfg, countries).drop("loaded_at", "updated_at")
     return writes.scd1_merge(target, source, "city_name", CITY_ATTRS,
                              F.lit(RUN2_NOW).cast("timestamp_ntz"))
 
@@ -164,11 +167,14 @@ def q_replace_range(spark, sf):
     return writes.replaced(partial, fresh, "date_id", *WINDOW, kind="date_id")
 
 
+ASSIGN_SPLIT = "2024-01-02"        # names first seen from this day on get new ids
+
+
 @query("assign_ids")
 def q_assign_ids(spark, sf):
     from pyspark.sql import Window
     st = _stage(spark, sf)
-    split = F.lit(SPLIT_DAY).cast("timestamp_ntz")
+    split = F.lit(ASSIGN_SPLIT).cast("timestamp_ntz")
     old = st.where(F.col("measured_at") < split).select(F.col("location_name").alias("city_name")).distinct()
     target = old.select("city_name", F.row_number().over(Window.orderBy("city_name")).alias("id"))
     names = st.where(F.col("measured_at") >= split).select(F.col("location_name").alias("city_name"))
@@ -195,9 +201,11 @@ def q_daily_mart(spark, sf):
 
 @query("daily_mart_wide")
 def q_daily_mart_wide(spark, sf):
-    cities = dims.dim_cities(_stage(spark, sf), _cfg(spark, sf), _countries(spark, sf), tie="event_id")
+    cfg = _cfg(spark, sf)
+    countries = _countries(spark, sf, cfg)
+    cities = dims.dim_cities(_stage(spark, sf), cfg, countries, tie="event_id")
     cities = cities.join(_cities(spark, sf), "city_name", "inner")
-    return mart.daily_mart_wide(_mart(spark, sf), cities, _countries(spark, sf))
+    return mart.daily_mart_wide(_mart(spark, sf), cities, countries)
 
 
 # ---------------------------------------------------------------------------
@@ -371,9 +379,9 @@ def _orders_wide(spark, sf):
     places = cfg.select(F.col("pos").alias("id"), F.col("name").alias("city_name"), "is_capital",
                         "climate_zone", F.col("lat").alias("latitude"), F.col("lon").alias("longitude"),
                         F.col("country").alias("_country"))
-    places = joins.lookup_id(places, _countries(spark, sf), "_country", "country_name", "id", "country_id") \
-                  .drop("_country")
-    return mart.daily_mart_wide(_orders_mart(spark, sf), places, _countries(spark, sf))
+    countries = _countries(spark, sf, cfg)
+    places = joins.lookup_id(places, countries, "_country", "country_name", "id", "country_id").drop("_country")
+    return mart.daily_mart_wide(_orders_mart(spark, sf), places, countries)
 
 
 @query("kpi")

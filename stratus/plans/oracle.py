@@ -276,8 +276,8 @@ SELECT * FROM fresh"""
 ORACLE["assign_ids"] = f"""
 WITH {STAGE},
 old AS (SELECT city_name, row_number() OVER (ORDER BY city_name) AS id
-        FROM (SELECT DISTINCT location_name AS city_name FROM stage WHERE measured_at < TIMESTAMP '2024-01-16') t),
-new AS (SELECT DISTINCT location_name AS city_name FROM stage WHERE measured_at >= TIMESTAMP '2024-01-16'
+        FROM (SELECT DISTINCT location_name AS city_name FROM stage WHERE measured_at < TIMESTAMP '2024-01-02') t),
+new AS (SELECT DISTINCT location_name AS city_name FROM stage WHERE measured_at >= TIMESTAMP '2024-01-02'
         AND location_name NOT IN (SELECT city_name FROM old))
 SELECT city_name, CAST((SELECT coalesce(max(id), 0) FROM old) + row_number() OVER (ORDER BY city_name) AS INTEGER) AS id
 FROM new"""
