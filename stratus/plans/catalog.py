@@ -482,3 +482,16 @@ def q_stream_ingest(spark, sf):
     ingest_available(spark, f"{base}/landing", ev.schema.add("day", "date"), f"{base}/stage",
                      f"{base}/_checkpoint", lambda b: S.events_as_stage(b).select(*STREAM_COLS), max_files=10)
     return spark.read.parquet(f"{base}/stage").select(*STREAM_COLS)
+
+
+@query("hours_per_day")
+def q_hours_per_day(spark, sf):
+    return control.hours_per_day(_stage(spark, sf))
+
+
+@query("gap_view_sql")
+def q_gap_view_sql(spark, sf):
+    cities = _stage(spark, sf).select(F.col("location_name").alias("city_name"))
+    control.register_gap_view(spark, _log(spark, sf), cities, TODAY, start="2024-01-01")
+    return spark.sql("SELECT missing_date, count(*) AS n_gaps, count(DISTINCT city_name) AS n_places "
+                     "FROM v_date_gaps WHERE layer = 'core' GROUP BY missing_date")

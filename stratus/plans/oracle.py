@@ -668,3 +668,12 @@ WHERE status BETWEEN 400 AND 499 AND contains(txt, 'daily') AND (contains(txt, '
 ORACLE["stream_ingest"] = f"""
 WITH {STAGE}
 SELECT location_name, measured_at, temperature_2m, precipitation, weather_code, event_id FROM stage"""
+
+ORACLE["hours_per_day"] = f"""
+WITH {STAGE}
+SELECT location_name AS city_name, CAST(measured_at AS DATE) AS day, count(*) AS n_rows, 24 AS expected_rows
+FROM stage GROUP BY 1, 2 HAVING count(*) <> 24"""
+
+ORACLE["gap_view_sql"] = f"""WITH {GAPS.strip()}
+SELECT missing_date, count(*) AS n_gaps, count(DISTINCT city_name) AS n_places
+FROM gaps WHERE layer = 'core' GROUP BY missing_date"""
