@@ -50,14 +50,17 @@ def iso_dow(d: ColumnOrName) -> Column:
     return (F.weekday(_c(d)) + 1).cast("smallint")
 
 
-def month_name(d: ColumnOrName) -> Column:
-    """Unpadded English month name (``January``)."""
-    return F.date_format(_c(d), "MMMM")
+def month_name(d: ColumnOrName, padded: bool = False) -> Column:
+    """English month name (``January``); ``padded=True`` blank-pads to 9 characters as
+    PostgreSQL's ``TO_CHAR(d, 'Month')`` does."""
+    n = F.date_format(_c(d), "MMMM")
+    return F.rpad(n, 9, " ") if padded else n
 
 
-def day_name(d: ColumnOrName) -> Column:
-    """Unpadded English day name (``Monday``)."""
-    return F.date_format(_c(d), "EEEE")
+def day_name(d: ColumnOrName, padded: bool = False) -> Column:
+    """English day name (``Monday``); ``padded=True`` blank-pads to 9 characters."""
+    n = F.date_format(_c(d), "EEEE")
+    return F.rpad(n, 9, " ") if padded else n
 
 
 def is_weekend(d: ColumnOrName) -> Column:

@@ -480,7 +480,7 @@ def q_stream_ingest(spark, sf):
     ev = S.table(spark, sf, "events")
     land(ev.withColumn("day", F.to_date("ts")), f"{base}/landing", by="day")
     ingest_available(spark, f"{base}/landing", ev.schema.add("day", "date"), f"{base}/stage",
-                     f"{base}/_checkpoint", lambda b: S.events_as_stage(b).select(*STREAM_COLS), max_files=10)
+                     f"{base}/_checkpoint", lambda b: S.events_as_stage(b).select(*STREAM_COLS))
     return spark.read.parquet(f"{base}/stage").select(*STREAM_COLS)
 
 
