@@ -29,7 +29,7 @@ from stratus.functions.dates import date_from_id, date_id, months_between, run_w
 from stratus.operators import control, dims, facts, forecast, mart, writes
 from stratus.sources.generators import wind_bands, wmo_codes
 from stratus.sources.payload import explode_payload, read_landed
-from stratus.sources.scans import history_from_fact, in_window
+from stratus.sources.scans import history_from_fact, in_window, scan_window
 from stratus.streaming.ingest import replace_batch
 
 COUNTRY_ATTRS = ["iso_code_2", "iso_code_3", "continent", "region"]
@@ -121,7 +121,7 @@ def daily_run(spark: SparkSession, root: str, landed, cities_cfg: DataFrame, tod
     codes = spark.read.parquet(P["dim_weather_code"])
 
     # 3. facts --------------------------------------------------------------------------------
-    win = in_window(stage, "measured_at", start, end)
+    win = scan_window(stage, "measured_at", start, end, part_col="day", part_kind="date")  # partition pruning
     hourly = facts.hourly_fact(win, cities, wind_bands(spark), now=now).withColumn("ym", F.floor(F.col("date_id") / 100).cast("int"))
     writes.replace_range_table(spark, P["fact_hourly"], hourly, "date_id", start, end, "ym", months, kind="date_id")
 

@@ -28,12 +28,15 @@ def scan_window(df: DataFrame, ts: str, start, end, part_col: str | None = None,
                 part_kind: str = "ym") -> DataFrame:
     """``in_window`` plus an implied predicate on a partition column for static pruning.
 
-    ``part_kind='ym'`` means an integer YYYYMM partition, ``'date_id'`` a YYYYMMDD key.
+    ``part_kind='ym'`` means an integer YYYYMM partition, ``'date_id'`` a YYYYMMDD key,
+    ``'date'`` a DATE partition (e.g. ``day``).
     """
     out = in_window(df, ts, start, end)
     if part_col:
         lo, hi = as_date_lit(start), as_date_lit(end)
-        if part_kind == "ym":
+        if part_kind == "date":
+            out = out.where(F.col(part_col).between(lo, hi))
+        elif part_kind == "ym":
             out = out.where(F.col(part_col).between(F.year(lo) * 100 + F.month(lo),
                                                     F.year(hi) * 100 + F.month(hi)))
         else:

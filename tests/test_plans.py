@@ -34,3 +34,13 @@ def test_gap_ranges_single_aggregate_no_window(spark):
     cities = S.events_as_stage(S.table(spark, SF, "events")).select(F.col("location_name").alias("city_name"))
     p = plan(control.date_gaps(log, cities, "2024-01-01", today="2024-01-31"))
     assert "Window" not in p and "CartesianProduct" not in p and "NestedLoop" not in p
+
+
+def test_scan_window_prunes_partitions(spark, tmp_path):
+    import datetime as dt
+    from stratus.sources.scans import scan_window
+    rows = [(dt.datetime(2024, 1, d, 5), dt.date(2024, 1, d), float(d)) for d in range(1, 11)]
+    path = str(tmp_path / "t")
+    spark.createDataFrame(rows, "ts timestamp_ntz, day date, v double").write.partitionBy("day").parquet(path)
+    df = scan_window(spark.read.parquet(path), "ts", "2024-01-03", "2024-01-04", part_col="day", part_kind="date")
+    assert "PartitionFilters: [isnotnull(day" in plan(df) and df.count() == 2
