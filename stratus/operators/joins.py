@@ -110,3 +110,9 @@ def join_calendar(fact: DataFrame, calendar: DataFrame, key: str = "date_id") ->
     of a bounded span (36,890 for 1950–2050), so it is broadcast."""
     cal = calendar.withColumnRenamed("id", "_cal_id")
     return fact.join(F.broadcast(cal), fact[key] == cal["_cal_id"], "inner").drop("_cal_id")
+
+
+def enrich_from_config(df: DataFrame, cfg: DataFrame, name_col: str, cols, cfg_name: str = "name") -> DataFrame:
+    """Left join of config attributes by place name (a place absent from the config gets NULLs)."""
+    c = cfg.select(F.col(cfg_name).alias("_cfg_name"), *cols)
+    return df.join(c, df[name_col] == c["_cfg_name"], "left").drop("_cfg_name")
