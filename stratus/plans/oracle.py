@@ -582,7 +582,7 @@ def kpi_cols(prefix: str = "") -> str:
 
 ORACLE["kpi"] = f"""
 WITH {CITIES.strip()},{CUSTOMER_MART}
-SELECT year(date) AS year,{kpi_cols()}
+SELECT CAST(year(date) AS INTEGER) AS year,{kpi_cols()}
 FROM cmart GROUP BY 1"""
 
 KPIS = ["avg_temperature", "total_precipitation", "avg_pressure", "sunshine_hours", "rainy_days"]
@@ -624,7 +624,7 @@ r AS (
          max(temp_max) AS max_temp, min(temp_min) AS min_temp, max(wind_gusts_max) AS max_gusts
   FROM wide GROUP BY ROLLUP (region, country_name, city_name)
 )
-SELECT *, rank() OVER (PARTITION BY level ORDER BY hot_pct DESC NULLS LAST) AS rank FROM r"""
+SELECT *, CAST(rank() OVER (PARTITION BY level ORDER BY hot_pct DESC NULLS LAST) AS INTEGER) AS rank FROM r"""
 
 CLIMATE_CASE = ("CASE upper(trim(climate_zone)) " + " ".join(
     f"WHEN '{k}' THEN '{v}'" for k, v in __import__("stratus.functions.constants", fromlist=["x"]).CLIMATE_GROUPS.items())
