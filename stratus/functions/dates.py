@@ -146,3 +146,11 @@ def months_between(start, end) -> list[int]:
         out.append(y * 100 + m)
         y, m = (y + 1, 1) if m == 12 else (y, m + 1)
     return out
+
+
+def expected_hours(day: ColumnOrName, tz: ColumnOrName) -> Column:
+    """Hours in a local calendar day of zone ``tz``: 24, or 23/25 on daylight-saving switch days."""
+    d = F.to_date(_c(day))
+    start = F.to_utc_timestamp(d.cast("timestamp"), _c(tz))
+    end = F.to_utc_timestamp(F.date_add(d, 1).cast("timestamp"), _c(tz))
+    return ((F.unix_timestamp(end) - F.unix_timestamp(start)) / 3600).cast("int")

@@ -154,12 +154,21 @@ def incomplete_days(log: DataFrame) -> DataFrame:
 
 
 def hours_per_day(stage: DataFrame, loc: str = "location_name", ts: str = "measured_at",
-                  expected: int = K.EXPECTED_ROWS_PER_DAY) -> DataFrame:
-    """Stage rows per (place, day) that differ from ``expected`` (DST days show 23/25)."""
-    return (stage.groupBy(F.col(loc).alias("city_name"), F.to_date(F.col(ts)).alias("day"))
-                 .agg(F.count(F.lit(1)).alias("n_rows"))
-                 .where(F.col("n_rows") != expected)
-                 .withColumn("expected_rows", F.lit(expected)))
+                  expected: int = K.EXPECTED_ROWS_PER_DAY, tz: str | None = None) -> DataFrame:
+    """Stage rows per (place, day) that differ from the expected count.
+
+    The expectation is ``expected`` (24), or with ``tz`` (a time-zone column) the real
+    number of hours of that local day, so daylight-saving days expect 23 or 25.
+    """
+    keys = [F.col(loc).alias("city_name"), F.to_date(F.col(ts)).alias("day")]
+    if tz is None:
+        return (stage.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+                     .where(F.col("n_rows") != expected)
+                     .withColumn("expected_rows", F.lit(expected)))
+    from stratus.functions.dates import expected_hours
+    per = stage.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.col(tz)).alias("_tz"))
+    return (per.withColumn("expected_rows", expected_hours(F.col("day"), F.col("_tz")))
+               .where(F.col("n_rows") != F.col("expected_rows")).drop("_tz"))
 
 
 def run_ok(attempts: DataFrame, by=("run_date",)) -> DataFrame:

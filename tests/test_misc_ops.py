@@ -64,3 +64,15 @@ def test_enrich_and_series(spark):
     got = {r.n: r.climate_zone for r in joins.enrich_from_config(df, cfg, "n", ["climate_zone"]).collect()}
     assert got == {"Lisbon": "Csa", "Nowhere": None}
     assert date_series(spark, "2024-02-27", "2024-03-01").count() == 4
+
+
+def test_dst_aware_expected_hours(spark):
+    from stratus.functions.dates import expected_hours
+    df = spark.createDataFrame([(D(2024, 3, 31), "Europe/Lisbon"), (D(2024, 10, 27), "Europe/Lisbon"),
+                                (D(2024, 6, 1), "Europe/Lisbon"), (D(2024, 3, 31), "UTC")], "d date, tz string")
+    assert [r[0] for r in df.select(expected_hours("d", "tz")).collect()] == [23, 25, 24, 24]
+    st = spark.createDataFrame([("A", dt.datetime(2024, 3, 31, h), "Europe/Lisbon") for h in range(23)]
+                               + [("A", dt.datetime(2024, 4, 1, h), "Europe/Lisbon") for h in range(23)],
+                               "location_name string, measured_at timestamp_ntz, timezone string")
+    got = {r.day: (r.n_rows, r.expected_rows) for r in control.hours_per_day(st, tz="timezone").collect()}
+    assert got == {D(2024, 4, 1): (23, 24)}
