@@ -99,12 +99,19 @@ GEO = ["latitude", "longitude", "elevation_m", "timezone"]
 
 def dim_cities(stage: DataFrame, cities_cfg: DataFrame, countries: DataFrame, *,
                loc: str = "location_name", loaded: str = "loaded_at", tie: str | None = None,
-               country_id: str = "id") -> DataFrame:
+               country_id: str = "id", existing: DataFrame | None = None) -> DataFrame:
     """Place dimension: latest stage geo per place, enriched from config by name.
 
-    Places missing from the config keep NULL capital/climate/country.
+    Places missing from the config keep NULL capital/climate/country. With ``existing``
+    (the current dimension) only the new stage rows need to be passed: places not in
+    them keep their stored geo and are re-enriched from the current config, so a run
+    never rescans the whole stage history.
     """
     latest = latest_per_key(stage, loc, loaded, GEO, tie=tie)
+    if existing is not None:
+        kept = (existing.select(F.col("city_name").alias(loc), *GEO)
+                        .join(latest.select(loc), loc, "left_anti"))
+        latest = latest.unionByName(kept)
     cfg = cities_cfg.select(F.col("name").alias("_name"), "is_capital", "climate_zone",
                             F.col("country").alias("_country"))
     j = latest.join(cfg, latest[loc] == cfg["_name"], "left").drop("_name")

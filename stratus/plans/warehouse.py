@@ -103,6 +103,7 @@ def daily_run(spark: SparkSession, root: str, landed, cities_cfg: DataFrame, tod
     # 1. stage -------------------------------------------------------------------------------
     docs = read_landed(spark, landed) if isinstance(landed, str) else landed
     rows = in_window(explode_payload(docs, now=now), "measured_at", start, end)
+    rows = rows.checkpoint(eager=True)          # parse the landed JSON once; reused by every step below
     report["stage_rows"] = replace_batch(spark, rows, P["stage"])
     stage = spark.read.parquet(P["stage"])
     counts = (rows.groupBy(F.col("location_name").alias("city_name"), F.to_date("measured_at").alias("run_date"))
@@ -112,11 +113,12 @@ def daily_run(spark: SparkSession, root: str, landed, cities_cfg: DataFrame, tod
     # 2. dimensions ---------------------------------------------------------------------------
     countries = merge_dimension(spark, P["dim_countries"], dims.dim_countries(cities_cfg), "country_name",
                                 COUNTRY_ATTRS, now)
-    cities = merge_dimension(spark, P["dim_cities"], dims.dim_cities(stage, cities_cfg, countries), "city_name",
-                             CITY_ATTRS, now)
+    # only this run's rows are scanned; known places keep their stored geo (no stage rescan)
+    place_src = dims.dim_cities(rows, cities_cfg, countries, tie="measured_at", existing=_read(spark, P["dim_cities"]))
+    cities = merge_dimension(spark, P["dim_cities"], place_src, "city_name", CITY_ATTRS, now)
     codes = _read(spark, P["dim_weather_code"])
     codes = wmo_codes(spark) if codes is None else codes
-    codes = dims.dim_weather_code(codes, stage).checkpoint(eager=True)
+    codes = dims.dim_weather_code(codes, rows).checkpoint(eager=True)     # new codes can only come from new rows
     codes.write.mode("overwrite").parquet(P["dim_weather_code"])
     codes = spark.read.parquet(P["dim_weather_code"])
 
@@ -131,7 +133,8 @@ def daily_run(spark: SparkSession, root: str, landed, cities_cfg: DataFrame, tod
     writes.replace_range_table(spark, P["fact_daily"], daily_of(win), "date_id", start, end, "ym", months,
                                kind="date_id")
     fact = spark.read.parquet(P["fact_daily"])
-    core = (fact.where(F.col("date_id").between(date_id(F.lit(start).cast("date")), date_id(F.lit(end).cast("date"))))
+    fact_win = fact.where(F.col("ym").isin(months))                      # partition pruning
+    core = (fact_win.where(F.col("date_id").between(date_id(F.lit(start).cast("date")), date_id(F.lit(end).cast("date"))))
                 .join(cities.select(F.col("id").alias("city_id"), "city_name"), "city_id")
                 .select("city_name", date_from_id(F.col("date_id")).alias("run_date"), F.lit(None).alias("rows_loaded")))
     writes.append_table(_log_rows(core, "core", now), P["load_log"], "layer")
@@ -142,15 +145,16 @@ def daily_run(spark: SparkSession, root: str, landed, cities_cfg: DataFrame, tod
     def mart_of(f, s=None, e=None):
         return mart.daily_mart(f, cal, codes, s, e).withColumn("ym", _ym(F.col("date")))
 
-    writes.replace_range_table(spark, P["mart_daily"], mart_of(fact, start, end), "date", start, end, "ym", months)
+    writes.replace_range_table(spark, P["mart_daily"], mart_of(fact_win, start, end), "date", start, end, "ym", months)
 
     # 5. gap repair: stage → fact, then fact → mart (K12: after the mart) ---------------------
     names = cities.select(F.col("id").alias("city_id"), F.col("city_name").alias("city"))
-    up = stage.select(F.col("location_name").alias("city"), F.to_date("measured_at").alias("d"))
+    # (place, day) pairs straight from the stage's day partitions: one string column is read
+    up = stage.select(F.col("location_name").alias("city"), F.col("day").alias("d"))
     fact = spark.read.parquet(P["fact_daily"])
     down = fact.join(names, "city_id").select("city", date_from_id(F.col("date_id")).alias("d"))
     report["core_months_repaired"] = _repair(spark, P["fact_daily"], up, fact, down, daily_of, today,
-                                             stage, "measured_at", lambda: date_from_id(F.col("date_id")))
+                                             stage, "day", lambda: date_from_id(F.col("date_id")))
     fact = spark.read.parquet(P["fact_daily"])
     mart_t = spark.read.parquet(P["mart_daily"])
     up2 = fact.select(F.col("city_id").cast("string").alias("city"), date_from_id(F.col("date_id")).alias("d"))
@@ -163,7 +167,8 @@ def daily_run(spark: SparkSession, root: str, landed, cities_cfg: DataFrame, tod
     # 6. forecast -----------------------------------------------------------------------------
     fact = spark.read.parquet(P["fact_daily"])
     cutoff = (dt.date.fromisoformat(str(today)[:10]) - dt.timedelta(days=history_days)).isoformat()
-    hist = history_from_fact(fact, cal, cities, cutoff)
+    cut_ym = int(cutoff[:4]) * 100 + int(cutoff[5:7])
+    hist = history_from_fact(fact.where(F.col("ym") >= cut_ym), cal, cities, cutoff)   # partition pruning
     long = forecast.melt_metrics(hist, date_col="ds")
     if model == "seasonal":
         fitted = forecast.forecast_seasonal(long, today)

@@ -151,3 +151,19 @@ def test_windows_previous_and_rank(spark):
     assert prev == {("a", 1): None, ("a", 2): 5.0, ("b", 1): None}
     ranks = sorted(r.rank for r in rank_by(df, "v").collect())
     assert ranks == [1, 1, 3]
+
+
+def test_dim_cities_incremental_keeps_known_places(spark):
+    cfg = load_cities(spark, [{"name": "Lisbon", "country": "Portugal", "climate_zone": "Csb"},
+                              {"name": "Oslo", "country": "Norway", "climate_zone": "Dfb"}])
+    countries = dims.dim_countries(cfg).withColumn("id", F.lit(1))
+    existing = spark.createDataFrame([(1, "Lisbon", 38.7, -9.1, 5.0, "Europe/Lisbon")],
+                                     "id int, city_name string, latitude double, longitude double, "
+                                     "elevation_m double, timezone string")
+    new_rows = spark.createDataFrame([("Oslo", 59.9, 10.7, 20.0, "Europe/Oslo", dt.datetime(2024, 1, 2))],
+                                     "location_name string, latitude double, longitude double, elevation_m double, "
+                                     "timezone string, loaded_at timestamp_ntz")
+    got = {r.city_name: (r.latitude, r.climate_zone)
+           for r in dims.dim_cities(new_rows, cfg, countries, existing=existing).collect()}
+    # Lisbon is not in the new rows: stored geo kept, config (changed to Csb) re-applied
+    assert got == {"Lisbon": (38.7, "Csb"), "Oslo": (59.9, "Dfb")}
