@@ -1,7 +1,7 @@
 """Hourly and daily fact builders.
 
-Daily plan: window scan (pushed to Parquet) → partial aggregate per (day, place) →
-shuffle on (day, place) → final aggregate → join the place dimension. Aggregating
+Daily plan: window scan (pushed to Parquet) → two-level hash aggregate ((day, place,
+code), then (day, place)) → join the place dimension. Aggregating
 before the join is equivalent because place names are unique in the dimension
 (rows of unknown places are dropped either way), and it joins 24× fewer rows.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stratus.functions import constants as K
 from stratus.functions.dates import date_id, time_id
-from stratus.operators.aggregates import dominant, measure_exprs
+from stratus.functions.numeric import round2
 from stratus.operators.joins import band_lookup
 from stratus.sources.scans import in_window
 
@@ -52,6 +52,14 @@ def day_flags(tmin: Column, tmax: Column, rain: Column, snow: Column) -> list[Co
     ]
 
 
+_CODE_MAX = 32767        # codes are SMALLINT: 32767 - code lies in [0, 65535]
+_CODE_SPAN = 1 << 17
+
+
+def _safe_div(a: Column, b: Column) -> Column:
+    return F.when(b > 0, a / b)
+
+
 def daily_rollup(stage: DataFrame, cities: DataFrame, start=None, end=None, *,
                  ts: str = "measured_at", loc: str = "location_name", code: str = "weather_code",
                  city_name: str = "city_name", city_id: str = "id",
@@ -60,19 +68,61 @@ def daily_rollup(stage: DataFrame, cities: DataFrame, start=None, end=None, *,
 
     ``start``/``end`` bound the window (inclusive dates) and are pushed to the scan.
     ``now`` (optional) stamps ``loaded_at``; leave it out for comparable output.
+
+    Two-level aggregation, all in fixed-width hash-aggregate buffers (codegen, no
+    object maps): level 1 groups by (day, place, code) keeping sums, counts, minima and
+    maxima; level 2 folds the codes of a (day, place) into the measures and picks the
+    dominant code as the maximum of (count, -code) packed into one long — most
+    frequent, smallest on ties, NULL codes ignored. Both levels combine map-side, so a hot place is never one task.
     """
     src = stage if start is None else in_window(stage, ts, start, end)
-    aggs = [dominant(code).cast("smallint").alias("dominant_weather_code_id"), *measure_exprs(measures)]
+    need: dict[tuple[str, str], str] = {}      # (buffer fn, column) -> level-1 alias
+
+    def buf(fn: str, col: str) -> str:
+        return need.setdefault((fn, col), f"_{fn}_{len(need)}")
+
+    plan = []
+    for out, kind, col in measures:
+        if kind in ("avg2", "avg"):
+            plan.append((out, kind, buf("sum", col), buf("cnt", col)))
+        elif kind in ("sum2", "sum", "hours"):
+            plan.append((out, kind, buf("sum", col), None))
+        elif kind in ("min", "max"):
+            plan.append((out, kind, buf(kind, col), None))
+        elif kind == "count":
+            plan.append((out, kind, buf("cnt", col), None))
     if flags:
-        aggs += [F.min("temperature_2m").alias("_tmin"), F.max("temperature_2m").alias("_tmax"),
-                 F.sum("precipitation").alias("_rain"), F.sum("snowfall").alias("_snow")]
-    daily = src.groupBy(F.to_date(F.col(ts)).alias("_day"), F.col(loc).alias("_loc")).agg(*aggs)
+        fl = [buf("min", "temperature_2m"), buf("max", "temperature_2m"),
+              buf("sum", "precipitation"), buf("sum", "snowfall")]
+    l1fn = {"sum": F.sum, "cnt": F.count, "min": F.min, "max": F.max}
+    level1 = (src.groupBy(F.to_date(F.col(ts)).alias("_day"), F.col(loc).alias("_loc"), F.col(code).alias("_code"))
+                 .agg(F.count(F.lit(1)).alias("_n"), *[l1fn[fn](F.col(c)).alias(a) for (fn, c), a in need.items()]))
+    l2fn = {"sum": F.sum, "cnt": F.sum, "min": F.min, "max": F.max}
+    # dominant code = max over one packed long (count, 32767 - code): most frequent, then
+    # smallest; a primitive buffer keeps level 2 a codegen'd HashAggregate
+    code_c = F.col("_code").cast("long")
+    packed = F.when(code_c.isNotNull(), F.col("_n") * F.lit(_CODE_SPAN) + (F.lit(_CODE_MAX) - code_c))
+    aggs = [F.max(packed).alias("_dom")]
+    aggs += [l2fn[fn](F.col(a)).alias(a) for (fn, _c), a in need.items()]
+    daily = level1.groupBy("_day", "_loc").agg(*aggs)
+    outs = []
+    for out, kind, a, b in plan:
+        if kind == "avg2":
+            outs.append(round2(_safe_div(F.col(a), F.col(b))).alias(out))
+        elif kind == "avg":
+            outs.append(_safe_div(F.col(a), F.col(b)).alias(out))
+        elif kind == "sum2":
+            outs.append(round2(F.col(a)).alias(out))
+        elif kind == "hours":
+            outs.append(round2(F.col(a) / F.lit(3600.0)).alias(out))
+        else:
+            outs.append(F.col(a).alias(out))
     dim = cities.select(F.col(city_name).alias("_loc"), F.col(city_id).alias("city_id"))
     j = daily.join(dim, "_loc", "inner")
-    cols = [date_id(F.col("_day")).alias("date_id"), F.col("city_id"), F.col("dominant_weather_code_id"),
-            *[F.col(m[0]) for m in measures]]
+    dom = (F.lit(_CODE_MAX) - F.col("_dom") % F.lit(_CODE_SPAN)).cast("smallint")
+    cols = [date_id(F.col("_day")).alias("date_id"), F.col("city_id"), dom.alias("dominant_weather_code_id"), *outs]
     if flags:
-        cols += day_flags(F.col("_tmin"), F.col("_tmax"), F.col("_rain"), F.col("_snow"))
+        cols += day_flags(*[F.col(a) for a in fl])
     if now is not None:
         cols.append(F.lit(now).cast("timestamp_ntz").alias("loaded_at"))
     return j.select(*cols)
