@@ -29,7 +29,8 @@ def _by_key(df):
     return {(r.date_id, r.city_id): r for r in df.collect()}
 
 
-def test_daily_rollup_edges(spark, cities):
+@pytest.mark.parametrize("via", ["mode", "packed"])
+def test_daily_rollup_edges(spark, cities, via):
     rows = [
         # day 1, A: code tie 3,3,2,2 → smallest (2); temp_min exactly 0 → not frost; temp_max 30 → hot
         row("A", 1, 0, temp=0.0, code=3), row("A", 1, 1, temp=30.0, code=3),
@@ -45,7 +46,7 @@ def test_daily_rollup_edges(spark, cities):
         *[row("B", 5, h % 24, temp=-1.0, snow=0.1) for h in range(25)],
     ]
     st = spark.createDataFrame(rows, STAGE_SCHEMA)
-    out = _by_key(facts.daily_rollup(st, cities))
+    out = _by_key(facts.daily_rollup(st, cities, dominant_via=via))
     assert len(out) == 5
     a1 = out[(20240101, 1)]
     assert a1.dominant_weather_code_id == 2 and a1.is_frost_day is False and a1.is_hot_day is True

@@ -20,9 +20,17 @@ def test_window_filter_reaches_parquet_scan(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in p
 
 
-def test_daily_rollup_hash_aggregates_only(spark):
+def test_daily_rollup_one_shuffle_and_partial_aggregation(spark):
     st = S.events_as_stage(S.table(spark, SF, "events"))
     p = plan(facts.daily_rollup(st, S.cities_dim(S.table(spark, SF, "customer")), "2024-01-10", "2024-01-20"))
+    assert p.count("Exchange hashpartitioning") == 1          # only the (day, place) shuffle
+    assert "partial_mode" in p and "partial_avg" in p         # map-side combine
+
+
+def test_daily_rollup_packed_hash_aggregates_only(spark):
+    st = S.events_as_stage(S.table(spark, SF, "events"))
+    p = plan(facts.daily_rollup(st, S.cities_dim(S.table(spark, SF, "customer")), "2024-01-10", "2024-01-20",
+                                dominant_via="packed"))
     assert p.count("Exchange hashpartitioning") == 2          # (day, place, code), then (day, place)
     assert "ObjectHashAggregate" not in p and "SortAggregate" not in p   # fixed-width buffers, codegen
     assert "partial_sum" in p and "partial_max" in p          # map-side combine on both levels
