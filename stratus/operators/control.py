@@ -59,8 +59,10 @@ def gap_ranges(done: DataFrame, universe: DataFrame, keys, day: str, start, end)
     """
     s, e = as_date_lit(start), as_date_lit(end)
     keys = list(keys)
-    days = (done.where(F.col(day).between(s, e)).groupBy(*keys)
-                .agg(F.array_sort(F.collect_set(F.col(day))).alias("_days")))
+    # de-duplicate (key, day) with a plain hash aggregate first (retries repeat days),
+    # then gather the unique days of each key
+    uniq = done.where(F.col(day).between(s, e)).select(*keys, F.col(day)).distinct()
+    days = uniq.groupBy(*keys).agg(F.array_sort(F.collect_list(F.col(day))).alias("_days"))
     j = universe.select(*keys).distinct().join(days, keys, "left")
     ext = F.concat(F.array(F.date_sub(s, 1)), F.coalesce(F.col("_days"), F.array().cast("array<date>")),
                    F.array(F.date_add(e, 1)))
