@@ -101,3 +101,30 @@ def test_entry_contract(spark):
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"forecast_seasonal"}
+
+
+def test_stream_ingest_of_landed_payload_documents(spark, tmp_path):
+    import json
+    from stratus.sources.payload import explode_payload, payload_schema
+    from stratus.streaming import ingest_available
+    names = ["temperature_2m", "weather_code"]
+    src, tgt, ck = str(tmp_path / "landed"), str(tmp_path / "stage"), str(tmp_path / "ck")
+
+    def land_doc(name, day, temps, sub):
+        hourly = {"time": [f"2024-01-{day:02d}T{h:02d}:00" for h in range(len(temps))],
+                  "temperature_2m": temps, "weather_code": ["1"] * len(temps)}
+        doc = {"name": name, "latitude": 1.0, "longitude": 2.0, "elevation": 3.0, "timezone": "UTC", "hourly": hourly}
+        spark.createDataFrame([(json.dumps(doc),)], "v string").write.text(f"{src}/{sub}")
+
+    land_doc("A", 1, [1.0] * 24, "b1")
+    land_doc("B", 1, [2.0] * 24, "b2")
+    run = lambda: ingest_available(spark, f"{src}/*", payload_schema(names), tgt, ck,
+                                   lambda b: explode_payload(b, names=names, now="2024-01-02 00:00:00"))
+    run()
+    assert spark.read.parquet(tgt).count() == 48
+    land_doc("A", 1, [5.0] * 23, "b3")            # corrected reload of A's day: 23 hours
+    run()
+    t = spark.read.parquet(tgt)
+    assert t.count() == 47
+    assert {r.location_name: r.m for r in t.groupBy("location_name").agg(F.max("temperature_2m").alias("m")).collect()} \
+        == {"A": 5.0, "B": 2.0}
