@@ -179,3 +179,30 @@ def daily_run(spark: SparkSession, root: str, landed, cities_cfg: DataFrame, tod
     report["forecast_rows"] = writes.append_absent_table(
         spark, P["forecast"], wide, ["forecast_run_date", "target_date", "city_id"], "forecast_run_date")
     return report
+
+
+def check_tables(spark: SparkSession, root: str) -> DataFrame:
+    """Declared constraints of the produced tables as one report (check_name, violations).
+
+    Keys: fact_daily (date_id, city_id), mart_daily (date, city_id), forecast
+    (forecast_run_date, target_date, city_id), dimension names; foreign keys from facts
+    and mart to the place dimension; CHECK enumerations of the load log.
+    """
+    from stratus.operators import checks
+    root = root.rstrip("/")
+    t = {n: spark.read.parquet(f"{root}/{n}") for n in
+         ("fact_daily", "mart_daily", "forecast", "dim_cities", "dim_countries", "load_log")}
+    return checks.constraint_report([
+        ("fact_daily_unique", checks.check_unique(t["fact_daily"], ["date_id", "city_id"])),
+        ("mart_daily_pk", checks.check_unique(t["mart_daily"], ["date", "city_id"])),
+        ("forecast_pk", checks.check_unique(t["forecast"], ["forecast_run_date", "target_date", "city_id"])),
+        ("dim_cities_name_unique", checks.check_unique(t["dim_cities"], ["city_name"])),
+        ("dim_cities_id_unique", checks.check_unique(t["dim_cities"], ["id"])),
+        ("dim_countries_name_unique", checks.check_unique(t["dim_countries"], ["country_name"])),
+        ("fact_daily_fk_city", checks.check_fk(t["fact_daily"], ["city_id"], t["dim_cities"], ["id"])),
+        ("mart_daily_fk_city", checks.check_fk(t["mart_daily"], ["city_id"], t["dim_cities"], ["id"])),
+        ("dim_cities_fk_country", checks.check_fk(t["dim_cities"], ["country_id"], t["dim_countries"], ["id"])),
+        ("load_log_layer_in", checks.check_in(t["load_log"], "layer", K.LAYERS)),
+        ("load_log_status_in", checks.check_in(t["load_log"], "status", K.STATUSES)),
+        ("load_log_not_null", checks.check_not_null(t["load_log"], ["run_date", "city_name", "layer", "status"])),
+    ])

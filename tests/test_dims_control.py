@@ -167,3 +167,15 @@ def test_dim_cities_incremental_keeps_known_places(spark):
            for r in dims.dim_cities(new_rows, cfg, countries, existing=existing).collect()}
     # Lisbon is not in the new rows: stored geo kept, config (changed to Csb) re-applied
     assert got == {"Lisbon": (38.7, "Csb"), "Oslo": (59.9, "Dfb")}
+
+
+def test_load_cities_from_yaml(spark, tmp_path):
+    p = tmp_path / "cities.yml"
+    p.write_text('cities:\n'
+                 '  - name: Oslo\n    country: Norway\n    country_iso2: "NO"\n    lat: 59.9\n    lon: 10.7\n'
+                 '    is_capital: true\n    climate_zone: Dfb\n'
+                 '  - name: Lisbon\n    country: Portugal\n    country_iso2: PT\n    active: true\n')
+    cfg = load_cities(spark, str(p)).orderBy("pos").collect()
+    assert [(r.name, r.country_iso2, r.active, r.pos) for r in cfg] == [("Oslo", "NO", None, 0),
+                                                                         ("Lisbon", "PT", True, 1)]
+    assert [r.name for r in active_cities(load_cities(spark, str(p))).collect()] == ["Lisbon"]

@@ -5,7 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from stratus.functions.constants import HOURLY_VARS
-from stratus.plans.warehouse import daily_run
+from stratus.plans.warehouse import check_tables, daily_run
 from stratus.sources.config import load_cities
 
 CITIES = [{"name": "Lisbon", "country": "Portugal", "region": "Western Europe", "active": True,
@@ -68,3 +68,6 @@ def test_daily_run_end_to_end_and_idempotent(spark, tmp_path):
     r3 = daily_run(spark, root, landed, cfg, today="2024-03-11", model="linear")   # default window: yesterday
     assert r3["core_months_repaired"] == 1
     assert spark.read.parquet(f"{root}/fact_daily").count() == 3 * 70
+    # declared constraints hold on every produced table
+    report = {r.check_name: r.violations for r in check_tables(spark, root).collect()}
+    assert len(report) == 12 and set(report.values()) == {0}
