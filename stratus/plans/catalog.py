@@ -190,7 +190,7 @@ def _fact(spark, sf):
 
 def _mart(spark, sf):
     st = _stage(spark, sf)
-    return mart.daily_mart(_fact(spark, sf), dims.calendar_span(st, "measured_at"),
+    return mart.daily_mart(_fact(spark, sf), dims.dim_calendar(spark),
                            dims.dim_weather_code(G.wmo_codes(spark), st))
 
 
@@ -371,7 +371,7 @@ def _orders_mart(spark, sf):
     o = S.table(spark, sf, "orders")
     st = S.orders_as_stage(o)
     fact = facts.daily_rollup(st, _cities(spark, sf))
-    return mart.daily_mart(fact, dims.calendar_span(o, "o_orderdate"), G.wmo_codes(spark))
+    return mart.daily_mart(fact, dims.dim_calendar(spark), G.wmo_codes(spark))
 
 
 def _orders_wide(spark, sf):
