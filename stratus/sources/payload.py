@@ -47,12 +47,14 @@ def read_landed(spark: SparkSession, path: str, names=HOURLY_VARS) -> DataFrame:
 
 
 def _lengths(arrays_col: str, names) -> list[Column]:
+    """Lengths of ``time`` and of every variable array the document carries (absent → NULL)."""
     h = F.col(arrays_col)
-    return [F.coalesce(F.size(h[n]), F.lit(0)) for n in ["time", *names]]
+    return [F.coalesce(F.size(h["time"]), F.lit(0))] + [F.when(h[n].isNotNull(), F.size(h[n])) for n in names]
 
 
 def is_rectangular(arrays_col: str = "hourly", names=HOURLY_VARS) -> Column:
-    """All arrays of the document have the same length (NULL arrays count as empty)."""
+    """Every array the document carries has the length of ``time`` (absent variables are
+    allowed and become NULL columns; ``greatest``/``least`` skip them)."""
     ls = _lengths(arrays_col, names)
     return F.greatest(*ls) == F.least(*ls) if len(ls) > 1 else F.lit(True)
 
@@ -73,10 +75,17 @@ def explode_payload(df: DataFrame, arrays_col: str = "hourly", names=HOURLY_VARS
     """Landed documents → stage rows (``location_name … measured_at, <vars>, loaded_at``).
 
     Only rectangular documents are exploded; :func:`invalid_payloads` returns the rest
-    (the original failed the whole chunk on unequal arrays).
+    (the original failed the whole chunk on unequal arrays). A variable the document
+    does not carry is NULL in every row.
     """
     h = F.col(arrays_col)
-    zipped = F.arrays_zip(*[h[n].alias(n) for n in ["time", *names]])
+    n_hours = F.size(h["time"])
+    elem = {f.name: f.dataType.elementType for f in df.schema[arrays_col].dataType.fields}
+
+    def arr(n):  # a variable missing from the document becomes an array of NULLs
+        return F.coalesce(h[n], F.array_repeat(F.lit(None).cast(elem[n]), n_hours)).alias(n)
+
+    zipped = F.arrays_zip(h["time"].alias("time"), *[arr(n) for n in names])
     rows = (df.where(h.isNotNull() & is_rectangular(arrays_col, names))
               .select(F.col("name").alias("location_name"), "country",
                       F.col("latitude").cast("double").alias("latitude"),

@@ -89,10 +89,12 @@ def test_explode_payload_edges(spark):
         {"name": "B", "hourly": {"time": ["2024-01-01T00:00"], "temperature_2m": [1.0, 2.0],
                                  "weather_code": ["1"], "is_day": [0]}},          # unequal arrays
         {"name": "C", "hourly": None},                                                # empty
+        {"name": "D", "hourly": {"time": ["2024-01-02T00:00"], "temperature_2m": [4.0]}},  # code, is_day absent
     ]
     raw = spark.createDataFrame([(json.dumps(d),) for d in docs], "doc string")
     parsed = raw.select(F.from_json("doc", payload_schema(names)).alias("p")).select("p.*")
     rows = explode_payload(parsed, names=names).orderBy("measured_at").collect()
     assert [(r.location_name, r.measured_at, r.temperature_2m, r.weather_code, r.is_day) for r in rows] == [
-        ("A", T(2024, 1, 1, 0), 1.5, 3, True), ("A", T(2024, 1, 1, 1), None, None, None)]
+        ("A", T(2024, 1, 1, 0), 1.5, 3, True), ("A", T(2024, 1, 1, 1), None, None, None),
+        ("D", T(2024, 1, 2, 0), 4.0, None, None)]
     assert sorted(r.name for r in invalid_payloads(parsed, names=names).collect()) == ["B", "C"]
