@@ -154,3 +154,10 @@ def expected_hours(day: ColumnOrName, tz: ColumnOrName) -> Column:
     start = F.to_utc_timestamp(d.cast("timestamp"), _c(tz))
     end = F.to_utc_timestamp(F.date_add(d, 1).cast("timestamp"), _c(tz))
     return ((F.unix_timestamp(end) - F.unix_timestamp(start)) / 3600).cast("int")
+
+
+def day_ids_between(start, end) -> list[int]:
+    """YYYYMMDD keys of every day in a window (partition values of a day-partitioned table)."""
+    s = _dt.date.fromisoformat(str(start)[:10])
+    e = _dt.date.fromisoformat(str(end)[:10])
+    return [int((s + _dt.timedelta(days=i)).strftime("%Y%m%d")) for i in range((e - s).days + 1)]

@@ -4,11 +4,13 @@ Order follows the original's asset order, with gap repair after the mart:
 
 1. stage      landed payloads of the run window → (place, day) slices replaced; load log appended
 2. dims       countries and places merged SCD1 (stable ids), weather codes insert-if-absent
-3. facts      hourly and daily facts of the window replaced by date-key range; ``core`` log rows
+3. facts      hourly (day partitions) and daily (month partitions) facts of the window replaced by
+              date-key range; ``core`` log rows
 4. mart       daily mart of the window replaced
 5. repair     months with (place, day) pairs in stage but not in the daily fact are recomputed,
               then the same between fact and mart (one set-based rewrite per layer)
-6. forecast   seven-day forecast appended insert-only, keyed by run date
+6. forecast   seven-day forecast appended insert-only, keyed by run date (places already
+              forecast for the run are not refitted)
 
 Every step is a Spark job over whole tables; nothing but partition lists, a few
 month keys and row counts reaches the driver. Each table rewrite checkpoints its
@@ -19,13 +21,14 @@ executor never sees a half-written input.
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratus.functions import constants as K
-from stratus.functions.dates import date_from_id, date_id, months_between, run_window
+from stratus.functions.dates import date_from_id, date_id, day_ids_between, months_between, run_window
 from stratus.operators import control, dims, facts, forecast, mart, writes
 from stratus.sources.generators import wind_bands, wmo_codes
 from stratus.sources.payload import explode_payload, read_landed
@@ -98,7 +101,13 @@ def daily_run(spark: SparkSession, root: str, landed, cities_cfg: DataFrame, tod
     now = now or f"{str(today)[:10]} 08:00:00"
     P = {n: f"{root}/{n}" for n in ("stage", "load_log", "dim_countries", "dim_cities", "dim_weather_code",
                                     "fact_hourly", "fact_daily", "mart_daily", "forecast")}
-    report = {"start": start, "end": end}
+    report = {"start": start, "end": end, "seconds": {}}
+    clock = [time.perf_counter()]
+
+    def lap(step: str) -> None:
+        now_t = time.perf_counter()
+        report["seconds"][step] = round(now_t - clock[0], 2)
+        clock[0] = now_t
 
     # 1. stage -------------------------------------------------------------------------------
     docs = read_landed(spark, landed) if isinstance(landed, str) else landed
@@ -110,6 +119,8 @@ def daily_run(spark: SparkSession, root: str, landed, cities_cfg: DataFrame, tod
                   .agg(F.count(F.lit(1)).alias("rows_loaded")))
     writes.append_table(_log_rows(counts, "stage", now), P["load_log"], "layer")
 
+    lap("stage")
+
     # 2. dimensions ---------------------------------------------------------------------------
     countries = merge_dimension(spark, P["dim_countries"], dims.dim_countries(cities_cfg), "country_name",
                                 COUNTRY_ATTRS, now)
@@ -122,10 +133,14 @@ def daily_run(spark: SparkSession, root: str, landed, cities_cfg: DataFrame, tod
     codes.write.mode("overwrite").parquet(P["dim_weather_code"])
     codes = spark.read.parquet(P["dim_weather_code"])
 
+    lap("dimensions")
+
     # 3. facts --------------------------------------------------------------------------------
     win = scan_window(stage, "measured_at", start, end, part_col="day", part_kind="date")  # partition pruning
-    hourly = facts.hourly_fact(win, cities, wind_bands(spark), now=now).withColumn("ym", F.floor(F.col("date_id") / 100).cast("int"))
-    writes.replace_range_table(spark, P["fact_hourly"], hourly, "date_id", start, end, "ym", months, kind="date_id")
+    # the hourly fact is partitioned by day, so replacing a day rewrites only that day
+    hourly = facts.hourly_fact(win, cities, wind_bands(spark), now=now)
+    writes.replace_range_table(spark, P["fact_hourly"], hourly, "date_id", start, end, "date_id",
+                               day_ids_between(start, end), kind="date_id")
 
     def daily_of(df):
         return facts.daily_rollup(df, cities, now=now).withColumn("ym", F.floor(F.col("date_id") / 100).cast("int"))
@@ -139,6 +154,8 @@ def daily_run(spark: SparkSession, root: str, landed, cities_cfg: DataFrame, tod
                 .select("city_name", date_from_id(F.col("date_id")).alias("run_date"), F.lit(None).alias("rows_loaded")))
     writes.append_table(_log_rows(core, "core", now), P["load_log"], "layer")
 
+    lap("facts")
+
     # 4. mart ---------------------------------------------------------------------------------
     cal = dims.dim_calendar(spark)
 
@@ -147,6 +164,8 @@ def daily_run(spark: SparkSession, root: str, landed, cities_cfg: DataFrame, tod
 
     writes.replace_range_table(spark, P["mart_daily"], mart_of(fact_win, start, end), "date", start, end, "ym", months)
 
+    lap("mart")
+
     # 5. gap repair: stage → fact, then fact → mart (K12: after the mart) ---------------------
     names = cities.select(F.col("id").alias("city_id"), F.col("city_name").alias("city"))
     # (place, day) pairs straight from the stage's day partitions: one string column is read
@@ -164,12 +183,18 @@ def daily_run(spark: SparkSession, root: str, landed, cities_cfg: DataFrame, tod
         spark, P["mart_daily"], up2, mart_t, down2, lambda df: mart_of(df.drop("_day")), today, mart_rows, "_day",
         lambda: F.col("date"))
 
+    lap("repair")
+
     # 6. forecast -----------------------------------------------------------------------------
     fact = spark.read.parquet(P["fact_daily"])
     cutoff = (dt.date.fromisoformat(str(today)[:10]) - dt.timedelta(days=history_days)).isoformat()
     cut_ym = int(cutoff[:4]) * 100 + int(cutoff[5:7])
     hist = history_from_fact(fact.where(F.col("ym") >= cut_ym), cal, cities, cutoff)   # partition pruning
     long = forecast.melt_metrics(hist, date_col="ds")
+    done = _read(spark, P["forecast"])
+    if done is not None:   # insert-only: places already forecast for this run are not refitted
+        done = done.where(F.col("forecast_run_date") == F.lit(str(today)[:10]).cast("date")).select("city_id")
+        long = long.join(done.distinct(), "city_id", "left_anti")
     if model == "seasonal":
         fitted = forecast.forecast_seasonal(long, today)
         fitted = fitted.where(F.col("status") == "ok")
@@ -178,6 +203,7 @@ def daily_run(spark: SparkSession, root: str, landed, cities_cfg: DataFrame, tod
     wide = forecast.pivot_forecast(fitted, today).withColumn("loaded_at", F.lit(now).cast("timestamp_ntz"))
     report["forecast_rows"] = writes.append_absent_table(
         spark, P["forecast"], wide, ["forecast_run_date", "target_date", "city_id"], "forecast_run_date")
+    lap("forecast")
     return report
 
 
