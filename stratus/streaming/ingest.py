@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.operators.writes import _delete, _exists
+from stratus.operators.writes import _exists
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # keep microseconds through landed text files
 
@@ -24,7 +24,9 @@ def replace_batch(spark: SparkSession, batch: DataFrame, target: str, loc: str =
     """Replace the (place, day) slices present in ``batch`` inside the Parquet table ``target``.
 
     The table is partitioned by ``day``; only the days of the batch are read and
-    rewritten. Returns the number of rows written for those days.
+    rewritten (every such day keeps at least the batch's own rows, so no partition is
+    left empty). When existing partitions are read, the new state is checkpointed
+    before the overwrite. Returns the number of batch rows.
     """
     rows = batch.withColumn(part_col, F.to_date(F.col(ts)))
     slices = rows.select(loc, part_col).distinct()
@@ -34,17 +36,12 @@ def replace_batch(spark: SparkSession, batch: DataFrame, target: str, loc: str =
     if _exists(spark, target):
         cur = spark.read.parquet(target).where(F.col(part_col).isin(days))
         state = cur.join(slices, [loc, part_col], "left_anti").unionByName(rows.select(*cur.columns))
+        state = state.checkpoint(eager=True)  # the overwrite must not read what it replaces
     else:
         state = rows
-    state = state.checkpoint(eager=True)  # cut the self-read before overwriting
-    n = state.count()
     (state.sortWithinPartitions(part_col).write.mode("overwrite")
           .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(target))
-    present = {r[0] for r in state.select(part_col).distinct().collect()}
-    for d in days:
-        if d not in present:
-            _delete(spark, f"{target.rstrip('/')}/{part_col}={d}")
-    return n
+    return rows.count()
 
 
 def ingest_available(spark: SparkSession, source: str, schema, target: str, checkpoint: str,
