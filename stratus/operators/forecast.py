@@ -217,6 +217,17 @@ def _seasonal_group(run_day: int, horizon: int, min_points: int, anchor: str):
     return fn
 
 
+def _pickle_by_value() -> None:
+    """Ship this package's code inside the task closures, so Python workers do not need
+    ``stratus`` installed (executors of a cluster, or a driver started elsewhere)."""
+    from pyspark import cloudpickle
+    import stratus
+    try:
+        cloudpickle.register_pickle_by_value(stratus)
+    except ValueError:  # already registered
+        pass
+
+
 def forecast_seasonal(long: DataFrame, run_date, horizon: int = K.HORIZON_DAYS, key: str = "city_id",
                       min_points: int = K.MIN_HISTORY_POINTS, anchor: str = "run_date") -> DataFrame:
     """Trend + yearly-seasonality forecast per series (grouped NumPy, Arrow batches).
@@ -227,6 +238,7 @@ def forecast_seasonal(long: DataFrame, run_date, horizon: int = K.HORIZON_DAYS,
     import datetime as dt
     run_day = (dt.date.fromisoformat(str(run_date)[:10]) - dt.date(1970, 1, 1)).days
     src = long.select(F.col(key).cast("long").alias("city_id"), "metric", "ds", "y")
+    _pickle_by_value()
     fitted = src.groupBy("city_id", "metric").applyInPandas(
         _seasonal_group(run_day, horizon, min_points, anchor), SEASONAL_SCHEMA)
     run = as_date_lit(run_date)
