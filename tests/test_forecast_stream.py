@@ -128,3 +128,9 @@ def test_stream_ingest_of_landed_payload_documents(spark, tmp_path):
     assert t.count() == 47
     assert {r.location_name: r.m for r in t.groupBy("location_name").agg(F.max("temperature_2m").alias("m")).collect()} \
         == {"A": 5.0, "B": 2.0}
+
+
+def test_seasonal_code_ships_by_value(spark):
+    from pyspark import cloudpickle
+    FC._pickle_by_value()
+    assert "stratus" in cloudpickle.list_registry_pickle_by_value()
