@@ -232,3 +232,31 @@ def check_tables(spark: SparkSession, root: str) -> DataFrame:
         ("load_log_status_in", checks.check_in(t["load_log"], "status", K.STATUSES)),
         ("load_log_not_null", checks.check_not_null(t["load_log"], ["run_date", "city_name", "layer", "status"])),
     ])
+
+
+def main(argv=None) -> None:
+    """Command line: ``python -m stratus.plans.warehouse --root R --landed L --cities C.yml [--today D]``."""
+    import argparse
+    import json
+
+    from stratus.session import checkpoint_dir, get_spark
+    from stratus.sources.config import load_cities
+
+    ap = argparse.ArgumentParser(description="Run every warehouse layer for one window.")
+    ap.add_argument("--root", required=True, help="folder of the warehouse tables")
+    ap.add_argument("--landed", required=True, help="folder (or glob) of landed JSON documents")
+    ap.add_argument("--cities", required=True, help="YAML place list with a 'cities' key")
+    ap.add_argument("--today", default=dt.date.today().isoformat())
+    ap.add_argument("--start")
+    ap.add_argument("--end")
+    ap.add_argument("--model", choices=["seasonal", "linear"], default="seasonal")
+    a = ap.parse_args(argv)
+    spark = get_spark()
+    checkpoint_dir(spark)          # the cluster's spark.checkpoint.dir; a scratch folder only if unset
+    report = daily_run(spark, a.root, a.landed, load_cities(spark, a.cities), a.today, a.start, a.end,
+                       model=a.model)
+    print(json.dumps(report))
+
+
+if __name__ == "__main__":
+    main()
