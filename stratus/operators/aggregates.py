@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratus.functions.numeric import avg2, round2, sum2, sum_hours
+from stratus.functions.numeric import avg2, sum2, sum_hours
 
 
 def dominant(c: str | Column) -> Column:
@@ -68,4 +68,4 @@ def row_accounting(df: DataFrame, name: str = "rows") -> DataFrame:
 
 
 __all__ = ["dominant", "measure_exprs", "distinct_values", "missing_days", "coverage",
-           "series_index", "row_accounting", "round2"]
+           "series_index", "row_accounting"]

@@ -49,9 +49,7 @@ def q_daily_rollup_window(spark, sf):
 # ---------------------------------------------------------------------------
 from pyspark.sql import functions as F  # noqa: E402
 
-from stratus.functions import constants as KC  # noqa: E402
 from stratus.operators import checks, control, dims, joins, mart, writes  # noqa: E402
-from stratus.operators.windows import latest_per_key  # noqa: E402
 from stratus.sources import generators as G  # noqa: E402
 
 SPLIT_DAY = "2024-01-16"           # first day of the second load window
