@@ -493,3 +493,10 @@ def q_gap_view_sql(spark, sf):
     control.register_gap_view(spark, _log(spark, sf), cities, TODAY, start="2024-01-01")
     return spark.sql("SELECT missing_date, count(*) AS n_gaps, count(DISTINCT city_name) AS n_places "
                      "FROM v_date_gaps WHERE layer = 'core' GROUP BY missing_date")
+
+
+@query("forecast_linear_last_obs")
+def q_forecast_linear_last_obs(spark, sf):
+    """The original's anchoring: days after each series' last observation, kept if 1..7 ahead of the run."""
+    long = FC.melt_metrics(FC.history(_nation_mart(spark, sf), RUN_DATE))
+    return FC.pivot_forecast(FC.forecast_linear(long, RUN_DATE, anchor="last_obs"), RUN_DATE)

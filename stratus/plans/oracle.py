@@ -476,20 +476,24 @@ def long_of(name: str, src: str, where: str) -> str:
 )"""
 
 
-def linear_pred(name: str, long: str, run: str) -> str:
+def linear_pred(name: str, long: str, run: str, last_obs: bool = False) -> str:
+    first = "f.last_obs + CAST(h AS INTEGER)" if last_obs else f"DATE '{run}' + CAST(h AS INTEGER)"
     return f"""
 {name}_fit AS (
-  SELECT city_id, metric, count(*) AS n,
+  SELECT city_id, metric, count(*) AS n, max(ds) AS last_obs,
          regr_slope(y, x) AS b, regr_intercept(y, x) AS a,
          regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy, regr_sxy(y, x) AS sxy
   FROM (SELECT *, CAST(date_diff('day', DATE '{run}', ds) AS DOUBLE) AS x FROM {long}) t
   GROUP BY 1, 2 HAVING count(*) >= 60
 ),
 {name}_raw AS (
-  SELECT city_id, metric, DATE '{run}' + CAST(h AS INTEGER) AS target_date, CAST(h AS SMALLINT) AS horizon_days,
-         a + b * CAST(h AS DOUBLE) AS y0,
-         sqrt(greatest(syy - sxy * sxy / sxx, 0.0) / (n - 2)) AS sigma
-  FROM {name}_fit, (SELECT unnest(range(1, 8)) AS h) hs
+  SELECT city_id, metric, target_date, CAST(hz AS SMALLINT) AS horizon_days,
+         a + b * CAST(hz AS DOUBLE) AS y0, sigma
+  FROM (SELECT f.city_id, f.metric, f.a, f.b, {first} AS target_date,
+               date_diff('day', DATE '{run}', {first}) AS hz,
+               sqrt(greatest(f.syy - f.sxy * f.sxy / f.sxx, 0.0) / (f.n - 2)) AS sigma
+        FROM {name}_fit f, (SELECT unnest(range(1, 8)) AS h) hs) t
+  WHERE hz BETWEEN 1 AND 7
 ),
 {name} AS (
   SELECT city_id, metric, target_date, horizon_days,
@@ -677,3 +681,9 @@ FROM stage GROUP BY 1, 2 HAVING count(*) <> 24"""
 ORACLE["gap_view_sql"] = f"""WITH {GAPS.strip()}
 SELECT missing_date, count(*) AS n_gaps, count(DISTINCT city_name) AS n_places
 FROM gaps WHERE layer = 'core' GROUP BY missing_date"""
+
+ORACLE["forecast_linear_last_obs"] = f"""
+WITH {NATION_MART.strip()},
+{long_of("long", "nmart", f"date >= DATE '{RUN}' - 730").strip()},
+{linear_pred("pred", "long", RUN, last_obs=True).strip()}
+{pivot_sql("pred", RUN)}"""
