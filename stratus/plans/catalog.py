@@ -431,7 +431,7 @@ PAYLOAD_CHUNK = 64   # events per landed document: a document never exceeds this
 
 
 def _field(n):
-    return lambda x: x["h"][n]
+    return lambda x: x[n]
 
 
 def landed_documents(stage: DataFrame) -> DataFrame:
@@ -445,7 +445,7 @@ def landed_documents(stage: DataFrame) -> DataFrame:
                  F.col("is_day").cast("int").cast("string").alias("is_day")).alias("h"))
     docs = rows.groupBy("location_name", "_chunk").agg(
         F.min_by(F.struct("latitude", "longitude", "elevation_m", "timezone"), F.col("event_id")).alias("g"),
-        F.sort_array(F.collect_list(F.struct(F.col("event_id"), F.col("h")))).alias("hs"))
+        F.collect_list(F.col("h")).alias("hs"))   # order is free: every array is cut from the same list
     hourly = F.struct(*[F.transform("hs", _field(n)).alias(n) for n in ["time", *PAYLOAD_VARS]])
     doc = F.struct(F.col("location_name").alias("name"), F.lit(None).cast("string").alias("country"),
                    F.col("g.latitude").alias("latitude"), F.col("g.longitude").alias("longitude"),
