@@ -189,16 +189,20 @@ def fit_predict(ds: np.ndarray, y: np.ndarray, horizon_days: np.ndarray, *, n_hi
 
 
 def _seasonal_group(run_day: int, horizon: int, min_points: int, anchor: str):
-    epoch = pd.Timestamp("1970-01-01")
+    cols = [f.name for f in SEASONAL_SCHEMA.fields]
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        key, metric = pdf["city_id"].iloc[0], pdf["metric"].iloc[0]
-        pdf = pdf.dropna(subset=["y"]).sort_values("ds")
-        if len(pdf) < min_points:
-            return pd.DataFrame(columns=[f.name for f in SEASONAL_SCHEMA.fields])
-        ds = ((pd.to_datetime(pdf["ds"]) - epoch).dt.days).to_numpy(dtype=float)
+        # plain NumPy on the group's columns: per-group pandas work would cost more than the fit
+        key, metric = pdf["city_id"].iat[0], pdf["metric"].iat[0]
         y = pdf["y"].to_numpy(dtype=float)
-        first = run_day + 1 if anchor == "run_date" else int(ds.max()) + 1
+        ds = np.asarray(pdf["ds"].to_numpy(), dtype="datetime64[D]").astype(np.int64).astype(float)
+        ok = ~np.isnan(y)
+        y, ds = y[ok], ds[ok]
+        if len(y) < min_points:
+            return pd.DataFrame({c: [] for c in cols})
+        order = np.argsort(ds, kind="stable")
+        y, ds = y[order], ds[order]
+        first = run_day + 1 if anchor == "run_date" else int(ds[-1]) + 1
         fut = np.arange(first, first + horizon, dtype=float)
         fut = fut[(fut - run_day >= 1) & (fut - run_day <= horizon)]
         try:
@@ -208,11 +212,11 @@ def _seasonal_group(run_day: int, horizon: int, min_points: int, anchor: str):
             fut = fut[:1]
             yhat = lo = hi = np.full(len(fut), np.nan)
             status = "failed"
-        out = pd.DataFrame({
-            "city_id": key, "metric": metric,
-            "target_date": (epoch + pd.to_timedelta(fut, unit="D")).date,
-            "yhat": yhat, "yhat_lower": lo, "yhat_upper": hi, "status": status})
-        return out
+        n = len(fut)
+        return pd.DataFrame({
+            "city_id": np.full(n, key), "metric": [metric] * n,
+            "target_date": fut.astype(np.int64).astype("datetime64[D]").astype(object),
+            "yhat": yhat, "yhat_lower": lo, "yhat_upper": hi, "status": [status] * n})
 
     return fn
 
