@@ -199,7 +199,7 @@ def _seasonal_group(run_day: int, horizon: int, min_points: int, anchor: str):
         ok = ~np.isnan(y)
         y, ds = y[ok], ds[ok]
         if len(y) < min_points:
-            return pd.DataFrame({c: [] for c in cols})
+            return pd.DataFrame(columns=cols)   # object columns: Arrow casts them to any type
         order = np.argsort(ds, kind="stable")
         y, ds = y[order], ds[order]
         first = run_day + 1 if anchor == "run_date" else int(ds[-1]) + 1

@@ -57,6 +57,7 @@ def test_constant_series_and_seasonal(spark):
     assert {r.status for r in rows} == {"ok"} and len(rows) == 14
     t = [r for r in rows if r.metric == "temp_avg"]
     assert all(abs(r.yhat - 7.0) < 1e-6 for r in t)
+    assert FC.forecast_seasonal(long_of(series(spark, 10)), RUN).count() == 0    # too short: no rows
     skips = FC.forecast_skips(long_of(series(spark, 10)))
     assert [r.city_id for r in skips.collect()] == [1]
 
