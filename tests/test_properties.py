@@ -79,3 +79,47 @@ def test_latest_per_key_nulls_first(spark, rows):
         grp.sort(key=lambda r: (r[1] is not None, -(r[1] or 0), -r[2]))
         want[k] = grp[0][2]
     assert got == want
+
+
+def test_daily_rollup_hot_place_matches_brute_force(spark):
+    """One place holds 70 % of the rows; both roll-up plans equal a plain-Python computation."""
+    import collections
+    import random
+
+    from stratus.operators import facts
+    rnd = random.Random(7)
+    rows = []
+    for i in range(3000):
+        place = "HOT" if rnd.random() < 0.7 else f"P{rnd.randrange(20)}"
+        ts = dt.datetime(2024, 1, 1 + rnd.randrange(3), rnd.randrange(24))
+        rows.append((place, ts, round(rnd.uniform(-10, 35), 2), round(rnd.uniform(0, 2), 3), rnd.randrange(5)))
+    df = spark.createDataFrame(rows, "location_name string, measured_at timestamp_ntz, temperature_2m double, "
+                                     "precipitation double, weather_code smallint")
+    for c in ("apparent_temperature", "wet_bulb_temperature_2m", "rain", "snowfall", "sunshine_duration",
+              "shortwave_radiation", "wind_speed_10m", "wind_gusts_10m", "cloud_cover", "relative_humidity_2m",
+              "pressure_msl"):
+        df = df.withColumn(c, F.lit(1.0))
+    places = ["HOT"] + [f"P{i}" for i in range(20)]
+    cities = spark.createDataFrame(list(enumerate(places)), "id long, city_name string")
+    groups = collections.defaultdict(list)
+    for p, ts, t, pr, code in rows:
+        groups[(int(ts.strftime("%Y%m%d")), places.index(p))].append((t, pr, code))
+
+    def half_up(x):
+        q = decimal.Decimal(x).quantize(decimal.Decimal("1e-12"), decimal.ROUND_HALF_UP)
+        return float(q.quantize(decimal.Decimal("0.01"), decimal.ROUND_HALF_UP))
+
+    want = {}
+    for k, g in groups.items():
+        counts = collections.Counter(c for _, _, c in g)
+        top = max(counts.values())
+        want[k] = (min(c for c, n in counts.items() if n == top), half_up(sum(t for t, _, _ in g) / len(g)),
+                   min(t for t, _, _ in g), max(t for t, _, _ in g), half_up(sum(p for _, p, _ in g)))
+    for via in ("mode", "packed"):
+        out = facts.daily_rollup(df, cities, dominant_via=via).collect()
+        got = {(r.date_id, r.city_id): (r.dominant_weather_code_id, r.temp_avg, r.temp_min, r.temp_max,
+                                        r.precipitation_sum) for r in out}
+        assert got.keys() == want.keys()
+        for k in want:
+            assert got[k][0] == want[k][0] and got[k][2:4] == want[k][2:4]
+            assert abs(got[k][1] - want[k][1]) <= 0.01 and abs(got[k][4] - want[k][4]) <= 0.01
