@@ -84,9 +84,14 @@ def rewrite_partitions(spark: SparkSession, path: str, state: DataFrame, part_co
     present = {r[0] for r in state.select(part_col).distinct().collect()}  # ≤ len(part_values) rows
     (state.sortWithinPartitions(part_col).write.mode("overwrite")
           .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path))
-    for v in part_values:
-        if v not in present:
-            _delete(spark, f"{path.rstrip('/')}/{part_col}={v}")
+    stale = {f"{part_col}={v}" for v in part_values if v not in present}
+    if stale:   # one directory listing, then delete only partitions that exist
+        jvm = spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(path)
+        fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        for st in fs.listStatus(root):
+            if st.isDirectory() and st.getPath().getName() in stale:
+                fs.delete(st.getPath(), True)
     return spark.read.parquet(path)
 
 
