@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import exact_dedup, mixing
+from stratus.llm import exact_dedup, mixing, suffix_dedup
 from stratus.llm.common import table
 
 #: The white space of the contracts in a DuckDB pattern.
@@ -28,6 +28,10 @@ def with_quality_weight(docs: DataFrame, labels: DataFrame) -> DataFrame:
             .drop("_quality"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeated_strings(table(spark, sf_dir, "documents"), length=400)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = exact_dedup.mark_exact_duplicates(table(spark, sf_dir, "documents"))
     return marks.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -35,6 +39,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mix_sources": op4_mix_sources,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
