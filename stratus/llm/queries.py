@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import exact_dedup, mixing, suffix_dedup
+from stratus.llm import exact_dedup, mixing, seed_extend, suffix_dedup
 from stratus.llm.common import table
 
 #: The white space of the contracts in a DuckDB pattern.
@@ -28,6 +28,10 @@ def with_quality_weight(docs: DataFrame, labels: DataFrame) -> DataFrame:
             .drop("_quality"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return seed_extend.remove_repeats(table(spark, sf_dir, "documents"), length=13)
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeated_strings(table(spark, sf_dir, "documents"), length=400)
 
@@ -39,6 +43,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mix_sources": op4_mix_sources,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op9_exact_dedup": op9_exact_dedup,
 }
@@ -75,6 +80,21 @@ p AS (
 SELECT doc_id, size, source_size, target,
        (epochs * size + greatest(0, least(size, round(target - epochs * source_size)::BIGINT - before)))::BIGINT AS taken
 FROM p""",
+    "op5_substring_dedup": rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS words FROM documents),
+w AS (
+  SELECT doc_id, i, md5(array_to_string(words[i:i + 12], ' ')) AS h
+  FROM d, unnest(range(1, len(words) - 11)) AS u(i)),
+dup AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS first FROM w)
+        WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + k AS pos FROM dup, unnest(range(13)) AS v(k)),
+lists AS (SELECT doc_id, list(pos) AS gone FROM gone GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN gone IS NULL THEN words
+                              ELSE list_select(words, list_filter(range(1, len(words) + 1),
+                                                                  lambda j: NOT list_contains(gone, j))) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN lists USING (doc_id)""",
     "op9_exact_dedup": r"""
 SELECT doc_id,
        first_value(doc_id) OVER (PARTITION BY h ORDER BY n DESC, doc_id) AS keep_id,

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from stratus.llm import suffix_dedup, winnow
+from stratus.llm import seed_extend, suffix_dedup, winnow
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _doc long"
 
@@ -77,3 +77,38 @@ def test_anchor_intervals_partition_the_windows(monkeypatch, block):
 def test_union_of_intervals():
     a, b = winnow.union(np.array([5, 0, 2, 20]), np.array([9, 3, 5, 21]))
     assert (a.tolist(), b.tolist()) == ([0, 20], [9, 21])
+
+
+def brute_words(texts, ids, length):
+    rank = [float("inf") if i is None else i for i in ids]
+    words = [(t or "").encode().split() for t in texts]
+    first = {}
+    for r, w in zip(rank, words):
+        for i in range(len(w) - length + 1):
+            key = tuple(w[i:i + length])
+            first[key] = min(first.get(key, r), r)
+    out = []
+    for r, w in zip(rank, words):
+        gone = set()
+        for i in range(len(w) - length + 1):
+            if first[tuple(w[i:i + length])] < r:
+                gone |= set(range(i, i + length))
+        kept = b" ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append((len(w), len(gone), hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def test_seed_and_extend_removes_exactly_the_repeats_of_smaller_documents(spark):
+    rng = random.Random(9)
+    texts = rough_texts(rng, 80) + ["a b " * 30, "b a " * 25, "a\u00a0b c\x0bd " * 9]
+    ids = rng.sample(range(1000), len(texts) - 3) + [None, None, 5]
+    for length, gram in ((13, 5), (6, 2)):
+        got = {(r[0], r[1], r[3]): r[2] for r in
+               map(tuple, seed_extend.remove_repeats(frame(spark, texts, ids), length, gram).collect())}
+        want = brute_words(texts, ids, length)
+        assert got == {(i, n, h): k for i, (n, k, h) in zip(ids, want)}
+        assert any(0 < w[1] < w[0] for w in want)
+
+
+def test_seed_extend_empty_table(spark):
+    assert seed_extend.remove_repeats(frame(spark, [])).count() == 0
