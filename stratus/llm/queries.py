@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import exact_dedup, mixing, seed_extend, suffix_dedup
+from stratus.llm import exact_dedup, jaccard_join, mixing, seed_extend, suffix_dedup
 from stratus.llm.common import table
 
 #: The white space of the contracts in a DuckDB pattern.
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_quality_weight(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return (mixing.mix_sources(docs, F.col("weight"))
@@ -42,6 +46,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op4_mix_sources": op4_mix_sources,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_suffix_dedup": op6_suffix_dedup,
@@ -49,6 +54,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_jaccard_join": rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+      FROM d, unnest(range(1, greatest(len(w) - 1, 2))) AS u(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 90 * (na.n + nb.n - count(*))),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents
+          UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+SELECT x AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(y) AS component_id
+FROM reach LEFT JOIN n ON n.doc_id = x GROUP BY x""",
     "op4_mix_sources": rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, coalesce('s' || source, 'z') AS src,

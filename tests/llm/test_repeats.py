@@ -7,16 +7,9 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from llm.helpers import frame
 from stratus.llm import seed_extend, suffix_dedup, winnow
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _doc long"
-
-
-def frame(spark, texts, ids=None):
-    ids = range(len(texts)) if ids is None else ids
-    return spark.createDataFrame([(i, t, "en", "s", 0, 7) for i, t in zip(ids, texts)], SCHEMA)
-
-
 def brute_bytes(texts, length):
     raw = [(t or "").encode() for t in texts]
     seen = Counter(r[i:i + length] for r in raw for i in range(len(r) - length + 1))
