@@ -25,7 +25,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.scratch_path = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of ``saved`` that nothing reads any more."""
+    for t in tables:
+        jvm, conf = t.sparkSession._jvm, t.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(t.scratch_path)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def whole_text(col: str | Column) -> Column:

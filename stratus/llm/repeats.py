@@ -36,31 +36,38 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        text.cast("binary").alias("body"))
 
 
+_ITEM = "doc long, fp long, bucket long, context long, anchor int, lo int, hi int"
+
+
+def _items(doc: pa.Array, fp: pa.Array, found: list[tuple[int, dict]]) -> pa.RecordBatch:
+    at = pa.array(np.concatenate([np.full(len(f["lo"]), i) for i, f in found]))
+    cols = [pa.array(np.concatenate([f[k] for _, f in found]).astype(np.int64 if k in ("bucket", "context") else np.int32))
+            for k in ("bucket", "context", "anchor", "lo", "hi")]
+    return pa.record_batch([doc.take(at), fp.take(at), *cols],
+                           names=["doc", "fp", "bucket", "context", "anchor", "lo", "hi"])
+
+
+def _emitted(batch: pa.RecordBatch, found: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for i, f in enumerate(found):
+        if len(f["lo"]):
+            held.append((i, f))
+            size += len(f["lo"])
+        if size > _EMIT:
+            yield _items(batch.column(0), batch.column(1), held)
+            held, size = [], 0
+    if held:
+        yield _items(batch.column(0), batch.column(1), held)
+
+
 def find_anchors(texts: DataFrame, symbols: Symbols, window: int, gram: int) -> DataFrame:
+    """A row for every anchor: the text's name, bucket, context, and the windows that select it."""
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, fp = batch.column(0), batch.column(1)
-            rows, found, size = [], [], 0
-            for i, body in enumerate(batch.column(2)):
-                got = winnow.anchors(*symbols(body.as_py()), window, gram)
-                if len(got["lo"]):
-                    rows.append(np.full(len(got["lo"]), i))
-                    found.append(got)
-                    size += len(got["lo"])
-                if size > _EMIT:
-                    yield emit(doc, fp, rows, found)
-                    rows, found, size = [], [], 0
-            if rows:
-                yield emit(doc, fp, rows, found)
-
-    def emit(doc, fp, rows, found):
-        at = pa.array(np.concatenate(rows))
-        cols = {k: np.concatenate([f[k] for f in found]) for k in found[0]}
-        return pa.record_batch([doc.take(at), fp.take(at), pa.array(cols["bucket"]), pa.array(cols["context"]),
-                                pa.array(cols["lo"].astype(np.int32)), pa.array(cols["hi"].astype(np.int32))],
-                               names=["doc", "fp", "bucket", "context", "lo", "hi"])
-
-    return texts.mapInArrow(step, "doc long, fp long, bucket long, context long, lo int, hi int")
+            yield from _emitted(batch, (winnow.anchors(*symbols(body.as_py()), window, gram)
+                                        for body in batch.column(2)))
+
+    return texts.mapInArrow(step, _ITEM)
 
 
 def packed(texts: DataFrame) -> DataFrame:
@@ -74,12 +81,29 @@ def packed(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(step, "doc long, fp long, body binary")
 
 
-def with_lists(texts: DataFrame, intervals: DataFrame, how: str) -> DataFrame:
-    """Each packed text with its intervals ``lo``, ``hi`` as arrays; no more of them than symbols."""
-    lists = intervals.groupBy("doc", "fp").agg(F.collect_list("lo").alias("los"), F.collect_list("hi").alias("his"))
-    left, right = packed(texts), lists.withColumnsRenamed({"doc": "_doc", "fp": "_fp"})
-    return (left.join(right, (left["fp"] == right["_fp"]) & left["doc"].eqNullSafe(right["_doc"]), how)
-            .select("doc", "fp", "body", "los", "his"))
+def with_lists(bodies: DataFrame, intervals: DataFrame, how: str) -> DataFrame:
+    """Each packed text with the arrays of its intervals' ``anchor``, ``lo``, ``hi``: at most one each per symbol."""
+    lists = (intervals.groupBy(F.col("doc").alias("_doc"), F.col("fp").alias("_fp"))
+             .agg(*(F.collect_list(c).alias(f"{c}s") for c in ("anchor", "lo", "hi") if c in intervals.columns)))
+    return (bodies.join(lists, (bodies["fp"] == lists["_fp"]) & bodies["doc"].eqNullSafe(lists["_doc"]), how)
+            .drop("_doc", "_fp"))
+
+
+def _arrays(batch: pa.RecordBatch, i: int, *names: str) -> list[np.ndarray]:
+    return [batch.column(n)[i].values.to_numpy().astype(np.int64) for n in names]
+
+
+def cut(listed: DataFrame, symbols: Symbols, window: int, width: int) -> DataFrame:
+    """The listed intervals cut into cells of ``width`` windows, as rows like those of ``find_anchors``."""
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = zstandard.ZstdDecompressor()
+        for batch in batches:
+            yield from _emitted(batch, (
+                winnow.cells(*symbols(z.decompress(batch.column(2)[i].as_py())),
+                             *_arrays(batch, i, "anchors", "los", "his"), window, width)
+                for i in range(batch.num_rows)))
+
+    return listed.mapInArrow(step, _ITEM)
 
 
 def expand(listed: DataFrame, symbols: Symbols, window: int) -> DataFrame:
@@ -89,7 +113,7 @@ def expand(listed: DataFrame, symbols: Symbols, window: int) -> DataFrame:
         for batch in batches:
             doc, fp = batch.column(0), batch.column(1)
             for i in range(batch.num_rows):
-                lo, hi = (batch.column(k)[i].values.to_numpy().astype(np.int64) for k in (3, 4))
+                lo, hi = _arrays(batch, i, "los", "his")
                 start, one, two = winnow.windows(*symbols(z.decompress(batch.column(2)[i].as_py())), lo, hi, window)
                 at = pa.array(np.full(len(start), i))
                 yield pa.record_batch([doc.take(at), fp.take(at), pa.array(start.astype(np.int32)), pa.array(one),
@@ -111,8 +135,7 @@ def rewrite(listed: DataFrame, finish: Callable[[bytes, np.ndarray, np.ndarray],
                 continue
             rows = []
             for i in range(batch.num_rows):
-                lo, hi = (none if (x := batch.column(k)[i]).as_py() is None
-                          else x.values.to_numpy().astype(np.int64) for k in (3, 4))
+                lo, hi = _arrays(batch, i, "los", "his") if batch.column("los")[i].is_valid else (none, none)
                 rows.append(finish(z.decompress(batch.column(2)[i].as_py()), *winnow.union(lo, hi)))
             yield pa.record_batch([batch.column(0), *map(pa.array, zip(*rows))], names=names)
 

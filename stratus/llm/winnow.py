@@ -77,7 +77,7 @@ def anchors(first: np.ndarray, second: np.ndarray, window: int, gram: int) -> di
     """
     parts = [_block(first[at:at + BLOCK + window - 1], second[at:at + BLOCK + window - 1], window, gram, at)
              for at in range(0, max(len(first) - window + 1, 0), BLOCK)]
-    names = ("bucket", "context", "lo", "hi")
+    names = ("bucket", "context", "anchor", "lo", "hi")
     return {k: np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in names}
 
 
@@ -92,10 +92,28 @@ def _block(first, second, window, gram, at):
     anchor = chosen[lo]
     around = SECOND.spans(SECOND.prefix(second), lo, hi + window)
     shape = ((anchor - lo) * window + (hi - lo)).astype(np.uint64)
-    return {"bucket": grams[anchor].view(np.int64),
+    return {"bucket": grams[anchor].view(np.int64), "anchor": anchor + at,
             "context": mixed(around + mixed(shape + np.uint64(1))).view(np.int64), "lo": lo + at, "hi": hi + at}
 
 
+def cells(first: np.ndarray, second: np.ndarray, anchor: np.ndarray, lo: np.ndarray, hi: np.ndarray,
+          window: int, width: int) -> dict[str, np.ndarray]:
+    """The window intervals cut into cells of ``width`` offsets from their anchors.
+
+    All windows of a cell contain its core, which ``bucket`` names; ``context`` names what
+    those of them that are in the interval cover.
+    """
+    offset = np.arange(0, window, width)
+    a, b = np.maximum(lo[:, None], anchor[:, None] - offset - width + 1), np.minimum(hi[:, None], anchor[:, None] - offset)
+    item, cell = np.nonzero(a <= b)
+    lo, hi, near = a[item, cell], b[item, cell], anchor[item] - offset[cell]
+    core = FIRST.spans(FIRST.prefix(first), near, near - width + 1 + window)
+    around = SECOND.spans(SECOND.prefix(second), lo, hi + window)
+    shape = ((near - lo) * window + (near - hi)).astype(np.uint64)
+    return {"bucket": mixed(core + cell.astype(np.uint64)).view(np.int64), "anchor": anchor[item],
+            "context": mixed(around + mixed(shape + np.uint64(1))).view(np.int64), "lo": lo, "hi": hi}
+
+
 def windows(first: np.ndarray, second: np.ndarray, lo: np.ndarray, hi: np.ndarray,
             window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and 128-bit name of every window ``lo[i] .. hi[i]``."""
