@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratus.llm import repeats, winnow
-from stratus.llm.common import saved
+from stratus.llm.common import discard, saved
 
 #: A null id is ordered after every id.
 _LAST = (1 << 63) - 1
@@ -51,6 +51,7 @@ def repeats_of_smaller(texts: DataFrame, length: int = 13, gram: int = 5) -> Dat
                    .where(F.col("first") < F.col("last"))
                    .select("bucket", "first", (F.col("c0") != F.col("c1")).alias("differ")), "joined")
     shared = saved(ranked.join(joined, "bucket"), "shared-seeds")
+    discard(seeds, joined)
     alike = shared.where(~F.col("differ") & (F.col("rank") > F.col("first")))
 
     classes = saved(shared.where("differ").groupBy("bucket", "context").agg(F.min("rank").alias("least")), "classes")
@@ -58,7 +59,7 @@ def repeats_of_smaller(texts: DataFrame, length: int = 13, gram: int = 5) -> Dat
     settled = others.where(F.col("rank") > F.col("least"))
     front = others.where(F.col("rank") == F.col("least"))
 
-    extended = saved(repeats.expand(repeats.with_lists(texts, front, "inner"), word_symbols, length)
+    extended = saved(repeats.expand(repeats.with_lists(repeats.packed(texts), front, "inner"), word_symbols, length)
                      .select("*", rank.alias("rank")), "extended")
     first = saved(extended.groupBy("name1", "name2").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
                   .where(F.col("first") < F.col("last")).drop("last"), "first-windows")
@@ -82,5 +83,5 @@ def remove_repeats(docs: DataFrame, length: int = 13, gram: int = 5, id_col: str
     """One row per document: id, ``n_words, n_removed, kept_sha256``."""
     texts = repeats.keyed(docs, id_col, text_col)
     spans = repeats_of_smaller(texts, length, gram)
-    return repeats.rewrite(repeats.with_lists(texts, spans, "left"), _finish,
+    return repeats.rewrite(repeats.with_lists(repeats.packed(texts), spans, "left"), _finish,
                            "n_words long, n_removed long, kept_sha256 string").withColumnRenamed("doc", id_col)
