@@ -77,7 +77,7 @@ def dealing(low: int, high: int, percent: int) -> tuple[int, int]:
     if parts == 1:
         return 1, 0  # different sets of these sizes can't be linked
     one_left = min(1.0, parts / math.e * (1 - 1 / math.e) ** (parts - 1)) * math.exp(-low / parts)
-    return parts, max(1, math.ceil(math.log(MISS) / math.log(one_left)))
+    return parts, 1 if one_left <= MISS else math.ceil(math.log(MISS) / math.log(one_left))
 
 
 def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
