@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import exact_dedup, jaccard_join, mixing, seed_extend, suffix_dedup
+from stratus.llm import exact_dedup, jaccard_join, mixing, secrets, seed_extend, suffix_dedup
 from stratus.llm.common import table
 
 #: The white space of the contracts in a DuckDB pattern.
@@ -45,12 +45,17 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marks.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents")).drop("assign", "access", "hex", "random")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_jaccard_join": op2_jaccard_join,
     "op4_mix_sources": op4_mix_sources,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE: dict[str, str] = {
