@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import exact_dedup, jaccard_join, mixing, secrets, seed_extend, suffix_dedup
+from stratus.llm import exact_dedup, jaccard_join, mixing, pii, secrets, seed_extend, suffix_dedup
 from stratus.llm.common import table
 
 #: The white space of the contracts in a DuckDB pattern.
@@ -18,6 +18,10 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents")).drop("email", "ip", "card", "phone", "added")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_quality_weight(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return (mixing.mix_sources(docs, F.col("weight"))
@@ -51,6 +55,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_personal_data": op3_personal_data,
     "op4_mix_sources": op4_mix_sources,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_suffix_dedup": op6_suffix_dedup,
