@@ -12,8 +12,8 @@ spread over many tasks.
 
 Defined results: null texts have size 0 and take 0 words; a null source is one source,
 the last; null ids and repeated rows take part as rows of their own (equal keys fall back
-on id, then size); an empty table gives an empty result; a null or non-positive weight
-counts as the smallest weight.
+on id, then size); an empty table gives an empty result; a null, missing or non-positive
+weight counts as the smallest weight.
 """
 
 from __future__ import annotations
@@ -71,21 +71,25 @@ def fill_targets(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
             .drop("cap", "level"))
 
 
-def mix_sources(docs: DataFrame, weight: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
+def mix_sources(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source", cycle: tuple[int, ...] = (1, 2, 3), max_epochs: int = MAX_EPOCHS,
                 seed: int = 0) -> DataFrame:
     """The columns of ``docs`` but the text, and ``size, source_size, target, taken``.
 
-    ``weight``: the document's quality weight, an expression over ``docs`` (default: all equal).
+    ``weights``: the documents' quality weights, ``id_col, weight`` with one row per id
+    (default: all equal). They meet the documents' sizes, not their texts.
     """
-    safe = F.greatest(F.coalesce((weight if weight is not None else F.lit(1.0)).cast("double"), F.lit(0.0)),
-                      F.lit(1e-6))
     rest = [c for c in docs.columns if c not in (text_col, "size", "source_size", "target", "taken")]
     text = whole_text(text_col)
-    key = -F.log(uniform(F.coalesce(F.col(id_col).cast("string"), F.md5(text)), seed)) / safe
-    sized = saved(docs.select(*rest, word_count(text).alias("size"), key.alias("_key"),
-                              source_key(F.col(source_col)).alias("_source"))
-                  # key / (1 + key) spreads exponential keys of common weights almost evenly over the ranges
+    sized = docs.select(*rest, word_count(text).alias("size"), source_key(F.col(source_col)).alias("_source"),
+                        uniform(F.coalesce(F.col(id_col).cast("string"), F.md5(text)), seed).alias("_u"))
+    weight = F.lit(1.0)
+    if weights is not None:
+        sized = sized.join(weights.select(F.col(id_col).alias("_id"), F.col("weight").alias("_weight")),
+                           F.col(id_col) == F.col("_id"), "left").drop("_id")
+        weight = F.greatest(F.coalesce(F.col("_weight").cast("double"), F.lit(0.0)), F.lit(1e-6))
+    # key / (1 + key) spreads exponential keys of common weights almost evenly over the ranges
+    sized = saved(sized.withColumn("_key", -F.log("_u") / weight)
                   .withColumn("_range", F.floor(F.col("_key") / (F.col("_key") + 1) * RANGES).cast("int")), "sizes")
 
     totals = saved(sized.groupBy("_source", "_range").agg(F.sum("size").alias("_sum")), "ranges")
