@@ -1,4 +1,8 @@
-"""The corpus pipeline: five stages from raw documents to a training mix."""
+"""The corpus pipeline: five stages from raw documents to a training mix.
+
+Every stage works on all documents that its predecessor kept; all but the last return the
+columns of ``documents``, the last adds how many words of each document the mix takes.
+"""
 
 from __future__ import annotations
 
@@ -6,8 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratus.llm import exact_dedup
+from stratus.llm import decontaminate, exact_dedup, jaccard_join, mixing, toxicity
 from stratus.llm.common import saved, table
+from stratus.llm.queries import quality_weights
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored toxic go. The scorer learns from the labels of the documents at hand."""
+    return toxicity.drop_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,10 +25,30 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_exact_duplicates(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a Jaccard similarity of 0.8 over five-word shingles the smallest id stays."""
+    return jaccard_join.keep_one_of_each_group(docs, n=5, percent=80)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a verified benchmark item go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix takes: the columns but the text, and ``size, source_size, target, taken``."""
+    return mixing.mix_sources(docs, quality_weights(docs, table(spark, sf_dir, "labels")))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
     ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix),
 ]
 
+#: Trained and fuzzy stages have no SQL form; the tests hold each stage against brute force.
 ORACLE_SQL: str | None = None
 
 

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import stratus
 from stratus.session import scratch_path
 
+# Functions travel to the Python workers with their code, so that executors need no installed copy.
+cloudpickle.register_pickle_by_value(stratus)
+
 #: The white space of the contracts: the space and the control characters 09 to 0D.
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 

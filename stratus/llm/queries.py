@@ -7,13 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import exact_dedup, jaccard_join, mixing, pii, secrets, seed_extend, suffix_dedup
+from stratus.llm import (
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    mixing,
+    pii,
+    quality,
+    secrets,
+    seed_extend,
+    suffix_dedup,
+    toxicity,
+)
 from stratus.llm.common import table
 
 #: The white space of the contracts in a DuckDB pattern.
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 
@@ -23,17 +38,16 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = with_quality_weight(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return (mixing.mix_sources(docs, F.col("weight"))
-            .select("doc_id", "size", "source_size", "target", "taken"))
+    docs = table(spark, sf_dir, "documents")
+    weights = quality_weights(docs, table(spark, sf_dir, "labels"))
+    return mixing.mix_sources(docs, weights).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def with_quality_weight(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Adds ``weight``: 1 for documents labelled good, 1/4 for bad ones, 1/2 for the rest."""
-    quality = labels.groupBy("doc_id").agg(F.avg("quality").alias("_quality"))
-    return (docs.join(quality, "doc_id", "left")
-            .withColumn("weight", F.coalesce(F.lit(0.25) + 0.75 * F.col("_quality"), F.lit(0.5)))
-            .drop("_quality"))
+def quality_weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id, weight``: 1 for documents labelled good, 1/4 for bad ones, 1/2 for the rest."""
+    quality = labels.groupBy("doc_id").agg(F.avg("quality").alias("quality"))
+    return (docs.select("doc_id").distinct().join(quality, "doc_id", "left")
+            .select("doc_id", F.coalesce(F.lit(0.25) + 0.75 * F.col("quality"), F.lit(0.5)).alias("weight")))
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +58,16 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeated_strings(table(spark, sf_dir, "documents"), length=400)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = exact_dedup.mark_exact_duplicates(table(spark, sf_dir, "documents"))
     return marks.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -54,11 +78,14 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_personal_data": op3_personal_data,
     "op4_mix_sources": op4_mix_sources,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_toxicity": op7_toxicity,
+    "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
