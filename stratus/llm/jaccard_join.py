@@ -12,13 +12,19 @@ or more, and gives every document the smallest id it reaches through links.
    a third of them stays untouched even at the threshold, and small sets are dealt
    ``families`` times, so that the chance to miss a link just at the threshold is under 1e-9,
    and vanishes above it.
-3. Groups. Each node is compared with the smallest node of its seeds' buckets; components of
-   these links are the groups of similar documents.
-4. Token-group matrix. Where a bucket holds several groups, each group's token union is
-   stored as a bit row. A query document of one group and another group are linked only
-   if the union holds at least ``percent`` of the query's tokens: this bound is checked
-   first, and only groups that pass are opened, that is, compared member by member, as
-   far as members share a seed with the query.
+3. Groups. The nodes of a seed's bucket are a group of similar sets about a leader, the node
+   that stands in most buckets. Every member is compared with the leader only; linked
+   members are done with each other.
+4. Token-group matrix. What else may be linked in a group shares tokens in a way that the
+   leader ``L`` does not explain. For each member the matrix holds, by group and token, the
+   tokens of which it must share one, by bounds on its overlap with any member:
+   a member with less than ``percent`` of its tokens in ``L`` must share tokens outside
+   ``L``, so many that the first few in hash order suffice; a member almost contained in
+   ``L`` shares tokens outside ``L`` or lacks the same tokens of ``L``, again so many that
+   a few suffice. Only cells of the matrix are opened that two members hold which are not in
+   one component yet, one of them not linked to ``L``; cells with the same holders are opened
+   once. The holders of an opened cell are compared; more than ``CELL`` of them are a smaller
+   group with a leader of its own and are treated in the same way.
 
 Every link comes from an exact comparison of the two sets. Words are parted by the space and
 09-0D and A-Z is lower-cased; a text of fewer than ``n`` words is one n-gram.
@@ -32,7 +38,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import cache
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +53,10 @@ from stratus.llm.components import components
 
 #: Parts of a set that are emitted as signatures, per size class.
 PARTS = 96
+#: Holders of a matrix cell that are compared with each other; more make a group of their own.
+CELL = 256
 #: The chance to miss a link at the threshold stays below this.
 MISS = 1e-9
-#: Bits of a group's row in the token-group matrix (Spark's bitmaps have so many).
-BITS = 32768
 
 
 def shingles(text: bytes, n: int) -> np.ndarray:
@@ -61,7 +67,6 @@ def shingles(text: bytes, n: int) -> np.ndarray:
     return np.unique(winnow.FIRST.every(winnow.FIRST.prefix(words), min(n, len(words))))
 
 
-@cache
 def size_class(size: int, percent: int) -> tuple[int, int]:
     """Least and greatest size of the class of a size; greatest is what a set linked to the least may have."""
     low = 1
@@ -70,7 +75,6 @@ def size_class(size: int, percent: int) -> tuple[int, int]:
     return low, high
 
 
-@cache
 def dealing(low: int, high: int, percent: int) -> tuple[int, int]:
     """Parts and families of a size class."""
     parts = 2 * high * (100 - percent) // (100 + percent) + 1
@@ -103,6 +107,9 @@ def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
+_ONE = np.uint64(1)
+
+
 def _sets(texts: DataFrame, n: int, percent: int) -> DataFrame:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,6 +120,7 @@ def _sets(texts: DataFrame, n: int, percent: int) -> DataFrame:
                 one.append(winnow.mixed(tokens + np.uint64(3)).sum(dtype=np.uint64).view(np.int64))
                 two.append(winnow.mixed(tokens ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64))
                 signs.append(signatures(tokens, percent))
+            signs = [(s.view(np.uint64) & ~_ONE).view(np.int64) for s in signs]
             ends = np.cumsum([0, *map(len, signs)], dtype=np.int32)
             yield pa.record_batch([batch.column(0), pa.array(size, pa.int64()), pa.array(one, pa.int64()),
                                    pa.array(two, pa.int64()),
@@ -122,58 +130,99 @@ def _sets(texts: DataFrame, n: int, percent: int) -> DataFrame:
     return texts.mapInArrow(step, "doc long, size long, set1 long, set2 long, signs array<long>")
 
 
-def _similar(pairs: DataFrame, bodies: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs ``u, v`` that are linked, by their whole sets."""
+def must_share(member: np.ndarray, leader: np.ndarray, percent: int) -> tuple[bool, np.ndarray, np.ndarray]:
+    """Whether a member and its leader are linked, and the matrix cells of the member.
+
+    With ``k = (1 - t) / (1 + t)``, sets ``x, y`` are linked when they differ in at most
+    ``k * (|x| + |y|)`` tokens. ``outside`` are a member's tokens not in L, ``lacking`` the
+    tokens of L that it lacks, ``apart`` both. Let ``x, y`` be linked, ``y`` not to L.
+
+    * If less than ``t * |y|`` tokens of ``y`` are in L, ``x`` shares at least
+      ``t * |y| - |y & L|`` of its outside tokens: linked sets share ``t * |y|`` or more.
+    * Else ``apart`` of ``x`` and of ``y`` share ``(|apart x| + |apart y| - k * (|x| + |y|)) / 2``
+      or more. ``|apart y| > k * (|y| + |L|)``, so that is over ``(|apart x| + k * (|L| - |x|)) / 2``;
+      the same holds for ``y`` if ``x`` is not linked to L either, and if ``x`` is, it is no less
+      than ``(|apart y| - k * (|y| + |L|)) / 2`` for ``y``, at least one. Lacking tokens make
+      cells for two unlinked members, and others for a linked and an unlinked one.
+
+    Of two sets with ``r`` common elements the smallest common one is among the first
+    ``size - r + 1`` of each.
+    """
+    both = len(np.intersect1d(member, leader, assume_unique=True))
+    size, top = len(member), len(leader)
+    linked = 100 * both >= percent * (size + top - both)
+    outside = np.setdiff1d(member, leader, assume_unique=True)
+    if 100 * both < percent * size:
+        least = -(-(percent * size - 100 * both) // 100)
+        return linked, outside[:max(0, len(outside) - least + 1)], outside[:0]
+    lacking = np.setdiff1d(leader, member, assume_unique=True)
+    apart = (len(outside) + len(lacking)) * (100 + percent)
+    strong = max(0, apart + (top - size) * (100 - percent)) // (2 * (100 + percent)) + 1
+    weak = strong if linked else max(1, -((size + top) * (100 - percent) - apart) // (2 * (100 + percent)))
+    by_two, by_one = winnow.mixed(lacking[:max(0, len(lacking) - strong + 1)]), winnow.mixed(lacking[:max(0, len(lacking) - weak + 1)])
+    return linked, np.concatenate([outside, by_two if not linked else by_two[:0]]), by_one
+
+
+def _compared(stars: DataFrame, bodies: DataFrame, n: int, percent: int) -> DataFrame:
+    """``u, v, linked, signs``: member and leader compared by their whole sets, and the cells."""
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdDecompressor()
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                a, b = (shingles(z.decompress(t.as_py()), n) for t in (x, y))
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                linked.append(100 * both >= percent * (len(a) + len(b) - both))
-            keep = pa.array(linked, pa.bool_())
-            yield pa.record_batch([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["u", "v"])
+            linked, cells = [], []
+            for lead, x, y in zip(batch.column(1), batch.column(2), batch.column(3)):
+                yes, free, crossing = must_share(*(shingles(z.decompress(t.as_py()), n) for t in (x, y)), percent)
+                linked.append(yes)
+                group = winnow.mixed(np.array([lead.as_py()], np.int64).view(np.uint64))
+                cells.append(np.concatenate([winnow.mixed(free + group) & ~_ONE, winnow.mixed(crossing + group) | _ONE]
+                                            ).view(np.int64))
+            ends = np.cumsum([0, *map(len, cells)], dtype=np.int32)
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()),
+                                   pa.ListArray.from_arrays(ends, np.concatenate([*cells, np.zeros(0, np.int64)]))],
+                                  names=["u", "v", "linked", "signs"])
 
     def body(name: str) -> DataFrame:
         return bodies.select(F.col("doc").alias(name), F.col("body").alias(f"{name}_body"))
 
-    return (pairs.join(body("u"), "u").join(body("v"), "v").select("u", "v", "u_body", "v_body")
-            .mapInArrow(step, "u long, v long"))
-
-
-def _matrix(rest: DataFrame, bodies: DataFrame, n: int) -> DataFrame:
-    """``component, bits``: the token union of every group, hashed into a bit row."""
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = zstandard.ZstdDecompressor()
-        for batch in batches:
-            for i in range(batch.num_rows):
-                bits = np.unique(shingles(z.decompress(batch.column(1)[i].as_py()), n) % np.uint64(BITS)).astype(np.int64)
-                yield pa.record_batch([batch.column(0).take(pa.array(np.full(len(bits), i))), pa.array(bits)],
-                                      names=["component", "bit"])
-
-    members = rest.select("node", "component").distinct().join(bodies, F.col("node") == F.col("doc"))
-    return (members.select("component", "body").mapInArrow(step, "component long, bit long")
-            .groupBy("component").agg(F.bitmap_construct_agg("bit").alias("bits")))
-
-
-def _qualifying(queries: DataFrame, matrix: DataFrame, bodies: DataFrame, n: int, percent: int) -> DataFrame:
-    """The ``node, component`` whose group's union holds enough of the node's tokens."""
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = zstandard.ZstdDecompressor()
-        for batch in batches:
-            passed = []
-            for body, bits in zip(batch.column(2), batch.column(3)):
-                tokens = shingles(z.decompress(body.as_py()), n)
-                at = (tokens % np.uint64(BITS)).astype(np.int64)
-                row = np.unpackbits(np.frombuffer(bits.as_py(), np.uint8), bitorder="little")
-                passed.append(100 * int(row[at].sum()) >= percent * len(tokens))
-            keep = pa.array(passed, pa.bool_())
-            yield pa.record_batch([batch.column(0).filter(keep), batch.column(1).filter(keep)],
-                                  names=["node", "component"])
-
-    return (queries.join(matrix, "component").join(bodies, F.col("node") == F.col("doc"))
-            .select("node", "component", "body", "bits").mapInArrow(step, "node long, component long"))
+    return (stars.join(body("u"), "u").join(body("v"), "v").select("u", "v", "u_body", "v_body")
+            .mapInArrow(step, "u long, v long, linked boolean, signs array<long>"))
+
+
+def _stars(seeds: DataFrame) -> DataFrame:
+    """``u, v``: the members and leaders of all groups, given as ``sign, node``."""
+    buckets = saved(seeds.groupBy("sign").agg(F.min("node").alias("first"), F.max("node").alias("last"))
+                    .where("first < last").select("sign"), "buckets")
+    placed = saved(seeds.join(buckets, "sign").select("sign", "node"), "placed")
+    degrees = placed.groupBy("node").agg(F.count("*").alias("degree"))
+    leads = saved(placed.join(degrees, "node").groupBy("sign").agg(
+        F.max(F.struct("degree", (-F.col("node")).alias("neg"))).alias("top"))
+        .select("sign", (-F.col("top.neg")).alias("v")), "leads")
+    stars = saved(placed.withColumnRenamed("node", "u").join(leads, "sign").where("u <> v").select("u", "v").distinct(),
+                  "stars")
+    discard(buckets, placed, leads)
+    return stars
+
+
+def _opened(cells: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pairs ``u, v`` of the cells to open, and the ``sign, node`` of those with many holders.
+
+    ``cells``: ``sign, node, open`` (not linked to the leader). In odd cells only an open
+    and another holder can be linked.
+    """
+    placed = saved(cells.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")), "cells")
+    holders = F.sum(F.xxhash64("node", "open").cast("decimal(38,0)"))
+    held = saved(placed.groupBy("sign").agg(
+        F.count("*").alias("n"), holders.alias("holders"), F.min("component").alias("c0"), F.max("component").alias("c1"),
+        F.max("open").alias("some"), F.min("open").alias("every"))
+        .where("c0 < c1 AND some AND (sign % 2 = 0 OR NOT every)").select("sign", "n", "holders"), "held")
+    few = (held.where(F.col("n") <= CELL).groupBy("n", "holders", F.col("sign") % 2).agg(F.min("sign").alias("sign"))
+           .select("sign"))
+    one = saved(placed.join(few, "sign"), "holders")
+    two = one.select("sign", F.col("node").alias("v"), F.col("component").alias("other"), F.col("open").alias("v_open"))
+    pairs = saved(one.join(two, "sign").where("node < v AND component <> other AND (sign % 2 = 0 OR open <> v_open)")
+                  .select(F.col("node").alias("u"), "v").distinct(), "pairs")
+    many = saved(placed.join(held.where(F.col("n") > CELL), "sign").select("sign", "node"), "many")
+    discard(placed, held, one)
+    return pairs, many
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -186,23 +235,30 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
                   .agg(F.min("doc").alias("node"), F.any_value("signs").alias("signs")), "nodes")
     discard(full)
 
-    seeds = nodes.select(F.explode("signs").alias("sign"), "node")
-    buckets = saved(seeds.groupBy("sign").agg(F.min("node").alias("lead"), F.max("node").alias("last"))
-                    .where("lead < last").select("sign", "lead"), "buckets")
-    members = saved(seeds.join(buckets, "sign"), "members")
+    stars = _stars(nodes.select(F.explode("signs").alias("sign"), "node"))
     names = saved(nodes.drop("signs"), "node-names")
-    discard(nodes, buckets)
+    discard(nodes)
 
-    wanted = members.select(F.col("node").alias("wanted")).distinct()
+    wanted = stars.select(F.col("u").alias("wanted")).union(stars.select("v")).distinct()
     bodies = saved(repeats.packed(texts).join(wanted, F.col("doc") == F.col("wanted"), "left_semi")
                    .select("doc", "body"), "bodies")
-    stars = members.where("node <> lead").select(F.col("node").alias("u"), F.col("lead").alias("v")).distinct()
-    links = saved(_similar(stars, bodies, n, percent), "links")
-    groups = saved(components(links), "groups")
-
-    more = _links_between_groups(members, groups, bodies, n, percent)
-    final = saved(components(links.unionByName(more)), "components")
-    discard(members, groups, links)
+    links, opened = [], []
+    while not stars.isEmpty():
+        compared = saved(_compared(stars, bodies, n, percent), "compared")
+        links.append(saved(compared.where("linked").select("u", "v"), "links"))
+        groups = components(reduce(DataFrame.unionByName, links))
+        unsettled = compared.groupBy("v").agg(F.min("linked").alias("every")).where("NOT every").select("v")
+        cells = compared.join(unsettled, "v").select(F.explode("signs").alias("sign"), F.col("u").alias("node"),
+                                                     (~F.col("linked")).alias("open"))
+        pairs, many = _opened(cells, groups)
+        opened.append(pairs)
+        discard(stars, compared)
+        stars = _stars(many)
+    for pairs in opened:
+        links.append(saved(_compared(pairs, bodies, n, percent).where("linked").select("u", "v"), "links"))
+    none = names.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
+    final = saved(components(reduce(DataFrame.unionByName, links, none)), "components")
+    discard(bodies, *opened, *links)
 
     own = names.join(final, "node", "left").select(
         F.col("set1").alias("_1"), F.col("set2").alias("_2"), F.coalesce("component", "node").alias("component"))
@@ -214,32 +270,6 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
                     F.coalesce("component", "doc").alias("component_id")))
 
 
-def _links_between_groups(members: DataFrame, groups: DataFrame, bodies: DataFrame, n: int,
-                          percent: int) -> DataFrame:
-    """Links ``u, v`` of nodes that share a seed but were in different groups."""
-    placed = members.join(groups, "node", "left").select("sign", "node", F.coalesce("component", "node").alias("component"))
-    placed = saved(placed, "placed")
-    mixed = saved(placed.groupBy("sign").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
-                  .where("c0 < c1").select("sign"), "mixed")
-    rest = saved(placed.join(mixed, "sign"), "rest")
-    discard(placed, mixed)
-
-    groups_of = rest.select("sign", F.col("component").alias("other")).distinct()
-    queries = saved(rest.join(groups_of, "sign").where("other < component")
-                    .select("node", F.col("other").alias("component")).distinct(), "queries")
-    matrix = saved(_matrix(rest, bodies, n), "matrix")
-    opened = saved(_qualifying(queries, matrix, bodies, n, percent), "opened")
-    discard(queries, matrix)
-
-    inside = rest.select("sign", F.col("node").alias("v"), "component")
-    pairs = (rest.select("sign", "node").join(opened.select("node", F.col("component").alias("target")), "node")
-             .join(inside, "sign").where(F.col("target") == F.col("component"))
-             .select(F.col("node").alias("u"), "v").distinct())
-    links = saved(_similar(pairs, bodies, n, percent), "more-links")
-    discard(rest, opened)
-    return links
-
-
 def keep_one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
                            text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` but those whose component has a smaller id; the columns stay."""

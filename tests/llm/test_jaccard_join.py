@@ -47,8 +47,9 @@ def edited(rng, words, share):
     return out
 
 
-@pytest.mark.parametrize("n, percent", [(3, 90), (5, 80), (1, 60)])
-def test_components_equal_brute_force(spark, n, percent):
+@pytest.mark.parametrize("n, percent, cell", [(3, 90, 256), (5, 80, 2), (1, 60, 256)])
+def test_components_equal_brute_force(spark, monkeypatch, n, percent, cell):
+    monkeypatch.setattr(jaccard_join, "CELL", cell)
     rng = random.Random(n)
     texts = [None, "", "  \t", "One", "one", "two words", "TWO words", "É é"]
     for _ in range(30):
@@ -95,3 +96,28 @@ def test_signatures_meet_at_the_threshold():
             both = len(np.intersect1d(a, b))
             assert 100 * both >= 90 * (len(a) + len(b) - both)
             assert np.intersect1d(jaccard_join.signatures(a, 90), jaccard_join.signatures(b, 90)).size
+
+
+def test_cells_of_linked_members_meet():
+    """Random families about a leader: linked pairs that the leader does not settle share a cell."""
+    rng = np.random.default_rng(3)
+    met = 0
+    for percent in (60, 80, 90):
+        for _ in range(300):
+            base = rng.integers(0, 1 << 63, rng.integers(5, 120), dtype=np.uint64)
+
+            def variant(of):
+                keep = of[rng.random(len(of)) > rng.choice([0, 0.03, 0.1, 0.3])]
+                return np.unique(np.concatenate([keep, rng.integers(0, 1 << 63, rng.integers(0, 8), dtype=np.uint64)]))
+
+            leader = variant(base)
+            x = variant(base)
+            y = variant(x)
+            both = len(np.intersect1d(x, y))
+            if not len(leader) or not both or 100 * both < percent * (len(x) + len(y) - both) or np.array_equal(x, y):
+                continue
+            (lx, ax, bx), (ly, ay, by) = (jaccard_join.must_share(s, leader, percent) for s in (x, y))
+            if not (lx and ly) and not np.array_equal(x, leader) and not np.array_equal(y, leader):
+                met += 1
+                assert np.intersect1d(ax, ay).size or (lx != ly and np.intersect1d(bx, by).size)
+    assert met > 100
