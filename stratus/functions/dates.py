@@ -121,9 +121,11 @@ def days_between(later: ColumnOrName, earlier: ColumnOrName) -> Column:
     return F.datediff(_c(later), _c(earlier))
 
 
-def parse_local_ts(c: ColumnOrName, fmt: str = "yyyy-MM-dd'T'HH:mm") -> Column:
-    """Wall-clock local time text → TIMESTAMP_NTZ (never shifted by the session zone)."""
-    return F.to_timestamp_ntz(_c(c), F.lit(fmt))
+def parse_local_ts(c: ColumnOrName) -> Column:
+    """Wall-clock local time text, to the minute or the second → TIMESTAMP_NTZ (never shifted by
+    the session zone); NULL if it is neither."""
+    return F.coalesce(*(F.try_to_timestamp(_c(c), F.lit(f)).cast("timestamp_ntz")
+                        for f in ("yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd'T'HH:mm:ss")))
 
 
 def iso_date(d: ColumnOrName) -> Column:

@@ -173,10 +173,15 @@ def hours_per_day(stage: DataFrame, loc: str = "location_name", ts: str = "measu
                .where(F.col("n_rows") != F.col("expected_rows")).drop("_tz"))
 
 
-def run_ok(attempts: DataFrame, by=("run_date",)) -> DataFrame:
-    """Run verdict: fail only if there were hard failures and no success at all."""
+def run_ok(attempts: DataFrame, by=("run_date",), phase: str | None = None) -> DataFrame:
+    """Run verdict: fail only if there were hard failures and the incremental phase loaded nothing.
+
+    ``phase`` names the column of the attempts' phase; failures of any phase count, successes
+    only of the phase ``incremental``. Without it every success counts.
+    """
+    counts = F.lit(True) if phase is None else F.col(phase) == "incremental"
     return (attempts.groupBy(*by)
-                    .agg(F.count_if(F.col("status") == "success").alias("n_success"),
+                    .agg(F.count_if((F.col("status") == "success") & counts).alias("n_success"),
                          F.count_if(F.col("status") == "failed").alias("n_failed"))
                     .withColumn("ok", ~((F.col("n_failed") > 0) & (F.col("n_success") == 0))))
 

@@ -123,13 +123,17 @@ def pivot_forecast(long: DataFrame, run_date, key: str = "city_id", metrics=K.FO
 
 
 def forecast_skips(long: DataFrame, key: str = "city_id", min_points: int = K.MIN_HISTORY_POINTS,
-                   metrics=K.FORECAST_METRICS, fitted: DataFrame | None = None) -> DataFrame:
-    """Places whose every metric series is unfittable (too short, or failed to fit)."""
+                   places: DataFrame | None = None, fitted: DataFrame | None = None) -> DataFrame:
+    """Places whose every metric series is unfittable (too short, all NULL, or failed to fit).
+
+    ``places`` holds all places with history (``key``); ``long`` alone lacks those whose
+    values are all NULL, as those rows are not in it.
+    """
     n = long.groupBy(key, "metric").agg(F.count(F.lit(1)).alias("n"))
     ok = n.where(F.col("n") >= min_points).select(key, "metric")
     if fitted is not None:
         ok = ok.join(fitted.where(F.col("status") == "ok").select(key, "metric").distinct(), [key, "metric"], "left_semi")
-    places = long.select(key).distinct()
+    places = (long if places is None else places).select(key).distinct()
     return places.join(ok.select(key).distinct(), key, "left_anti").withColumn("fitted_metrics", F.lit(0))
 
 

@@ -52,8 +52,9 @@ def band_lookup(df: DataFrame, deg: str, bands: DataFrame, out: str,
     """
     idx = F.broadcast(degree_index(bands, lo, hi, id_col))
     d = F.col(deg)
-    key = F.when(d.isNotNull() & ~F.isnan(d), F.floor(d).cast("int"))
-    tmp = df.withColumn("_fdeg", key).withColumn("_cdeg", F.ceil(d).cast("int"))
+    near = d.cast("double").between(-1e9, 1e9)  # no band lies beyond; NaN and infinities don't either
+    tmp = (df.withColumn("_fdeg", F.when(near, F.floor(d)).cast("int"))
+             .withColumn("_cdeg", F.when(near, F.ceil(d)).cast("int")))
     j = tmp.join(idx, tmp["_fdeg"] == idx["_deg"], "left")
     return (j.withColumn(out, F.when(F.col("_cdeg") <= F.col("_to"), F.col("_id")))
              .drop("_fdeg", "_cdeg", "_deg", "_id", "_to"))

@@ -54,6 +54,15 @@ def _delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def rebalanced(df: DataFrame, part_col: str) -> DataFrame:
+    """``df`` dealt out by partition value before a partitioned write.
+
+    Without it every task writes a file into every partition. AQE splits large partition
+    values over several tasks and joins small ones, by the advisory size.
+    """
+    return df.hint("rebalance", F.col(part_col)).sortWithinPartitions(part_col)
+
+
 def replace_range_table(spark: SparkSession, path: str, new: DataFrame, date_col: str, start, end,
                         part_col: str, part_values, key_col: str | None = None, key=None,
                         kind: str = "date") -> DataFrame:
@@ -82,8 +91,8 @@ def rewrite_partitions(spark: SparkSession, path: str, state: DataFrame, part_co
     checkpoint_dir(spark)
     state = state.checkpoint(eager=True)  # reliable: written to the shared checkpoint folder
     present = {r[0] for r in state.select(part_col).distinct().collect()}  # ≤ len(part_values) rows
-    (state.sortWithinPartitions(part_col).write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path))
+    rebalanced(state, part_col).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path)
     stale = {f"{part_col}={v}" for v in part_values if v not in present}
     if stale:   # one directory listing, then delete only partitions that exist
         jvm = spark._jvm
@@ -145,12 +154,12 @@ def assign_ids(target: DataFrame, names: DataFrame, name: str, id_col: str = "id
     return new.select(name, (base + F.row_number().over(w)).cast(target.schema[id_col].dataType).alias(id_col))
 
 
-def append_table(df: DataFrame, path: str, partition_by=None) -> None:
+def append_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Append-only write (load log, forecast history)."""
-    w = df.write.mode("append")
     if partition_by:
-        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-    w.parquet(path)
+        rebalanced(df, partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
+    else:
+        df.write.mode("append").parquet(path)
 
 
 def append_absent_table(spark: SparkSession, path: str, new: DataFrame, keys, partition_by: str) -> int:
@@ -172,7 +181,6 @@ def append_absent_table(spark: SparkSession, path: str, new: DataFrame, keys, pa
     return n
 
 
-def write_partitioned(df: DataFrame, path: str, by, mode: str = "append") -> None:
+def write_partitioned(df: DataFrame, path: str, by: str, mode: str = "append") -> None:
     """Physically partitioned write (e.g. by YYYYMM); Spark creates partitions on demand."""
-    cols = [by] if isinstance(by, str) else list(by)
-    df.sortWithinPartitions(*cols).write.mode(mode).partitionBy(*cols).parquet(path)
+    rebalanced(df, by).write.mode(mode).partitionBy(by).parquet(path)

@@ -187,9 +187,8 @@ def _fact(spark, sf):
 
 
 def _mart(spark, sf):
-    st = _stage(spark, sf)
-    return mart.daily_mart(_fact(spark, sf), dims.dim_calendar(spark),
-                           dims.dim_weather_code(G.wmo_codes(spark), st))
+    # codes outside the list have no description; the mart's left join gives NULL for them
+    return mart.daily_mart(_fact(spark, sf), dims.dim_calendar(spark), G.wmo_codes(spark))
 
 
 @query("daily_mart")
@@ -210,8 +209,7 @@ def q_daily_mart_wide(spark, sf):
 # control plane
 # ---------------------------------------------------------------------------
 def _gaps(spark, sf):
-    cities = _stage(spark, sf).select(F.col("location_name").alias("city_name"))
-    return control.date_gaps(_log(spark, sf), cities, start="2024-01-01", today=TODAY)
+    return control.date_gaps(_log(spark, sf), _cities(spark, sf), start="2024-01-01", today=TODAY)
 
 
 @query("date_gaps")
@@ -284,7 +282,8 @@ def q_incomplete_days(spark, sf):
 
 @query("run_summary")
 def q_run_summary(spark, sf):
-    return control.run_ok(_log(spark, sf), by=("run_date",))
+    phase = F.when(F.col("layer") == "core", "incremental").otherwise("backfill")
+    return control.run_ok(_log(spark, sf).withColumn("phase", phase), by=("run_date", "city_name"), phase="phase")
 
 
 @query("constraint_checks")
@@ -343,8 +342,13 @@ def q_forecast_seasonal(spark, sf):
 
 @query("forecast_skips")
 def q_forecast_skips(spark, sf):
-    long = FC.melt_metrics(FC.history(_nation_mart(spark, sf), RUN_DATE))
-    return FC.forecast_skips(long)
+    """Nations (numbered below zero) have long histories, customers short ones or none at all."""
+    nations = _nation_mart(spark, sf).withColumn("city_id", -1 - F.col("city_id"))
+    long = FC.melt_metrics(FC.history(nations, RUN_DATE)).unionByName(
+        FC.melt_metrics(FC.history(_orders_mart(spark, sf), RUN_DATE)))
+    places = S.table(spark, sf, "nation").select((-1 - F.col("n_nationkey").cast("long")).alias("city_id")).unionByName(
+        _cities(spark, sf).select(F.col("id").cast("long").alias("city_id")))
+    return FC.forecast_skips(long, places=places)
 
 
 @query("forecast_accuracy")
@@ -427,23 +431,21 @@ from stratus.sources import payload as P  # noqa: E402
 
 PAYLOAD_VARS = ["temperature_2m", "relative_humidity_2m", "precipitation", "wind_direction_10m",
                 "weather_code", "is_day"]
-PAYLOAD_CHUNK = 64   # events per landed document: a document never exceeds this many hours
-
-
 def _field(n):
     return lambda x: x[n]
 
 
 def landed_documents(stage: DataFrame) -> DataFrame:
-    """Stage rows → JSON documents of parallel arrays, one per (place, block of event ids)."""
+    """Stage rows → JSON documents of parallel arrays, one per place and week."""
     rows = stage.select(
         "location_name", "latitude", "longitude", "elevation_m", "timezone", "event_id",
-        F.floor(F.col("event_id") / PAYLOAD_CHUNK).alias("_chunk"),
+        F.date_trunc("week", "measured_at").alias("_week"),
         F.struct(F.date_format("measured_at", "yyyy-MM-dd'T'HH:mm").alias("time"),
                  *[F.col(v) for v in PAYLOAD_VARS if v not in ("weather_code", "is_day")],
                  F.col("weather_code").cast("string").alias("weather_code"),
                  F.col("is_day").cast("int").cast("string").alias("is_day")).alias("h"))
-    docs = rows.groupBy("location_name", "_chunk").agg(
+    docs = rows.groupBy("location_name", "_week").agg(
+        F.min("event_id").alias("first_event"),
         F.min_by(F.struct("latitude", "longitude", "elevation_m", "timezone"), F.col("event_id")).alias("g"),
         F.collect_list(F.col("h")).alias("hs"))   # order is free: every array is cut from the same list
     hourly = F.struct(*[F.transform("hs", _field(n)).alias(n) for n in ["time", *PAYLOAD_VARS]])
@@ -451,7 +453,7 @@ def landed_documents(stage: DataFrame) -> DataFrame:
                    F.col("g.latitude").alias("latitude"), F.col("g.longitude").alias("longitude"),
                    F.col("g.elevation_m").alias("elevation"), F.col("g.timezone").alias("timezone"),
                    hourly.alias("hourly"))
-    return docs.select(F.to_json(doc).alias("doc"))
+    return docs.select("first_event", F.to_json(doc).alias("doc"))
 
 
 @query("payload_explode")
@@ -461,6 +463,37 @@ def q_payload_explode(spark, sf):
     return P.explode_payload(parsed, names=PAYLOAD_VARS).drop("loaded_at")
 
 
+@query("payload_failed")
+def q_payload_failed(spark, sf):
+    """Every fifth document is made ragged, every fifth corrupt, every fifth has an odd time text."""
+    kind = F.col("first_event") % 5
+    doc = (F.when(kind == 1, F.regexp_replace("doc", r'"precipitation":\[', '"precipitation":[0.5,'))
+            .when(kind == 2, F.expr("left(doc, length(doc) - 2)"))
+            .when(kind == 3, F.regexp_replace("doc", r'"time":\["', '"time":["on ')).otherwise(F.col("doc")))
+    schema = P.payload_schema(PAYLOAD_VARS).add("_corrupt", "string")
+    parsed = landed_documents(_stage(spark, sf)).select(
+        F.from_json(doc, schema, {"columnNameOfCorruptRecord": "_corrupt"}).alias("p")).select("p.*")
+    bad = P.invalid_payloads(parsed, names=PAYLOAD_VARS)
+    name = F.when(F.col("error") == "unreadable document", "unknown").otherwise(F.col("name"))
+    return bad.groupBy(name.alias("city_name"), "error").agg(F.count("*").alias("n_documents"))
+
+
+@query("slice_latest_wins")
+def q_slice_latest_wins(spark, sf):
+    """Places of even number land every document twice, the second time 10 degrees warmer."""
+    from stratus.streaming.ingest import latest_documents
+    stage = _stage(spark, sf)
+    day = F.to_date("measured_at").alias("day")
+
+    def landed(rows, at):
+        return rows.select(*STREAM_COLS, day, F.struct(F.lit(at).alias("at"), F.lit("f").alias("file")).alias("_landed"))
+
+    again = stage.where(F.substring("location_name", -1, 1).cast("int") % 2 == 0) \
+                 .withColumn("temperature_2m", F.col("temperature_2m") + 10)
+    rows = landed(stage, 1).unionByName(landed(again, 2))
+    return latest_documents(rows, ["location_name", "day"]).drop("day")
+
+
 @query("daily_limit_filter")
 def q_daily_limit_filter(spark, sf):
     r = S.responses_from_events(S.table(spark, sf, "events"))
@@ -489,8 +522,7 @@ def q_hours_per_day(spark, sf):
 
 @query("gap_view_sql")
 def q_gap_view_sql(spark, sf):
-    cities = _stage(spark, sf).select(F.col("location_name").alias("city_name"))
-    control.register_gap_view(spark, _log(spark, sf), cities, TODAY, start="2024-01-01")
+    control.register_gap_view(spark, _log(spark, sf), _cities(spark, sf), TODAY, start="2024-01-01")
     return spark.sql("SELECT missing_date, count(*) AS n_gaps, count(DISTINCT city_name) AS n_places "
                      "FROM v_date_gaps WHERE layer = 'core' GROUP BY missing_date")
 

@@ -326,7 +326,7 @@ log AS (
 
 GAPS = f"""
 {LOG},
-gap_cities AS (SELECT DISTINCT 'Customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0') AS city_name FROM events),
+gap_cities AS (SELECT c_name AS city_name FROM customer),
 gaps AS (
   SELECT CAST(d AS DATE) AS missing_date, c.city_name, l.layer
   FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY)) AS d) days
@@ -398,10 +398,11 @@ WHERE status = 'success' AND rows_loaded <> expected_rows"""
 
 ORACLE["run_summary"] = f"""
 WITH {LOG.strip()}
-SELECT run_date, count(*) FILTER (WHERE status = 'success') AS n_success,
+SELECT run_date, city_name, count(*) FILTER (WHERE status = 'success' AND layer = 'core') AS n_success,
        count(*) FILTER (WHERE status = 'failed') AS n_failed,
-       NOT (count(*) FILTER (WHERE status = 'failed') > 0 AND count(*) FILTER (WHERE status = 'success') = 0) AS ok
-FROM log GROUP BY 1"""
+       NOT (count(*) FILTER (WHERE status = 'failed') > 0
+            AND count(*) FILTER (WHERE status = 'success' AND layer = 'core') = 0) AS ok
+FROM log GROUP BY 1, 2"""
 
 ORACLE["constraint_checks"] = """
 SELECT 'lineitem_pk' AS check_name, count(*) AS violations FROM (
@@ -532,8 +533,12 @@ WITH {NATION_MART.strip()},
 ORACLE["forecast_skips"] = f"""
 WITH {NATION_MART.strip()},
 {long_of("long", "nmart", f"date >= DATE '{RUN}' - 730").strip()},
-ok AS (SELECT city_id FROM long GROUP BY city_id, metric HAVING count(*) >= 60)
-SELECT DISTINCT city_id, 0 AS fitted_metrics FROM long WHERE city_id NOT IN (SELECT city_id FROM ok)"""
+ok AS (SELECT city_id FROM long GROUP BY city_id, metric HAVING count(*) >= 60),
+days AS (SELECT o_custkey, count(DISTINCT CAST(o_orderdate AS DATE)) AS n FROM orders
+         WHERE o_orderdate >= DATE '{RUN}' - 730 GROUP BY 1)
+SELECT -1 - n_nationkey AS city_id, 0 AS fitted_metrics FROM nation WHERE n_nationkey NOT IN (SELECT city_id FROM ok)
+UNION ALL
+SELECT c_custkey, 0 FROM customer LEFT JOIN days ON o_custkey = c_custkey WHERE coalesce(n, 0) < 60"""
 
 
 def r4(expr: str) -> str:
@@ -657,9 +662,23 @@ SELECT location_name, CAST(NULL AS VARCHAR) AS country,
        temperature_2m, relative_humidity_2m, precipitation, wind_direction_10m,
        CAST(weather_code AS SMALLINT) AS weather_code, is_day
 FROM stage
-WINDOW w AS (PARTITION BY location_name, floor(event_id / 64) ORDER BY event_id
+WINDOW w AS (PARTITION BY location_name, date_trunc('week', measured_at) ORDER BY event_id
              ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
 
+ORACLE["payload_failed"] = f"""
+WITH {STAGE},
+docs AS (SELECT location_name, min(event_id) % 5 AS kind FROM stage GROUP BY location_name, date_trunc('week', measured_at))
+SELECT CASE WHEN kind = 2 THEN 'unknown' ELSE location_name END AS city_name,
+       CASE kind WHEN 1 THEN 'arrays of unequal length' WHEN 2 THEN 'unreadable document' ELSE 'unreadable time' END AS error,
+       count(*) AS n_documents
+FROM docs WHERE kind IN (1, 2, 3) GROUP BY 1, 2"""
+
+ORACLE["slice_latest_wins"] = f"""
+WITH {STAGE}
+SELECT location_name, measured_at,
+       CASE WHEN CAST(right(location_name, 1) AS INTEGER) % 2 = 0 THEN temperature_2m + 10 ELSE temperature_2m END AS temperature_2m,
+       precipitation, weather_code, event_id FROM stage"""
+
 BODY_CASE = "CASE event_type " + " ".join(f"WHEN {_sql_lit(k)} THEN {_sql_lit(v)}" for k, v in RESPONSE_BODIES.items()) + " END"
 ORACLE["daily_limit_filter"] = f"""
 WITH r AS (SELECT event_id AS id, 400 + {K} AS status, {BODY_CASE} AS body FROM events),

@@ -31,9 +31,9 @@ from stratus.functions import constants as K
 from stratus.functions.dates import date_from_id, date_id, day_ids_between, months_between, run_window
 from stratus.operators import control, dims, facts, forecast, mart, writes
 from stratus.sources.generators import wind_bands, wmo_codes
-from stratus.sources.payload import explode_payload, read_landed
+from stratus.sources.payload import explode_payload, invalid_payloads, read_landed
 from stratus.sources.scans import history_from_fact, in_window, scan_window
-from stratus.streaming.ingest import replace_batch
+from stratus.streaming.ingest import latest_documents, replace_batch
 
 COUNTRY_ATTRS = ["iso_code_2", "iso_code_3", "continent", "region"]
 CITY_ATTRS = ["latitude", "longitude", "elevation_m", "timezone", "is_capital", "climate_zone", "country_id"]
@@ -64,12 +64,13 @@ def merge_dimension(spark: SparkSession, path: str, source: DataFrame, key: str,
     return spark.read.parquet(path)
 
 
-def _log_rows(keys: DataFrame, layer: str, now) -> DataFrame:
-    """Load-log rows (one per place and day) from (city_name, run_date, rows_loaded)."""
-    return keys.select("run_date", "city_name", F.lit(layer).alias("layer"), F.lit("success").alias("status"),
+def _log_rows(keys: DataFrame, layer: str, now, status: str = "success") -> DataFrame:
+    """Load-log rows (one per place and day) from (city_name, run_date, rows_loaded[, error_msg])."""
+    error = F.col("error_msg") if "error_msg" in keys.columns else F.lit(None)
+    return keys.select("run_date", "city_name", F.lit(layer).alias("layer"), F.lit(status).alias("status"),
                        F.col("rows_loaded").cast("int"), F.lit(K.EXPECTED_ROWS_PER_DAY).alias("expected_rows"),
                        F.lit(now).cast("timestamp_ntz").alias("executed_at"),
-                       F.lit(None).cast("string").alias("error_msg"))
+                       error.cast("string").alias("error_msg"))
 
 
 def _repair(spark, path, upstream_keys, downstream, downstream_keys, recompute, today, up_rows, up_day, day_of):
@@ -98,7 +99,7 @@ def daily_run(spark: SparkSession, root: str, landed, cities_cfg: DataFrame, tod
     root = root.rstrip("/")
     start, end = run_window(today, start, end)
     months = months_between(start, end)
-    now = now or f"{str(today)[:10]} 08:00:00"
+    now = now or dt.datetime.now().isoformat(sep=" ", timespec="microseconds")
     P = {n: f"{root}/{n}" for n in ("stage", "load_log", "dim_countries", "dim_cities", "dim_weather_code",
                                     "fact_hourly", "fact_daily", "mart_daily", "forecast")}
     report = {"start": start, "end": end, "seconds": {}}
@@ -112,8 +113,17 @@ def daily_run(spark: SparkSession, root: str, landed, cities_cfg: DataFrame, tod
     # 1. stage -------------------------------------------------------------------------------
     docs = read_landed(spark, landed) if isinstance(landed, str) else landed
     rows = in_window(explode_payload(docs, now=now), "measured_at", start, end)
+    if "_landed" in rows.columns:               # of several documents for a place and day the last one counts
+        rows = latest_documents(rows.withColumn("_day", F.to_date("measured_at")), ["location_name", "_day"]).drop("_day")
     rows = rows.checkpoint(eager=True)          # parse the landed JSON once; reused by every step below
     report["stage_rows"] = replace_batch(spark, rows, P["stage"])
+    # a document that can't be read is logged with its reason; the others go on
+    bad = invalid_payloads(docs).select(
+        F.coalesce("name", F.lit("unknown")).alias("city_name"), F.lit(start).cast("date").alias("run_date"),
+        F.lit(None).cast("int").alias("rows_loaded"), F.col("error").alias("error_msg")).checkpoint(eager=True)
+    report["failed_documents"] = bad.count()
+    if report["failed_documents"]:
+        writes.append_table(_log_rows(bad, "stage", now, "failed"), P["load_log"], "layer")
     stage = spark.read.parquet(P["stage"])
     counts = (rows.groupBy(F.col("location_name").alias("city_name"), F.to_date("measured_at").alias("run_date"))
                   .agg(F.count(F.lit(1)).alias("rows_loaded")))
@@ -190,7 +200,9 @@ def daily_run(spark: SparkSession, root: str, landed, cities_cfg: DataFrame, tod
     cutoff = (dt.date.fromisoformat(str(today)[:10]) - dt.timedelta(days=history_days)).isoformat()
     cut_ym = int(cutoff[:4]) * 100 + int(cutoff[5:7])
     hist = history_from_fact(fact.where(F.col("ym") >= cut_ym), cal, cities, cutoff)   # partition pruning
+    hist = hist.where(F.col("ds") < F.lit(str(today)[:10]).cast("date"))   # a run in the past sees its past only
     long = forecast.melt_metrics(hist, date_col="ds")
+    report["forecast_skipped"] = forecast.forecast_skips(long, places=hist).count()
     done = _read(spark, P["forecast"])
     if done is not None:   # insert-only: places already forecast for this run are not refitted
         done = done.where(F.col("forecast_run_date") == F.lit(str(today)[:10]).cast("date")).select("city_id")

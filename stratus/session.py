@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,6 +18,7 @@ _DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -46,14 +48,18 @@ def get_spark(master: str | None = None, app: str = "stratus", shuffle_partition
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when nothing is configured (a laptop or a
-    unit test) a fresh scratch folder is created and registered.
+    The cluster's setting always wins. Only on a local master (a laptop or a unit test) a
+    fresh scratch folder is created when nothing is configured; elsewhere executors would
+    not see the driver's own folder, so that is an error.
     """
     d = spark.sparkContext.getCheckpointDir()
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         d = tempfile.mkdtemp(prefix="stratus-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d

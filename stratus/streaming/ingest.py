@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.operators.writes import _exists
+from stratus.operators.writes import _exists, rebalanced
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # keep microseconds through landed text files
 
@@ -23,25 +23,37 @@ def replace_batch(spark: SparkSession, batch: DataFrame, target: str, loc: str =
                   ts: str = "measured_at", part_col: str = "day") -> int:
     """Replace the (place, day) slices present in ``batch`` inside the Parquet table ``target``.
 
-    The table is partitioned by ``day``; only the days of the batch are read and
-    rewritten (every such day keeps at least the batch's own rows, so no partition is
-    left empty). When existing partitions are read, the new state is checkpointed
-    before the overwrite. Returns the number of batch rows.
+    If the batch carries ``_landed`` (the landing order of documents), a slice is made of the
+    rows of its latest document only; a corrected document replaces the original, also within
+    one batch. The table is partitioned by ``day``; only the days of the batch are read
+    and rewritten (every such day keeps at least the batch's own rows, so no partition is
+    left empty). The batch is worked out once; the new state is checkpointed before the
+    overwrite when it reads existing partitions. Returns the number of rows written.
     """
     rows = batch.withColumn(part_col, F.to_date(F.col(ts)))
-    slices = rows.select(loc, part_col).distinct()
-    days = [r[0] for r in slices.select(part_col).distinct().collect()]  # days of one batch: bounded
-    if not days:
+    if "_landed" in batch.columns:
+        rows = latest_documents(rows, [loc, part_col])
+    rows = rows.checkpoint(eager=True)
+    slices = rows.groupBy(loc, part_col).agg(F.count(F.lit(1)).alias("_n"))
+    per_day = {r[0]: r[1] for r in slices.groupBy(part_col).agg(F.sum("_n")).collect()}  # days of one batch: bounded
+    if not per_day:
         return 0
     if _exists(spark, target):
-        cur = spark.read.parquet(target).where(F.col(part_col).isin(days))
+        cur = spark.read.parquet(target).where(F.col(part_col).isin(list(per_day)))
         state = cur.join(slices, [loc, part_col], "left_anti").unionByName(rows.select(*cur.columns))
         state = state.checkpoint(eager=True)  # the overwrite must not read what it replaces
     else:
         state = rows
-    (state.sortWithinPartitions(part_col).write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(target))
-    return rows.count()
+    rebalanced(state, part_col).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(target)
+    return sum(per_day.values())
+
+
+def latest_documents(rows: DataFrame, keys) -> DataFrame:
+    """Of every key the rows of the document that landed last; without the order column."""
+    last = rows.groupBy(*keys).agg(F.max("_landed").alias("_last"))
+    same = [rows[k].eqNullSafe(last[k]) for k in keys] + [rows["_landed"] == last["_last"]]
+    return rows.join(last, same, "left_semi").drop("_landed")
 
 
 def ingest_available(spark: SparkSession, source: str, schema, target: str, checkpoint: str,

@@ -101,7 +101,9 @@ def test_entry_contract(spark):
     assert df.count() > 0
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"forecast_seasonal"}
+    from stratus.plans.catalog import QUERIES
+    assert set(QUERIES) <= set(q)
+    assert set(QUERIES) - set(o) == {"forecast_seasonal"}
 
 
 def test_stream_ingest_of_landed_payload_documents(spark, tmp_path):
