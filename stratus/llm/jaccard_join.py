@@ -240,7 +240,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     discard(nodes)
 
     wanted = stars.select(F.col("u").alias("wanted")).union(stars.select("v")).distinct()
-    bodies = saved(repeats.packed(texts).join(wanted, F.col("doc") == F.col("wanted"), "left_semi")
+    # the list of nodes grows with the input: never broadcast it
+    bodies = saved(repeats.packed(texts).join(wanted.hint("merge"), F.col("doc") == F.col("wanted"), "left_semi")
                    .select("doc", "body"), "bodies")
     links, opened = [], []
     while not stars.isEmpty():
