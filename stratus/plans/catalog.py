@@ -362,7 +362,7 @@ def q_forecast_accuracy(spark, sf):
 def q_latest_run(spark, sf):
     runs = FC.pivot_forecast(_linear(spark, sf, HOLDOUT_RUN, until=HOLDOUT_RUN), HOLDOUT_RUN) \
              .unionByName(FC.pivot_forecast(_linear(spark, sf, RUN_DATE), RUN_DATE))
-    latest = runs.where(F.col("forecast_run_date") == F.lit(RUN_DATE).cast("date"))
+    latest = runs.where(F.col("forecast_run_date") == runs.agg(F.max("forecast_run_date")).scalar())
     return latest.orderBy("target_date", "city_id").limit(30)
 
 
