@@ -88,6 +88,20 @@ def kpis_yoy(mart: DataFrame, date_col: str = "date") -> DataFrame:
     return out
 
 
+def kpis_of_period(mart: DataFrame, start, end, date_col: str = "date") -> DataFrame:
+    """KPIs of a period, of the same period a year before, and the deltas: one row.
+
+    Part years are compared with the same part of the year before.
+    """
+    day, a, b = F.col(date_col), as_date_lit(start), as_date_lit(end)
+    now, before = day.between(a, b), day.between(F.add_months(a, -12), F.add_months(b, -12))
+    halves = kpis(mart.where(now | before).withColumn("_now", now), by=["_now"])   # at most two rows
+    out = halves.agg(*(F.max(F.when(flag, F.col(n))).alias(p + n) for p, flag in (
+        ("", F.col("_now")), ("prev_", ~F.col("_now"))) for n in KPI_NAMES))
+    deltas = {f"delta_{n}": F.col(n) - F.col(f"prev_{n}") for n in KPI_NAMES}
+    return out.withColumns({k: d if k == "delta_rainy_days" else round2(d) for k, d in deltas.items()})
+
+
 def period_compare(mart: DataFrame, name: str, unit: str = "month", date_col: str = "date",
                    by=None) -> DataFrame:
     """Measure per period (month/quarter/year) with the previous period's value and delta."""

@@ -532,3 +532,55 @@ def q_forecast_linear_last_obs(spark, sf):
     """The original's anchoring: days after each series' last observation, kept if 1..7 ahead of the run."""
     long = FC.melt_metrics(FC.history(_nation_mart(spark, sf), RUN_DATE))
     return FC.pivot_forecast(FC.forecast_linear(long, RUN_DATE, anchor="last_obs"), RUN_DATE)
+
+
+# ---------------------------------------------------------------------------
+# windows, histories and reruns
+# ---------------------------------------------------------------------------
+@query("mart_window")
+def q_mart_window(spark, sf):
+    return mart.daily_mart(_fact(spark, sf), dims.dim_calendar(spark), G.wmo_codes(spark), *WINDOW)
+
+
+@query("active_places")
+def q_active_places(spark, sf):
+    from stratus.sources.config import active_cities
+    return active_cities(_cfg(spark, sf)).select("name", "country", "pos")
+
+
+@query("kpi_period")
+def q_kpi_period(spark, sf):
+    return M.kpis_of_period(_orders_mart(spark, sf), "2000-03-01", "2000-08-31")
+
+
+@query("months_fully_loaded")
+def q_months_fully_loaded(spark, sf):
+    """Months of the orders' span in which every day has an order, per status."""
+    o = S.table(spark, sf, "orders").select(F.col("o_orderstatus").alias("key"), F.to_date("o_orderdate").alias("day"))
+    span = o.groupBy("key").agg(F.min(F.year("day")).alias("y0"), F.max("day").alias("d1"))
+    months = span.select("key", F.explode(F.sequence(F.make_date("y0", F.lit(1), F.lit(1)), "d1",
+                                                     F.expr("INTERVAL 1 MONTH"))).alias("start"))
+    chunks = months.withColumn("end", F.last_day("start"))
+    return joins.fully_present(chunks, o, "key", "start", "end", "key", "day")
+
+
+@query("forecast_history")
+def q_forecast_history(spark, sf):
+    """Days and rain of every place's forecast history, read from the daily fact."""
+    from stratus.sources.scans import history_from_fact
+    fact = facts.daily_rollup(S.orders_as_stage(S.table(spark, sf, "orders")), _cities(spark, sf))
+    hist = history_from_fact(fact, dims.dim_calendar(spark), _cities(spark, sf), "2000-01-01")
+    return hist.groupBy("city_id", "city_name").agg(F.count("*").alias("n_days"), F.min("ds").alias("first_day"),
+                                                    F.max("ds").alias("last_day"),
+                                                    F.max("precipitation_sum").alias("most_rain"))
+
+
+@query("forecast_rerun")
+def q_forecast_rerun(spark, sf):
+    """The forecast table after the same run was appended twice: insert-only, so once."""
+    from stratus.session import scratch_path
+    path = scratch_path(spark, "forecast-rerun")
+    wide = FC.pivot_forecast(_linear(spark, sf, RUN_DATE), RUN_DATE).checkpoint()
+    for _ in range(2):
+        writes.append_absent_table(spark, path, wide, ["forecast_run_date", "target_date", "city_id"], "forecast_run_date")
+    return spark.read.parquet(path).select(*wide.columns)

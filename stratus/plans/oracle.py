@@ -706,3 +706,35 @@ WITH {NATION_MART.strip()},
 {long_of("long", "nmart", f"date >= DATE '{RUN}' - 730").strip()},
 {linear_pred("pred", "long", RUN, last_obs=True).strip()}
 {pivot_sql("pred", RUN)}"""
+
+ORACLE["mart_window"] = f"""
+WITH {STAGE},{CITIES},{daily_fact_cte()}, {SEED},{CAL_DAYS},
+mart AS ({MART_SELECT})
+SELECT * FROM mart WHERE date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'"""
+
+ORACLE["active_places"] = """
+SELECT c_name AS name, n_name AS country, c_custkey AS pos
+FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey WHERE c_acctbal > 0"""
+
+ORACLE["kpi_period"] = f"""
+WITH {CITIES.strip()},{CUSTOMER_MART},
+a AS (SELECT {kpi_cols()} FROM cmart WHERE date BETWEEN DATE '2000-03-01' AND DATE '2000-08-31'),
+b AS (SELECT {kpi_cols()} FROM cmart WHERE date BETWEEN DATE '1999-03-01' AND DATE '1999-08-31')
+SELECT {", ".join(f"a.{k}, b.{k} AS prev_{k}" for k in KPIS)},
+       {", ".join((f"{r2(f'a.{k} - b.{k}')} AS delta_{k}" if k != "rainy_days" else f"a.{k} - b.{k} AS delta_{k}") for k in KPIS)}
+FROM a, b"""
+
+ORACLE["months_fully_loaded"] = """
+WITH d AS (SELECT DISTINCT o_orderstatus AS key, CAST(o_orderdate AS DATE) AS day FROM orders),
+m AS (SELECT key, CAST(date_trunc('month', day) AS DATE) AS start, count(*) AS n FROM d GROUP BY 1, 2)
+SELECT key, start, last_day(start) AS "end" FROM m WHERE n = day(last_day(start))"""
+
+ORACLE["forecast_history"] = """
+WITH d AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day,
+                  CAST(round(sum(CAST(CASE WHEN o_orderstatus = 'F' THEN o_totalprice / 50000 ELSE 0.0 END AS DOUBLE)), 2) AS DOUBLE) AS rain
+           FROM orders WHERE o_orderdate >= DATE '2000-01-01' GROUP BY 1, 2)
+SELECT c_custkey AS city_id, c_name AS city_name, count(*) AS n_days, min(day) AS first_day, max(day) AS last_day,
+       max(rain) AS most_rain
+FROM d JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2"""
+
+ORACLE["forecast_rerun"] = ORACLE["forecast_linear"]
