@@ -113,14 +113,6 @@ def next_month(d: ColumnOrName) -> Column:
     return F.add_months(month_start(d), 1)
 
 
-def yesterday(today) -> Column:
-    return F.date_sub(as_date_lit(today), 1)
-
-
-def days_between(later: ColumnOrName, earlier: ColumnOrName) -> Column:
-    return F.datediff(_c(later), _c(earlier))
-
-
 def parse_local_ts(c: ColumnOrName) -> Column:
     """Wall-clock local time text, to the minute or the second → TIMESTAMP_NTZ (never shifted by
     the session zone); NULL if it is neither."""
@@ -128,10 +120,6 @@ def parse_local_ts(c: ColumnOrName) -> Column:
                         for f in ("yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd'T'HH:mm:ss")))
 
 
-def iso_date(d: ColumnOrName) -> Column:
-    return F.date_format(_c(d), "yyyy-MM-dd")
-
-
 def run_window(today, start=None, end=None) -> tuple[str, str]:
     """The run's (start, end) dates: both default to the day before ``today``."""
     t = _dt.date.fromisoformat(str(today)[:10])

@@ -34,17 +34,7 @@ def sum_hours(c: ColumnOrName) -> Column:
     return round2(F.sum(_c(c)) / F.lit(3600.0))
 
 
-def nan_to_null(c: ColumnOrName) -> Column:
-    c = _c(c)
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
-
-
 def clamp_nonneg(c: ColumnOrName) -> Column:
     """max(0, x), NULL stays NULL (``greatest`` alone would turn NULL into 0)."""
     c = _c(c)
     return F.when(c.isNull(), F.lit(None).cast("double")).otherwise(F.greatest(F.lit(0.0), c))
-
-
-def least_of(*cols: ColumnOrName) -> Column:
-    """LEAST over columns; NULLs are skipped."""
-    return F.least(*[_c(c) for c in cols])

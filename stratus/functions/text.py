@@ -23,15 +23,6 @@ def contains_any(c: ColumnOrName, words) -> Column:
     return out
 
 
-def json_field(c: ColumnOrName, path: str) -> Column:
-    """Text of a JSON path (``$.a.b``); NULL if absent or not JSON."""
-    return F.get_json_object(_c(c), path)
-
-
-def with_default(c: ColumnOrName, value) -> Column:
-    return F.coalesce(_c(c), F.lit(value))
-
-
 def is_json_object(c: ColumnOrName) -> Column:
     c = _c(c)
     return F.ltrim(c).startswith("{") & F.get_json_object(c, "$").isNotNull()

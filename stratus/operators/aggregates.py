@@ -34,21 +34,6 @@ def measure_exprs(spec) -> list[Column]:
     return [_KINDS[kind](F.col(src)).alias(out) for out, kind, src in spec]
 
 
-def distinct_values(df: DataFrame, cols, drop_nulls: bool = False) -> DataFrame:
-    out = df.select(*cols)
-    if drop_nulls:
-        out = out.dropna()
-    return out.distinct()
-
-
-def missing_days(gaps: DataFrame, by: str = "city_name", layer: str | None = "stage",
-                 out: str = "missing_days") -> DataFrame:
-    """Number of gap days per place (progress report)."""
-    if layer is not None and "layer" in gaps.columns:
-        gaps = gaps.where(F.col("layer") == layer)
-    return gaps.groupBy(by).agg(F.count(F.lit(1)).alias(out))
-
-
 def coverage(df: DataFrame, date_col: str, key: str, out: str = "cities",
              approx: bool = False) -> DataFrame:
     """Distinct places per month (``approx=True`` uses HyperLogLog++ for dashboards)."""
@@ -62,10 +47,4 @@ def series_index(hist: DataFrame, keys=("city_id", "city_name")) -> DataFrame:
     return hist.select(*keys).distinct().orderBy(*keys)
 
 
-def row_accounting(df: DataFrame, name: str = "rows") -> DataFrame:
-    """One-row frame with the row count (kept as a DataFrame; no driver round trip)."""
-    return df.agg(F.count(F.lit(1)).alias(name))
-
-
-__all__ = ["dominant", "measure_exprs", "distinct_values", "missing_days", "coverage",
-           "series_index", "row_accounting"]
+__all__ = ["dominant", "measure_exprs", "coverage", "series_index"]

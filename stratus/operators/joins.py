@@ -17,12 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def join_city(df: DataFrame, cities: DataFrame, df_key: str = "location_name",
-              city_key: str = "city_name", how: str = "inner") -> DataFrame:
-    """Fact → place dimension by name. Inner: rows of unknown places are dropped."""
-    return df.join(cities, df[df_key] == cities[city_key], how)
-
-
 def band_join(df: DataFrame, deg: str, bands: DataFrame, out: str,
               lo: str = "degree_from", hi: str = "degree_to", id_col: str = "id") -> DataFrame:
     """Left range join ``deg BETWEEN lo AND hi`` (the original formulation).
@@ -70,12 +64,6 @@ def compass16(deg: str):
     return (F.pmod(F.floor((d + F.lit(11.25)) / F.lit(22.5)), F.lit(16)) + 1).cast("smallint")
 
 
-def left_lookup(df: DataFrame, dim: DataFrame, left_on: str, right_on: str, cols) -> DataFrame:
-    """Left equi join keeping every fact row; unseen or NULL keys get NULL attributes."""
-    d = dim.select(F.col(right_on).alias("_k"), *cols)
-    return df.join(d, df[left_on] == d["_k"], "left").drop("_k")
-
-
 def lookup_id(df: DataFrame, dim: DataFrame, name_col: str, dim_name: str, dim_id: str,
               out: str) -> DataFrame:
     """Scalar-subquery style id lookup by unique name (NULL when absent)."""
@@ -83,11 +71,6 @@ def lookup_id(df: DataFrame, dim: DataFrame, name_col: str, dim_name: str, dim_i
     return df.join(d, df[name_col] == d["_n"], "left").drop("_n")
 
 
-def missing_from(spine: DataFrame, done: DataFrame, keys) -> DataFrame:
-    """Rows of ``spine`` whose key tuple does not occur in ``done`` (NOT EXISTS)."""
-    return spine.join(done.select(*keys).distinct(), list(keys), "left_anti")
-
-
 def fully_present(chunks: DataFrame, done: DataFrame, key: str, start: str, end: str,
                   done_key: str, done_day: str) -> DataFrame:
     """Month chunks whose every day in [start, end] is present in ``done``.

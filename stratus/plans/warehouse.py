@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from stratus.functions import constants as K
 from stratus.functions.dates import date_from_id, date_id, day_ids_between, months_between, run_window
-from stratus.operators import control, dims, facts, forecast, mart, writes
+from stratus.operators import aggregates, control, dims, facts, forecast, mart, writes
 from stratus.sources.generators import wind_bands, wmo_codes
 from stratus.sources.payload import explode_payload, invalid_payloads, read_landed
 from stratus.sources.scans import history_from_fact, in_window, scan_window
@@ -202,6 +202,7 @@ def daily_run(spark: SparkSession, root: str, landed, cities_cfg: DataFrame, tod
     hist = history_from_fact(fact.where(F.col("ym") >= cut_ym), cal, cities, cutoff)   # partition pruning
     hist = hist.where(F.col("ds") < F.lit(str(today)[:10]).cast("date"))   # a run in the past sees its past only
     long = forecast.melt_metrics(hist, date_col="ds")
+    report["forecast_series"] = aggregates.series_index(hist).count()
     report["forecast_skipped"] = forecast.forecast_skips(long, places=hist).count()
     done = _read(spark, P["forecast"])
     if done is not None:   # insert-only: places already forecast for this run are not refitted

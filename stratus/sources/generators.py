@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratus.functions.constants import LAYERS, WIND_BANDS, WMO_CODES
+from stratus.functions.constants import WIND_BANDS, WMO_CODES
 from stratus.functions.dates import as_date_lit
 
 WIND_BAND_SCHEMA = T.StructType([
@@ -39,10 +39,6 @@ def wmo_codes(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(WMO_CODES, WMO_SCHEMA)
 
 
-def layers(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(x,) for x in LAYERS], "layer string")
-
-
 def day_sequence(start, end) -> Column:
     """Array of dates start..end inclusive (empty when start > end)."""
     s, e = as_date_lit(start), as_date_lit(end)

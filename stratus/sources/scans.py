@@ -44,32 +44,12 @@ def scan_window(df: DataFrame, ts: str, start, end, part_col: str | None = None,
     return out
 
 
-def in_date_ids(df: DataFrame, col: str, start, end) -> DataFrame:
-    """Integer YYYYMMDD key BETWEEN the keys of two dates."""
-    return df.where(F.col(col).between(date_id(as_date_lit(start)), date_id(as_date_lit(end))))
-
-
-def since(df: DataFrame, col: str, cutoff) -> DataFrame:
-    return df.where(F.col(col) >= as_date_lit(cutoff))
-
-
 def successes(log: DataFrame, layer: str = "stage") -> DataFrame:
     """Distinct successful (city_name, run_date) pairs of one layer."""
     return (log.where((F.col("layer") == layer) & (F.col("status") == "success"))
                .select("city_name", "run_date").distinct())
 
 
-def drop_null(df: DataFrame, cols) -> DataFrame:
-    return df.dropna(subset=list(cols))
-
-
-def where_eq(df: DataFrame, **kv) -> DataFrame:
-    cond = F.lit(True)
-    for k, v in kv.items():
-        cond = cond & (F.col(k) == F.lit(v))
-    return df.where(cond)
-
-
 def history_from_fact(daily: DataFrame, calendar: DataFrame, cities: DataFrame, cutoff) -> DataFrame:
     """Forecast history: daily fact ⋈ calendar ⋈ place dimension, ``date >= cutoff``,
     with the forecast's column names (city_id, city_name, ds, 8 metrics)."""
