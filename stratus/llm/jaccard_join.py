@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratus.llm import repeats, winnow
-from stratus.llm.common import discard, saved, whole_text
+from stratus.llm.common import discard, saved
 from stratus.llm.components import components
 
 #: Parts of a set that are emitted as signatures, per size class.
@@ -276,4 +276,5 @@ def keep_one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80, id_co
     """The rows of ``docs`` but those whose component has a smaller id; the columns stay."""
     found = jaccard_components(docs, n, percent, id_col, text_col)
     gone = found.where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_x2_id")).distinct()
+    gone = gone.hint("merge")  # grows with the input: never broadcast it
     return docs.join(gone, docs[id_col] == F.col("_x2_id"), "left_anti")

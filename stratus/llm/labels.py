@@ -13,8 +13,8 @@ def held_out(id_col: str, modulus: int, remainder: int) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, remainder: int, rows: int,
-                    id_col: str = "doc_id") -> DataFrame:
-    """The labelled documents to learn from, about ``rows`` at most, with ``label`` as 0 or 1.
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Id, text and ``label`` (0 or 1) of the labelled documents to learn from, about ``rows`` at most.
 
     Rows of one id count as positive if one is. The sample is drawn by a hash of the id; it
     is small by its bound and so is broadcast, and no text is shuffled.
@@ -23,4 +23,4 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
              .groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias(label)))
     n = known.count()
     part = F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, rows / max(1, n)))
-    return docs.join(F.broadcast(known.where(part)), docs[id_col] == F.col("_id")).drop("_id")
+    return docs.select(id_col, text_col).join(F.broadcast(known.where(part)), F.col(id_col) == F.col("_id")).drop("_id")

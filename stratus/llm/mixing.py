@@ -13,7 +13,8 @@ spread over many tasks.
 Defined results: null texts have size 0 and take 0 words; a null source is one source,
 the last; null ids and repeated rows take part as rows of their own (equal keys fall back
 on id, then size); an empty table gives an empty result; a null, missing or non-positive
-weight counts as the smallest weight.
+weight counts as the smallest weight. Columns of the input named like a result column are replaced by it;
+names that begin with ``_x4_`` are reserved.
 """
 
 from __future__ import annotations
@@ -45,8 +46,8 @@ def source_key(source: Column) -> Column:
 
 
 def cyclic_weights(sources: DataFrame, cycle: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
-    """Adds ``weight``: 1, 2, 3, repeating in the order of ``_source``. One row per source."""
-    place = F.row_number().over(Window.orderBy("_source")) - 1
+    """Adds ``weight``: 1, 2, 3, repeating in the order of the source keys. One row per source."""
+    place = F.row_number().over(Window.orderBy("_x4_source")) - 1
     return sources.withColumn("weight", F.element_at(F.array(*[F.lit(c) for c in cycle]), place % len(cycle) + 1))
 
 
@@ -58,7 +59,7 @@ def fill_targets(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     caps the others' level is ``(total - their caps) / other weights``; it falls from the
     first k that fits on, so the largest fitting level is the answer.
     """
-    order = Window.orderBy(F.col("cap") / F.col("weight"), "_source")
+    order = Window.orderBy(F.col("cap") / F.col("weight"), "_x4_source")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     level = ((F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0)))
@@ -81,31 +82,31 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, id_col: str =
     """
     rest = [c for c in docs.columns if c not in (text_col, "size", "source_size", "target", "taken")]
     text = whole_text(text_col)
-    sized = docs.select(*rest, word_count(text).alias("size"), source_key(F.col(source_col)).alias("_source"),
-                        uniform(F.coalesce(F.col(id_col).cast("string"), F.md5(text)), seed).alias("_u"))
+    sized = docs.select(*rest, word_count(text).alias("size"), source_key(F.col(source_col)).alias("_x4_source"),
+                        uniform(F.coalesce(F.col(id_col).cast("string"), F.md5(text)), seed).alias("_x4_u"))
     weight = F.lit(1.0)
     if weights is not None:
-        sized = sized.join(weights.select(F.col(id_col).alias("_id"), F.col("weight").alias("_weight")),
-                           F.col(id_col) == F.col("_id"), "left").drop("_id")
-        weight = F.greatest(F.coalesce(F.col("_weight").cast("double"), F.lit(0.0)), F.lit(1e-6))
+        sized = sized.join(weights.select(F.col(id_col).alias("_x4_id"), F.col("weight").alias("_x4_weight")),
+                           F.col(id_col) == F.col("_x4_id"), "left").drop("_x4_id")
+        weight = F.greatest(F.coalesce(F.col("_x4_weight").cast("double"), F.lit(0.0)), F.lit(1e-6))
     # key / (1 + key) spreads exponential keys of common weights almost evenly over the ranges
-    sized = saved(sized.withColumn("_key", -F.log("_u") / weight)
-                  .withColumn("_range", F.floor(F.col("_key") / (F.col("_key") + 1) * RANGES).cast("int")), "sizes")
+    sized = saved(sized.withColumn("_x4_key", -F.log("_x4_u") / weight)
+                  .withColumn("_x4_range", F.floor(F.col("_x4_key") / (F.col("_x4_key") + 1) * RANGES).cast("int")), "sizes")
 
-    totals = saved(sized.groupBy("_source", "_range").agg(F.sum("size").alias("_sum")), "ranges")
-    sources = totals.groupBy("_source").agg(F.sum("_sum").alias("source_size"))
+    totals = saved(sized.groupBy("_x4_source", "_x4_range").agg(F.sum("size").alias("_x4_sum")), "ranges")
+    sources = totals.groupBy("_x4_source").agg(F.sum("_x4_sum").alias("source_size"))
     targets = fill_targets(cyclic_weights(sources, cycle), max_epochs).drop("weight")
 
-    ranges_before = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (totals.withColumn("_start", F.coalesce(F.sum("_sum").over(ranges_before), F.lit(0)))
-              .join(targets, "_source").drop("_sum"))
-    rows_before = (Window.partitionBy("_source", "_range").orderBy("_key", id_col, "size")
+    ranges_before = Window.partitionBy("_x4_source").orderBy("_x4_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (totals.withColumn("_x4_start", F.coalesce(F.sum("_x4_sum").over(ranges_before), F.lit(0)))
+              .join(targets, "_x4_source").drop("_x4_sum"))
+    rows_before = (Window.partitionBy("_x4_source", "_x4_range").orderBy("_x4_key", id_col, "size")
                    .rowsBetween(Window.unboundedPreceding, -1))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    budget = F.round(F.col("target") - F.col("_epochs") * F.col("source_size")).cast("long")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_budget") - F.col("_start") - F.col("_before")))
-    return (sized.withColumn("_before", F.coalesce(F.sum("size").over(rows_before), F.lit(0)))
-            .join(starts, ["_source", "_range"])
-            .withColumn("_epochs", epochs.cast("long")).withColumn("_budget", budget)
+    budget = F.round(F.col("target") - F.col("_x4_epochs") * F.col("source_size")).cast("long")
+    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_x4_budget") - F.col("_x4_start") - F.col("_x4_before")))
+    return (sized.withColumn("_x4_before", F.coalesce(F.sum("size").over(rows_before), F.lit(0)))
+            .join(starts, ["_x4_source", "_x4_range"])
+            .withColumn("_x4_epochs", epochs.cast("long")).withColumn("_x4_budget", budget)
             .select(*rest, "size", "source_size", "target",
-                    (F.col("_epochs") * F.col("size") + part).cast("long").alias("taken")))
+                    (F.col("_x4_epochs") * F.col("size") + part).cast("long").alias("taken")))

@@ -148,7 +148,7 @@ def fit(x: np.ndarray, owner: np.ndarray, y: np.ndarray, rounds: int = 250, rate
 def train(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int = 2, rows: int = TRAIN_ROWS,
           id_col: str = "doc_id", text_col: str = "text") -> QualityModel | None:
     """The model, or None without labels."""
-    sample = training_sample(docs, labels, "quality", modulus, remainder, rows, id_col)
+    sample = training_sample(docs, labels, "quality", modulus, remainder, rows, id_col, text_col)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -269,7 +269,7 @@ class ToxicityModel:
 
 def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0, rows: int = TRAIN_ROWS,
           id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
-    sample = training_sample(docs, labels, "toxic", modulus, remainder, rows, id_col).select(text_col, "toxic")
+    sample = training_sample(docs, labels, "toxic", modulus, remainder, rows, id_col, text_col).select(text_col, "toxic")
     terms, crowded, benign = learn_lexicon(word_counts(sample, text_col))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -129,7 +129,7 @@ def test_block_max_wand_equals_exhaustive_scoring(spark, monkeypatch):
         ws = [rng.choice(vocabulary) for _ in range(rng.randint(0, 300))]
         if rng.random() < 0.7:
             ws[10:10] = rng.choice(items)[1].split()
-        got = {(p, i): s for p, i, s in shard.search(ws, step, 0.4)}
+        got = {(p, i): s for p, i, s in shard.search([w.encode() for w in ws], step, 0.4)}
         want = {}
         for p in range(max(1, -(-len(ws) // step) - 1)):
             terms = set(ws[p * step:(p + 2) * step])

@@ -37,3 +37,26 @@ def test_every_operator_is_registered():
     assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
     assert ORACLE.keys() <= QUERIES.keys()
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_stages_take_odd_tables(spark, tmp_path):
+    """Clashing column names, null everything, repeated rows, no rows."""
+    schema = ("doc_id long, text string, lang string, source string, n_chars long, _id string, toxic int, quality string, "
+              "size string, doc string, body int, _source string, target string, digest string, item_id long, u int")
+    extra = (None, "x", 1, "q", "s", "d", 3, "_", "t", "g", 9, 1)
+    texts = [None, "", " ", "a b c d e f g", "a b c d e f g", "w" * 30_000, "\U0001F600 é", "a  b c d e f g"]
+    rows = [(None if i % 3 == 0 else i % 5, t, None, None if i % 2 else "s", *extra) for i, t in enumerate(texts * 2)]
+    labels = "doc_id long, quality long, toxic long, text string, source string"
+    for name, data, kind in (("documents", rows, schema), ("labels", [(1, 1, 0, "x", "y"), (1, None, None, None, None), (None, 0, 1, "", "")], labels),
+                             ("benchmark", [(None, None, 1), (1, "", None)], "item_id long, text string, doc_id long")):
+        spark.createDataFrame(data, kind).write.parquet(f"{tmp_path}/full/{name}.parquet")
+        spark.createDataFrame([], kind).write.parquet(f"{tmp_path}/none/{name}.parquet")
+    for folder, n in (("full", len(rows)), ("none", 0)):
+        docs = table(spark, f"{tmp_path}/{folder}", "documents")
+        for name, stage in corpus_pipeline.STAGES:
+            out = saved(stage(spark, docs, f"{tmp_path}/{folder}"), name)
+            assert out.count() <= n and (name == "mixing" or out.columns == docs.columns), name
+            docs = out
+        for name, query in QUERIES.items():
+            got = query(spark, f"{tmp_path}/{folder}").count()
+            assert got == (0 if name.startswith("op1_") else n), name
