@@ -1,4 +1,4 @@
-"""Count plan operators of every registered query (shuffles, joins, aggregates, windows).
+"""Count plan operators of every warehouse query's result (shuffles, joins, aggregates, windows).
 
 usage: python scripts/plan_census.py [sf_dir] > PLANS.md
 """
@@ -21,14 +21,12 @@ NODES = [("shuffle", r"Exchange hashpartitioning"), ("range", r"Exchange rangepa
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from stratus.plans.catalog import QUERIES
     from stratus.session import get_spark
     spark = get_spark("local[8]", shuffle_partitions=8)
     print("| query | " + " | ".join(n for n, _ in NODES) + " |")
     print("|---|" + "---|" * len(NODES))
-    for name, fn in E.queries().items():
-        if name == "stream_ingest":
-            continue
+    for name, fn in QUERIES.items():
         p = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
         counts = [len(re.findall(rx, p)) for _, rx in NODES]
         print(f"| {name} | " + " | ".join(str(c) if c else "" for c in counts) + " |")
