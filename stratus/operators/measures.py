@@ -128,13 +128,22 @@ def extreme_ranking(wide: DataFrame, flag: str = "hot") -> DataFrame:
     Flag shares are 100·avg(flag as double) over days with a known flag (NULL flags
     leave numerator and denominator). ``level`` is 0 city, 1 country, 2 region, 3 all.
     """
-    pct = lambda c: round2(F.lit(100.0) * F.avg(F.col(c).cast("double")))
-    agg = (wide.rollup("region", "country_name", "city_name")
-               .agg(F.grouping_id().alias("_gid"),
-                    pct("is_hot_day").alias("hot_pct"), pct("is_frost_day").alias("frost_pct"),
-                    pct("is_rainy_day").alias("rainy_pct"),
-                    F.max("temp_max").alias("max_temp"), F.min("temp_min").alias("min_temp"),
-                    F.max("wind_gusts_max").alias("max_gusts")))
+    flags = ["is_hot_day", "is_frost_day", "is_rainy_day"]
+    keys = ["region", "country_name", "city_name"]
+    # days are summed per place first; the roll-up expands places, not days
+    places = wide.groupBy(*keys).agg(
+        *(F.sum(F.col(c).cast("double")).alias(f"_s_{c}") for c in flags), *(F.count(c).alias(f"_n_{c}") for c in flags),
+        F.max("temp_max").alias("max_temp"), F.min("temp_min").alias("min_temp"), F.max("wind_gusts_max").alias("max_gusts"))
+
+    def pct(c: str) -> Column:
+        return round2(F.lit(100.0) * F.try_divide(F.sum(f"_s_{c}"), F.sum(f"_n_{c}")))
+
+    agg = (places.rollup(*keys)
+                 .agg(F.grouping_id().alias("_gid"),
+                      pct("is_hot_day").alias("hot_pct"), pct("is_frost_day").alias("frost_pct"),
+                      pct("is_rainy_day").alias("rainy_pct"),
+                      F.max("max_temp").alias("max_temp"), F.min("min_temp").alias("min_temp"),
+                      F.max("max_gusts").alias("max_gusts")))
     level = (F.when(F.col("_gid") == 0, 0).when(F.col("_gid") == 1, 1)
               .when(F.col("_gid") == 3, 2).otherwise(3)).alias("level")
     agg = agg.select(level, "region", "country_name", "city_name", "hot_pct", "frost_pct", "rainy_pct",

@@ -56,11 +56,19 @@ def with_previous(df: DataFrame, measures, partition, period: str, lag: int = 1,
 
 
 def rank_by(df: DataFrame, measure: str, part=None, out: str = "rank", ascending: bool = False) -> DataFrame:
-    """SQL ``rank()`` by a measure (ties share a rank), optionally within partitions.
+    """SQL ``rank()`` by a measure (ties share a rank, NULLs come last), optionally within partitions.
 
-    Meant for dimension-sized inputs (one row per place/country/region); without
-    ``part`` Spark ranks in a single task.
+    Rows are counted per distinct value first and only the counts are summed in order, so a
+    task sees the distinct values of a partition (at most 10,001 for a percentage of two
+    places), never its rows.
     """
     parts = [part] if isinstance(part, str) else list(part or [])
-    o = F.col(measure).asc_nulls_last() if ascending else F.col(measure).desc_nulls_last()
-    return df.withColumn(out, F.rank().over(Window.partitionBy(*parts).orderBy(o)))
+    o = F.col("_v").asc_nulls_last() if ascending else F.col("_v").desc_nulls_last()
+    before = Window.partitionBy(*(f"_p{i}" for i in range(len(parts)))).orderBy(o).rowsBetween(Window.unboundedPreceding, -1)
+    counts = (df.groupBy(*(F.col(p).alias(f"_p{i}") for i, p in enumerate(parts)), F.col(measure).alias("_v"))
+                .agg(F.count(F.lit(1)).alias("_n")))
+    ranks = counts.withColumn("_rank", (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("int")).drop("_n")
+    same = df[measure].eqNullSafe(ranks["_v"])
+    for i, p in enumerate(parts):
+        same = same & df[p].eqNullSafe(ranks[f"_p{i}"])
+    return df.join(ranks, same).withColumn(out, F.col("_rank")).drop("_rank", "_v", *(f"_p{i}" for i in range(len(parts))))

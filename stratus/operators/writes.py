@@ -137,13 +137,20 @@ def insert_absent(target: DataFrame, new: DataFrame, keys, order: str | None = N
 def assign_ids(target: DataFrame, names: DataFrame, name: str, id_col: str = "id") -> DataFrame:
     """Stable surrogate keys: existing names keep their id, new names get max(id)+1… by name.
 
-    Returns (name, id) for the new names only. Numbering is a single ordered pass over the
-    *new names* of a dimension (not facts), so its size is the dimension's growth.
+    Returns (name, id) for the new names only. The names are cut into ranges and numbered within
+    them; the ranges' sizes, one row each, give the offsets. So no task sees all names. The
+    ranges come from a sample, therefore the placed names are checkpointed.
     """
+    checkpoint_dir(target.sparkSession)
     new = names.select(name).distinct().join(target.select(name), name, "left_anti")
+    placed = new.repartitionByRange(F.col(name)).withColumn("_range", F.spark_partition_id()).checkpoint(eager=True)
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)   # one row per range
+    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     base = target.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()  # scalar subquery
-    w = Window.orderBy(F.col(name))
-    return new.select(name, (base + F.row_number().over(w)).cast(target.schema[id_col].dataType).alias(id_col))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(F.col(name)))
+    return (placed.join(F.broadcast(starts), "_range")
+                  .select(name, (base + F.col("_start") + place).cast(target.schema[id_col].dataType).alias(id_col)))
 
 
 def append_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
