@@ -1,8 +1,8 @@
 """SQL oracles (DuckDB dialect) for the registered queries.
 
 Each string runs on the driver's pre-registered views and repeats the stand-in
-mapping of ``stratus.plans.standins`` as CTEs, so it is an independent re-derivation
-of every query from the raw tables.
+mapping of ``stratus.plans.standins`` as CTEs and states all fixed values itself; nothing is
+imported from the engine.
 """
 
 from __future__ import annotations
@@ -116,8 +116,73 @@ WITH {STAGE},{CITIES},{daily_fact_cte(where="CAST(measured_at AS DATE) BETWEEN D
 SELECT * FROM fact"""
 
 
-# -- literal relations, generated from the same fixed values -------------------
-from stratus.functions.constants import WIND_BANDS, WMO_CODES  # noqa: E402
+# -- literal relations --------------------------------------------------------
+# The values below are stated here once more, so that an error in the engine's own list shows.
+# FIXED VALUES — compass bands: (id, degree_from, degree_to, short, full).
+WIND_BANDS = [
+    (1, 0, 11, 'N', 'North'),
+    (2, 12, 33, 'NNE', 'North-Northeast'),
+    (3, 34, 56, 'NE', 'Northeast'),
+    (4, 57, 78, 'ENE', 'East-Northeast'),
+    (5, 79, 101, 'E', 'East'),
+    (6, 102, 123, 'ESE', 'East-Southeast'),
+    (7, 124, 146, 'SE', 'Southeast'),
+    (8, 147, 168, 'SSE', 'South-Southeast'),
+    (9, 169, 191, 'S', 'South'),
+    (10, 192, 213, 'SSW', 'South-Southwest'),
+    (11, 214, 236, 'SW', 'Southwest'),
+    (12, 237, 258, 'WSW', 'West-Southwest'),
+    (13, 259, 281, 'W', 'West'),
+    (14, 282, 303, 'WNW', 'West-Northwest'),
+    (15, 304, 326, 'NW', 'Northwest'),
+    (16, 327, 360, 'NNW', 'North-Northwest'),
+]
+
+# FIXED VALUES — weather codes: (id, description, severity, precipitation_type).
+WMO_CODES = [
+    (0, 'Clear sky', 'None', None),
+    (1, 'Mainly clear', 'None', None),
+    (2, 'Partly cloudy', 'None', None),
+    (3, 'Overcast', 'None', None),
+    (45, 'Fog', 'Low', None),
+    (48, 'Depositing rime fog', 'Low', None),
+    (51, 'Drizzle: light', 'Low', 'Rain'),
+    (53, 'Drizzle: moderate', 'Low', 'Rain'),
+    (55, 'Drizzle: dense', 'Low', 'Rain'),
+    (56, 'Freezing drizzle: light', 'Medium', 'Mixed'),
+    (57, 'Freezing drizzle: dense', 'Medium', 'Mixed'),
+    (61, 'Rain: slight', 'Low', 'Rain'),
+    (63, 'Rain: moderate', 'Medium', 'Rain'),
+    (65, 'Rain: heavy', 'High', 'Rain'),
+    (66, 'Freezing rain: light', 'Medium', 'Mixed'),
+    (67, 'Freezing rain: heavy', 'High', 'Mixed'),
+    (71, 'Snowfall: slight', 'Low', 'Snow'),
+    (73, 'Snowfall: moderate', 'Medium', 'Snow'),
+    (75, 'Snowfall: heavy', 'High', 'Snow'),
+    (77, 'Snow grains', 'Low', 'Snow'),
+    (80, 'Rain showers: slight', 'Low', 'Rain'),
+    (81, 'Rain showers: moderate', 'Medium', 'Rain'),
+    (82, 'Rain showers: violent', 'High', 'Rain'),
+    (85, 'Snow showers: slight', 'Low', 'Snow'),
+    (86, 'Snow showers: heavy', 'High', 'Snow'),
+    (95, 'Thunderstorm: slight or moderate', 'High', 'Rain'),
+    (96, 'Thunderstorm with slight hail', 'High', 'Mixed'),
+    (99, 'Thunderstorm with heavy hail', 'High', 'Mixed'),
+]
+
+# FIXED VALUES — climate code → group.
+CLIMATE_GROUPS = {
+    'ET': 'Polar',
+    'DFC': 'Subarctic',
+    'DFA': 'Continental',
+    'DFB': 'Continental',
+    'CFA': 'Temperate',
+    'CFB': 'Temperate',
+    'CSA': 'Mediterranean',
+    'CSB': 'Mediterranean',
+    'BSK': 'Arid',
+    'BWH': 'Arid',
+}
 
 
 def _sql_lit(v) -> str:
@@ -421,8 +486,16 @@ UNION ALL SELECT 'orders_status_in', count(*) FROM orders WHERE o_orderstatus NO
 
 
 # -- forecast ----------------------------------------------------------------
-from stratus.functions.constants import FORECAST_METRICS, INTERVAL_Z80  # noqa: E402
-from stratus.plans.standins import RESPONSE_BODIES  # noqa: E402
+# FIXED VALUES — forecast metrics, the 80 % interval, landed response bodies.
+FORECAST_METRICS = ['temp_avg', 'temp_min', 'temp_max', 'precipitation_sum', 'sunshine_hours', 'humidity_avg', 'pressure_avg', 'wind_speed_avg']
+INTERVAL_Z80 = 1.2815515655446004
+RESPONSE_BODIES = {
+    'error': '{"reason": "Daily API request limit exceeded"}',
+    'signup': '{"error": true}',
+    'purchase': 'Daily quota exceeded',
+    'click': '{"reason": "Minutely API request limit exceeded"}',
+    'view': 'daily limit reached',
+}
 
 
 def orders_stage(place_expr: str, joins: str = "") -> str:
@@ -636,7 +709,7 @@ r AS (
 SELECT *, CAST(rank() OVER (PARTITION BY level ORDER BY hot_pct DESC NULLS LAST) AS INTEGER) AS rank FROM r"""
 
 CLIMATE_CASE = ("CASE upper(trim(climate_zone)) " + " ".join(
-    f"WHEN '{k}' THEN '{v}'" for k, v in __import__("stratus.functions.constants", fromlist=["x"]).CLIMATE_GROUPS.items())
+    f"WHEN '{k}' THEN '{v}'" for k, v in CLIMATE_GROUPS.items())
     + " END")
 
 ORACLE["climate_scatter"] = f"""
