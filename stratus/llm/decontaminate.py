@@ -14,7 +14,7 @@ and each is verified: enough of its question's and of its answer's word n-grams
 in the passage.
 
 A test item's answer follows a line mark ``Answer:`` or ``A:``, else it is the last sentence,
-else the last third of the words. Words are runs of letters and digits, lower-cased.
+else the last third of the words. Words are lower-cased; white space and signs part them.
 
 Defined results: documents or items without words match nothing; a null id is reported as
 null; repeated rows are reported each; empty tables give an empty result.
@@ -23,9 +23,11 @@ null; repeated rows are reported each; empty tables give an empty result.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, fields
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,21 +39,26 @@ from stratus.llm.common import discard, saved, whole_text
 K1, B = 1.2, 0.75
 #: Postings of a shard, about: what is broadcast at once.
 SHARD_POSTINGS = 100_000
-#: Items of a block.
-BLOCK = 8
+#: Cells of the table of bounds (terms x blocks); blocks have two items or as many as it takes.
+BOUNDS = 16_000_000
 #: Terms whose greatest impacts add up to no more than this are left out of the block bounds.
 SLACK = 0.05
 
-_WORD = re.compile(r"[^\W_]+")
+#: ASCII signs part words, and so do the signs of Latin-1 and of general punctuation.
+_PLAIN = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
+_SIGNS = re.compile(rb"\xc2[\x80-\xbf]|\xe2\x80[\x80-\xbf]")
 _ANSWER = re.compile(r"(?:^|\n|\s)(?:answer|a)\s*:\s*", re.IGNORECASE)
 _SENTENCE = re.compile(r"[.!?]\s+(?=\S)")
 
 
-def words(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+def words(text: str | None) -> list[bytes]:
+    raw = (text or "").lower().encode("utf-8", "surrogatepass").translate(_PLAIN)
+    if b"\xc2" in raw or b"\xe2\x80" in raw:
+        raw = _SIGNS.sub(b" ", raw)
+    return raw.split()
 
 
-def question_and_answer(text: str) -> tuple[list[str], list[str]]:
+def question_and_answer(text: str) -> tuple[list[bytes], list[bytes]]:
     marks, ends = list(_ANSWER.finditer(text)), list(_SENTENCE.finditer(text))
     for m in reversed(marks or ends):
         question, answer = words(text[:m.start()]), words(text[m.end():])
@@ -62,7 +69,7 @@ def question_and_answer(text: str) -> tuple[list[str], list[str]]:
     return both[:cut], both[cut:]
 
 
-def grams(ws: list[str], n: int) -> set[tuple[str, ...]]:
+def grams(ws: list[bytes], n: int) -> set[tuple[bytes, ...]]:
     n = min(n, len(ws))
     return {tuple(ws[i:i + n]) for i in range(len(ws) - n + 1)} if n else set()
 
@@ -73,10 +80,10 @@ def postings(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 ws = words(batch.column(1)[i].as_py())
-                terms, counts = np.unique(np.array(ws, dtype=object), return_counts=True) if ws else ([], [])
-                at = pa.array(np.full(len(terms), i))
-                yield pa.record_batch([batch.column(0).take(at), batch.column(1).take(at), pa.array(list(terms), pa.string()),
-                                       pa.array(counts, pa.int64()), pa.array(np.full(len(terms), len(ws)), pa.int64())],
+                tf = Counter(ws)
+                at = pa.array(np.full(len(tf), i))
+                yield pa.record_batch([batch.column(0).take(at), batch.column(1).take(at), pa.array([t.decode() for t in tf], pa.string()),
+                                       pa.array(list(tf.values()), pa.int64()), pa.array(np.full(len(tf), len(ws)), pa.int64())],
                                       names=["item_id", "body", "term", "tf", "length"])
 
     rows = items.select(F.col(id_col).cast("long").alias("item_id"), whole_text(text_col).alias("body")).distinct()
@@ -95,35 +102,37 @@ def postings(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
 @dataclass
 class Shard:
     """The index of some items: postings by term, block bounds, and the items' n-grams."""
-    vocabulary: dict[str, int]
+    vocabulary: dict[bytes, int]
     starts: np.ndarray      # of each term's postings; they are sorted by item
     items: np.ndarray
     impacts: np.ndarray
     bounds: np.ndarray      # terms x blocks: greatest impact
     essential: np.ndarray   # terms that take part in the block bounds
+    block: int              # items of a block
     ids: list
     checks: list[tuple[set, set]]
 
     @staticmethod
     def build(rows: list, n: int) -> "Shard":
         item_at: dict[tuple, int] = {}
-        vocabulary: dict[str, int] = {}
+        vocabulary: dict[bytes, int] = {}
         for r in rows:
             item_at.setdefault((r.item_id, r.body), len(item_at))
-            vocabulary.setdefault(r.term, len(vocabulary))
-        term = np.array([vocabulary[r.term] for r in rows])
+            vocabulary.setdefault(r.term.encode(), len(vocabulary))
+        term = np.array([vocabulary[r.term.encode()] for r in rows])
         item = np.array([item_at[r.item_id, r.body] for r in rows])
         impact = np.array([r.impact for r in rows])
         order = np.lexsort((item, term))
         term, item, impact = term[order], item[order], impact[order]
-        bounds = np.zeros((len(vocabulary), (len(item_at) - 1) // BLOCK + 1), np.float32)
-        np.maximum.at(bounds, (term, item // BLOCK), impact.astype(np.float32))
+        block = max(2, -(-len(vocabulary) * len(item_at) // BOUNDS))
+        bounds = np.zeros((len(vocabulary), (len(item_at) - 1) // block + 1), np.float32)
+        np.maximum.at(bounds, (term, item // block), impact.astype(np.float32))
         best = bounds.max(axis=1)
         small = np.argsort(best)
         essential = np.ones(len(vocabulary), bool)
         essential[small[np.cumsum(best[small]) <= SLACK]] = False
         split = [question_and_answer(body) for _, body in item_at]
-        return Shard(vocabulary, np.searchsorted(term, np.arange(len(vocabulary) + 1)), item, impact, bounds, essential,
+        return Shard(vocabulary, np.searchsorted(term, np.arange(len(vocabulary) + 1)), item, impact, bounds, essential, block,
                      [i for i, _ in item_at], [(grams(q, n), grams(a, n)) for q, a in split])
 
     def wand(self, terms: np.ndarray, block: int, threshold: float) -> Iterator[tuple[int, float]]:
@@ -131,7 +140,7 @@ class Shard:
         cursors = []
         for t in terms:
             a, b = self.starts[t], self.starts[t + 1]
-            lo, hi = a + np.searchsorted(self.items[a:b], (block * BLOCK, (block + 1) * BLOCK))
+            lo, hi = a + np.searchsorted(self.items[a:b], (block * self.block, (block + 1) * self.block))
             if lo < hi:
                 cursors.append([int(self.items[lo]), int(lo), int(hi), float(self.bounds[t, block])])
         while cursors:
@@ -158,10 +167,9 @@ class Shard:
                     c[0] = int(self.items[c[1]])
             cursors = [c for c in cursors if c[1] < c[2]]
 
-    def search(self, ws: list[str], step: int, threshold: float) -> Iterator[tuple[int, int, float]]:
+    def search(self, ws: list[bytes], step: int, threshold: float) -> Iterator[tuple[int, int, float]]:
         """Passage, item and score of all that reach the threshold, passage by passage."""
-        get = self.vocabulary.get
-        ids = np.fromiter((get(w, -1) for w in ws), np.int64, len(ws))
+        ids = np.fromiter(map(self.vocabulary.get, ws, repeat(-1)), np.int64, len(ws))
         at = np.flatnonzero(ids >= 0)
         if not len(at):
             return
@@ -269,6 +277,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, limits: Limits = Limits
     return reduce(lambda kept, shard: clean(kept, _sent(docs.sparkSession, shard)), shards, docs)
 
 
-def short_grams(passage: list[str], n: int) -> set:
+def short_grams(passage: list[bytes], n: int) -> set:
     """The passage's n-grams, and shorter ones for the sake of short questions and answers."""
     return set().union(*(grams(passage, k) for k in range(1, n + 1)))
