@@ -358,6 +358,14 @@ def q_forecast_accuracy(spark, sf):
     return FC.forecast_accuracy(fc, actual)
 
 
+@query("forecast_accuracy_seasonal")
+def q_forecast_accuracy_seasonal(spark, sf):
+    hist = FC.melt_metrics(FC.history(_nation_mart(spark, sf), HOLDOUT_RUN, until=HOLDOUT_RUN))
+    fc = FC.forecast_seasonal(hist, HOLDOUT_RUN).where(F.col("status") == "ok")
+    actual = FC.melt_metrics(_nation_mart(spark, sf).where(F.col("date") >= F.lit(HOLDOUT_RUN).cast("date")))
+    return FC.forecast_accuracy(fc, actual)
+
+
 @query("latest_run")
 def q_latest_run(spark, sf):
     runs = FC.pivot_forecast(_linear(spark, sf, HOLDOUT_RUN, until=HOLDOUT_RUN), HOLDOUT_RUN) \

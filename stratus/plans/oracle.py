@@ -603,6 +603,87 @@ WITH {NATION_MART.strip()},
 {linear_pred("pred", "long", RUN).strip()}
 {pivot_sql("pred", RUN)}"""
 
+
+
+def seasonal_pred(name: str, long: str, run: str) -> str:
+    """The seasonal model in SQL: normal equations with the ridge on their diagonal, solved by
+    Gauss-Jordan elimination (positive definite: no pivoting), all metrics as right-hand sides.
+
+    The 47 columns are a constant, time, 25 hinges and 10 sine and cosine pairs of the year. It
+    takes series without gaps between metrics: the days of a place are shared by its metrics.
+    """
+    metrics = "[" + ", ".join(f"'{m}'" for m in FORECAST_METRICS) + "]"
+    feats = """list_concat([CAST(1.0 AS DOUBLE), t],
+           list_transform(range(1, 26), lambda j: greatest(CAST(0.0 AS DOUBLE), t - j * (CAST(0.8 AS DOUBLE) / 26))),
+           flatten(list_transform(range(1, 11), lambda k: [sin(2.0 * pi() * k * dn / CAST(365.25 AS DOUBLE)),
+                                                           cos(2.0 * pi() * k * dn / CAST(365.25 AS DOUBLE))])))"""
+    return f"""
+{name}_s AS (
+  SELECT city_id, metric, list_position({metrics}, metric) AS m, count(*) AS n, avg(y) AS mu,
+         CASE WHEN stddev_pop(y) = 0 THEN CAST(1.0 AS DOUBLE) ELSE stddev_pop(y) END AS sd
+  FROM {long} GROUP BY 1, 2 HAVING count(*) >= 60
+),
+{name}_span AS (
+  SELECT city_id, min(ds) AS d0, CAST(greatest(date_diff('day', min(ds), max(ds)), 1) AS DOUBLE) AS w FROM {long} GROUP BY 1
+),
+{name}_x AS (
+  SELECT city_id, ds, {feats} AS x, ys FROM (
+    SELECT l.city_id, l.ds, CAST(date_diff('day', DATE '1970-01-01', l.ds) AS DOUBLE) AS dn,
+           date_diff('day', any_value(p.d0), l.ds) / any_value(p.w) AS t, list((y - mu) / sd ORDER BY m) AS ys
+    FROM {long} l JOIN {name}_s s ON s.city_id = l.city_id AND s.metric = l.metric JOIN {name}_span p ON p.city_id = l.city_id
+    GROUP BY l.city_id, l.ds) q
+),
+{name}_a AS (
+  SELECT city_id, i, list(v + CASE WHEN i <> j THEN 0 WHEN i <= 2 THEN 1e-8 ELSE 1 END ORDER BY j) AS a FROM (
+    SELECT city_id, i, j, sum(x[i] * list_concat(x, ys)[j]) AS v
+    FROM {name}_x, unnest(range(1, 48)) AS u(i), unnest(range(1, 56)) AS w(j) GROUP BY 1, 2, 3) e
+  GROUP BY 1, 2
+),
+{name}_g AS (
+  SELECT 0 AS step, city_id, i, a FROM {name}_a
+  UNION ALL
+  SELECT step + 1, city_id, i, CASE WHEN i = step + 1 THEN list_transform(a, lambda v: v / a[step + 1])
+         ELSE list_transform(range(1, 56), lambda j: a[j] - a[step + 1] / p[step + 1] * p[j]) END
+  FROM (SELECT *, any_value(CASE WHEN i = step + 1 THEN a END) OVER (PARTITION BY city_id) AS p FROM {name}_g) q
+  WHERE step < 47
+),
+{name}_b AS (
+  SELECT city_id, m, list(a[47 + m] ORDER BY i) AS beta
+  FROM {name}_g, unnest(range(1, 9)) AS u(m) WHERE step = 47 GROUP BY 1, 2
+),
+{name}_fit AS (
+  SELECT b.city_id, s.metric, any_value(b.beta) AS beta, any_value(s.mu) AS mu, any_value(s.sd) AS sd,
+         sqrt(sum(pow(x.ys[b.m] - list_dot_product(x.x, b.beta), 2)) / greatest(any_value(s.n) - 2, 1)) * any_value(s.sd) AS sigma
+  FROM {name}_b b JOIN {name}_s s ON s.city_id = b.city_id AND s.m = b.m JOIN {name}_x x ON x.city_id = b.city_id
+  GROUP BY b.city_id, s.metric
+),
+{name}_raw AS (
+  SELECT f.city_id, f.metric, q.target_date, CAST(q.h AS SMALLINT) AS horizon_days,
+         list_dot_product(q.x, f.beta) * f.sd + f.mu AS y0, f.sigma
+  FROM {name}_fit f JOIN (
+    SELECT city_id, h, target_date, {feats} AS x FROM (
+      SELECT city_id, h, DATE '{run}' + CAST(h AS INTEGER) AS target_date,
+             CAST(date_diff('day', DATE '1970-01-01', DATE '{run}') + h AS DOUBLE) AS dn,
+             (date_diff('day', d0, DATE '{run}') + h) / w AS t
+      FROM {name}_span, unnest(range(1, 8)) AS u(h)) r) q ON q.city_id = f.city_id
+),
+{name} AS (
+  SELECT city_id, metric, target_date, horizon_days,
+         CASE WHEN metric IN ('precipitation_sum', 'sunshine_hours') THEN greatest(CAST(0.0 AS DOUBLE), y0) ELSE y0 END AS yhat,
+         CASE WHEN metric = 'precipitation_sum' THEN greatest(CAST(0.0 AS DOUBLE), y0 - {Z} * sigma)
+              WHEN metric = 'temp_avg' THEN y0 - {Z} * sigma END AS yhat_lower,
+         CASE WHEN metric = 'precipitation_sum' THEN greatest(CAST(0.0 AS DOUBLE), y0 + {Z} * sigma)
+              WHEN metric = 'temp_avg' THEN y0 + {Z} * sigma END AS yhat_upper
+  FROM {name}_raw
+)"""
+
+
+ORACLE["forecast_seasonal"] = f"""
+WITH RECURSIVE {NATION_MART.strip()},
+{long_of("long", "nmart", f"date >= DATE '{RUN}' - 730").strip()},
+{seasonal_pred("pred", "long", RUN).strip()}
+{pivot_sql("pred", RUN)}"""
+
 ORACLE["forecast_skips"] = f"""
 WITH {NATION_MART.strip()},
 {long_of("long", "nmart", f"date >= DATE '{RUN}' - 730").strip()},
@@ -631,6 +712,19 @@ SELECT p.metric, p.horizon_days, count(*) AS n,
 FROM pred p JOIN actual a ON a.city_id = p.city_id AND a.metric = p.metric AND a.ds = p.target_date
 GROUP BY 1, 2"""
 
+ORACLE["forecast_accuracy_seasonal"] = f"""
+WITH RECURSIVE {NATION_MART.strip()},
+{long_of("hist", "nmart", f"date >= DATE '{HOLD}' - 730 AND date < DATE '{HOLD}'").strip()},
+{long_of("actual", "nmart", f"date >= DATE '{HOLD}'").strip()},
+{seasonal_pred("pred", "hist", HOLD).strip()}
+SELECT p.metric, p.horizon_days, count(*) AS n,
+       {r4("avg(abs(p.yhat - a.y))")} AS mae,
+       {r4("avg(p.yhat - a.y)")} AS bias,
+       {r4("sqrt(avg((p.yhat - a.y) * (p.yhat - a.y)))")} AS rmse,
+       {r4("avg(CASE WHEN p.yhat_lower IS NOT NULL THEN CAST(a.y BETWEEN p.yhat_lower AND p.yhat_upper AS DOUBLE) END)")} AS coverage
+FROM pred p JOIN actual a ON a.city_id = p.city_id AND a.metric = p.metric AND a.ds = p.target_date
+GROUP BY 1, 2"""
+
 ORACLE["latest_run"] = f"""
 WITH {NATION_MART.strip()},
 {long_of("long", "nmart", f"date >= DATE '{RUN}' - 730").strip()},
