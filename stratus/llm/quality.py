@@ -4,8 +4,8 @@ A document is a bag of passages of ``PASSAGE`` words, all of them, whatever its
 passage is described by counts of its characters and words and encoded by a learned layer;
 gated attention weighs the encoded passages, and the label of the document is predicted
 from their weighted sum. Encoder, attention and classifier are trained together on document
-labels alone, by gradient descent on at most ``TRAIN_ROWS`` labelled documents; the rest of
-the table is only scored.
+labels alone, by gradient descent on at most ``TRAIN_ROWS`` labelled documents of at most
+``TRAIN_PASSAGES`` passages each; the rest of the table is only scored.
 
 Attention is a softmax over a document's passages, so very long texts stream through it in
 blocks: only running sums are kept. Null and blank texts are bags of one empty passage. Null and
@@ -30,7 +30,10 @@ from stratus.llm.labels import held_out, training_sample
 TRAIN_ROWS = 4_000
 #: Words of a passage.
 PASSAGE = 64
-#: Passages of a training document at most held at once in memory; scoring has no such bound.
+#: Passages that a training document gives at most, spread evenly over it: bounds what the driver
+#: gets for the fit. Scoring takes all passages of every document.
+TRAIN_PASSAGES = 256
+#: Passages worked on at once.
 BLOCK = 256
 WIDTH, GATE = 16, 8
 
@@ -80,6 +83,11 @@ def passages(text: bytes) -> Iterator[np.ndarray]:
         yield np.array([passage_inputs(words[i:i + PASSAGE]) for i in spans[at:at + BLOCK]])
 
 
+def spread(x: np.ndarray) -> np.ndarray:
+    """At most ``TRAIN_PASSAGES`` rows, evenly spaced."""
+    return x if len(x) <= TRAIN_PASSAGES else x[np.linspace(0, len(x) - 1, TRAIN_PASSAGES).astype(int)]
+
+
 class QualityModel:
     """Encoder, gated attention and classifier; ``parts`` are plain arrays."""
 
@@ -152,7 +160,8 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int =
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [np.concatenate(list(passages(text_or_blank(t.as_py())))).ravel().astype(np.float32) for t in batch.column(0)]
+            x = [spread(np.concatenate(list(passages(text_or_blank(t.as_py()))))).ravel().astype(np.float32)
+                 for t in batch.column(0)]
             yield pa.record_batch([pa.array(x, pa.list_(pa.float32())), batch.column(1), batch.column(2)],
                                   names=["x", "quality", "place"])
 
