@@ -293,13 +293,12 @@ def q_constraint_checks(spark, sf):
     return checks.constraint_report([
         ("lineitem_pk", checks.check_unique(li, ["l_orderkey", "l_linenumber"])),
         ("orders_pk", checks.check_unique(o, ["o_orderkey"])),
-        ("lineitem_not_null", checks.check_not_null(li, ["l_orderkey", "l_linenumber", "l_shipdate"])),
         ("lineitem_fk_orders", checks.check_fk(li, ["l_orderkey"], o, ["o_orderkey"])),
         ("orders_fk_customer", checks.check_fk(o, ["o_custkey"], c, ["c_custkey"])),
         ("customer_fk_nation", checks.check_fk(c, ["c_nationkey"], n, ["n_nationkey"])),
-        ("lineitem_returnflag_in", checks.check_in(li, "l_returnflag", ["R", "A", "N"])),
-        ("orders_status_in", checks.check_in(o, "o_orderstatus", ["F"])),
-    ])
+    ], checks.row_report(li, {"lineitem_not_null": checks.null_in(["l_orderkey", "l_linenumber", "l_shipdate"]),
+                              "lineitem_returnflag_in": checks.outside("l_returnflag", ["R", "A", "N"])}),
+        checks.row_report(o, {"orders_status_in": checks.outside("o_orderstatus", ["F"])}))
 
 
 # ---------------------------------------------------------------------------

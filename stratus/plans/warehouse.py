@@ -241,10 +241,9 @@ def check_tables(spark: SparkSession, root: str) -> DataFrame:
         ("fact_daily_fk_city", checks.check_fk(t["fact_daily"], ["city_id"], t["dim_cities"], ["id"])),
         ("mart_daily_fk_city", checks.check_fk(t["mart_daily"], ["city_id"], t["dim_cities"], ["id"])),
         ("dim_cities_fk_country", checks.check_fk(t["dim_cities"], ["country_id"], t["dim_countries"], ["id"])),
-        ("load_log_layer_in", checks.check_in(t["load_log"], "layer", K.LAYERS)),
-        ("load_log_status_in", checks.check_in(t["load_log"], "status", K.STATUSES)),
-        ("load_log_not_null", checks.check_not_null(t["load_log"], ["run_date", "city_name", "layer", "status"])),
-    ])
+    ], checks.row_report(t["load_log"], {
+        "load_log_layer_in": checks.outside("layer", K.LAYERS), "load_log_status_in": checks.outside("status", K.STATUSES),
+        "load_log_not_null": checks.null_in(["run_date", "city_name", "layer", "status"])}))
 
 
 def main(argv=None) -> None:
