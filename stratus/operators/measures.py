@@ -14,6 +14,7 @@ from stratus.functions.constants import CLIMATE_GROUPS
 from stratus.functions.dates import as_date_lit
 from stratus.functions.numeric import round2
 from stratus.operators.windows import rank_by
+from stratus.session import checkpoint_dir
 
 # measure name → aggregate over mart columns (the dashboard's metric switcher)
 MEASURES = {
@@ -148,6 +149,8 @@ def extreme_ranking(wide: DataFrame, flag: str = "hot") -> DataFrame:
               .when(F.col("_gid") == 3, 2).otherwise(3)).alias("level")
     agg = agg.select(level, "region", "country_name", "city_name", "hot_pct", "frost_pct", "rainy_pct",
                      "max_temp", "min_temp", "max_gusts")
+    checkpoint_dir(agg.sparkSession)
+    agg = agg.checkpoint(eager=True)   # a row per place: the ranking reads it twice
     return rank_by(agg, f"{flag}_pct", part="level", out="rank")
 
 
