@@ -23,7 +23,8 @@ or more, and gives every document the smallest id it reaches through links.
    ``L`` shares tokens outside ``L`` or lacks the same tokens of ``L``, again so many that
    a few suffice. Only cells of the matrix are opened that two members hold which are not in
    one component yet, one of them not linked to ``L``; cells with the same holders are opened
-   once. The holders of an opened cell are compared; more than ``CELL`` of them are a smaller
+   once. The holders of an opened cell are compared if a bound on their overlap, from their
+   overlaps with ``L`` and bit rows of their other tokens, allows a link; more than ``CELL`` of them are a smaller
    group with a leader of its own and are treated in the same way.
 
 Every link comes from an exact comparison of the two sets. Words are parted by the space and
@@ -44,7 +45,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratus.llm import repeats, winnow
@@ -131,7 +132,7 @@ def _sets(texts: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def must_share(member: np.ndarray, leader: np.ndarray, percent: int) -> tuple[bool, np.ndarray, np.ndarray]:
-    """Whether a member and its leader are linked, and the matrix cells of the member.
+    """Whether a member and its leader are linked, and the member's matrix cells, free and crossing ones.
 
     With ``k = (1 - t) / (1 + t)``, sets ``x, y`` are linked when they differ in at most
     ``k * (|x| + |y|)`` tokens. ``outside`` are a member's tokens not in L, ``lacking`` the
@@ -163,28 +164,68 @@ def must_share(member: np.ndarray, leader: np.ndarray, percent: int) -> tuple[bo
     return linked, np.concatenate([outside, by_two if not linked else by_two[:0]]), by_one
 
 
+#: Words of a bit row: the hashed outside, and the hashed lacking tokens of a member.
+_OUT, _LACK = (tuple(f"{name}{i}" for i in range(4)) for name in ("out", "lack"))
+
+
+def bit_row(tokens: np.ndarray) -> list[int]:
+    """The tokens as a set of 256 bits, in four words."""
+    row = np.zeros(256, np.uint8)
+    row[(winnow.mixed(tokens) & np.uint64(255)).astype(np.int64)] = 1
+    return np.packbits(row, bitorder="little").view(np.int64).tolist()
+
+
 def _compared(stars: DataFrame, bodies: DataFrame, n: int, percent: int) -> DataFrame:
-    """``u, v, linked, signs``: member and leader compared by their whole sets, and the cells."""
+    """Members ``u`` and leaders ``v`` compared by their whole sets: ``linked``, the cells ``signs``,
+    the sizes of member, leader and overlap, and the member's bit rows."""
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdDecompressor()
         for batch in batches:
-            linked, cells = [], []
+            linked, cells, facts = [], [], []
             for lead, x, y in zip(batch.column(1), batch.column(2), batch.column(3)):
-                yes, free, crossing = must_share(*(shingles(z.decompress(t.as_py()), n) for t in (x, y)), percent)
+                member, leader = (shingles(z.decompress(t.as_py()), n) for t in (x, y))
+                yes, free, crossing = must_share(member, leader, percent)
                 linked.append(yes)
                 group = winnow.mixed(np.array([lead.as_py()], np.int64).view(np.uint64))
                 cells.append(np.concatenate([winnow.mixed(free + group) & ~_ONE, winnow.mixed(crossing + group) | _ONE]
                                             ).view(np.int64))
+                outside = np.setdiff1d(member, leader, assume_unique=True)
+                lacking = np.setdiff1d(leader, member, assume_unique=True)
+                facts.append((len(member), len(leader), len(member) - len(outside), *bit_row(outside), *bit_row(lacking)))
             ends = np.cumsum([0, *map(len, cells)], dtype=np.int32)
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()),
-                                   pa.ListArray.from_arrays(ends, np.concatenate([*cells, np.zeros(0, np.int64)]))],
-                                  names=["u", "v", "linked", "signs"])
+                                   pa.ListArray.from_arrays(ends, np.concatenate([*cells, np.zeros(0, np.int64)])),
+                                   *(pa.array([f[k] for f in facts], pa.int64()) for k in range(3 + 8))],
+                                  names=["u", "v", "linked", "signs", *_FACTS])
 
     def body(name: str) -> DataFrame:
         return bodies.select(F.col("doc").alias(name), F.col("body").alias(f"{name}_body"))
 
     return (stars.join(body("u"), "u").join(body("v"), "v").select("u", "v", "u_body", "v_body")
-            .mapInArrow(step, "u long, v long, linked boolean, signs array<long>"))
+            .mapInArrow(step, "u long, v long, linked boolean, signs array<long>, " + ", ".join(f"{c} long" for c in _FACTS)))
+
+
+_FACTS = ("size", "top", "both", *_OUT, *_LACK)
+
+
+def _may_link(x: dict[str, Column], y: dict[str, Column], percent: int) -> Column:
+    """A bound on the overlap of two members of one group, from their overlaps with the leader.
+
+    The tokens of the leader that either lacks are at least those one lacks and the bits that only
+    the other's row of lacking tokens has; common outside tokens are at most one's without
+    the bits that only its row has.
+    """
+    def only(a: dict[str, Column], b: dict[str, Column], words: tuple[str, ...]) -> Column:
+        return reduce(Column.__add__, (F.bit_count(a[w].bitwiseAND(F.bitwise_not(b[w]))) for w in words))
+
+    def lacking(a: dict[str, Column], b: dict[str, Column]) -> Column:
+        return a["top"] - a["both"] + only(b, a, _LACK)
+
+    def shared(a: dict[str, Column], b: dict[str, Column]) -> Column:
+        return a["size"] - a["both"] - only(a, b, _OUT)
+
+    most = x["top"] - F.greatest(lacking(x, y), lacking(y, x)) + F.least(shared(x, y), shared(y, x))
+    return (100 + percent) * most >= percent * (x["size"] + y["size"])
 
 
 def _stars(seeds: DataFrame) -> DataFrame:
@@ -202,11 +243,11 @@ def _stars(seeds: DataFrame) -> DataFrame:
     return stars
 
 
-def _opened(cells: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _opened(cells: DataFrame, groups: DataFrame, facts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """The pairs ``u, v`` of the cells to open, and the ``sign, node`` of those with many holders.
 
-    ``cells``: ``sign, node, open`` (not linked to the leader). In odd cells only an open
-    and another holder can be linked.
+    ``cells``: ``sign, node, lead, open`` (not linked to the leader). In odd cells only an open
+    and another holder can be linked. ``facts``: sizes and bit rows by ``node, lead``.
     """
     placed = saved(cells.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")), "cells")
     holders = F.sum(F.xxhash64("node", "open").cast("decimal(38,0)"))
@@ -216,10 +257,13 @@ def _opened(cells: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
         .where("c0 < c1 AND some AND (sign % 2 = 0 OR NOT every)").select("sign", "n", "holders"), "held")
     few = (held.where(F.col("n") <= CELL).groupBy("n", "holders", F.col("sign") % 2).agg(F.min("sign").alias("sign"))
            .select("sign"))
-    one = saved(placed.join(few, "sign"), "holders")
-    two = one.select("sign", F.col("node").alias("v"), F.col("component").alias("other"), F.col("open").alias("v_open"))
-    pairs = saved(one.join(two, "sign").where("node < v AND component <> other AND (sign % 2 = 0 OR open <> v_open)")
-                  .select(F.col("node").alias("u"), "v").distinct(), "pairs")
+    one = saved(placed.join(few, "sign").join(facts, ["node", "lead"]), "holders")
+    x, y = one.alias("x"), one.alias("y")
+    left, right = ({c: F.col(f"{name}.{c}") for c in one.columns} for name in ("x", "y"))
+    pairs = saved(x.join(y, (left["sign"] == right["sign"]) & (left["node"] < right["node"])
+                         & (left["component"] != right["component"])
+                         & ((left["sign"] % 2 == 0) | (left["open"] != right["open"])) & _may_link(left, right, percent))
+                  .select(left["node"].alias("u"), right["node"].alias("v")).distinct(), "pairs")
     many = saved(placed.join(held.where(F.col("n") > CELL), "sign").select("sign", "node"), "many")
     discard(placed, held, one)
     return pairs, many
@@ -250,8 +294,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
         groups = components(reduce(DataFrame.unionByName, links))
         unsettled = compared.groupBy("v").agg(F.min("linked").alias("every")).where("NOT every").select("v")
         cells = compared.join(unsettled, "v").select(F.explode("signs").alias("sign"), F.col("u").alias("node"),
-                                                     (~F.col("linked")).alias("open"))
-        pairs, many = _opened(cells, groups)
+                                                     F.col("v").alias("lead"), (~F.col("linked")).alias("open"))
+        facts = compared.select(F.col("u").alias("node"), F.col("v").alias("lead"), *_FACTS)
+        pairs, many = _opened(cells, groups, facts, percent)
         opened.append(pairs)
         discard(stars, compared)
         stars = _stars(many)
