@@ -55,6 +55,42 @@ def test_random_strings_are_told_from_words(spark):
     assert sum(r.n_random for r in rows[:-80]) + sum(r.n_random for r in rows[-40:]) <= 2
 
 
+def test_a_key_is_found_in_a_table_without_long_words(spark):
+    keys = ["q7Rk2VxT9mZbL4wPc8YdHs3NfJ6uGaE1oXi5tKvB", "11acdfb36bb72224148e6160f674", "QxvRzKpWmTbNcLdGhJfYsVkZqXwPnMtRbHgDjLcF"]
+    for key in keys:
+        rows = secrets.find_secrets(frame(spark, [None, f"see {key} there", "some short words"])).orderBy("doc_id").collect()
+        assert [r.n_random for r in rows] == [0, 1, 0], key
+        assert rows[1].spans == f"random:4:{4 + len(key)}"
+
+
+def test_a_run_of_letters_in_a_third_of_the_rows_hides_no_keys(spark):
+    rng = random.Random(1)
+    keys = [base64.b64encode(rng.randbytes(30)).decode() for _ in range(40)]
+    texts = [f"see {k} there" for k in keys] + ["see QxvRzKpWmTbNcLdGhJfY there"] * 60 + ["nothing here"] * 80
+    rows = secrets.find_secrets(frame(spark, texts)).orderBy("doc_id").collect()
+    assert sum(r.n_random for r in rows[:40]) >= 36
+    assert sum(r.n_random for r in rows[100:]) == 0
+
+
+def test_copies_of_a_word_count_once(spark):
+    key, word = "q7Rk2VxT9mZbL4wPc8YdHs3NfJ6uGaE1oXi5tKvB", "understandingofthewordsthatwerewrittendown"
+    for copies in (1, 3000):
+        rows = secrets.find_secrets(frame(spark, [f"see {key}"] + [f"see {word}"] * copies)).orderBy("doc_id").collect()
+        assert rows[0].n_random == 1 and sum(r.n_random for r in rows[1:]) == 0
+
+
+def test_text_seldom_passes_for_random(spark):
+    rng = random.Random(6)
+    syllables = ["lich", "keit", "er", "tion", "on", "ment", "qu", "el", "schen", "th", "is", "ver", "an", "ble"]
+    ways = [lambda w: w, str.upper, lambda w: w.title(), lambda w: w + "-", lambda w: w + str(rng.randint(1, 99))]
+    texts = []
+    for way in ways:
+        for size in (20, 24, 33, 50, 120):
+            texts += [("".join(way("".join(rng.choice(syllables) for _ in range(3))) for _ in range(30))[:size], size) for _ in range(60)]
+    p = [r[0] for r in spark.createDataFrame(texts, "t string, size int").select(secrets.textness(F.col("t"))).collect()]
+    assert sum(x <= 0.05 for x in p) / len(p) <= 0.05 and min(p) > 1e-5
+
+
 def test_p_values_are_even_for_random_tokens(spark):
     rng = random.Random(2)
     tokens = [("".join(rng.choice("0123456789abcdef") for _ in range(40)),) for _ in range(600)]
