@@ -10,8 +10,8 @@ or more, and gives every document the smallest id it reaches through links.
    ten tokens make a part, so a passage that many documents share makes no seed.
    A set emits at most ``PARTS`` parts a class and no empty part. Parts are dealt at random,
    a third of them stays untouched even at the threshold, and small sets are dealt
-   ``families`` times, so that the chance to miss a link just at the threshold is under 1e-9,
-   and vanishes above it.
+   ``families`` times, so that the chance to miss a link just at the threshold is at most 1.6e-9
+   (sets of 9 and 11 tokens at 80 percent), and vanishes above it.
 3. Groups. The nodes of a seed's bucket are a group of similar sets about a leader, the node
    that stands in most buckets. Every member is compared with the leader only; linked
    members are done with each other.
@@ -56,7 +56,7 @@ from stratus.llm.components import components
 PARTS = 96
 #: Holders of a matrix cell that are compared with each other; more make a group of their own.
 CELL = 256
-#: The chance to miss a link at the threshold stays below this.
+#: About the chance to miss a link at the threshold: families are added until an estimate is below this.
 MISS = 1e-9
 
 
