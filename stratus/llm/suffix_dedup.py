@@ -1,4 +1,4 @@
-"""Suffix-array deduplication by bucket-pointer refinement over sampled suffixes.
+"""Suffix deduplication by refining buckets of sampled suffixes.
 
 Removes every byte that a string of ``length`` bytes covers which also starts anywhere
 else. Sorting all suffixes would shuffle one row per byte in every round; instead only
@@ -7,8 +7,8 @@ equal strings choose equal anchors.
 
 * Initial buckets: the anchor's q-gram. Its fingerprint is the bucket's identifier, the
   same on every machine. Suffixes alone in their bucket are settled: unique.
-* A refinement splits the buckets by the identifier of what lies at the earlier and later
-  offsets that the anchor's windows reach. Suffixes that still share a bucket share all of
+* A refinement splits the buckets by a direct hash of all bytes that the anchor's windows
+  reach; bucket identifiers of other suffixes are not used for it. Suffixes that still share a bucket share all of
   their windows: repeated. A bucket that did not split is settled as a whole.
 * The rest, suffixes left alone in a bucket that did split and one witness of each larger
   part, go on: their windows are cut into cells by offset from the anchor, the cells are
