@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages from raw documents to a training mix.
 
 Every stage works on all documents that its predecessor kept; all but the last return the
-columns of ``documents``, the last adds how many words of each document the mix takes.
+columns of ``documents``, the last also how often the mix repeats a text and where it cuts one.
 """
 
 from __future__ import annotations
@@ -36,8 +36,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes: the columns but the text, and ``size, source_size, target, taken``."""
-    return mixing.mix_sources(docs, quality_weights(docs, table(spark, sf_dir, "labels")))
+    """The mix: each text as often as ``repeats``, then ``first_words``; both texts are null if nothing is taken."""
+    return mixing.mix_documents(docs, quality_weights(docs, table(spark, sf_dir, "labels")))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -15,6 +15,8 @@ the last; null ids and repeated rows take part as rows of their own (equal keys
 on id, then size); an empty table gives an empty result; a null, missing or non-positive
 weight counts as the smallest weight. Columns of the input named like a result column are replaced by it;
 names that begin with ``_x4_`` are reserved.
+
+``mix_sources`` gives the decision for every document, without texts; ``mix_documents`` gives the mix.
 """
 
 from __future__ import annotations
@@ -34,6 +36,12 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")).cast("long")
 
 
+def first_words(text: Column, n: Column) -> Column:
+    """The text up to the end of its ``n``-th word."""
+    words = F.regexp_extract_all(text, F.lit("[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+"), F.lit(0))
+    return F.array_join(F.slice(words, F.lit(1), n.cast("int")), "")
+
+
 def uniform(id_col: Column, seed: int = 0) -> Column:
     """A number in (0, 1) fixed by the id: 52 bits of its MD5."""
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(id_col.cast("string"), F.lit(""))))
@@ -75,12 +83,41 @@ def fill_targets(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
 def mix_sources(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source", cycle: tuple[int, ...] = (1, 2, 3), max_epochs: int = MAX_EPOCHS,
                 seed: int = 0) -> DataFrame:
-    """The columns of ``docs`` but the text, and ``size, source_size, target, taken``.
+    """The decision: the columns of ``docs`` but the text, and ``size, source_size, target, taken``.
 
     ``weights``: the documents' quality weights, ``id_col, weight`` with one row per id
     (default: all equal). They meet the documents' sizes, not their texts.
     """
     rest = [c for c in docs.columns if c not in (text_col, "size", "source_size", "target", "taken")]
+    return _mixed(docs, rest, weights, id_col, text_col, source_col, cycle, max_epochs, seed)
+
+
+def mix_documents(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
+                  source_col: str = "source", cycle: tuple[int, ...] = (1, 2, 3), max_epochs: int = MAX_EPOCHS,
+                  seed: int = 0) -> DataFrame:
+    """The mix: the columns of ``docs`` and of the decision, and ``repeats, first_words``.
+
+    A document gives its text ``repeats`` times and then ``first_words``, the text up to where its source's
+    budget ends. The text is null where ``repeats`` is 0, ``first_words`` where nothing is cut; both are
+    null in a document that the mix does not take.
+    """
+    added = ("size", "source_size", "target", "taken", "repeats", "first_words")
+    rest = [c for c in docs.columns if c not in (text_col, *added)]
+    # the text travels under a name of its own, so that the decision's own columns can replace any other
+    out = _mixed(docs.withColumn("_x4_text", whole_text(text_col)), [*rest, "_x4_text"], weights, id_col, text_col,
+                 source_col, cycle, max_epochs, seed)
+    size, taken = F.greatest(F.col("size"), F.lit(1)), F.col("taken")
+    left = taken - F.col("repeats") * size
+    return (out.withColumn("repeats", F.floor(taken / size).cast("long"))
+            .withColumn("first_words", F.when(left > 0, first_words(F.col("_x4_text"), left)))
+            .withColumn("_x4_text", F.when(F.col("repeats") > 0, F.col("_x4_text")))
+            .select(*(F.col("_x4_text").alias(text_col) if c == text_col else F.col(c)
+                      for c in docs.columns if c == text_col or c in rest), *added))
+
+
+def _mixed(docs: DataFrame, rest: list[str], weights: DataFrame | None, id_col: str, text_col: str, source_col: str,
+           cycle: tuple[int, ...], max_epochs: int, seed: int) -> DataFrame:
+    """The columns ``rest`` of ``docs`` with the decision."""
     text = whole_text(text_col)
     sized = docs.select(*rest, word_count(text).alias("size"), source_key(F.col(source_col)).alias("_x4_source"),
                         uniform(F.coalesce(F.col(id_col).cast("string"), F.md5(text)), seed).alias("_x4_u"))

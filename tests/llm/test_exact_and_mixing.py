@@ -83,6 +83,23 @@ def test_mixing_targets_epochs_and_order(spark):
     assert all(abs(taken[s] - want[s]) <= 1 for s in sizes)
 
 
+def test_the_mix_repeats_and_cuts_texts(spark):
+    rows = [(i, f" a{i}\tb  c{i} d\n" + "long " * 7 * (i % 4) if i % 5 else None, "x" if i < 40 else "y", "old") for i in range(43)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, repeats string")
+    taken = {r.doc_id: r.taken for r in mixing.mix_sources(docs).collect()}
+    out = mixing.mix_documents(docs)
+    assert out.columns == ["doc_id", "text", "source", "size", "source_size", "target", "taken", "repeats", "first_words"]
+    cut = 0
+    for r in out.collect():
+        whole = rows[r.doc_id][1] or ""
+        words = len((r.text or "").split()) * r.repeats + len((r.first_words or "").split())
+        assert r.taken == taken[r.doc_id] == words
+        assert r.text == (whole if r.repeats else None) and whole.startswith(r.first_words or "")
+        cut += r.first_words is not None
+    kept = [r for r in out.collect() if r.taken]
+    assert len(kept) < len(rows) and any(r.repeats > 1 for r in kept) and 0 < cut <= 2
+
+
 def test_heavier_documents_come_more_often(spark):
     docs = spark.range(3000).selectExpr("id AS doc_id", "'one two' AS text", "if(id < 1500, 'a', 'b') AS source")
     weights = docs.selectExpr("doc_id", "if(doc_id % 2 = 0, 1.0, 0.25) AS weight")
