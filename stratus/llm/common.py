@@ -21,15 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written as Parquet below the shared checkpoint folder and read again.
 
     Cuts the lineage like ``checkpoint()`` (a lost executor costs no recomputation), but
-    in compressed columns, so that later steps read only what they select.
+    in compressed columns, so that later steps read only what they select. ``options`` are the writer's.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.scratch_path = path
     return back

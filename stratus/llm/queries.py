@@ -16,8 +16,11 @@ from stratus.llm import (
     quality,
     secrets,
     seed_extend,
+    sharding,
     suffix_dedup,
+    token_alignment,
     toxicity,
+    whitening,
 )
 from stratus.llm.common import table
 
@@ -77,6 +80,20 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents")).drop("assign", "access", "hex", "random")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_alignment.align_documents(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.withColumn("groups_sha256", digest).drop("groups")
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"), n_shards=40, keep=["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_jaccard_join": op2_jaccard_join,
@@ -88,6 +105,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_whitening": op11_whitening,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_sharding": op13_sharding,
 }
 
 ORACLE: dict[str, str] = {
