@@ -4,7 +4,8 @@ Documents go into ``n_shards`` shards that balance bytes, tokens and rows jointl
 of equal texts are a *group* and stay together; every group is a vector of three loads, each
 measured in shares (the whole table's load over the number of shards). Items are placed in
 falling order of their largest load, each where the dot product with the residual capacity is
-highest among the shards that have room for it (if none has, among all).
+highest among the shards that have room for it; if none has room in all loads, the shard with most room
+for bytes takes it, as the law is about bytes.
 
 The number of items that the driver places has a bound that the data do not move:
 
@@ -47,13 +48,13 @@ RESULT = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 def place(loads: np.ndarray, n_shards: int) -> np.ndarray:
-    """The shard of every item; ``loads`` holds a row of loads, in shares, for each item."""
+    """The shard of every item; ``loads`` holds a row of loads, in shares, for each item, bytes first."""
     shards = np.zeros(len(loads), np.int64)
     room = np.ones((n_shards, loads.shape[1]))
     for i in np.argsort(-loads.max(axis=1, initial=0), kind="stable"):
         product = room @ loads[i]
         fits = (room >= loads[i]).all(axis=1)
-        shards[i] = np.argmax(np.where(fits, product, -np.inf) if fits.any() else product)
+        shards[i] = np.argmax(np.where(fits, product, -np.inf) if fits.any() else room[:, 0])
         room[shards[i]] -= loads[i]
     return shards
 
