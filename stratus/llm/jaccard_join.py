@@ -12,20 +12,18 @@ or more, and gives every document the smallest id it reaches through links.
    a third of them stays untouched even at the threshold, and small sets are dealt
    ``families`` times, so that the chance to miss a link just at the threshold is at most 1.6e-9
    (sets of 9 and 11 tokens at 80 percent), and vanishes above it.
-3. Groups. The nodes of a seed's bucket are a group of similar sets about a leader, the node
-   that stands in most buckets. Every member is compared with the leader only; linked
-   members are done with each other.
-4. Token-group matrix. What else may be linked in a group shares tokens in a way that the
-   leader ``L`` does not explain. For each member the matrix holds, by group and token, the
-   tokens of which it must share one, by bounds on its overlap with any member:
-   a member with less than ``percent`` of its tokens in ``L`` must share tokens outside
-   ``L``, so many that the first few in hash order suffice; a member almost contained in
-   ``L`` shares tokens outside ``L`` or lacks the same tokens of ``L``, again so many that
-   a few suffice. Only cells of the matrix are opened that two members hold which are not in
-   one component yet, one of them not linked to ``L``; cells with the same holders are opened
-   once. The holders of an opened cell are compared if a bound on their overlap, from their
-   overlaps with ``L`` and bit rows of their other tokens, allows a link; more than ``CELL`` of them are a smaller
-   group with a leader of its own and are treated in the same way.
+3. Groups. The nodes of a seed's bucket are similar sets about a leader ``L``, the node
+   that stands in most buckets. Every member is compared with the leader; linked members get one
+   component label.
+4. Token-group matrix. Members that are not linked to their leader are *open* and may be linked to others of
+   its group. Tokens in which a member and the leader differ are *apart*; ``x, y`` share exactly
+   ``|L| - |lacking x| - |lacking y| + |apart x & apart y|`` tokens. The members are parted, similar ones
+   together, into groups of some ``GROUP`` apart tokens, and every group stores the union of its apart tokens.
+   Open members query the groups: the overlap with a group's union bounds the overlap with each of its members, and only
+   groups that some query may be linked to are opened. In an opened group all overlaps come from
+   one product of 0/1 matrices over the tokens that both sides hold, so they are exact and no pair
+   of members becomes a row. Pairs with one component label are left out, and of the links found one
+   for each pair of labels goes on.
 
 Every link comes from an exact comparison of the two sets. Words are parted by the space and
 09-0D and A-Z is lower-cased; a text of fewer than ``n`` words is one n-gram.
@@ -39,13 +37,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratus.llm import repeats, winnow
@@ -54,8 +51,10 @@ from stratus.llm.components import components
 
 #: Parts of a set that are emitted as signatures, per size class.
 PARTS = 96
-#: Holders of a matrix cell that are compared with each other; more make a group of their own.
-CELL = 256
+#: Apart tokens of a group of the matrix (a member counts as 64 more); a group is one row.
+GROUP = 1 << 16
+#: Members of a leader that are put in order together before they are cut into groups.
+ORDERED = 1 << 15
 #: About the chance to miss a link at the threshold: families are added until an estimate is below this.
 MISS = 1e-9
 
@@ -108,9 +107,6 @@ def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-_ONE = np.uint64(1)
-
-
 def _sets(texts: DataFrame, n: int, percent: int) -> DataFrame:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,7 +117,6 @@ def _sets(texts: DataFrame, n: int, percent: int) -> DataFrame:
                 one.append(winnow.mixed(tokens + np.uint64(3)).sum(dtype=np.uint64).view(np.int64))
                 two.append(winnow.mixed(tokens ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64))
                 signs.append(signatures(tokens, percent))
-            signs = [(s.view(np.uint64) & ~_ONE).view(np.int64) for s in signs]
             ends = np.cumsum([0, *map(len, signs)], dtype=np.int32)
             yield pa.record_batch([batch.column(0), pa.array(size, pa.int64()), pa.array(one, pa.int64()),
                                    pa.array(two, pa.int64()),
@@ -131,101 +126,119 @@ def _sets(texts: DataFrame, n: int, percent: int) -> DataFrame:
     return texts.mapInArrow(step, "doc long, size long, set1 long, set2 long, signs array<long>")
 
 
-def must_share(member: np.ndarray, leader: np.ndarray, percent: int) -> tuple[bool, np.ndarray, np.ndarray]:
-    """Whether a member and its leader are linked, and the member's matrix cells, free and crossing ones.
-
-    With ``k = (1 - t) / (1 + t)``, sets ``x, y`` are linked when they differ in at most
-    ``k * (|x| + |y|)`` tokens. ``outside`` are a member's tokens not in L, ``lacking`` the
-    tokens of L that it lacks, ``apart`` both. Let ``x, y`` be linked, ``y`` not to L.
-
-    * If less than ``t * |y|`` tokens of ``y`` are in L, ``x`` shares at least
-      ``t * |y| - |y & L|`` of its outside tokens: linked sets share ``t * |y|`` or more.
-    * Else ``apart`` of ``x`` and of ``y`` share ``(|apart x| + |apart y| - k * (|x| + |y|)) / 2``
-      or more. ``|apart y| > k * (|y| + |L|)``, so that is over ``(|apart x| + k * (|L| - |x|)) / 2``;
-      the same holds for ``y`` if ``x`` is not linked to L either, and if ``x`` is, it is no less
-      than ``(|apart y| - k * (|y| + |L|)) / 2`` for ``y``, at least one. Lacking tokens make
-      cells for two unlinked members, and others for a linked and an unlinked one.
-
-    Of two sets with ``r`` common elements the smallest common one is among the first
-    ``size - r + 1`` of each.
-    """
+def apart_tokens(member: np.ndarray, leader: np.ndarray, percent: int) -> tuple[bool, int, np.ndarray]:
+    """Whether the two sets are linked, how many tokens of the leader the member lacks, and the tokens of only one."""
     both = len(np.intersect1d(member, leader, assume_unique=True))
-    size, top = len(member), len(leader)
-    linked = 100 * both >= percent * (size + top - both)
-    outside = np.setdiff1d(member, leader, assume_unique=True)
-    if 100 * both < percent * size:
-        least = -(-(percent * size - 100 * both) // 100)
-        return linked, outside[:max(0, len(outside) - least + 1)], outside[:0]
-    lacking = np.setdiff1d(leader, member, assume_unique=True)
-    apart = (len(outside) + len(lacking)) * (100 + percent)
-    strong = max(0, apart + (top - size) * (100 - percent)) // (2 * (100 + percent)) + 1
-    weak = strong if linked else max(1, -((size + top) * (100 - percent) - apart) // (2 * (100 + percent)))
-    by_two, by_one = winnow.mixed(lacking[:max(0, len(lacking) - strong + 1)]), winnow.mixed(lacking[:max(0, len(lacking) - weak + 1)])
-    return linked, np.concatenate([outside, by_two if not linked else by_two[:0]]), by_one
-
-
-#: Words of a bit row: the hashed outside, and the hashed lacking tokens of a member.
-_OUT, _LACK = (tuple(f"{name}{i}" for i in range(4)) for name in ("out", "lack"))
-
-
-def bit_row(tokens: np.ndarray) -> list[int]:
-    """The tokens as a set of 256 bits, in four words."""
-    row = np.zeros(256, np.uint8)
-    row[(winnow.mixed(tokens) & np.uint64(255)).astype(np.int64)] = 1
-    return np.packbits(row, bitorder="little").view(np.int64).tolist()
+    linked = 100 * both >= percent * (len(member) + len(leader) - both)
+    return linked, len(leader) - both, np.setxor1d(member, leader, assume_unique=True)
 
 
 def _compared(stars: DataFrame, bodies: DataFrame, n: int, percent: int) -> DataFrame:
-    """Members ``u`` and leaders ``v`` compared by their whole sets: ``linked``, the cells ``signs``,
-    the sizes of member, leader and overlap, and the member's bit rows."""
+    """Members ``u`` and leaders ``v`` compared by their whole sets: ``linked``, the sizes ``size, top`` of member and
+    leader, ``lacking``, and the tokens ``apart``."""
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdDecompressor()
         for batch in batches:
-            linked, cells, facts = [], [], []
-            for lead, x, y in zip(batch.column(1), batch.column(2), batch.column(3)):
+            facts, apart = [], []
+            for x, y in zip(batch.column(2), batch.column(3)):
                 member, leader = (shingles(z.decompress(t.as_py()), n) for t in (x, y))
-                yes, free, crossing = must_share(member, leader, percent)
-                linked.append(yes)
-                group = winnow.mixed(np.array([lead.as_py()], np.int64).view(np.uint64))
-                cells.append(np.concatenate([winnow.mixed(free + group) & ~_ONE, winnow.mixed(crossing + group) | _ONE]
-                                            ).view(np.int64))
-                outside = np.setdiff1d(member, leader, assume_unique=True)
-                lacking = np.setdiff1d(leader, member, assume_unique=True)
-                facts.append((len(member), len(leader), len(member) - len(outside), *bit_row(outside), *bit_row(lacking)))
-            ends = np.cumsum([0, *map(len, cells)], dtype=np.int32)
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()),
-                                   pa.ListArray.from_arrays(ends, np.concatenate([*cells, np.zeros(0, np.int64)])),
-                                   *(pa.array([f[k] for f in facts], pa.int64()) for k in range(3 + 8))],
-                                  names=["u", "v", "linked", "signs", *_FACTS])
+                linked, lacking, tokens = apart_tokens(member, leader, percent)
+                facts.append((linked, len(member), len(leader), lacking))
+                apart.append(tokens.view(np.int64))
+            ends = np.cumsum([0, *map(len, apart)], dtype=np.int32)
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([f[0] for f in facts], pa.bool_()),
+                                   *(pa.array([f[k] for f in facts], pa.int64()) for k in (1, 2, 3)),
+                                   pa.ListArray.from_arrays(ends, np.concatenate([*apart, np.zeros(0, np.int64)]))],
+                                  names=["u", "v", "linked", "size", "top", "lacking", "apart"])
 
     def body(name: str) -> DataFrame:
         return bodies.select(F.col("doc").alias(name), F.col("body").alias(f"{name}_body"))
 
     return (stars.join(body("u"), "u").join(body("v"), "v").select("u", "v", "u_body", "v_body")
-            .mapInArrow(step, "u long, v long, linked boolean, signs array<long>, " + ", ".join(f"{c} long" for c in _FACTS)))
-
+            .mapInArrow(step, "u long, v long, linked boolean, size long, top long, lacking long, apart array<long>"))
+
+
+class Group:
+    """Members of a group of the matrix: labels, sizes, numbers of lacking tokens, and apart tokens end to end."""
+
+    def __init__(self, members: pa.StructScalar):
+        rows = members.values
+        self.label, self.size, self.lacking = (rows.field(c).to_numpy() for c in ("label", "size", "lacking"))
+        lists = rows.field("apart")
+        self.tokens = lists.flatten().to_numpy()
+        self.owner = np.repeat(np.arange(len(rows)), np.diff(lists.offsets.to_numpy()))
+
+    def only(self, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of the members to keep, and their owners."""
+        some = keep[self.owner]
+        return self.tokens[some], self.owner[some]
+
+
+#: Columns of the matrices that are multiplied at once.
+COLUMNS = 2048
+
+
+def linked_labels(query: Group, group: Group, top: int, percent: int) -> np.ndarray:
+    """Pairs of component labels that a link between a query and a member of the group joins (two columns)."""
+    none = np.zeros((0, 2), np.int64)
+    if len(query.label) == 0 or query.label.min() == query.label.max() == group.label.min() == group.label.max():
+        return none
+    # the bound by the group's union
+    union = np.unique(group.tokens)
+    met = np.isin(query.tokens, union)
+    met = np.bincount(query.owner[met], minlength=len(query.label))
+    most = top - query.lacking - group.lacking.min() + met
+    ask = (100 + percent) * most >= percent * (query.size + group.size.min())
+    if not ask.any():
+        return none
+    # opened: the overlaps of all queries that ask with all members, over the tokens of both
+    tokens, owner = query.only(ask)
+    columns = np.intersect1d(tokens, union)
+    rank = np.cumsum(ask) - 1
+    shared = np.zeros((ask.sum(), len(group.label)), np.float32)
+    for k in range(0, len(columns), COLUMNS):
+        part = columns[k:k + COLUMNS]
+        sides = []
+        for t, o, n in ((tokens, rank[owner], len(shared)), (group.tokens, group.owner, len(group.label))):
+            at = np.searchsorted(part, t)
+            hit = part[np.minimum(at, len(part) - 1)] == t
+            m = np.zeros((n, len(part)), np.float32)
+            m[o[hit], at[hit]] = 1
+            sides.append(m)
+        shared += sides[0] @ sides[1].T
+    both = top - query.lacking[ask][:, None] - group.lacking + shared.astype(np.int64)
+    linked = (100 + percent) * both >= percent * (query.size[ask][:, None] + group.size)
+    x, y = np.nonzero(linked & (query.label[ask][:, None] != group.label))
+    labels = np.stack([query.label[ask][x], group.label[y]], axis=1)
+    return np.unique(np.sort(labels, axis=1), axis=0)
+
+
+def _opened(compared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """``u, v``: pairs of component labels that links within the leaders' groups join."""
+    unsettled = compared.groupBy("v").agg(F.count("*").alias("n"), F.max(~F.col("linked")).alias("open")).where("open").drop("open")
+    members = compared.join(unsettled, "v").join(labels.withColumnRenamed("node", "u"), "u", "left").select(
+        "v", (~F.col("linked")).alias("open"), "u", "size", "top", "lacking", "apart", F.coalesce("label", "u").alias("label"),
+        F.pmod(F.xxhash64("u"), F.ceil(F.col("n") / ORDERED)).alias("salt"), F.array_min("apart").alias("least"))
+    so_far = (Window.partitionBy("v", "open", "salt").orderBy("least", "u").rowsBetween(Window.unboundedPreceding, -1))
+    cost = F.sum(F.size("apart") + 64).over(so_far)
+    groups = saved(members.withColumn("block", F.floor(F.coalesce(cost, F.lit(0)) / GROUP))
+                   .groupBy("v", "open", "salt", "block")
+                   .agg(F.max("top").alias("top"), F.collect_list(F.struct("label", "size", "lacking", "apart")).alias("members"))
+                   .withColumn("place", F.struct("open", "salt", "block")), "groups")
+    asking = groups.where("open").select("v", "top", F.col("place").alias("asks"))
+    asked = asking.join(groups.select("v", "place"), "v").where("NOT place.open OR place >= asks")
+    pairs = (asked.join(groups.select("v", F.col("place").alias("asks"), F.col("members").alias("query")), ["v", "asks"])
+             .join(groups.select("v", "place", "members"), ["v", "place"]).select("top", "query", "members"))
 
-_FACTS = ("size", "top", "both", *_OUT, *_LACK)
-
-
-def _may_link(x: dict[str, Column], y: dict[str, Column], percent: int) -> Column:
-    """A bound on the overlap of two members of one group, from their overlaps with the leader.
-
-    The tokens of the leader that either lacks are at least those one lacks and the bits that only
-    the other's row of lacking tokens has; common outside tokens are at most one's without
-    the bits that only its row has.
-    """
-    def only(a: dict[str, Column], b: dict[str, Column], words: tuple[str, ...]) -> Column:
-        return reduce(Column.__add__, (F.bit_count(a[w].bitwiseAND(F.bitwise_not(b[w]))) for w in words))
-
-    def lacking(a: dict[str, Column], b: dict[str, Column]) -> Column:
-        return a["top"] - a["both"] + only(b, a, _LACK)
-
-    def shared(a: dict[str, Column], b: dict[str, Column]) -> Column:
-        return a["size"] - a["both"] - only(a, b, _OUT)
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for top, query, members in zip(*batch.columns):
+                found = linked_labels(Group(query), Group(members), top.as_py(), percent)
+                yield pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["u", "v"])
 
-    most = x["top"] - F.greatest(lacking(x, y), lacking(y, x)) + F.least(shared(x, y), shared(y, x))
-    return (100 + percent) * most >= percent * (x["size"] + y["size"])
+    out = saved(pairs.mapInArrow(step, "u long, v long").distinct(), "label-links")
+    discard(groups)
+    return out
 
 
 def _stars(seeds: DataFrame) -> DataFrame:
@@ -243,32 +256,6 @@ def _stars(seeds: DataFrame) -> DataFrame:
     return stars
 
 
-def _opened(cells: DataFrame, groups: DataFrame, facts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """The pairs ``u, v`` of the cells to open, and the ``sign, node`` of those with many holders.
-
-    ``cells``: ``sign, node, lead, open`` (not linked to the leader). In odd cells only an open
-    and another holder can be linked. ``facts``: sizes and bit rows by ``node, lead``.
-    """
-    placed = saved(cells.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")), "cells")
-    holders = F.sum(F.xxhash64("node", "open").cast("decimal(38,0)"))
-    held = saved(placed.groupBy("sign").agg(
-        F.count("*").alias("n"), holders.alias("holders"), F.min("component").alias("c0"), F.max("component").alias("c1"),
-        F.max("open").alias("some"), F.min("open").alias("every"))
-        .where("c0 < c1 AND some AND (sign % 2 = 0 OR NOT every)").select("sign", "n", "holders"), "held")
-    few = (held.where(F.col("n") <= CELL).groupBy("n", "holders", F.col("sign") % 2).agg(F.min("sign").alias("sign"))
-           .select("sign"))
-    one = saved(placed.join(few, "sign").join(facts, ["node", "lead"]), "holders")
-    x, y = one.alias("x"), one.alias("y")
-    left, right = ({c: F.col(f"{name}.{c}") for c in one.columns} for name in ("x", "y"))
-    pairs = saved(x.join(y, (left["sign"] == right["sign"]) & (left["node"] < right["node"])
-                         & (left["component"] != right["component"])
-                         & ((left["sign"] % 2 == 0) | (left["open"] != right["open"])) & _may_link(left, right, percent))
-                  .select(left["node"].alias("u"), right["node"].alias("v")).distinct(), "pairs")
-    many = saved(placed.join(held.where(F.col("n") > CELL), "sign").select("sign", "node"), "many")
-    discard(placed, held, one)
-    return pairs, many
-
-
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles``, ``component_id``."""
@@ -287,24 +274,14 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     # the list of nodes grows with the input: never broadcast it
     bodies = saved(repeats.packed(texts).join(wanted.hint("merge"), F.col("doc") == F.col("wanted"), "left_semi")
                    .select("doc", "body"), "bodies")
-    links, opened = [], []
-    while not stars.isEmpty():
-        compared = saved(_compared(stars, bodies, n, percent), "compared")
-        links.append(saved(compared.where("linked").select("u", "v"), "links"))
-        groups = components(reduce(DataFrame.unionByName, links))
-        unsettled = compared.groupBy("v").agg(F.min("linked").alias("every")).where("NOT every").select("v")
-        cells = compared.join(unsettled, "v").select(F.explode("signs").alias("sign"), F.col("u").alias("node"),
-                                                     F.col("v").alias("lead"), (~F.col("linked")).alias("open"))
-        facts = compared.select(F.col("u").alias("node"), F.col("v").alias("lead"), *_FACTS)
-        pairs, many = _opened(cells, groups, facts, percent)
-        opened.append(pairs)
-        discard(stars, compared)
-        stars = _stars(many)
-    for pairs in opened:
-        links.append(saved(_compared(pairs, bodies, n, percent).where("linked").select("u", "v"), "links"))
-    none = names.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
-    final = saved(components(reduce(DataFrame.unionByName, links, none)), "components")
-    discard(bodies, *opened, *links)
+    compared = saved(_compared(stars, bodies, n, percent), "compared")
+    discard(stars, bodies)
+    labels = saved(components(compared.where("linked").select("u", "v")).withColumnRenamed("component", "label"), "labels")
+    joined = saved(components(_opened(compared, labels, percent)).withColumnRenamed("node", "label"), "joined")
+    discard(compared)
+    # the labels' own components; a node without links is its own label
+    final = (names.select("node").distinct().join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+             .join(joined, "label", "left").select("node", F.coalesce("component", "label").alias("component")))
 
     own = names.join(final, "node", "left").select(
         F.col("set1").alias("_1"), F.col("set2").alias("_2"), F.coalesce("component", "node").alias("component"))

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm.helpers import frame
@@ -47,9 +48,10 @@ def edited(rng, words, share):
     return out
 
 
-@pytest.mark.parametrize("n, percent, cell", [(3, 90, 256), (5, 80, 2), (1, 60, 256)])
-def test_components_equal_brute_force(spark, monkeypatch, n, percent, cell):
-    monkeypatch.setattr(jaccard_join, "CELL", cell)
+@pytest.mark.parametrize("n, percent, group", [(3, 90, 1 << 16), (5, 80, 300), (1, 60, 1 << 16)])
+def test_components_equal_brute_force(spark, monkeypatch, n, percent, group):
+    monkeypatch.setattr(jaccard_join, "GROUP", group)
+    monkeypatch.setattr(jaccard_join, "ORDERED", 4 if group == 300 else 1 << 15)
     rng = random.Random(n)
     texts = [None, "", "  \t", "One", "one", "two words", "TWO words", "É é"]
     for _ in range(30):
@@ -98,26 +100,73 @@ def test_signatures_meet_at_the_threshold():
             assert np.intersect1d(jaccard_join.signatures(a, 90), jaccard_join.signatures(b, 90)).size
 
 
-def test_cells_of_linked_members_meet():
-    """Random families about a leader: linked pairs that the leader does not settle share a cell."""
-    rng = np.random.default_rng(3)
-    met = 0
-    for percent in (60, 80, 90):
-        for _ in range(300):
-            base = rng.integers(0, 1 << 63, rng.integers(5, 120), dtype=np.uint64)
-
-            def variant(of):
-                keep = of[rng.random(len(of)) > rng.choice([0, 0.03, 0.1, 0.3])]
-                return np.unique(np.concatenate([keep, rng.integers(0, 1 << 63, rng.integers(0, 8), dtype=np.uint64)]))
-
-            leader = variant(base)
-            x = variant(base)
-            y = variant(x)
-            both = len(np.intersect1d(x, y))
-            if not len(leader) or not both or 100 * both < percent * (len(x) + len(y) - both) or np.array_equal(x, y):
-                continue
-            (lx, ax, bx), (ly, ay, by) = (jaccard_join.must_share(s, leader, percent) for s in (x, y))
-            if not (lx and ly) and not np.array_equal(x, leader) and not np.array_equal(y, leader):
-                met += 1
-                assert np.intersect1d(ax, ay).size or (lx != ly and np.intersect1d(bx, by).size)
-    assert met > 100
+def as_group(leader, sets, labels, percent):
+    rows = []
+    for x, label in zip(sets, labels):
+        _, lacking, apart = jaccard_join.apart_tokens(x, leader, percent)
+        rows.append({"label": label, "size": len(x), "lacking": lacking, "apart": apart.view(np.int64).tolist()})
+    kind = pa.list_(pa.struct([("label", pa.int64()), ("size", pa.int64()), ("lacking", pa.int64()), ("apart", pa.list_(pa.int64()))]))
+    return jaccard_join.Group(pa.array([rows], kind)[0])
+
+
+@pytest.mark.parametrize("percent, columns", [(60, 2048), (80, 5), (90, 2048)])
+def test_an_opened_group_gives_all_links_between_labels(monkeypatch, percent, columns):
+    """Random families about a leader: the links found are those of comparing every two sets."""
+    monkeypatch.setattr(jaccard_join, "COLUMNS", columns)
+    rng = np.random.default_rng(percent)
+    met = opened = 0
+    for _ in range(60):
+        base = rng.integers(0, 1 << 63, rng.integers(5, 120), dtype=np.uint64)
+
+        def variant(of):
+            keep = of[rng.random(len(of)) > rng.choice([0, 0.03, 0.1, 0.3])]
+            return np.unique(np.concatenate([keep, rng.integers(0, 1 << 63, rng.integers(1, 8), dtype=np.uint64)]))
+
+        leader = variant(base)
+        sets = [variant(base)]
+        while len(sets) < 14:
+            sets.append(variant(sets[rng.integers(0, len(sets))] if rng.random() < 0.7 else base))
+        labels = [int(k) for k in rng.integers(0, 9, len(sets))]
+        query, group = (as_group(leader, sets[a], labels[a], percent) for a in (slice(0, 6), slice(6, 14)))
+        got = jaccard_join.linked_labels(query, group, len(leader), percent)
+        want = set()
+        for i in range(6):
+            for j in range(6, 14):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both) and labels[i] != labels[j]:
+                    want.add((min(labels[i], labels[j]), max(labels[i], labels[j])))
+        assert {tuple(map(int, p)) for p in got} == want
+        met, opened = met + bool(want), opened + 1
+    assert met > 10
+
+
+def test_a_group_that_no_query_reaches_is_not_opened():
+    leader = np.arange(100, dtype=np.uint64)
+    near, far = np.arange(20, 100, dtype=np.uint64), np.arange(80, dtype=np.uint64)
+    query, group = as_group(leader, [near], [1], 80), as_group(leader, [far], [2], 80)
+    assert not len(jaccard_join.linked_labels(query, group, 100, 80))
+    assert len(jaccard_join.linked_labels(query, as_group(leader, [near[1:]], [2], 80), 100, 80)) == 1
+
+
+@pytest.mark.parametrize("own", [6, 9, 14])
+def test_a_passage_in_all_documents_opens_no_more_than_rows(spark, monkeypatch, own):
+    """One passage of 60 words everywhere: rows that the join makes grow about as the documents."""
+    made = []
+    keep = jaccard_join.saved
+
+    def counted(df, name, **options):
+        out = keep(df, name, **options)
+        made.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "saved", counted)
+    passage = " ".join("common%d" % i for i in range(60))
+    most = {}
+    for size in (400, 1600):
+        made.clear()
+        texts = [passage + " " + " ".join("own%d_%d" % (k, i) for i in range(own)) for k in range(size)]
+        rows = jaccard_join.jaccard_components(frame(spark, texts), 5, 80).collect()
+        both, union = 56, 56 + 2 * own
+        assert len({r.component_id for r in rows}) == (1 if 100 * both >= 80 * union else size)
+        most[size] = max(n for name, n in made if name in ("stars", "compared", "groups", "label-links"))
+    assert most[1600] <= 5 * max(most[400], 1)
