@@ -82,9 +82,9 @@ def forecast_linear(long: DataFrame, run_date, horizon: int = K.HORIZON_DAYS, ke
                     F.regr_syy(F.col("y"), x).alias("syy"),
                     F.regr_sxy(F.col("y"), x).alias("sxy"),
                     F.max("ds").alias("last_obs"))
-               .where(F.col("n") >= min_points))
-    rss = F.greatest(F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx"), F.lit(0.0))
-    sigma = F.sqrt(rss / (F.col("n") - 2))
+               .where((F.col("n") >= min_points) & (F.col("sxx") > 0)))   # all points on one day have no trend
+    rss = F.greatest(F.col("syy") - F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx")), F.lit(0.0))
+    sigma = F.sqrt(F.try_divide(rss, F.col("n") - 2))
     first = F.date_add(run, 1) if anchor == "run_date" else F.date_add(F.col("last_obs"), 1)
     days = F.sequence(first, F.date_add(first, horizon - 1))
     out = fit.select(key, "metric", "a", "b", sigma.alias("sigma"), F.explode(days).alias("target_date"))
@@ -212,6 +212,8 @@ def _seasonal_group(run_day: int, horizon: int, min_points: int, anchor: str):
         try:
             yhat, lo, hi = fit_predict(ds, y, fut)
             status = "ok"
+            if not all(np.isfinite(v).all() for v in (yhat, lo, hi)):
+                raise FloatingPointError("a prediction is not finite")
         except Exception:  # noqa: BLE001 — a failing fit is reported, the run goes on
             fut = fut[:1]
             yhat = lo = hi = np.full(len(fut), np.nan)

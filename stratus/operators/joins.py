@@ -13,7 +13,7 @@ Join strategy policy:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -100,3 +100,22 @@ def enrich_from_config(df: DataFrame, cfg: DataFrame, name_col: str, cols, cfg_n
     """Left join of config attributes by place name (a place absent from the config gets NULLs)."""
     c = cfg.select(F.col(cfg_name).alias("_cfg_name"), *cols)
     return df.join(c, df[name_col] == c["_cfg_name"], "left").drop("_cfg_name")
+
+
+def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_time: str, right_time: str,
+              allow_equal: bool = True) -> DataFrame:
+    """Every row of ``left`` with the columns of the latest row of ``right`` of its key, at or before its time.
+
+    Both sides go through one shuffle on the key and one ordered pass that carries the last right row along;
+    no pairs are formed. ``allow_equal=False`` asks for strictly earlier rows. Rows without an earlier one get
+    NULLs. Names must differ but for the key.
+    """
+    own = [c for c in right.columns if c not in by]
+    rest = [c for c in left.columns if c not in by]
+    rights = right.select(*by, F.col(right_time).alias("_t"), F.lit(0 if allow_equal else 2).alias("_o"),
+                          F.struct(*own).alias("_r"), F.lit(None).cast(left.select(F.struct(*rest)).schema[0].dataType).alias("_l"))
+    lefts = left.select(*by, F.col(left_time).alias("_t"), F.lit(1).alias("_o"),
+                        F.lit(None).cast(rights.schema["_r"].dataType).alias("_r"), F.struct(*rest).alias("_l"))
+    so_far = Window.partitionBy(*by).orderBy("_t", "_o").rowsBetween(Window.unboundedPreceding, 0)
+    return (rights.unionByName(lefts).withColumn("_r", F.last("_r", ignorenulls=True).over(so_far))
+            .where(F.col("_l").isNotNull()).select(*by, "_l.*", "_r.*"))

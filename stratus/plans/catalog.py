@@ -472,16 +472,17 @@ def q_payload_explode(spark, sf):
 
 @query("payload_failed")
 def q_payload_failed(spark, sf):
-    """Every fifth document is made ragged, every fifth corrupt, every fifth has an odd time text."""
+    """Of every five documents one is made ragged, one corrupt, one has an odd time text, one no place name."""
     kind = F.col("first_event") % 5
     doc = (F.when(kind == 1, F.regexp_replace("doc", r'"precipitation":\[', '"precipitation":[0.5,'))
             .when(kind == 2, F.expr("left(doc, length(doc) - 2)"))
-            .when(kind == 3, F.regexp_replace("doc", r'"time":\["', '"time":["on ')).otherwise(F.col("doc")))
+            .when(kind == 3, F.regexp_replace("doc", r'"time":\["', '"time":["on '))
+            .when(kind == 4, F.regexp_replace("doc", r'"name":"[^"]*",', "")).otherwise(F.col("doc")))
     schema = P.payload_schema(PAYLOAD_VARS).add("_corrupt", "string")
     parsed = landed_documents(_stage(spark, sf)).select(
         F.from_json(doc, schema, {"columnNameOfCorruptRecord": "_corrupt"}).alias("p")).select("p.*")
     bad = P.invalid_payloads(parsed, names=PAYLOAD_VARS)
-    name = F.when(F.col("error") == "unreadable document", "unknown").otherwise(F.col("name"))
+    name = F.when(F.col("error") == "unreadable document", "unknown").otherwise(F.coalesce("name", F.lit("unknown")))
     return bad.groupBy(name.alias("city_name"), "error").agg(F.count("*").alias("n_documents"))
 
 
@@ -591,3 +592,45 @@ def q_forecast_rerun(spark, sf):
     for _ in range(2):
         writes.append_absent_table(spark, path, wide, ["forecast_run_date", "target_date", "city_id"], "forecast_run_date")
     return spark.read.parquet(path).select(*wide.columns)
+
+
+# ---------------------------------------------------------------------------
+# sparse trend changes, simulated bands, rolling origins
+# ---------------------------------------------------------------------------
+from stratus.functions.numeric import round2  # noqa: E402
+from stratus.operators import backtest as BT  # noqa: E402
+from stratus.operators import changepoints as CP  # noqa: E402
+
+FIRST_ORIGIN = "2000-07-20"   # 54 weekly runs up to HOLDOUT_RUN
+
+
+@query("forecast_sparse_trend")
+def q_forecast_sparse_trend(spark, sf):
+    long = FC.melt_metrics(FC.history(_nation_mart(spark, sf), RUN_DATE))
+    return CP.forecast_sparse(long, RUN_DATE).select("city_id", "metric", "target_date", "horizon_days",
+                                                     round2(F.col("yhat"), 2).alias("yhat"), "n_active", "status")
+
+
+def _bands(spark, sf, run):
+    hist = FC.melt_metrics(FC.history(_nation_mart(spark, sf), run, until=run), list(CP.K.METRICS_WITH_INTERVAL))
+    return CP.simulated_band(CP.forecast_sparse(hist, run))
+
+
+@query("forecast_simulated_band")
+def q_forecast_simulated_band(spark, sf):
+    bands = _bands(spark, sf, RUN_DATE)
+    return bands.select("city_id", "metric", "target_date", "horizon_days",
+                        *(round2(F.col(c), 2).alias(c) for c in ("yhat", "sim_lower", "sim_upper", "yhat_lower", "yhat_upper")))
+
+
+@query("forecast_band_coverage")
+def q_forecast_band_coverage(spark, sf):
+    """The simulated band beside the constant one, against the held-out week."""
+    actual = FC.melt_metrics(_nation_mart(spark, sf).where(F.col("date") >= F.lit(HOLDOUT_RUN).cast("date")))
+    return CP.band_coverage(_bands(spark, sf, HOLDOUT_RUN), actual)
+
+
+@query("forecast_backtest")
+def q_forecast_backtest(spark, sf):
+    long = FC.melt_metrics(_nation_mart(spark, sf))
+    return BT.backtest(long, FIRST_ORIGIN, HOLDOUT_RUN)

@@ -835,10 +835,11 @@ WINDOW w AS (PARTITION BY location_name, date_trunc('week', measured_at) ORDER B
 ORACLE["payload_failed"] = f"""
 WITH {STAGE},
 docs AS (SELECT location_name, min(event_id) % 5 AS kind FROM stage GROUP BY location_name, date_trunc('week', measured_at))
-SELECT CASE WHEN kind = 2 THEN 'unknown' ELSE location_name END AS city_name,
-       CASE kind WHEN 1 THEN 'arrays of unequal length' WHEN 2 THEN 'unreadable document' ELSE 'unreadable time' END AS error,
+SELECT CASE WHEN kind IN (2, 4) THEN 'unknown' ELSE location_name END AS city_name,
+       CASE kind WHEN 1 THEN 'arrays of unequal length' WHEN 2 THEN 'unreadable document' WHEN 3 THEN 'unreadable time'
+                 ELSE 'no place name' END AS error,
        count(*) AS n_documents
-FROM docs WHERE kind IN (1, 2, 3) GROUP BY 1, 2"""
+FROM docs WHERE kind IN (1, 2, 3, 4) GROUP BY 1, 2"""
 
 ORACLE["slice_latest_wins"] = f"""
 WITH {STAGE}
@@ -905,3 +906,182 @@ SELECT c_custkey AS city_id, c_name AS city_name, count(*) AS n_days, min(day) A
 FROM d JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2"""
 
 ORACLE["forecast_rerun"] = ORACLE["forecast_linear"]
+
+
+# -- sparse trend changes: elimination, then coordinate descent, one coordinate a step -----------
+def d(x: float) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+def sparse_pred(name: str, long: str, run: str) -> str:
+    """60 sweeps over 25 hinges (lasso 1), after constant, time and 10 yearly pairs (ridge 1) are eliminated.
+
+    It takes series without gaps between metrics, as the seasonal model above.
+    """
+    feats = f"""list_concat([{d(1.0)}, t],
+           list_transform(range(1, 26), lambda j: greatest({d(0.0)}, t - j * ({d(0.8)} / 26))),
+           flatten(list_transform(range(1, 11), lambda k: [sin(2.0 * pi() * k * dn / {d(365.25)}),
+                                                           cos(2.0 * pi() * k * dn / {d(365.25)})])))"""
+    return f"""
+{name}_s AS (
+  SELECT city_id, metric, count(*) AS n, avg(y) AS mu,
+         CASE WHEN stddev_pop(y) = 0 THEN {d(1.0)} ELSE stddev_pop(y) END AS sd
+  FROM {long} GROUP BY 1, 2 HAVING count(*) >= 60
+),
+{name}_span AS (
+  SELECT city_id, min(ds) AS d0, CAST(greatest(date_diff('day', min(ds), max(ds)), 1) AS DOUBLE) AS w FROM {long} GROUP BY 1
+),
+{name}_x AS MATERIALIZED (
+  SELECT city_id, ds, {feats} AS x FROM (
+    SELECT l.city_id, l.ds, CAST(date_diff('day', DATE '1970-01-01', l.ds) AS DOUBLE) AS dn,
+           date_diff('day', p.d0, l.ds) / p.w AS t
+    FROM (SELECT DISTINCT city_id, ds FROM {long}) l JOIN {name}_span p ON p.city_id = l.city_id) q
+),
+{name}_a AS (
+  SELECT city_id, metric, i, list_append(g, c) AS a FROM (
+    SELECT city_id, i, list(v + CASE WHEN i <> j OR i BETWEEN 3 AND 27 THEN {d(0.0)} WHEN i <= 2 THEN {d(1e-8)} ELSE {d(1.0)} END
+                            ORDER BY j) AS g
+    FROM (SELECT city_id, i, j, sum(x[i] * x[j]) AS v FROM {name}_x, unnest(range(1, 48)) AS u(i), unnest(range(1, 48)) AS w(j)
+          GROUP BY 1, 2, 3) e GROUP BY 1, 2) m
+  JOIN (SELECT x.city_id, s.metric, i, sum(x.x[i] * ((l.y - s.mu) / s.sd)) AS c
+        FROM {name}_x x JOIN {long} l ON l.city_id = x.city_id AND l.ds = x.ds
+        JOIN {name}_s s ON s.city_id = l.city_id AND s.metric = l.metric, unnest(range(1, 48)) AS u(i) GROUP BY 1, 2, 3) r
+  USING (city_id, i)
+),
+{name}_g AS (
+  SELECT 0 AS step, 1 AS p, city_id, metric, i, a FROM {name}_a
+  UNION ALL
+  SELECT step + 1, CASE WHEN p = 2 THEN 28 ELSE p + 1 END, city_id, metric, i,
+         CASE WHEN i = p THEN list_transform(a, lambda v: v / a[p])
+              ELSE list_transform(range(1, 49), lambda j: a[j] - a[p] / r[p] * r[j]) END
+  FROM (SELECT *, any_value(CASE WHEN i = p THEN a END) OVER (PARTITION BY city_id, metric) AS r FROM {name}_g) q
+  WHERE step < 22
+),
+{name}_e AS MATERIALIZED (SELECT city_id, metric, i, a[3:27] AS g, a[48] AS c FROM {name}_g WHERE step = 22),
+{name}_cd AS (
+  SELECT 0 AS step, city_id, metric, list_transform(range(1, 26), lambda k: {d(0.0)}) AS b FROM {name}_e WHERE i = 1
+  UNION ALL
+  SELECT step + 1, city_id, metric, list_concat(b[1:j - 1], [sign(r) * greatest(abs(r) - {d(1.0)}, {d(0.0)}) / gjj], b[j + 1:])
+  FROM (SELECT a.step, a.city_id, a.metric, a.b, m.i - 2 AS j, m.g[m.i - 2] AS gjj,
+               m.c - list_dot_product(m.g, a.b) + m.g[m.i - 2] * a.b[m.i - 2] AS r
+        FROM {name}_cd a JOIN {name}_e m ON m.city_id = a.city_id AND m.metric = a.metric AND m.i = a.step % 25 + 3
+        WHERE a.step < 25 * 60) q
+),
+{name}_b AS MATERIALIZED (
+  SELECT e.city_id, e.metric, list(CASE WHEN i BETWEEN 3 AND 27 THEN b[i - 2] ELSE c - list_dot_product(g, b) END ORDER BY i) AS b
+  FROM {name}_e e JOIN {name}_cd h ON h.city_id = e.city_id AND h.metric = e.metric AND step = 25 * 60 GROUP BY 1, 2
+),
+{name}_fit AS (
+  SELECT b.city_id, b.metric, any_value(b.b) AS b, any_value(s.mu) AS mu, any_value(s.sd) AS sd,
+         sqrt(sum(pow((l.y - s.mu) / s.sd - list_dot_product(x.x, b.b), 2)) / greatest(any_value(s.n) - 2, 1)) * any_value(s.sd) AS sigma
+  FROM {name}_b b JOIN {name}_s s ON s.city_id = b.city_id AND s.metric = b.metric
+  JOIN {long} l ON l.city_id = b.city_id AND l.metric = b.metric JOIN {name}_x x ON x.city_id = l.city_id AND x.ds = l.ds
+  GROUP BY 1, 2
+),
+{name} AS (
+  SELECT f.city_id, f.metric, q.target_date, CAST(q.h AS SMALLINT) AS horizon_days,
+         CASE WHEN f.metric IN ('precipitation_sum', 'sunshine_hours')
+              THEN greatest({d(0.0)}, list_dot_product(q.x, f.b) * f.sd + f.mu) ELSE list_dot_product(q.x, f.b) * f.sd + f.mu END AS yhat,
+         f.sigma, CAST(len(list_filter(f.b[3:27], lambda v: v <> 0)) AS INTEGER) AS n_active,
+         list_avg(list_transform(f.b[3:27], lambda v: abs(v))) * f.sd AS change_scale, q.w AS span
+  FROM {name}_fit f JOIN (
+    SELECT city_id, h, w, target_date, {feats} AS x FROM (
+      SELECT city_id, h, w, DATE '{run}' + CAST(h AS INTEGER) AS target_date,
+             CAST(date_diff('day', DATE '1970-01-01', DATE '{run}') + h AS DOUBLE) AS dn,
+             (date_diff('day', d0, DATE '{run}') + h) / w AS t
+      FROM {name}_span, unnest(range(1, 8)) AS u(h)) r) q ON q.city_id = f.city_id
+)"""
+
+
+ORACLE["forecast_sparse_trend"] = f"""
+WITH RECURSIVE {NATION_MART.strip()},
+{long_of("long", "nmart", f"date >= DATE '{RUN}' - 730").strip()},
+{sparse_pred("pred", "long", RUN).strip()}
+SELECT city_id, metric, target_date, horizon_days, {r2("yhat")} AS yhat, n_active, 'ok' AS status FROM pred"""
+
+
+def simulated_sql(name: str, pred: str) -> str:
+    """200 draws a series and day; the uniforms are 32-bit pieces of md5('place:metric:draw:day')."""
+    def u(k: int, day: str) -> str:
+        return (f"((('0x' || substr(md5(city_id || ':' || metric || ':' || s || ':' || {day}), {1 + 8 * k}, 8))::BIGINT)::DOUBLE + 0.5)"
+                f" / {d(2.0 ** 32)}")
+
+    clamp = "CASE WHEN metric = 'precipitation_sum' THEN greatest({z}, {v}) ELSE {v} END"
+    return f"""
+{name}_draws AS (
+  SELECT p.*, s FROM {pred} p, unnest(range(1, 201)) AS v(s) WHERE metric IN ('temp_avg', 'precipitation_sum')
+),
+{name}_changes AS (
+  SELECT city_id, metric, s, day, CASE WHEN {u(0, "day")} < {d(25 / 0.8)} / span
+         THEN -change_scale * sign({u(1, "day")} - 0.5) * ln(1 - 2 * abs({u(1, "day")} - 0.5)) ELSE {d(0.0)} END AS change
+  FROM {name}_draws, unnest(range(1, 8)) AS v(day) WHERE horizon_days = 7
+),
+{name}_y AS (
+  SELECT p.city_id, p.metric, p.target_date, p.horizon_days, p.yhat, p.sigma, p.s,
+         p.yhat + sum(c.change * (p.horizon_days - c.day + 1) / p.span)
+         + any_value(p.sigma * sqrt(-2 * ln({u(2, "p.horizon_days").replace("city_id", "p.city_id").replace("metric", "p.metric").replace("|| s ||", "|| p.s ||")}))
+                     * cos(2 * pi() * {u(3, "p.horizon_days").replace("city_id", "p.city_id").replace("metric", "p.metric").replace("|| s ||", "|| p.s ||")})) AS y
+  FROM {name}_draws p JOIN {name}_changes c ON c.city_id = p.city_id AND c.metric = p.metric AND c.s = p.s AND c.day <= p.horizon_days
+  GROUP BY 1, 2, 3, 4, 5, 6, 7, p.span
+),
+{name}_q AS (
+  SELECT city_id, metric, target_date, horizon_days, yhat, sigma, quantile_cont(y, {d(0.1)}) AS q0, quantile_cont(y, {d(0.9)}) AS q1
+  FROM {name}_y GROUP BY 1, 2, 3, 4, 5, 6
+),
+{name} AS (
+  SELECT city_id, metric, target_date, horizon_days, yhat,
+         {clamp.format(z=d(0.0), v="q0")} AS sim_lower, {clamp.format(z=d(0.0), v="q1")} AS sim_upper,
+         {clamp.format(z=d(0.0), v=f"(yhat - {Z} * sigma)")} AS yhat_lower, {clamp.format(z=d(0.0), v=f"(yhat + {Z} * sigma)")} AS yhat_upper
+  FROM {name}_q
+)"""
+
+
+_BAND = ("yhat", "sim_lower", "sim_upper", "yhat_lower", "yhat_upper")
+ORACLE["forecast_simulated_band"] = f"""
+WITH RECURSIVE {NATION_MART.strip()},
+{long_of("all_long", "nmart", f"date >= DATE '{RUN}' - 730 AND date < DATE '{RUN}'").strip()},
+long AS (SELECT * FROM all_long WHERE metric IN ('temp_avg', 'precipitation_sum')),
+{sparse_pred("pred", "long", RUN).strip()},
+{simulated_sql("band", "pred").strip()}
+SELECT city_id, metric, target_date, horizon_days, {", ".join(f"{r2(c)} AS {c}" for c in _BAND)} FROM band"""
+
+ORACLE["forecast_band_coverage"] = f"""
+WITH RECURSIVE {NATION_MART.strip()},
+{long_of("all_long", "nmart", f"date >= DATE '{HOLD}' - 730 AND date < DATE '{HOLD}'").strip()},
+{long_of("actual", "nmart", f"date >= DATE '{HOLD}'").strip()},
+long AS (SELECT * FROM all_long WHERE metric IN ('temp_avg', 'precipitation_sum')),
+{sparse_pred("pred", "long", HOLD).strip()},
+{simulated_sql("band", "pred").strip()}
+SELECT b.metric, b.horizon_days, count(*) AS n,
+       {r4("avg(CAST(a.y BETWEEN sim_lower AND sim_upper AS DOUBLE))")} AS sim_coverage,
+       {r4("avg(CAST(a.y BETWEEN yhat_lower AND yhat_upper AS DOUBLE))")} AS yhat_coverage,
+       {r4("avg(sim_upper - sim_lower)")} AS sim_width, {r4("avg(yhat_upper - yhat_lower)")} AS yhat_width
+FROM band b JOIN actual a ON a.city_id = b.city_id AND a.metric = b.metric AND a.ds = b.target_date GROUP BY 1, 2"""
+
+# every run of the back test is fitted on its own here
+ORACLE["forecast_backtest"] = f"""
+WITH {NATION_MART.strip()},
+{long_of("long", "nmart", "true").strip()},
+runs AS (SELECT CAST(unnest(generate_series(TIMESTAMP '2000-07-20', TIMESTAMP '{HOLD}', INTERVAL 7 DAY)) AS DATE) AS origin),
+fits AS (
+  SELECT city_id, metric, origin, count(*) AS n, regr_slope(y, x) AS b, regr_intercept(y, x) AS a,
+         sqrt(greatest(regr_syy(y, x) - regr_sxy(y, x) * regr_sxy(y, x) / regr_sxx(y, x), 0.0) / (count(*) - 2)) AS sigma
+  FROM (SELECT city_id, metric, origin, y, CAST(date_diff('day', DATE '{HOLD}', ds) AS DOUBLE) AS x
+        FROM long JOIN runs ON ds >= origin - 730 AND ds < origin) t
+  GROUP BY 1, 2, 3 HAVING count(*) >= 60
+),
+scored AS (
+  SELECT l.metric, CAST(date_diff('day', origin, ds) AS SMALLINT) AS horizon_days, origin, y,
+         a + b * CAST(date_diff('day', DATE '{HOLD}', ds) AS DOUBLE) AS line, sigma
+  FROM long l JOIN fits f ON f.city_id = l.city_id AND f.metric = l.metric AND ds > origin AND ds <= origin + 7
+),
+p AS (
+  SELECT *, CASE WHEN metric IN ('precipitation_sum', 'sunshine_hours') THEN greatest({d(0.0)}, line) ELSE line END AS yhat,
+         CASE WHEN metric = 'precipitation_sum' THEN greatest({d(0.0)}, line - {Z} * sigma) ELSE line - {Z} * sigma END AS low,
+         CASE WHEN metric = 'precipitation_sum' THEN greatest({d(0.0)}, line + {Z} * sigma) ELSE line + {Z} * sigma END AS high
+  FROM scored
+)
+SELECT metric, horizon_days, count(*) AS n, count(DISTINCT origin) AS n_origins,
+       {r4("avg(abs(yhat - y))")} AS mae, {r4("avg(yhat - y)")} AS bias, {r4("sqrt(avg((yhat - y) * (yhat - y)))")} AS rmse,
+       {r4("avg(CASE WHEN metric IN ('temp_avg', 'precipitation_sum') THEN CAST(y BETWEEN low AND high AS DOUBLE) END)")} AS coverage
+FROM p GROUP BY 1, 2"""

@@ -70,7 +70,8 @@ def is_rectangular(arrays_col: str = "hourly", names=HOURLY_VARS) -> Column:
 def payload_error(df: DataFrame, arrays_col: str = "hourly", names=HOURLY_VARS) -> Column:
     """Why a document cannot be exploded, or NULL."""
     h = F.col(arrays_col)
-    out = (F.when(h.isNull() | h["time"].isNull(), "no hourly data")
+    out = (F.when(F.coalesce(F.trim("name"), F.lit("")) == "", "no place name")
+            .when(h.isNull() | h["time"].isNull(), "no hourly data")
             .when(~is_rectangular(arrays_col, names), "arrays of unequal length")
             .when(F.exists(h["time"], lambda t: parse_local_ts(t).isNull()), "unreadable time"))
     return F.when(F.col("_corrupt").isNotNull(), "unreadable document").otherwise(out) if "_corrupt" in df.columns else out
@@ -106,7 +107,8 @@ def explode_payload(df: DataFrame, arrays_col: str = "hourly", names=HOURLY_VARS
     """Landed documents → stage rows (``location_name … measured_at, <vars>, loaded_at``).
 
     Only sound documents are exploded; :func:`invalid_payloads` returns the rest with the
-    reason. A variable the document does not carry is NULL in every row. A ``_landed``
+    reason. A variable the document does not carry is NULL in every row. An hour that a document
+    gives twice gives two rows, as on the day on which clocks go back. A ``_landed``
     column (the documents' landing order) is passed on.
     """
     h = F.col(arrays_col)

@@ -40,7 +40,8 @@ def replace_batch(spark: SparkSession, batch: DataFrame, target: str, loc: str =
         return 0
     if _exists(spark, target):
         cur = spark.read.parquet(target).where(F.col(part_col).isin(list(per_day)))
-        state = cur.join(slices, [loc, part_col], "left_anti").unionByName(rows.select(*cur.columns))
+        same = [cur[k].eqNullSafe(slices[k]) for k in (loc, part_col)]   # a slice without a place is a slice too
+        state = cur.join(slices, same, "left_anti").unionByName(rows.select(*cur.columns))
         state = state.checkpoint(eager=True)  # the overwrite must not read what it replaces
     else:
         state = rows
