@@ -634,3 +634,73 @@ def q_forecast_band_coverage(spark, sf):
 def q_forecast_backtest(spark, sf):
     long = FC.melt_metrics(_nation_mart(spark, sf))
     return BT.backtest(long, FIRST_ORIGIN, HOLDOUT_RUN)
+
+
+# ---------------------------------------------------------------------------
+# day bitmaps, isolated repair, corrections in a stream
+# ---------------------------------------------------------------------------
+from stratus.operators import daymaps, repair  # noqa: E402
+
+
+def _order_maps(o):
+    return daymaps.month_maps(o, F.col("o_custkey"), F.to_date("o_orderdate"))
+
+
+@query("layer_gap_bitmaps")
+def q_layer_gap_bitmaps(spark, sf):
+    """Days that core lacks of the stage, and the mart of core; the stage's bitmaps come in two slices."""
+    o = S.table(spark, sf, "orders")
+    early = F.col("o_orderdate") < F.lit("1998-01-15").cast("timestamp_ntz")
+    stage = daymaps.merge_maps(_order_maps(o.where(early)).unionByName(_order_maps(o.where(~early))))
+    core = _order_maps(_orders_partial(o))
+    in_mart = _order_maps(_orders_partial(o).where(F.col("o_orderdate") < F.lit("2001-01-01").cast("timestamp_ntz")))
+    steps = [daymaps.missing_days(daymaps.missing(up, down)).select(F.lit(step).alias("step"), "place", "missing_date")
+             for step, up, down in (("core", stage, core), ("mart", core, in_mart))]
+    return steps[0].unionByName(steps[1])
+
+
+@query("repair_report")
+def q_repair_report(spark, sf):
+    """Every gap month repaired in a job of its own, but for May 2000, whose recomputation fails."""
+    from stratus.session import scratch_path
+    path = scratch_path(spark, "repair")
+    o = S.table(spark, sf, "orders")
+    ym = daymaps.month_key(F.col("order_date"))
+    down = _orders_daily(_orders_partial(o)).withColumn("ym", ym)
+    writes.rebalanced(down, "ym").write.partitionBy("ym").parquet(path)
+    down = spark.read.parquet(path)
+    o = o.withColumn("_day", F.to_date("o_orderdate"))
+    gaps = daymaps.missing(_order_maps(o), daymaps.month_maps(down, F.col("o_custkey"), F.col("order_date")))
+
+    def work(w: dict) -> None:
+        if w["ym"] == 200005:
+            raise ValueError("source not available")
+        repair.rewrite_month(spark, path, w, down.where(F.col("ym") == w["ym"]), o.where(daymaps.month_key(F.col("_day")) == w["ym"]),
+                             _orders_daily, lambda: F.col("order_date"), "_day")
+
+    found = repair.repair_months(spark, daymaps.gap_windows(gaps, ORDERS_TODAY), work, "orders")
+    after = spark.read.parquet(path).groupBy("ym").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n_orders").alias("n_orders"))
+    return found.join(after, "ym", "left").select("ym", "start_date", "end_date", "status", "error_msg", "n_rows", "n_orders")
+
+
+@query("stream_corrections")
+def q_stream_corrections(spark, sf):
+    """Three landings in three micro-batches: all days, a correction (version 3) of even places, then a late older one (2).
+
+    The older version must not overwrite the correction, but it does correct places of number 3, 9, 15, ...
+    """
+    from stratus.session import scratch_path
+    from stratus.streaming import ingest_corrections, land
+    base = scratch_path(spark, "stream-corrections")
+    ev = S.table(spark, sf, "events")
+    even, third = F.col("user_id") % 2 == 0, F.col("user_id") % 3 == 0
+    for version, rows in ((1, ev), (3, ev.where(even)), (2, ev.where(even | third))):
+        land(rows.withColumn("version", F.lit(version)).coalesce(1), f"{base}/landing")
+
+    def transform(b):
+        shifted = b.withColumn("value", F.col("value") + 10 * (F.col("version") - 1))
+        return S.events_as_stage(shifted, "version").select(*STREAM_COLS, "version")
+
+    ingest_corrections(spark, f"{base}/landing", ev.schema.add("version", "long"), f"{base}/stage", f"{base}/_checkpoint",
+                       transform, max_files=1)
+    return spark.read.parquet(f"{base}/stage").select(*STREAM_COLS, "version")

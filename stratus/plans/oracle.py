@@ -1085,3 +1085,33 @@ SELECT metric, horizon_days, count(*) AS n, count(DISTINCT origin) AS n_origins,
        {r4("avg(abs(yhat - y))")} AS mae, {r4("avg(yhat - y)")} AS bias, {r4("sqrt(avg((yhat - y) * (yhat - y)))")} AS rmse,
        {r4("avg(CASE WHEN metric IN ('temp_avg', 'precipitation_sum') THEN CAST(y BETWEEN low AND high AS DOUBLE) END)")} AS coverage
 FROM p GROUP BY 1, 2"""
+
+# -- day bitmaps, isolated repair, corrections ----------------------------------------------------
+_PARTIAL = "(o_orderdate < TIMESTAMP '2000-01-01' OR o_orderstatus = 'F')"
+ORACLE["layer_gap_bitmaps"] = f"""
+WITH stage AS (SELECT CAST(o_custkey AS VARCHAR) AS place, CAST(o_orderdate AS DATE) AS missing_date FROM orders),
+core AS (SELECT CAST(o_custkey AS VARCHAR) AS place, CAST(o_orderdate AS DATE) AS missing_date FROM orders WHERE {_PARTIAL}),
+mart AS (SELECT * FROM core WHERE missing_date < DATE '2001-01-01')
+SELECT 'core' AS step, * FROM (SELECT * FROM stage EXCEPT SELECT * FROM core)
+UNION ALL SELECT 'mart' AS step, * FROM (SELECT * FROM core EXCEPT SELECT * FROM mart)"""
+
+ORACLE["repair_report"] = f"""
+WITH o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, year(o_orderdate) * 100 + month(o_orderdate) AS ym, {_PARTIAL} AS held
+           FROM orders),
+gaps AS (SELECT DISTINCT CAST(year(day) * 100 + month(day) AS INTEGER) AS ym, CAST(date_trunc('month', day) AS DATE) AS start_date
+         FROM (SELECT o_custkey, day FROM o EXCEPT SELECT o_custkey, day FROM o WHERE held)),
+w AS (SELECT ym, start_date, least(last_day(start_date), DATE '2001-07-31') AS end_date FROM gaps),
+after AS (SELECT w.ym, o_custkey, day, count(*) AS n FROM o JOIN w ON o.ym = w.ym
+          WHERE CASE WHEN w.ym = 200005 OR day > w.end_date THEN held ELSE true END GROUP BY 1, 2, 3)
+SELECT w.ym, w.start_date, w.end_date, CASE WHEN w.ym = 200005 THEN 'failed' ELSE 'repaired' END AS status,
+       CASE WHEN w.ym = 200005 THEN 'ValueError: source not available' END AS error_msg,
+       any_value(a.n_rows) AS n_rows, any_value(a.n_orders) AS n_orders
+FROM w LEFT JOIN (SELECT ym, count(*) AS n_rows, CAST(sum(n) AS BIGINT) AS n_orders FROM after GROUP BY 1) a ON a.ym = w.ym
+WHERE start_date <= end_date GROUP BY 1, 2, 3, 4, 5"""
+
+# the newest version of a place's day: 3 for even numbers, 2 for odd multiples of three, else 1
+ORACLE["stream_corrections"] = f"""
+WITH v AS (SELECT * REPLACE (value + 10 * (version - 1) AS value) FROM (
+  SELECT *, CAST(CASE WHEN user_id % 2 = 0 THEN 3 WHEN user_id % 3 = 0 THEN 2 ELSE 1 END AS BIGINT) AS version FROM events)),
+{STAGE.replace("FROM events", "FROM v").replace("         event_id", "         event_id, version")}
+SELECT location_name, measured_at, temperature_2m, precipitation, weather_code, event_id, version FROM stage"""

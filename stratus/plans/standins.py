@@ -49,8 +49,8 @@ def _k() -> Column:
     return F.get_json_object(F.col("props"), "$.k").cast("int")
 
 
-def events_as_stage(events: DataFrame) -> DataFrame:
-    """``events`` → stage rows (location, hour, 17 measures, code, is_day, loaded_at)."""
+def events_as_stage(events: DataFrame, *extra: str) -> DataFrame:
+    """``events`` → stage rows (location, hour, 17 measures, code, is_day, loaded_at) and the columns ``extra``."""
     v = F.col("value")
     k = _k()
     et = F.col("event_type")
@@ -81,6 +81,7 @@ def events_as_stage(events: DataFrame) -> DataFrame:
         F.hour("ts").between(6, 17).alias("is_day"),
         F.col("ts").alias("loaded_at"),
         F.col("event_id"),
+        *extra,
     )
 
 

@@ -7,8 +7,8 @@ Order follows the original's asset order, with gap repair after the mart:
 3. facts      hourly (day partitions) and daily (month partitions) facts of the window replaced by
               date-key range; ``core`` log rows
 4. mart       daily mart of the window replaced
-5. repair     months with (place, day) pairs in stage but not in the daily fact are recomputed,
-              then the same between fact and mart (one set-based rewrite per layer)
+5. repair     months in which the stage has a day of a place that a fact lacks are recomputed, one isolated
+              job a month, then the same between daily fact and mart; days are stored bitmaps
 6. forecast   seven-day forecast appended insert-only, keyed by run date (places already
               forecast for the run are not refitted)
 
@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from stratus.functions import constants as K
 from stratus.functions.dates import date_from_id, date_id, day_ids_between, months_between, run_window
-from stratus.operators import aggregates, control, dims, facts, forecast, mart, writes
+from stratus.operators import aggregates, daymaps, dims, facts, forecast, mart, repair, writes
 from stratus.sources.generators import wind_bands, wmo_codes
 from stratus.sources.payload import explode_payload, invalid_payloads, read_landed
 from stratus.sources.scans import history_from_fact, in_window, scan_window
@@ -73,26 +73,6 @@ def _log_rows(keys: DataFrame, layer: str, now, status: str = "success") -> Data
                        error.cast("string").alias("error_msg"))
 
 
-def _repair(spark, path, upstream_keys, downstream, downstream_keys, recompute, today, up_rows, up_day, day_of):
-    """Recompute every gap month of ``downstream`` (C-03 + C-04) in one partition rewrite.
-
-    ``day_of()`` gives the tables' date column expression; only the gap months' partitions are
-    read and rewritten.
-    """
-    gaps = control.gap_months(upstream_keys, downstream_keys, ["city"], "d", today)
-    gaps = gaps.where(F.col("start_date") <= F.col("end_date")).checkpoint(eager=True)
-    months = [r[0] for r in gaps.select(_ym(F.col("start_date"))).distinct().collect()]  # month keys only
-    if not months:
-        return 0
-    cols = downstream.columns
-    cur = downstream.where(F.col("ym").isin(months)).withColumn("_d", day_of())
-    rows = up_rows.where(_ym(F.col(up_day)).isin(months))
-    fresh = lambda df: recompute(df).withColumn("_d", day_of())
-    state = control.fill_gaps(rows, cur, fresh, gaps, "_d", up_day=up_day).select(*cols)
-    writes.rewrite_partitions(spark, path, state, "ym", months)
-    return len(months)
-
-
 def daily_run(spark: SparkSession, root: str, landed, cities_cfg: DataFrame, today, start=None, end=None,
               now=None, model: str = "seasonal", history_days: int = K.HISTORY_DAYS) -> dict:
     """Run every layer for the window [start, end] (default: yesterday) and return row counts."""
@@ -176,22 +156,59 @@ def daily_run(spark: SparkSession, root: str, landed, cities_cfg: DataFrame, tod
 
     lap("mart")
 
-    # 5. gap repair: stage → fact, then fact → mart (K12: after the mart) ---------------------
-    names = cities.select(F.col("id").alias("city_id"), F.col("city_name").alias("city"))
-    # (place, day) pairs straight from the stage's day partitions: one string column is read
-    up = stage.select(F.col("location_name").alias("city"), F.col("day").alias("d"))
-    fact = spark.read.parquet(P["fact_daily"])
-    down = fact.join(names, "city_id").select("city", date_from_id(F.col("date_id")).alias("d"))
-    report["core_months_repaired"] = _repair(spark, P["fact_daily"], up, fact, down, daily_of, today,
-                                             stage, "day", lambda: date_from_id(F.col("date_id")))
+    # 5. gap repair: stage → facts, then fact → mart (K12: after the mart) --------------------
+    # the layers' days are bitmaps that are kept beside the tables; only what changed is read
+    def maps(table: str, place, day, month, by_month) -> DataFrame:
+        return daymaps.refresh(spark, f"{root}/layer_days/{table}", spark.read.parquet(P[table]), F.col(place), day, month, by_month, months)
+
+    def of_month(column):
+        return lambda chosen: column.isin(chosen)
+
+    def log_failures(found: DataFrame) -> int:
+        failed = found.where("status = 'failed'").select(
+            F.lit("(all)").alias("city_name"), F.col("start_date").alias("run_date"), F.lit(None).alias("rows_loaded"), "error_msg")
+        n = repair.counts(found)
+        if n[1]:
+            writes.append_table(_log_rows(failed, "core", now, "failed"), P["load_log"], "layer")
+            report["months_failed"] += n[1]
+        return n[0]
+
+    report["months_failed"] = 0
+    names = cities.select(F.col("id").cast("string").alias("_id"), F.col("city_name").alias("_name"))
+    in_stage = maps("stage", "location_name", F.col("day"), _ym(F.col("day")), of_month(_ym(F.col("day"))))
+    # known places under their ids, as in the facts; others are not in the dimension yet
+    in_stage = in_stage.join(names, in_stage["place"] == names["_name"]).select(F.col("_id").alias("place"), "ym", "days", "n_rows")
+    id_day, id_month = date_from_id(F.col("date_id")), F.floor(F.col("date_id") / 100).cast("int")
+
+    in_hourly = maps("fact_hourly", "city_id", id_day, id_month, of_month(id_month))
+
+    def hourly_month(w: dict) -> None:
+        first, last = w["start_date"].isoformat(), w["end_date"].isoformat()
+        fresh = facts.hourly_fact(scan_window(stage, "measured_at", first, last, part_col="day", part_kind="date"), cities,
+                                  wind_bands(spark), now=now)
+        writes.replace_range_table(spark, P["fact_hourly"], fresh, "date_id", first, last, "date_id",
+                                   day_ids_between(first, last), kind="date_id")
+
+    report["hourly_months_repaired"] = log_failures(repair.repair_months(
+        spark, daymaps.gap_windows(daymaps.missing(in_stage, in_hourly), today), hourly_month, "fact_hourly", pool=1))
+
+    in_daily = maps("fact_daily", "city_id", id_day, F.col("ym"), of_month(F.col("ym")))
     fact = spark.read.parquet(P["fact_daily"])
-    mart_t = spark.read.parquet(P["mart_daily"])
-    up2 = fact.select(F.col("city_id").cast("string").alias("city"), date_from_id(F.col("date_id")).alias("d"))
-    down2 = mart_t.select(F.col("city_id").cast("string").alias("city"), F.col("date").alias("d"))
-    mart_rows = fact.withColumn("_day", date_from_id(F.col("date_id")))
-    report["mart_months_repaired"] = _repair(
-        spark, P["mart_daily"], up2, mart_t, down2, lambda df: mart_of(df.drop("_day")), today, mart_rows, "_day",
-        lambda: F.col("date"))
+    report["core_months_repaired"] = log_failures(repair.repair_months(
+        spark, daymaps.gap_windows(daymaps.missing(in_stage, in_daily), today),
+        lambda w: repair.rewrite_month(spark, P["fact_daily"], w, fact.where(F.col("ym") == w["ym"]),
+                                       stage.where(_ym(F.col("day")) == w["ym"]), daily_of, lambda: date_from_id(F.col("date_id")), "day"),
+        "fact_daily"))
+
+    in_daily = maps("fact_daily", "city_id", id_day, F.col("ym"), of_month(F.col("ym")))
+    in_mart = maps("mart_daily", "city_id", F.col("date"), F.col("ym"), of_month(F.col("ym")))
+    fact, mart_t = spark.read.parquet(P["fact_daily"]), spark.read.parquet(P["mart_daily"])
+    report["mart_months_repaired"] = log_failures(repair.repair_months(
+        spark, daymaps.gap_windows(daymaps.missing(in_daily, in_mart), today),
+        lambda w: repair.rewrite_month(spark, P["mart_daily"], w, mart_t.where(F.col("ym") == w["ym"]),
+                                       fact.where(F.col("ym") == w["ym"]).withColumn("_day", id_day),
+                                       lambda df: mart_of(df.drop("_day")), lambda: F.col("date"), "_day"),
+        "mart_daily"))
 
     lap("repair")
 
