@@ -57,7 +57,7 @@ def heavy_candidates(digests: DataFrame, n_rows: int, heavy: int = HEAVY) -> Dat
 
 def _winner():
     """Most code points, then smallest id (null last), then any one row."""
-    return F.max(F.struct("n_chars", (F.col("id").isNotNull()).alias("has_id"), (-F.col("id")).alias("neg_id"),
+    return F.max(F.struct("n_chars", (F.col("id").isNotNull()).alias("has_id"), F.bitwise_not("id").alias("not_id"),
                           "row")).alias("win")
 
 
@@ -83,7 +83,7 @@ def mark_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     shuffled = cold.join(cold.groupBy("digest").agg(F.count("*").alias("size"), _winner()), "digest")
     return (hot.select(*shuffled.columns).unionByName(shuffled).select(
         F.col("id").alias(id_col), "digest", "n_chars",
-        (-F.col("win.neg_id")).alias("keep_id"), F.col("size").alias("group_size"),
+        F.bitwise_not("win.not_id").alias("keep_id"), F.col("size").alias("group_size"),
         (F.col("row") == F.col("win.row")).alias("kept")))
 
 

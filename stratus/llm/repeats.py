@@ -82,9 +82,14 @@ def packed(texts: DataFrame) -> DataFrame:
 
 
 def with_lists(bodies: DataFrame, intervals: DataFrame, how: str) -> DataFrame:
-    """Each packed text with the arrays of its intervals' ``anchor``, ``lo``, ``hi``: at most one each per symbol."""
+    """Each packed text with the arrays of its distinct intervals' ``anchor``, ``lo``, ``hi``: at most one each per symbol.
+
+    Rows equal in id and text bring the same intervals, so their number doesn't lengthen the lists.
+    """
+    names = [c for c in ("anchor", "lo", "hi") if c in intervals.columns]
     lists = (intervals.groupBy(F.col("doc").alias("_doc"), F.col("fp").alias("_fp"))
-             .agg(*(F.collect_list(c).alias(f"{c}s") for c in ("anchor", "lo", "hi") if c in intervals.columns)))
+             .agg(F.collect_set(F.struct(*names)).alias("_set"))
+             .select("_doc", "_fp", *(F.col("_set")[c].alias(f"{c}s") for c in names)))
     return (bodies.join(lists, (bodies["fp"] == lists["_fp"]) & bodies["doc"].eqNullSafe(lists["_doc"]), how)
             .drop("_doc", "_fp"))
 

@@ -157,3 +157,9 @@ def test_block_max_wand_equals_exhaustive_scoring(spark, monkeypatch):
         assert got.keys() == {k for k, v in want.items()} and all(abs(got[k] - want[k]) < 1e-9 for k in got)
         hits += len(got)
     assert hits > 40
+
+
+def test_the_least_long_is_an_id_like_others(spark):
+    rows = exact_dedup.mark_exact_duplicates(frame(spark, ["a b", "ab ", "x"], [7, -2 ** 63, 2 ** 63 - 1])).collect()
+    assert {(r.doc_id, r.keep_id, r.kept) for r in rows} == {
+        (7, -2 ** 63, False), (-2 ** 63, -2 ** 63, True), (2 ** 63 - 1, 2 ** 63 - 1, True)}

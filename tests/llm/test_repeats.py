@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from llm.helpers import frame
-from stratus.llm import seed_extend, suffix_dedup, winnow
+from stratus.llm import repeats, seed_extend, suffix_dedup, winnow
 
 def brute_bytes(texts, length):
     raw = [(t or "").encode() for t in texts]
@@ -105,3 +105,20 @@ def test_seed_and_extend_removes_exactly_the_repeats_of_smaller_documents(spark)
 
 def test_seed_extend_empty_table(spark):
     assert seed_extend.remove_repeats(frame(spark, [])).count() == 0
+
+
+def test_repeated_rows_do_not_lengthen_the_lists(spark):
+    """Many equal rows of one id, and of a null id: as many intervals to a text as for two rows, and the same result."""
+    words = " ".join("w%d" % i for i in range(120))
+    sizes = {}
+    for n in (2, 300):
+        docs = frame(spark, [words] * n + [words] * n, [5] * n + [None] * n)
+        texts = repeats.keyed(docs, "doc_id", "text")
+        for name, spans in (("op5", seed_extend.repeats_of_smaller(texts)), ("op6", suffix_dedup.repeated_strings(texts, 100))):
+            lists = repeats.with_lists(repeats.packed(texts), spans, "inner")
+            sizes.setdefault(name, []).append(max(r[0] for r in lists.selectExpr("size(los)").collect()))
+        kept = seed_extend.remove_repeats(docs).select("doc_id", "n_removed", "kept_sha256").distinct().collect()
+        assert sorted((r.doc_id or 0, r.n_removed) for r in kept) == [(0, 120), (5, 0)]
+        gone = suffix_dedup.remove_repeated_strings(docs, 100).select("n_bytes", "n_removed").distinct().collect()
+        assert len(gone) == 1 and gone[0].n_bytes == gone[0].n_removed
+    assert all(a == b for a, b in sizes.values())
