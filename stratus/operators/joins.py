@@ -119,3 +119,50 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_time: str,
     so_far = Window.partitionBy(*by).orderBy("_t", "_o").rowsBetween(Window.unboundedPreceding, 0)
     return (rights.unionByName(lefts).withColumn("_r", F.last("_r", ignorenulls=True).over(so_far))
             .where(F.col("_l").isNotNull()).select(*by, "_l.*", "_r.*"))
+
+
+#: Bins of a level are so many times as wide as those of the level below.
+LEVEL_STEP = 4
+
+
+def binned_range_join(points: DataFrame, intervals: DataFrame, point: str, low: str, high: str, width: float | None = None,
+                      by: list[str] | None = None, how: str = "inner", include_high: bool = True) -> DataFrame:
+    """Points joined with the intervals ``[low, high]`` that hold them; intervals may overlap and differ in width.
+
+    The axis is cut into bins, finer and coarser ones: an interval stands on the level whose bins are about as wide as
+    itself, so in two bins or three at most, and a point looks up its bin on every level in use. So the join is a hash
+    or sort-merge join on (level, bin), and only the bounds are compared then. ``width`` is that of the finest bins
+    (default: the median width of the intervals, one small job). ``by``: further equal columns.
+
+    Defined results: NULL and NaN points and intervals with a NULL or NaN end, or ``low > high``, match nothing; infinite
+    intervals stand in one bin of their own level. Names of the two sides must differ but for ``by``.
+    """
+    by = list(by or [])
+    lo, hi, x = (F.col(c).cast("double") for c in (low, high, point))
+    inf = F.lit(float("inf"))
+    sound = intervals.where(~F.isnan(lo) & ~F.isnan(hi) & (lo <= hi))
+    if width is None:
+        width = sound.where((hi - lo < inf) & (hi > lo)).agg(F.percentile_approx(hi - lo, 0.5)).first()[0]
+    width = float(width or 1.0)
+    wide = (F.abs(lo) == inf) | (F.abs(hi) == inf)
+    level = F.when(wide, -1).otherwise(
+        F.greatest(F.lit(0), F.ceil(F.log(float(LEVEL_STEP), F.greatest((hi - lo) / width, F.lit(1.0))))).cast("int"))
+
+    def bin_of(c: Column, lev: Column) -> Column:
+        return F.when(lev < 0, F.lit(0.0)).otherwise(F.floor(c / (F.lit(width) * F.pow(F.lit(float(LEVEL_STEP)), lev))).cast("double"))
+
+    placed = sound.withColumn("_level", level)
+    levels = [r[0] for r in placed.select("_level").distinct().collect()]   # a few: one for each fourfold width
+    first, last = bin_of(lo, F.col("_level")), bin_of(hi, F.col("_level"))
+    # few bins by construction; counted from the first one, as doubles beyond a long have no bin number
+    placed = placed.withColumn("_bin", F.explode(F.transform(F.sequence(F.lit(0), (last - first).cast("int")), lambda k: first + k)))
+    asked = points if how == "left" else points.where(x.isNotNull() & ~F.isnan(x))
+    numbered = asked.withColumn("_level", F.explode_outer(F.array(*(F.lit(v) for v in levels)).cast("array<int>"))).withColumn("_bin", bin_of(x, F.col("_level")))
+    within = (x >= lo) & ((x <= hi) if include_high else (x < hi))
+    if how == "inner":
+        return numbered.join(placed, [*by, "_level", "_bin"]).where(within).drop("_level", "_bin")
+    if how != "left":
+        raise ValueError("how is inner or left")
+    keyed = asked.withColumn("_row", F.monotonically_increasing_id()).checkpoint(eager=True)   # row numbers must not change
+    found = binned_range_join(keyed, intervals, point, low, high, width, by, "inner", include_high)
+    return keyed.join(found.drop(*[c for c in points.columns]), "_row", "left").drop("_row")

@@ -704,3 +704,35 @@ def q_stream_corrections(spark, sf):
     ingest_corrections(spark, f"{base}/landing", ev.schema.add("version", "long"), f"{base}/stage", f"{base}/_checkpoint",
                        transform, max_files=1)
     return spark.read.parquet(f"{base}/stage").select(*STREAM_COLS, "version")
+
+
+# ---------------------------------------------------------------------------
+# general range join, checked writes
+# ---------------------------------------------------------------------------
+from stratus.operators import quarantine  # noqa: E402
+
+
+@query("range_join_binned")
+def q_range_join_binned(spark, sf):
+    """Orders whose price lies in a supplier's price band; bands overlap and are 1 to 40,000 wide."""
+    k = F.col("s_suppkey") % 5
+    bands = S.table(spark, sf, "supplier").select("s_suppkey", (F.col("s_acctbal") * 20).alias("low"),
+                                                  (F.col("s_acctbal") * 20 + F.pow(F.lit(10.0), k) * 4 + 1).alias("high"))
+    found = joins.binned_range_join(S.table(spark, sf, "orders"), bands, "o_totalprice", "low", "high")
+    return found.groupBy("s_suppkey").agg(F.count(F.lit(1)).alias("n_orders"), round2(F.sum("o_totalprice"), 2).alias("total"),
+                                          F.min("o_orderkey").alias("first_order"))
+
+
+@query("checked_write")
+def q_checked_write(spark, sf):
+    """Line items written once: sound and quarantined rows, and how many rows break each check."""
+    from stratus.session import scratch_path
+    done = quarantine.checked_write(S.table(spark, sf, "lineitem"), scratch_path(spark, "checked"), {
+        "quantity_range": F.col("l_quantity") > 45, "discount_range": F.col("l_discount") > F.lit(0.08),
+        "flag_not_null": F.col("l_returnflag").isNull(), "flag_in": checks.outside("l_returnflag", ["R", "A"])})
+    names = F.explode(F.array(*(F.struct(F.lit(n).alias("what"), F.lit(v).alias("n")) for n, v in done.counts.items()))).alias("c")
+    observed = spark.range(1).select(names).select("c.what", F.col("c.n").cast("long").alias("n_rows"), F.lit(None).cast("double").alias("quantity"))
+    held = [t.agg(F.count(F.lit(1)).alias("n_rows"), round2(F.sum("l_quantity"), 2).alias("quantity"))
+            .select(F.lit(w).alias("what"), "n_rows", "quantity")
+            for w, t in (("sound rows", done.good), ("quarantined rows", done.quarantined))]
+    return observed.unionByName(held[0]).unionByName(held[1])

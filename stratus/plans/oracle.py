@@ -1115,3 +1115,22 @@ WITH v AS (SELECT * REPLACE (value + 10 * (version - 1) AS value) FROM (
   SELECT *, CAST(CASE WHEN user_id % 2 = 0 THEN 3 WHEN user_id % 3 = 0 THEN 2 ELSE 1 END AS BIGINT) AS version FROM events)),
 {STAGE.replace("FROM events", "FROM v").replace("         event_id", "         event_id, version")}
 SELECT location_name, measured_at, temperature_2m, precipitation, weather_code, event_id, version FROM stage"""
+
+# -- general range join, checked writes ------------------------------------------------------------
+ORACLE["range_join_binned"] = f"""
+WITH b AS (SELECT s_suppkey, s_acctbal * 20 AS low, s_acctbal * 20 + pow({d(10.0)}, s_suppkey % 5) * 4 + 1 AS high FROM supplier)
+SELECT s_suppkey, count(*) AS n_orders, {r2("sum(o_totalprice)")} AS total, min(o_orderkey) AS first_order
+FROM orders JOIN b ON o_totalprice BETWEEN low AND high GROUP BY 1"""
+
+ORACLE["checked_write"] = f"""
+WITH l AS (SELECT l_quantity, coalesce(l_quantity > 45, false) AS a, coalesce(l_discount > {d(0.08)}, false) AS b,
+                  l_returnflag IS NULL AS c, coalesce(l_returnflag NOT IN ('R', 'A'), false) AS e FROM lineitem),
+n AS (SELECT *, a OR b OR c OR e AS bad FROM l)
+SELECT 'rows' AS what, count(*) AS n_rows, CAST(NULL AS DOUBLE) AS quantity FROM n
+UNION ALL SELECT 'quarantined', count(*) FILTER (WHERE bad), NULL FROM n
+UNION ALL SELECT 'quantity_range', count(*) FILTER (WHERE a), NULL FROM n
+UNION ALL SELECT 'discount_range', count(*) FILTER (WHERE b), NULL FROM n
+UNION ALL SELECT 'flag_not_null', count(*) FILTER (WHERE c), NULL FROM n
+UNION ALL SELECT 'flag_in', count(*) FILTER (WHERE e), NULL FROM n
+UNION ALL SELECT 'sound rows', count(*), {r2("sum(l_quantity)")} FROM n WHERE NOT bad
+UNION ALL SELECT 'quarantined rows', count(*), {r2("sum(l_quantity)")} FROM n WHERE bad"""
