@@ -3,8 +3,10 @@
 Spark builds the index: terms, document frequencies and BM25 impacts of all items, scaled
 so that an item scores 1 against itself. The index is cut into shards of a bounded number
 of postings; each shard is broadcast and every passage of every document is a query
-against it. A passage is ``2 * step`` words, the next one begins ``step`` words on, and no
-item is longer than ``step``, so a leaked item lies whole in some passage.
+against it. Items of like length (between two powers of two of words) have an index of their own: a
+passage is ``2 * step`` words, the next one begins ``step`` words on, and ``step`` is the longest item
+of the class, so a leaked item lies whole in some passage and no long item widens a short one's.
+Indexes of several classes are sent together up to the size of a shard.
 
 Items stand in blocks; the index keeps every term's greatest impact in every block. Sums of
 these bounds over a passage's terms skip the blocks that can't reach the threshold (terms of
@@ -188,20 +190,36 @@ class Shard:
                 yield int(owner[k]), item, score
 
 
-def _shards(items: DataFrame, n: int, item_id_col: str, item_text_col: str) -> tuple[int, Iterator[Shard]]:
-    """The step between passages, and the shards, one after the other."""
-    index = saved(postings(items, item_id_col, item_text_col), "postings")
-    size = index.agg(F.count("*").alias("n"), F.max("length").alias("longest")).first()
-    shards = -(-size.n // SHARD_POSTINGS)
-
-    def each() -> Iterator[Shard]:
-        for k in range(shards):
-            rows = index.where(F.pmod("item", F.lit(shards)) == k).collect()  # about SHARD_POSTINGS
+def bundles(sizes: list[tuple[int, int]], limit: int) -> list[list[tuple[int, int, int]]]:
+    """What is sent together: lists of (class, part, parts), from (class, postings) in order."""
+    out, room = [], 0.0
+    for length_class, n in sizes:
+        parts = -(-n // limit)
+        for k in range(parts):
+            if n / parts > room:
+                out.append([])
+                room = limit
+            out[-1].append((length_class, k, parts))
+            room -= n / parts
+    return out
+
+
+def _shards(items: DataFrame, n: int, item_id_col: str, item_text_col: str) -> Iterator[list[tuple[int, Shard]]]:
+    """Shards to send together, each with the step between its passages."""
+    # items of up to 32 words are one class, those of up to 64 the next one, ...
+    classed = postings(items, item_id_col, item_text_col).withColumn("class", F.length(F.bin(F.greatest("length", F.lit(32)) - 1)))
+    index = saved(classed, "postings")
+    sizes = index.groupBy("class").agg(F.count("*").alias("n"), F.max("length").alias("longest")).orderBy("class").collect()
+    step = {r["class"]: max(32, r.longest) for r in sizes}
+    for bundle in bundles([(r["class"], r.n) for r in sizes], SHARD_POSTINGS):
+        built = []
+        for c, k, parts in bundle:
+            rows = index.where((F.col("class") == c) & (F.pmod("item", F.lit(parts)) == k)).collect()  # about SHARD_POSTINGS in all
             if rows:
-                yield Shard.build(rows, n)
-        discard(index)
-
-    return max(32, size.longest or 0), each()
+                built.append((step[c], Shard.build(rows, n)))
+        if built:
+            yield built
+    discard(index)
 
 
 @dataclass(frozen=True)
@@ -213,23 +231,26 @@ class Limits:
     n: int = 3
 
 
-def _leaks(index: Shard, text: str, step: int, limits: Limits) -> list[tuple]:
+def _leaks(index: list[tuple[int, Shard]], text: str, limits: Limits) -> list[tuple]:
     """``item_id, passage_start, score, question_overlap, answer_overlap`` of a text's verified items."""
-    ws, best, passage_grams = words(text), {}, (-1, set())
-    for passage, item, score in index.search(ws, step, limits.score):
-        if passage_grams[0] != passage:
-            passage_grams = (passage, short_grams(ws[passage * step:(passage + 2) * step], limits.n))
-        question, answer = (sum(g in passage_grams[1] for g in part) / len(part) if part else 1.0
-                            for part in index.checks[item])
-        if question >= limits.question and answer >= limits.answer and score > best.get(item, (0, 0.0))[1]:
-            best[item] = (passage * step, score, question, answer)
-    return [(index.ids[item], *row) for item, row in sorted(best.items())]
-
-
-def _sent(spark: SparkSession, shard: Shard) -> Callable[[], Shard]:
-    """The shard as a broadcast; of plain parts, as a broadcast is not pickled with its class."""
-    parts = spark.sparkContext.broadcast([getattr(shard, f.name) for f in fields(Shard)])
-    return lambda: Shard(*parts.value)
+    ws, out = words(text), []
+    for step, shard in index:
+        best, passage_grams = {}, (-1, set())
+        for passage, item, score in shard.search(ws, step, limits.score):
+            if passage_grams[0] != passage:
+                passage_grams = (passage, short_grams(ws[passage * step:(passage + 2) * step], limits.n))
+            question, answer = (sum(g in passage_grams[1] for g in part) / len(part) if part else 1.0
+                                for part in shard.checks[item])
+            if question >= limits.question and answer >= limits.answer and score > best.get(item, (0, 0.0))[1]:
+                best[item] = (passage * step, score, question, answer)
+        out += [(shard.ids[item], *row) for item, row in sorted(best.items())]
+    return out
+
+
+def _sent(spark: SparkSession, index: list[tuple[int, Shard]]) -> Callable[[], list[tuple[int, Shard]]]:
+    """The shards as a broadcast; of plain parts, as a broadcast is not pickled with its class."""
+    parts = spark.sparkContext.broadcast([(step, [getattr(shard, f.name) for f in fields(Shard)]) for step, shard in index])
+    return lambda: [(step, Shard(*p)) for step, p in parts.value]
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id",
@@ -241,13 +262,13 @@ def find_leaks(docs: DataFrame, items: DataFrame, limits: Limits = Limits(), id_
               "answer_overlap double")
     names = [part.split()[0] for part in schema.split(", ")]
     texts = docs.select(F.col(id_col).cast("long"), whole_text(text_col))
-    step, shards = _shards(items, limits.n, item_id_col, item_text_col)
+    shards = _shards(items, limits.n, item_id_col, item_text_col)
 
     def scan(get: Callable[[], Shard]) -> DataFrame:
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = get()
             for batch in batches:
-                found = [(i, row) for i, body in enumerate(batch.column(1)) for row in _leaks(index, body.as_py(), step, limits)]
+                found = [(i, row) for i, body in enumerate(batch.column(1)) for row in _leaks(index, body.as_py(), limits)]
                 if found:
                     cols = [pa.array(c, pa.int64() if k < 2 else pa.float64())
                             for k, c in enumerate(zip(*(row for _, row in found)))]
@@ -261,7 +282,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, limits: Limits = Limits(), id_
 def drop_contaminated(docs: DataFrame, items: DataFrame, limits: Limits = Limits(), text_col: str = "text",
                       item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without a verified test item, in one pass per shard without a shuffle."""
-    step, shards = _shards(items, limits.n, item_id_col, item_text_col)
+    shards = _shards(items, limits.n, item_id_col, item_text_col)
 
     def clean(docs: DataFrame, get: Callable[[], Shard]) -> DataFrame:
         at = docs.columns.index(text_col)
@@ -269,7 +290,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, limits: Limits = Limits
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = get()
             for batch in batches:
-                yield batch.filter(pa.array([not _leaks(index, t.as_py() or "", step, limits) for t in batch.column(at)],
+                yield batch.filter(pa.array([not _leaks(index, t.as_py() or "", limits) for t in batch.column(at)],
                                             pa.bool_()))
 
         return docs.mapInArrow(rows, docs.schema)

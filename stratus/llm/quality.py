@@ -4,8 +4,9 @@ A document is a bag of passages of ``PASSAGE`` words, all of them, whatever its
 passage is described by counts of its characters and words and encoded by a learned layer;
 gated attention weighs the encoded passages, and the label of the document is predicted
 from their weighted sum. Encoder, attention and classifier are trained together on document
-labels alone, by gradient descent on at most ``TRAIN_ROWS`` labelled documents of at most
-``TRAIN_PASSAGES`` passages each; the rest of the table is only scored.
+labels alone, by gradient descent on at most ``TRAIN_ROWS`` labelled documents, each with all its
+passages, and on fewer documents if their passages would pass ``TRAIN_PASSAGES``; the rest of the
+table is only scored.
 
 Attention is a softmax over a document's passages, so very long texts stream through it in
 blocks: only running sums are kept. Null and blank texts are bags of one empty passage. Null and
@@ -23,18 +24,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratus.llm.common import text_or_blank, whole_text
+from stratus.llm.common import discard, saved, text_or_blank, whole_text
 from stratus.llm.labels import held_out, training_sample
 
 #: Labelled documents that the fit may use.
 TRAIN_ROWS = 4_000
 #: Words of a passage.
 PASSAGE = 64
-#: Passages that a training document gives at most, spread evenly over it: bounds what the driver
-#: gets for the fit. Scoring takes all passages of every document.
-TRAIN_PASSAGES = 256
+#: Passages of the fit: no further document is taken, in the order of a hash of the ids, once those taken hold
+#: so many. Bounds what the driver gets, 88 bytes a passage. Scoring takes all passages of every document.
+TRAIN_PASSAGES = 250_000
 #: Passages worked on at once.
 BLOCK = 256
+#: Passages, about, whose gradient is worked out at once.
+FIT_BLOCK = 16_384
 WIDTH, GATE = 16, 8
 
 # Frequent function words of the corpus's languages.
@@ -83,11 +86,6 @@ def passages(text: bytes) -> Iterator[np.ndarray]:
         yield np.array([passage_inputs(words[i:i + PASSAGE]) for i in spans[at:at + BLOCK]])
 
 
-def spread(x: np.ndarray) -> np.ndarray:
-    """At most ``TRAIN_PASSAGES`` rows, evenly spaced."""
-    return x if len(x) <= TRAIN_PASSAGES else x[np.linspace(0, len(x) - 1, TRAIN_PASSAGES).astype(int)]
-
-
 class QualityModel:
     """Encoder, gated attention and classifier; ``parts`` are plain arrays."""
 
@@ -122,31 +120,40 @@ class QualityModel:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, value))))
 
 
+def slopes(model: QualityModel, x: np.ndarray, owner: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+    """The gradient of the bags' summed log loss; ``owner`` is sorted and numbers the bags from 0."""
+    p = model.parts
+    starts = np.searchsorted(owner, np.arange(len(y)))
+    scaled = (x - model.mean) / model.spread
+    z, s, g, e = model.encoded(x)
+    a = np.exp(e - np.maximum.reduceat(e, starts)[owner])
+    a /= np.add.reduceat(a, starts)[owner]
+    bag = np.add.reduceat(a[:, None] * z, starts)
+    miss = 1 / (1 + np.exp(-(bag @ p["c"] + p["d"]))) - y
+    d_bag = miss[:, None] * p["c"]
+    along = (z * d_bag[owner]).sum(axis=1)
+    d_e = a * (along - np.add.reduceat(a * along, starts)[owner])
+    d_s, d_g = d_e[:, None] * p["w"] * g * (1 - s * s), d_e[:, None] * p["w"] * s * g * (1 - g)
+    d_z = a[:, None] * d_bag[owner] + d_s @ p["V"].T + d_g @ p["U"].T
+    d_in = d_z * (1 - z * z)
+    return {"W": scaled.T @ d_in, "b": d_in.sum(axis=0), "V": z.T @ d_s, "U": z.T @ d_g, "w": (s * g).T @ d_e,
+            "c": bag.T @ miss, "d": np.array([miss.sum()])}
+
+
 def fit(x: np.ndarray, owner: np.ndarray, y: np.ndarray, rounds: int = 250, rate: float = 0.02,
         decay: float = 1e-3) -> QualityModel:
-    """Adam on the mean log loss over bags; ``owner`` is sorted and numbers the bags from 0."""
-    model = QualityModel.fresh(x.mean(axis=0), x.std(axis=0) + 1e-3)
+    """Adam on the mean log loss over bags; ``owner`` is sorted and numbers the bags from 0. Gradients are summed over blocks of bags."""
+    model = QualityModel.fresh(x.mean(axis=0, dtype=float), x.std(axis=0, dtype=float) + 1e-3)
     p = model.parts
     p["d"][0] = math.log((y.sum() + 1) / (len(y) - y.sum() + 1))
-    starts = np.searchsorted(owner, np.arange(len(y)))
-    scaled = (x - model.mean) / model.spread
+    starts = np.searchsorted(owner, np.arange(len(y) + 1))
+    firsts = np.flatnonzero(np.diff(starts[:-1] // FIT_BLOCK, prepend=-1))  # the bags that open a block
+    blocks = [(a, b, starts[a], starts[b]) for a, b in zip(firsts, [*firsts[1:], len(y)])]
     first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
     for t in range(1, rounds + 1):
-        z, s, g, e = model.encoded(x)
-        a = np.exp(e - np.maximum.reduceat(e, starts)[owner])
-        a /= np.add.reduceat(a, starts)[owner]
-        bag = np.add.reduceat(a[:, None] * z, starts)
-        miss = (1 / (1 + np.exp(-(bag @ p["c"] + p["d"]))) - y) / len(y)
-        d_bag = miss[:, None] * p["c"]
-        along = (z * d_bag[owner]).sum(axis=1)
-        d_e = a * (along - np.add.reduceat(a * along, starts)[owner])
-        d_s, d_g = d_e[:, None] * p["w"] * g * (1 - s * s), d_e[:, None] * p["w"] * s * g * (1 - g)
-        d_z = a[:, None] * d_bag[owner] + d_s @ p["V"].T + d_g @ p["U"].T
-        d_in = d_z * (1 - z * z)
-        slopes = {"W": scaled.T @ d_in, "b": d_in.sum(axis=0), "V": z.T @ d_s, "U": z.T @ d_g, "w": (s * g).T @ d_e,
-                  "c": bag.T @ miss, "d": np.array([miss.sum()])}
-        for k, slope in slopes.items():
-            slope = slope + decay * p[k] * (k not in ("b", "d"))
+        parts = [slopes(model, x[lo:hi], owner[lo:hi] - a, y[a:b]) for a, b, lo, hi in blocks]
+        for k in p:
+            slope = sum(part[k] for part in parts) / len(y) + decay * p[k] * (k not in ("b", "d"))
             first[k] = 0.9 * first[k] + 0.1 * slope
             second[k] = 0.999 * second[k] + 0.001 * slope * slope
             p[k] = p[k] - rate * (first[k] / (1 - 0.9 ** t)) / (np.sqrt(second[k] / (1 - 0.999 ** t)) + 1e-8)
@@ -160,18 +167,25 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int =
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [spread(np.concatenate(list(passages(text_or_blank(t.as_py()))))).ravel().astype(np.float32)
-                 for t in batch.column(0)]
-            yield pa.record_batch([pa.array(x, pa.list_(pa.float32())), batch.column(1), batch.column(2)],
-                                  names=["x", "quality", "place"])
-
-    rows_ = (sample.select(whole_text(text_col), F.col("quality").cast("int"), F.xxhash64(id_col, text_col))
-             .mapInArrow(step, "x array<float>, quality int, place long").toArrow().sort_by("place"))
-    if not rows_.num_rows:
+            for k in range(batch.num_rows):
+                x = np.concatenate(list(passages(text_or_blank(batch.column(0)[k].as_py())))).astype(np.float32)
+                yield pa.record_batch([pa.array([x.ravel()], pa.list_(pa.float32())), pa.array([len(x)], pa.int64()),
+                                       *(batch.column(c).slice(k, 1) for c in (1, 2))], names=["x", "n", "quality", "place"])
+
+    bags = saved(sample.select(whole_text(text_col), F.col("quality").cast("int"), F.xxhash64(id_col))
+                 .mapInArrow(step, "x array<float>, n long, quality int, place long"), "bags")
+    taken, last = 0, None
+    for r in bags.select("place", "n").orderBy("place").collect():  # about TRAIN_ROWS pairs of numbers
+        if taken >= TRAIN_PASSAGES:
+            break
+        taken, last = taken + r.n, r.place
+    got = bags.where(F.col("place") <= F.lit(last)).toArrow().sort_by("place") if taken else None
+    discard(sample, bags)
+    if got is None:
         return None
-    bags = [np.array(v.values, dtype=float).reshape(-1, INPUTS) for v in rows_["x"]]
-    owner = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
-    return fit(np.concatenate(bags), owner, rows_["quality"].to_numpy().astype(float))
+    x = np.concatenate([c.values.to_numpy() for c in got["x"].chunks]).reshape(-1, INPUTS)
+    n = got["n"].to_numpy()
+    return fit(x, np.repeat(np.arange(len(n)), n), got["quality"].to_numpy().astype(float))
 
 
 def score_documents(docs: DataFrame, model: QualityModel | None, threshold: float = 0.7, modulus: int = 4,

@@ -37,8 +37,6 @@ from stratus.llm.labels import held_out, training_sample
 
 #: Labelled documents that the fit may use.
 TRAIN_ROWS = 20_000
-#: The most terms of a lexicon.
-LEXICON = 2_000
 #: So many ordinary words within its edits make a term's near misses meaningless.
 CROWDED = 3
 #: Words each side of a match that make its context.
@@ -224,7 +222,7 @@ def learn_lexicon(counts: DataFrame) -> tuple[list[str], frozenset[str], frozens
     surprise = n * (p * F.log(p / base) + (1 - p) * F.log((1 - p) / (1 - base)))  # bound on the log of the tail
     terms = [r.word for r in often.where((p >= 0.7) & (p > base) & F.col("word").rlike(r"^\p{L}{3,}$")
                                          & (surprise >= math.log(2 * totals.words)))
-             .orderBy(surprise.desc(), "word").limit(LEXICON).collect()]
+             .orderBy(surprise.desc(), "word").collect()]  # words of the bounded sample
     lexicon = FuzzyLexicon(terms)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +267,7 @@ class ToxicityModel:
 
 def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0, rows: int = TRAIN_ROWS,
           id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
-    sample = training_sample(docs, labels, "toxic", modulus, remainder, rows, id_col, text_col).select(text_col, "toxic")
+    sample = training_sample(docs, labels, "toxic", modulus, remainder, rows, id_col, text_col)
     terms, crowded, benign = learn_lexicon(word_counts(sample, text_col))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,6 +279,7 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int =
     # as many short rows as the sample's bound says
     got = (sample.select(whole_text(text_col), F.col("toxic").cast("int")).mapInArrow(step, "x array<double>, toxic int")
            .groupBy("x").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n")).collect())
+    discard(sample)
     if not terms or not got:
         return ToxicityModel([], frozenset(), frozenset(), PRIOR)
     x = np.repeat(np.array([r.x for r in got]), [r.n for r in got], axis=0)

@@ -91,6 +91,27 @@ def test_labels_outside_the_fold_are_not_read(spark):
     assert spark.createDataFrame([(None,)], "doc_id long").select(held_out("doc_id", 5, 0)).first()[0]
 
 
+def test_an_id_of_many_rows_gives_the_fit_one_text(spark):
+    rows = [(7, "same text")] * 300 + [(7, "text %d" % i) for i in range(300)] + [(8, None), (9, ""), (11, "nine")]
+    docs = frame(spark, [t for _, t in rows], [i for i, _ in rows]).repartition(5)
+    labels = spark.createDataFrame([(7, 0), (7, 1), (8, 1), (9, 0), (None, 1)], "doc_id long, quality long")
+    seen = [(r.doc_id, r.text, r.quality) for r in training_sample(docs, labels, "quality", 10 ** 6, -1, 100).collect()]
+    again = [(r.doc_id, r.text, r.quality) for r in training_sample(docs.repartition(3), labels, "quality", 10 ** 6, -1, 100).collect()]
+    assert sorted(seen) == sorted(again) and sorted((i, y) for i, _, y in seen) == [(7, 1), (8, 1), (9, 0)]
+    assert [t for i, t, _ in sorted(seen)][1:] == [None, ""]
+
+
+def test_the_fit_takes_whole_bags_up_to_its_bound(spark, monkeypatch):
+    got = []
+    monkeypatch.setattr(quality, "fit", lambda x, owner, y: got.append((len(x), len(y))))
+    texts = ["word " * (64 * n) for n in (3, 1000, 5, 2, 700)]
+    docs, labels = frame(spark, texts), spark.createDataFrame([(i, i % 2) for i in range(5)], "doc_id long, quality long")
+    quality.train(docs, labels, 10 ** 6, -1)
+    monkeypatch.setattr(quality, "TRAIN_PASSAGES", 1)
+    quality.train(docs, labels, 10 ** 6, -1)
+    assert got[0] == (1710, 5) and got[1][1] == 1 and got[1][0] in (3, 1000, 5, 2, 700)
+
+
 def test_quality_tells_junk_and_streams_long_texts(spark):
     rng = random.Random(1)
     rows = [(i, t, y) for i, t, y in corpus(spark, 400, 2)]
@@ -128,3 +149,39 @@ def test_gradient_of_the_bag_loss():
         a = np.exp(e[owner == k])
         scores.append(a @ z[owner == k] / a.sum() @ model.parts["c"] + model.parts["d"][0])
     assert ((np.array(scores) > 0) == (y == 1)).all()
+
+
+def bag_loss(model, x, owner, y):
+    z, _, _, e = model.encoded(x)
+    total = 0.0
+    for k, target in enumerate(y):
+        a = np.exp(e[owner == k])
+        value = float(a @ z[owner == k] / a.sum() @ model.parts["c"] + model.parts["d"][0])
+        total += np.log1p(np.exp(value)) - target * value
+    return total
+
+
+def test_slopes_equal_finite_differences():
+    rng = np.random.default_rng(4)
+    x, owner, y = rng.normal(size=(17, quality.INPUTS)), np.repeat(np.arange(5), [1, 4, 2, 7, 3]), np.array([0, 1, 1, 0, 1.0])
+    model = quality.QualityModel.fresh(x.mean(axis=0), x.std(axis=0) + 1e-3)
+    slopes = quality.slopes(model, x, owner, y)
+    for name, part in model.parts.items():
+        for at in [tuple(rng.integers(n) for n in part.shape) for _ in range(12)]:
+            was, h = part[at], 1e-5
+            part[at] = was + h
+            up = bag_loss(model, x, owner, y)
+            part[at] = was - h
+            down = bag_loss(model, x, owner, y)
+            part[at] = was
+            assert abs((up - down) / (2 * h) - slopes[name][at]) < 1e-6, (name, at)
+
+
+def test_blocks_of_bags_sum_to_the_whole_gradient(monkeypatch):
+    rng = np.random.default_rng(2)
+    owner = np.repeat(np.arange(12), rng.integers(1, 9, 12))
+    x, y = rng.normal(size=(len(owner), quality.INPUTS)), (np.arange(12) % 3 == 0).astype(float)
+    whole = quality.fit(x, owner, y, rounds=20).parts
+    monkeypatch.setattr(quality, "FIT_BLOCK", 5)
+    cut = quality.fit(x, owner, y, rounds=20).parts
+    assert all(np.allclose(whole[k], cut[k], atol=1e-9) for k in whole)

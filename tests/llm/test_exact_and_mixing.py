@@ -130,6 +130,40 @@ def test_leaks_are_found_and_clean_texts_are_not(spark):
     assert decontaminate.find_leaks(frame(spark, []), items).count() == 0
 
 
+def test_a_long_item_does_not_widen_the_passages_of_short_ones(spark, monkeypatch):
+    short = "Who keeps the brass lantern of Velm? The old ferry woman Tarn keeps it."
+    long = " ".join("long%d" % i for i in range(4000))
+    ws = decontaminate.words(short)
+    noise = lambda k, n: " ".join("noise%d" % ((k * 37 + i * 11) % 900) for i in range(n))
+    scattered = " ".join(b" ".join(ws[i:i + 3]).decode() + " " + noise(i, 400) for i in range(0, len(ws), 2))
+    texts = [scattered, noise(1, 70) + " " + short + " " + noise(2, 70), noise(3, 50) + " " + long]
+    one = spark.createDataFrame([(1, short)], "item_id long, text string")
+    both = spark.createDataFrame([(1, short), (2, long)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(frame(spark, texts), one).collect()} == {(1, 1)}
+    for limit in (100_000, 2_000):  # both classes in one bundle, then several shards
+        monkeypatch.setattr(decontaminate, "SHARD_POSTINGS", limit)
+        assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(frame(spark, texts), both).collect()} == {(1, 1), (2, 2)}
+        assert [r.doc_id for r in decontaminate.drop_contaminated(frame(spark, texts), both).collect()] == [0]
+
+
+def test_shards_agree_with_one_index(spark, monkeypatch):
+    items = spark.createDataFrame([(i, f"Question {i}: which {i * 7} stones lie by gate {i}? Answer: the {i * 3} grey ones of {i}.")
+                                   for i in range(40)], "item_id long, text string")
+    docs = frame(spark, [f"words before {r.text} and after" for r in items.collect()])
+    key = lambda r: (r.doc_id, r.item_id, r.passage_start, round(r.score, 9))
+    whole = sorted(map(key, decontaminate.find_leaks(docs, items).collect()))
+    monkeypatch.setattr(decontaminate, "SHARD_POSTINGS", 150)
+    cut = sorted(map(key, decontaminate.find_leaks(docs, items).collect()))
+    assert whole == cut and {(k, k) for k in range(40)} <= {r[:2] for r in cut}
+
+
+def test_bundles_hold_every_part_within_the_limit():
+    sizes = [(5, 30), (6, 250), (7, 40), (9, 100)]
+    got = decontaminate.bundles(sizes, 100)
+    assert [p for b in got for p in b] == [(5, 0, 1), (6, 0, 3), (6, 1, 3), (6, 2, 3), (7, 0, 1), (9, 0, 1)]
+    assert all(sum(dict(sizes)[c] / parts for c, _, parts in b) <= 100 for b in got) and decontaminate.bundles([], 100) == []
+
+
 def test_block_max_wand_equals_exhaustive_scoring(spark, monkeypatch):
     rng = random.Random(7)
     vocabulary = ["w%d" % int(rng.paretovariate(0.6)) for _ in range(3000)]
