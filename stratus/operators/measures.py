@@ -76,7 +76,11 @@ def kpis(mart: DataFrame, by=None, start=None, end=None) -> DataFrame:
 
 def kpis_yoy(mart: DataFrame, date_col: str = "date") -> DataFrame:
     """KPIs per year with the previous year's values and the deltas (NULL for the first year)."""
-    yearly = kpis(mart.withColumn("year", F.year(date_col)), by=["year"])
+    return year_over_year(kpis(mart.withColumn("year", F.year(date_col)), by=["year"]))
+
+
+def year_over_year(yearly: DataFrame) -> DataFrame:
+    """``year`` and the KPIs, years between filled in, with the previous year's values and the deltas."""
     span = yearly.agg(F.min("year").alias("_a"), F.max("year").alias("_b"))
     spine = span.select(F.explode(F.sequence("_a", "_b")).alias("year"))
     full = spine.join(yearly, "year", "left")

@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 WINDOW = ("2024-01-10", "2024-01-20")
 TODAY = "2024-01-31"
+SLICE_REGION, SLICE_ZONE = "AUTOMOBILE", "Temperate"
 
 
 def query(name: str):
@@ -736,3 +737,71 @@ def q_checked_write(spark, sf):
             .select(F.lit(w).alias("what"), "n_rows", "quantity")
             for w, t in (("sound rows", done.good), ("quarantined rows", done.quarantined))]
     return observed.unionByName(held[0]).unionByName(held[1])
+
+
+# ---------------------------------------------------------------------------
+# dashboards from monthly states, slicers, bounded and bucketed tables, open payloads
+# ---------------------------------------------------------------------------
+from stratus.operators import bounded, partials  # noqa: E402
+from stratus.sources import variants  # noqa: E402
+
+
+def _order_states(spark, sf):
+    """States of the orders' mart, refreshed after each of two loads; the second one changes months the first one wrote."""
+    from stratus.session import scratch_path
+    table, states = scratch_path(spark, "mart"), scratch_path(spark, "mart-states")
+    rows = _orders_mart(spark, sf).withColumn("ym", daymaps.month_key(F.col("date")))
+    early = F.col("date") < F.lit("1998-05-20").cast("date")
+    for load in (rows.where(early), rows.where(~early)):
+        writes.append_table(load, table, "ym")
+        found, _ = partials.refresh(spark, states, spark.read.schema(rows.schema).parquet(table))
+    return found
+
+
+@query("kpi_from_partials")
+def q_kpi_from_partials(spark, sf):
+    return M.year_over_year(partials.yearly_kpis(_order_states(spark, sf), M.KPI_NAMES))
+
+
+@query("map_from_partials")
+def q_map_from_partials(spark, sf):
+    capitals = M.capitals_only(_cfg(spark, sf)).select(F.col("pos").alias("id"), F.col("name").alias("city_name"),
+                                                       F.col("lat").alias("latitude"), F.col("lon").alias("longitude"))
+    return partials.map_values(partials.of_months(_order_states(spark, sf), 199801, 199812), capitals, "total_precipitation")
+
+
+@query("ranking_sliced")
+def q_ranking_sliced(spark, sf):
+    """Frost ranking of a region's places in one climate group, 1996 to 1999."""
+    return M.extreme_ranking(M.slice_by(_orders_wide(spark, sf), "1996-01-01", "1999-12-31", region=SLICE_REGION, zone=SLICE_ZONE), "frost")
+
+
+@query("partition_report")
+def q_partition_report(spark, sf):
+    """Orders in bounded year partitions; per year and nation from a join of bucketed tables."""
+    from stratus.session import scratch_path
+    o = S.table(spark, sf, "orders").select(F.col("o_custkey").alias("place"), F.to_date("o_orderdate").alias("day"), "o_totalprice")
+    fact = bounded.write_years(o, scratch_path(spark, "orders-by-year"), "day", 1995, 2001)
+    held = bounded.bucketed(spark, fact, "place", 8, "orders_fact")
+    places = bounded.bucketed(spark, S.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_nationkey"), "id", 8, "places")
+    return (held.join(places, held["place"] == places["id"]).groupBy("year", "c_nationkey")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.min("day").alias("first_day"), F.max("day").alias("last_day"),
+                 round2(F.sum("o_totalprice")).alias("total")))
+
+
+@query("payload_variant")
+def q_payload_variant(spark, sf):
+    """Two variables nobody declared, read from variant documents of a place and day; every seventh place's are cut off."""
+    ev = S.table(spark, sf, "events")
+    hours = ev.select(S.place_name(F.col("user_id")).alias("name"), F.col("user_id"), F.to_date("ts").alias("_day"),
+                      F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("time"), (F.col("value") / 10 - 10).alias("temperature_2m"),
+                               (F.col("value") / 50).alias("uv_index"), F.when(F.col("event_id") % 2 == 0, F.col("event_type")).alias("sky_note")).alias("h"))
+    docs = hours.groupBy("name", "user_id", "_day").agg(F.collect_list("h").alias("hs"))
+    hourly = F.struct(*(F.transform("hs", _field(n)).alias(n) for n in ("time", "temperature_2m", "uv_index", "sky_note")))
+    doc = F.to_json(F.struct("name", hourly.alias("hourly")))
+    cut = docs.select("user_id", doc.alias("_doc")).select(
+        F.when(F.col("user_id") % 7 == 3, F.expr("left(_doc, length(_doc) - 2)")).otherwise(F.col("_doc")).alias("doc"))
+    rows = variants.read_variables(variants.land_variant(cut), {"uv_index": "double", "sky_note": "string"})
+    return rows.groupBy("location_name", F.to_date("measured_at").alias("day")).agg(
+        F.count(F.lit(1)).alias("n_hours"), F.count("uv_index").alias("n_uv"), F.max("uv_index").alias("max_uv"),
+        F.min("uv_index").alias("min_uv"), F.count("sky_note").alias("n_notes"), F.max("sky_note").alias("last_note"))

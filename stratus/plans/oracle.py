@@ -1134,3 +1134,30 @@ UNION ALL SELECT 'flag_not_null', count(*) FILTER (WHERE c), NULL FROM n
 UNION ALL SELECT 'flag_in', count(*) FILTER (WHERE e), NULL FROM n
 UNION ALL SELECT 'sound rows', count(*), {r2("sum(l_quantity)")} FROM n WHERE NOT bad
 UNION ALL SELECT 'quarantined rows', count(*), {r2("sum(l_quantity)")} FROM n WHERE bad"""
+
+# -- dashboards from monthly states, slicers, bounded and bucketed tables, open payloads -----------
+ORACLE["kpi_from_partials"] = ORACLE["kpi_yoy"]
+ORACLE["map_from_partials"] = ORACLE["map_values"]
+ORACLE["ranking_sliced"] = f"""
+WITH {CITIES.strip()},{CUSTOMER_MART},{WIDE},
+s AS (SELECT * FROM wide WHERE date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31' AND region = 'AUTOMOBILE'
+      AND {CLIMATE_CASE} = 'Temperate'),
+r AS (
+  SELECT CASE grouping(region, country_name, city_name) WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 3 THEN 2 ELSE 3 END AS level,
+         region, country_name, city_name,
+         {PCT('is_hot_day')} AS hot_pct, {PCT('is_frost_day')} AS frost_pct, {PCT('is_rainy_day')} AS rainy_pct,
+         max(temp_max) AS max_temp, min(temp_min) AS min_temp, max(wind_gusts_max) AS max_gusts
+  FROM s GROUP BY ROLLUP (region, country_name, city_name)
+)
+SELECT *, CAST(rank() OVER (PARTITION BY level ORDER BY frost_pct DESC NULLS LAST) AS INTEGER) AS rank FROM r"""
+
+ORACLE["partition_report"] = f"""
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, c_nationkey, count(*) AS n_rows, CAST(min(o_orderdate) AS DATE) AS first_day,
+       CAST(max(o_orderdate) AS DATE) AS last_day, {r2("sum(o_totalprice)")} AS total
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2"""
+
+ORACLE["payload_variant"] = """
+SELECT 'Customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0') AS location_name, CAST(ts AS DATE) AS day, count(*) AS n_hours,
+       count(value) AS n_uv, max(value / 50) AS max_uv, min(value / 50) AS min_uv,
+       count(event_type) FILTER (WHERE event_id % 2 = 0) AS n_notes, max(event_type) FILTER (WHERE event_id % 2 = 0) AS last_note
+FROM events WHERE user_id % 7 <> 3 GROUP BY 1, 2"""
