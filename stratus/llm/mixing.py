@@ -6,13 +6,15 @@ in the order of exponential keys ``-ln(u) / weight``, ``u`` a hash of the docume
 Efraimidis-Spirakis order, in which heavier documents come early. Prefix sums over that
 order stop at the budget, and the document that crosses it gives only its first words.
 
-Within a source the order is cut into key ranges before the prefix sums: range totals are
-summed first, then each range on its own, so a source that holds a third of all rows is
-spread over many tasks.
+Within a source the order is cut into key ranges: the prefix sums of the range totals give
+the one range in which the budget ends, and only that range is ordered, equal rows as one.
+So a source is settled by its cut, one row: every document compares its own place in the
+order with it, and no text is sorted or dealt by source.
 
 Defined results: null texts have size 0 and take 0 words; a null source is one source,
 the last; null ids and repeated rows take part as rows of their own (equal keys fall back
-on id, then size); an empty table gives an empty result; a null, missing or non-positive
+on id, then size; rows equal in all three at the cut share the words left in equal whole parts,
+less than one word a row unused); an empty table gives an empty result; a null, missing or non-positive
 weight counts as the smallest weight. Columns of the input named like a result column are replaced by it;
 names that begin with ``_x4_`` are reserved.
 
@@ -89,7 +91,9 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, id_col: str =
     (default: all equal). They meet the documents' sizes, not their texts.
     """
     rest = [c for c in docs.columns if c not in (text_col, "size", "source_size", "target", "taken")]
-    return _mixed(docs, rest, weights, id_col, text_col, source_col, cycle, max_epochs, seed)
+    weights = _weights(weights, id_col)
+    sized = saved(_sized(docs, rest, weights, id_col, text_col, source_col, seed), "sizes")
+    return _taken(sized, _cuts(sized, cycle, max_epochs)).select(*rest, "size", "source_size", "target", "taken")
 
 
 def mix_documents(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
@@ -103,9 +107,11 @@ def mix_documents(docs: DataFrame, weights: DataFrame | None = None, id_col: str
     """
     added = ("size", "source_size", "target", "taken", "repeats", "first_words")
     rest = [c for c in docs.columns if c not in (text_col, *added)]
+    weights = _weights(weights, id_col)
+    cuts = _cuts(saved(_sized(docs, [], weights, id_col, text_col, source_col, seed), "sizes"), cycle, max_epochs)
     # the text travels under a name of its own, so that the decision's own columns can replace any other
-    out = _mixed(docs.withColumn("_x4_text", whole_text(text_col)), [*rest, "_x4_text"], weights, id_col, text_col,
-                 source_col, cycle, max_epochs, seed)
+    texts = docs.withColumn("_x4_text", whole_text(text_col))
+    out = _taken(_sized(texts, [*rest, "_x4_text"], weights, id_col, text_col, source_col, seed), cuts)
     size, taken = F.greatest(F.col("size"), F.lit(1)), F.col("taken")
     left = taken - F.col("repeats") * size
     return (out.withColumn("repeats", F.floor(taken / size).cast("long"))
@@ -115,35 +121,68 @@ def mix_documents(docs: DataFrame, weights: DataFrame | None = None, id_col: str
                       for c in docs.columns if c == text_col or c in rest), *added))
 
 
-def _mixed(docs: DataFrame, rest: list[str], weights: DataFrame | None, id_col: str, text_col: str, source_col: str,
-           cycle: tuple[int, ...], max_epochs: int, seed: int) -> DataFrame:
-    """The columns ``rest`` of ``docs`` with the decision."""
+def _weights(weights: DataFrame | None, id_col: str) -> DataFrame | None:
+    """The weights, written: the documents meet them twice, and every time the same ones."""
+    if weights is None:
+        return None
+    return saved(weights.select(F.col(id_col).alias("_x4_weight_id"), F.col("weight").cast("double").alias("_x4_weight")), "weights")
+
+
+def _sized(docs: DataFrame, rest: list[str], weights: DataFrame | None, id_col: str, text_col: str, source_col: str,
+           seed: int) -> DataFrame:
+    """The columns ``rest`` of ``docs`` with size, source and place in the source's order."""
     text = whole_text(text_col)
     sized = docs.select(*rest, word_count(text).alias("size"), source_key(F.col(source_col)).alias("_x4_source"),
+                        F.col(id_col).alias("_x4_id"),
                         uniform(F.coalesce(F.col(id_col).cast("string"), F.md5(text)), seed).alias("_x4_u"))
     weight = F.lit(1.0)
     if weights is not None:
-        sized = sized.join(weights.select(F.col(id_col).alias("_x4_id"), F.col("weight").alias("_x4_weight")),
-                           F.col(id_col) == F.col("_x4_id"), "left").drop("_x4_id")
-        weight = F.greatest(F.coalesce(F.col("_x4_weight").cast("double"), F.lit(0.0)), F.lit(1e-6))
+        # one weight per id: the weights grow with the documents, so they are not broadcast at any size
+        sized = sized.join(weights.hint("merge"), F.col("_x4_id") == F.col("_x4_weight_id"), "left")
+        weight = F.greatest(F.coalesce(F.col("_x4_weight"), F.lit(0.0)), F.lit(1e-6))
     # key / (1 + key) spreads exponential keys of common weights almost evenly over the ranges
-    sized = saved(sized.withColumn("_x4_key", -F.log("_x4_u") / weight)
-                  .withColumn("_x4_range", F.floor(F.col("_x4_key") / (F.col("_x4_key") + 1) * RANGES).cast("int")), "sizes")
+    return (sized.withColumn("_x4_key", -F.log("_x4_u") / weight)
+            .withColumn("_x4_range", F.floor(F.col("_x4_key") / (F.col("_x4_key") + 1) * RANGES).cast("int"))
+            .select(*rest, "size", "_x4_source", "_x4_id", "_x4_key", "_x4_range"))
+
 
+def _cuts(sized: DataFrame, cycle: tuple[int, ...], max_epochs: int) -> DataFrame:
+    """One row per source: its size, target and whole epochs, and the rows at which the rest of its budget ends.
+
+    ``_x4_cut`` is the place of those rows in the order (null: the rest takes every row once), and
+    ``_x4_share`` what each of them takes.
+    """
     totals = saved(sized.groupBy("_x4_source", "_x4_range").agg(F.sum("size").alias("_x4_sum")), "ranges")
     sources = totals.groupBy("_x4_source").agg(F.sum("_x4_sum").alias("source_size"))
-    targets = fill_targets(cyclic_weights(sources, cycle), max_epochs).drop("weight")
-
-    ranges_before = Window.partitionBy("_x4_source").orderBy("_x4_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (totals.withColumn("_x4_start", F.coalesce(F.sum("_x4_sum").over(ranges_before), F.lit(0)))
-              .join(targets, "_x4_source").drop("_x4_sum"))
-    rows_before = (Window.partitionBy("_x4_source", "_x4_range").orderBy("_x4_key", id_col, "size")
-                   .rowsBetween(Window.unboundedPreceding, -1))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     budget = F.round(F.col("target") - F.col("_x4_epochs") * F.col("source_size")).cast("long")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_x4_budget") - F.col("_x4_start") - F.col("_x4_before")))
-    return (sized.withColumn("_x4_before", F.coalesce(F.sum("size").over(rows_before), F.lit(0)))
-            .join(starts, ["_x4_source", "_x4_range"])
-            .withColumn("_x4_epochs", epochs.cast("long")).withColumn("_x4_budget", budget)
-            .select(*rest, "size", "source_size", "target",
-                    (F.col("_x4_epochs") * F.col("size") + part).cast("long").alias("taken")))
+    targets = saved(fill_targets(cyclic_weights(sources, cycle), max_epochs).drop("weight")
+                    .withColumn("_x4_epochs", epochs.cast("long")).withColumn("_x4_budget", budget), "targets")
+
+    def before(column: str, order: list[str]) -> Column:
+        rows = Window.partitionBy("_x4_source").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(column).over(rows), F.lit(0))
+
+    def ends(column: str) -> Column:
+        return (F.col("_x4_left") >= 0) & (F.col("_x4_left") < F.col(column))
+
+    last = (totals.withColumn("_x4_start", before("_x4_sum", ["_x4_range"])).join(targets, "_x4_source")
+            .withColumn("_x4_left", F.col("_x4_budget") - F.col("_x4_start")).where(ends("_x4_sum"))
+            .select("_x4_source", "_x4_range", F.col("_x4_left").alias("_x4_in_range")))
+    place = ["_x4_key", "_x4_id", "size"]
+    alike = (sized.join(saved(last, "last-ranges"), ["_x4_source", "_x4_range"])
+             .groupBy("_x4_source", "_x4_in_range", *place).agg(F.count("*").alias("_x4_n"))
+             .withColumn("_x4_words", F.col("_x4_n") * F.col("size"))
+             .withColumn("_x4_left", F.col("_x4_in_range") - before("_x4_words", place)).where(ends("_x4_words"))
+             .select("_x4_source", F.struct(*place).alias("_x4_cut"),
+                     F.floor(F.col("_x4_left") / F.col("_x4_n")).cast("long").alias("_x4_share")))
+    return saved(targets.drop("_x4_budget").join(alike, "_x4_source", "left"), "cuts")
+
+
+def _taken(sized: DataFrame, cuts: DataFrame) -> DataFrame:
+    """``sized`` with ``source_size, target, taken``. Written cuts are broadcast where their size allows it."""
+    place = F.struct("_x4_key", "_x4_id", "size")
+    part = (F.when(F.col("_x4_cut").isNull() | (place < F.col("_x4_cut")), F.col("size"))
+            .when(place == F.col("_x4_cut"), F.col("_x4_share")).otherwise(F.lit(0)))
+    return (sized.join(cuts, "_x4_source")
+            .withColumn("taken", (F.col("_x4_epochs") * F.col("size") + part).cast("long")))
