@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratus.llm.common import SPACE_CHARS, saved, whole_text
@@ -61,26 +61,35 @@ def _winner():
                           "row")).alias("win")
 
 
-def mark_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                          heavy: int = HEAVY) -> DataFrame:
-    """One row per input row: id, ``digest``, ``n_chars``, ``keep_id``, ``group_size``, ``kept``."""
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(F.translate(text, SPACE_CHARS, "").cast("binary"), 256))
+
+
+def _split(docs: DataFrame, id_col: str, text_col: str, heavy: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows' keys, the verified groups of heavy digests, and the keys of all other rows."""
     text = whole_text(text_col)
     keys = saved(docs.select(
         F.col(id_col).cast("long").alias("id"),
-        F.unhex(F.sha2(F.translate(text, SPACE_CHARS, "").cast("binary"), 256)).alias("digest"),
+        _digest(text).alias("digest"),
         F.length(text).alias("n_chars"),
         F.monotonically_increasing_id().alias("row")), "digests")
 
     candidates = heavy_candidates(keys, keys.count(), heavy)
-    groups = (keys.join(F.broadcast(candidates), "digest")
-              .groupBy("digest").agg(F.count("*").alias("size"), _winner()))
     # At most 2 * HEAVY verified rows of some 70 bytes: the bound of the broadcast.
-    winners = saved(groups, "heavy")
+    winners = saved(_groups(keys.join(F.broadcast(candidates), "digest")), "heavy")
+    return keys, winners, keys.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
+
+
+def _groups(keys: DataFrame) -> DataFrame:
+    return keys.groupBy("digest").agg(F.count("*").alias("size"), _winner())
 
-    flagged = keys.join(F.broadcast(winners), "digest", "left")
-    hot = flagged.where(F.col("size").isNotNull())
-    cold = keys.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
-    shuffled = cold.join(cold.groupBy("digest").agg(F.count("*").alias("size"), _winner()), "digest")
+
+def mark_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                          heavy: int = HEAVY) -> DataFrame:
+    """One row per input row: id, ``digest``, ``n_chars``, ``keep_id``, ``group_size``, ``kept``."""
+    keys, winners, cold = _split(docs, id_col, text_col, heavy)
+    hot = keys.join(F.broadcast(winners), "digest", "left").where(F.col("size").isNotNull())
+    shuffled = cold.join(_groups(cold), "digest")
     return (hot.select(*shuffled.columns).unionByName(shuffled).select(
         F.col("id").alias(id_col), "digest", "n_chars",
         F.bitwise_not("win.not_id").alias("keep_id"), F.col("size").alias("group_size"),
@@ -89,16 +98,23 @@ def mark_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           heavy: int = HEAVY) -> DataFrame:
-    """The rows that stay, with the columns of ``docs``; order aside, every other row is gone."""
-    text = whole_text(text_col)
-    stay = (mark_exact_duplicates(docs, id_col, text_col, heavy).where("kept")
-            .select(F.col(id_col).alias("_x9_id"), F.col("digest").alias("_x9_digest"),
-                    F.col("n_chars").alias("_x9_chars")))
-    keyed = docs.withColumns({
-        "_x9_digest": F.unhex(F.sha2(F.translate(text, SPACE_CHARS, "").cast("binary"), 256)),
-        "_x9_chars": F.length(text), "_x9_id": F.col(id_col).cast("long")})
-    on = (keyed["_x9_id"].eqNullSafe(stay["_x9_id"]) & (keyed["_x9_digest"] == stay["_x9_digest"])
-          & (keyed["_x9_chars"] == stay["_x9_chars"]))
-    return (keyed.join(stay, on, "left_semi")
-            .dropDuplicates(["_x9_id", "_x9_digest", "_x9_chars"])  # repeated rows of one id
-            .select(*docs.columns))
+    """The rows that stay, with the columns of ``docs``; order aside, every other row is gone.
+
+    Copies of heavy digests go on the map side, so of those only rows equal to a winner meet, combined
+    before they move. Every other text moves once: the join with the rows that stay and the choice among
+    repeated rows of one id share their keys.
+    """
+    _, winners, cold = _split(docs, id_col, text_col, heavy)
+    text, own = whole_text(text_col), F.col(id_col).cast("long")
+    keyed = docs.withColumns({"_x9_digest": _digest(text), "_x9_chars": F.length(text), "_x9_has_id": own.isNotNull(),
+                              "_x9_id": F.coalesce(own, F.lit(0))})
+    key = ["_x9_digest", "_x9_chars", "_x9_has_id", "_x9_id"]  # without nulls, so that the joins are plain ones
+
+    def stays(groups: DataFrame) -> DataFrame:
+        return groups.select(F.col("digest").alias(key[0]), F.col("win.n_chars").alias(key[1]), F.col("win.has_id").alias(key[2]),
+                             F.coalesce(F.bitwise_not("win.not_id"), F.lit(0)).alias(key[3]))
+
+    hot = keyed.join(F.broadcast(stays(winners)), key, "left_semi").dropDuplicates(key[:1])
+    rest = (keyed.join(F.broadcast(winners.select(F.col("digest").alias(key[0]))), key[0], "left_anti")
+            .join(stays(_groups(cold)), key, "left_semi").dropDuplicates(key))  # repeated rows of one id
+    return hot.unionByName(rest).select(*docs.columns)

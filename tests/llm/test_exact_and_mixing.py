@@ -39,6 +39,32 @@ def test_exact_dedup_repeated_rows_and_null_ids(spark):
     assert exact_dedup.drop_exact_duplicates(frame(spark, [])).count() == 0
 
 
+def test_one_id_with_most_rows_is_settled_before_the_shuffle(spark):
+    docs = spark.range(4000).selectExpr("if(id % 3 > 0, 7, id) AS doc_id", "if(id % 3 > 0, 'hot  text', 'text ' || id) AS text",
+                                        "id AS extra").unionByName(spark.sql("SELECT 9L doc_id, 'hottext' text, 0L extra"))
+    kept = exact_dedup.drop_exact_duplicates(docs)
+    rows = kept.collect()
+    assert sorted(r.doc_id for r in rows) == sorted([7, *range(0, 4000, 3)]) and kept.columns == docs.columns
+    assert [r.text for r in rows if r.doc_id == 7] == ["hot  text"]
+    nulls = spark.range(600).selectExpr("if(id % 2 = 0, null, 0L) AS doc_id", "'a' || (id % 100) AS text")
+    assert collections.Counter(r.doc_id for r in exact_dedup.drop_exact_duplicates(nulls, heavy=2).collect()) == {0: 50, None: 50}
+
+
+def test_texts_move_once(spark):
+    docs = frame(spark, ["text %d" % (i % 30) for i in range(50)])
+    weights = spark.range(50).selectExpr("id AS doc_id", "1.0 AS weight")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # nothing is small enough, as on large tables
+    try:
+        plan = exact_dedup.drop_exact_duplicates(docs)._jdf.queryExecution().executedPlan().toString()
+        # heavy rows combined, the others dealt by their key; the other two deal the groups' keys and winners
+        assert sum(" Exchange " in line for line in plan.splitlines()) == 4 and plan.count("BroadcastHashJoin") == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = mixing.mix_documents(docs, weights)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if " Exchange " in line]
+    assert len(dealt) == 2 and all("_x4_id" in d or "_x4_weight_id" in d for d in dealt) and "Window" not in plan
+
+
 def test_misra_gries_bounds():
     rng = random.Random(1)
     data = [b"hot"] * 400 + [b"%d" % rng.randrange(300) for _ in range(600)]
@@ -100,6 +126,20 @@ def test_the_mix_repeats_and_cuts_texts(spark):
     assert len(kept) < len(rows) and any(r.repeats > 1 for r in kept) and 0 < cut <= 2
 
 
+def test_equal_rows_at_the_cut_share_what_is_left(spark):
+    rows = [(5, "one two three", "a")] * 90 + [(i, "w " * (i % 6), "b" if i % 2 else "a") for i in range(100, 140)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix_sources(docs).collect()
+    taken, target = collections.Counter(), {r.source: r.target for r in out}
+    for r in out:
+        taken[r.source] += r.taken
+        assert 0 <= r.taken <= 3 * r.size
+    assert len({r.taken for r in out if r.doc_id == 5}) == 1 and len(out) == len(rows)
+    assert all(0 <= round(target[s]) - taken[s] < 90 for s in target)
+    mixed = mixing.mix_documents(docs.repartition(5))
+    assert sorted((r.doc_id, r.taken) for r in mixed.collect()) == sorted((r.doc_id, r.taken) for r in out)
+
+
 def test_heavier_documents_come_more_often(spark):
     docs = spark.range(3000).selectExpr("id AS doc_id", "'one two' AS text", "if(id < 1500, 'a', 'b') AS source")
     weights = docs.selectExpr("doc_id", "if(doc_id % 2 = 0, 1.0, 0.25) AS weight")
