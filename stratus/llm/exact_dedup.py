@@ -62,7 +62,8 @@ def _winner():
 
 
 def _digest(text: Column) -> Column:
-    return F.unhex(F.sha2(F.translate(text, SPACE_CHARS, "").cast("binary"), 256))
+    # never null, and declared so: a filter on nulls would work it out once more
+    return F.coalesce(F.unhex(F.sha2(F.translate(text, SPACE_CHARS, "").cast("binary"), 256)), F.lit(b""))
 
 
 def _split(docs: DataFrame, id_col: str, text_col: str, heavy: int) -> tuple[DataFrame, DataFrame, DataFrame]:
