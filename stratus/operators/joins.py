@@ -13,9 +13,14 @@ Join strategy policy:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratus.session import checkpoint_dir
+
 
 def band_join(df: DataFrame, deg: str, bands: DataFrame, out: str,
               lo: str = "degree_from", hi: str = "degree_to", id_col: str = "id") -> DataFrame:
@@ -126,7 +131,8 @@ LEVEL_STEP = 4
 
 
 def binned_range_join(points: DataFrame, intervals: DataFrame, point: str, low: str, high: str, width: float | None = None,
-                      by: list[str] | None = None, how: str = "inner", include_high: bool = True) -> DataFrame:
+                      by: list[str] | None = None, how: str = "inner", include_high: bool = True,
+                      totals: dict[str, tuple[Column, Callable[[str], Column]]] | None = None) -> DataFrame:
     """Points joined with the intervals ``[low, high]`` that hold them; intervals may overlap and differ in width.
 
     The axis is cut into bins, finer and coarser ones: an interval stands on the level whose bins are about as wide as
@@ -136,8 +142,16 @@ def binned_range_join(points: DataFrame, intervals: DataFrame, point: str, low:
 
     Defined results: NULL and NaN points and intervals with a NULL or NaN end, or ``low > high``, match nothing; infinite
     intervals stand in one bin of their own level. Names of the two sides must differ but for ``by``.
+
+    ``totals`` joins every interval with totals of its points instead of the points: by name, an aggregate of points and
+    the aggregate that merges such partial ones (``{"n": (F.count("id"), F.sum)}``). Then the work grows with points and
+    intervals, not with their pairs, see :func:`_range_totals`; ``width`` has no meaning.
     """
     by = list(by or [])
+    if totals is not None:
+        if how != "inner":
+            raise ValueError("totals are of the inner join")
+        return _range_totals(points, intervals, point, low, high, by, include_high, totals)
     lo, hi, x = (F.col(c).cast("double") for c in (low, high, point))
     inf = F.lit(float("inf"))
     sound = intervals.where(~F.isnan(lo) & ~F.isnan(hi) & (lo <= hi))
@@ -166,3 +180,93 @@ def binned_range_join(points: DataFrame, intervals: DataFrame, point: str, low:
     keyed = asked.withColumn("_row", F.monotonically_increasing_id()).checkpoint(eager=True)   # row numbers must not change
     found = binned_range_join(keyed, intervals, point, low, high, width, by, "inner", include_high)
     return keyed.join(found.drop(*[c for c in points.columns]), "_row", "left").drop("_row")
+
+
+#: So many cells of one level make a cell of the next one.
+CELL_STEP = 8
+
+
+def _range_totals(points: DataFrame, intervals: DataFrame, point: str, low: str, high: str, by: list[str], include_high: bool,
+                  totals: dict[str, tuple[Column, Callable[[str], Column]]]) -> DataFrame:
+    """Every interval that holds points, with totals over them, without their pairs.
+
+    Distinct points are numbered in order; bins are cells of 1, 8, 64, ... consecutive numbers, so none holds more than its
+    share however the points crowd. An interval is a run of numbers, cut into the fewest cells: at most 14 on each
+    level. So points and intervals meet in some n log n rows, and a frequent value is one row.
+    """
+    checkpoint_dir(points.sparkSession)
+    lo, hi, x = (F.col(c).cast("double") + 0.0 for c in (low, high, point))    # one zero only
+    keys = [f"_by{i}" for i in range(len(by))]
+    keyed = [F.col(c).alias(k) for c, k in zip(by, keys)]
+    known = [F.col(c).isNotNull() for c in by]
+
+    def every(conditions: list[Column]) -> Column:
+        return reduce(lambda a, b: a & b, conditions)
+
+    values = (points.where(every([x.isNotNull(), ~F.isnan(x), *known])).groupBy(*keyed, x.alias("_v"))
+              .agg(*(whole.alias(f"_p{i}") for i, (whole, _) in enumerate(totals.values()))).checkpoint(eager=True))
+    sound = (intervals.where(every([~F.isnan(lo), ~F.isnan(hi), lo <= hi, *known]))
+             .withColumns({"_id": F.monotonically_increasing_id(), "_lo": lo, "_hi": hi}).checkpoint(eager=True))   # ids must not change
+    partial = [f"_p{i}" for i in range(len(totals))]
+
+    # what an end comes after: of equal values the low end stands before the point, an included high end behind it
+    at_high = 2 if include_high else 0
+    ends = sound.select(*keyed, F.explode(F.array(F.struct(F.col("_lo").alias("_v"), F.lit(0).alias("_o")),
+                                                  F.struct(F.col("_hi").alias("_v"), F.lit(at_high).alias("_o")))).alias("_e"))
+    line = (values.withColumn("_o", F.lit(1)).unionByName(ends.select(*keys, "_e.*").distinct(), allowMissingColumns=True)
+            .repartitionByRange(*(F.col(c) for c in (*keys, "_v", "_o")))
+            .withColumn("_range", F.spark_partition_id()).checkpoint(eager=True))   # ranges come from a sample
+    is_point = F.when(F.col("_o") == 1, 1).otherwise(0)
+    sizes = line.groupBy("_range").agg(F.sum(is_point).alias("_n"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)   # one row per range
+    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    so_far = Window.partitionBy("_range").orderBy(*keys, "_v", "_o").rowsBetween(Window.unboundedPreceding, 0)
+    # the number of points before; a point has its own number
+    line = (line.join(F.broadcast(starts), "_range")
+            .withColumn("_at", (F.col("_start") + F.sum(is_point).over(so_far) - is_point).cast("long"))
+            .drop("_range", "_start").checkpoint(eager=True))
+
+    n = line.where("_o = 1").count()
+    steps, size = [1], n
+    while size > CELL_STEP:
+        steps.append(steps[-1] * CELL_STEP)
+        size = -(-size // CELL_STEP)
+    cell = F.explode(F.array(*(F.struct(F.lit(j).alias("_level"), F.floor(F.col("_at") / F.lit(s)).alias("_cell"))
+                               for j, s in enumerate(steps))))
+    cells = (line.where("_o = 1").select(*partial, cell.alias("_c")).groupBy("_c._level", "_c._cell")
+             .agg(*(merge(p).alias(p) for p, (_, merge) in zip(partial, totals.values()))))
+
+    def end(value: str, order: int, out: str) -> DataFrame:
+        return line.where(F.col("_o") == order).select(*keys, F.col("_v").alias(value), F.col("_at").alias(out))
+
+    runs = (sound.select("_id", *keyed, "_lo", "_hi").join(end("_lo", 0, "_a"), [*keys, "_lo"])
+            .join(end("_hi", at_high, "_b"), [*keys, "_hi"]).where("_a < _b"))
+    cover = runs.select("_id", F.explode(_cells_of(steps)).alias("_c")).select("_id", "_c.*")
+    found = (cover.join(cells, ["_level", "_cell"]).groupBy("_id")
+             .agg(*(merge(p).alias(name) for p, (name, (_, merge)) in zip(partial, totals.items()))))
+    return sound.drop("_lo", "_hi").join(found, "_id").drop("_id")
+
+
+def _cells_of(steps: list[int]) -> Column:
+    """The fewest cells of the given sizes that make up the run of numbers from ``_a`` to before ``_b``."""
+    none = F.array().cast("array<struct<_level:int,_cell:bigint>>")
+
+    def cells(level: int, first: Column, after: Column) -> Column:
+        return F.when(first < after, F.transform(F.sequence(first, after - 1), lambda c: F.struct(F.lit(level).alias("_level"), c.alias("_cell")))).otherwise(none)
+
+    def up(c: str, size: int) -> Column:
+        return F.ceil(F.col(c) / F.lit(size)).cast("long")
+
+    def down(c: str, size: int) -> Column:
+        return F.floor(F.col(c) / F.lit(size)).cast("long")
+
+    parts = []
+    for level, size in enumerate(steps):
+        first, after = up("_a", size), down("_b", size)
+        if level + 1 < len(steps):
+            left = F.least(up("_a", size * CELL_STEP) * CELL_STEP, after)
+            right = F.greatest(down("_b", size * CELL_STEP) * CELL_STEP, left)
+            parts += [cells(level, first, left), cells(level, right, after)]
+        else:
+            parts.append(cells(level, first, after))
+    return F.concat(*parts)

@@ -719,9 +719,10 @@ def q_range_join_binned(spark, sf):
     k = F.col("s_suppkey") % 5
     bands = S.table(spark, sf, "supplier").select("s_suppkey", (F.col("s_acctbal") * 20).alias("low"),
                                                   (F.col("s_acctbal") * 20 + F.pow(F.lit(10.0), k) * 4 + 1).alias("high"))
-    found = joins.binned_range_join(S.table(spark, sf, "orders"), bands, "o_totalprice", "low", "high")
-    return found.groupBy("s_suppkey").agg(F.count(F.lit(1)).alias("n_orders"), round2(F.sum("o_totalprice"), 2).alias("total"),
-                                          F.min("o_orderkey").alias("first_order"))
+    found = joins.binned_range_join(S.table(spark, sf, "orders"), bands, "o_totalprice", "low", "high", totals={
+        "n_orders": (F.count(F.lit(1)), F.sum), "total": (F.sum("o_totalprice"), F.sum), "first_order": (F.min("o_orderkey"), F.min)})
+    return found.groupBy("s_suppkey").agg(F.sum("n_orders").alias("n_orders"), round2(F.sum("total"), 2).alias("total"),
+                                          F.min("first_order").alias("first_order"))
 
 
 @query("checked_write")

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from stratus.operators import quarantine
+from stratus.operators import joins, quarantine
 from stratus.operators.joins import binned_range_join
 
 INF = float("inf")
@@ -52,6 +52,38 @@ def test_range_join_plan_has_no_nested_loop(spark):
     assert binned_range_join(points, intervals.drop("g").limit(0), "x", "low", "high").count() == 0
 
 
+@pytest.mark.parametrize("by, include", [(False, True), (True, True), (False, False)])
+def test_range_totals_equal_brute_force(spark, by, include):
+    points, intervals, xs, ends = tables(spark, 11)
+    points = points.unionByName(points)                                  # frequent values
+    on = ["g"] if by else []
+    if not by:
+        points, intervals = points.drop("g"), intervals.drop("g")
+    rows = binned_range_join(points, intervals, "x", "low", "high", by=on, include_high=include, totals={
+        "n": (F.count("i"), F.sum), "total": (F.sum("i"), F.sum), "first": (F.min("i"), F.min), "last": (F.max("i"), F.max)}).collect()
+    want = {}
+    for k, low, high, g in ends:
+        held = [i for i, x in xs if x is not None and low is not None and not math.isnan(x) and low <= x
+                and (x <= high if include else x < high) and (not by or g == i % 2)]
+        if held:
+            want[k] = (2 * len(held), 2 * sum(held), min(held), max(held))
+    assert {r.k: (r.n, r.total, r["first"], r["last"]) for r in rows} == want and len(rows) == len(want) > 30
+    assert binned_range_join(points.limit(0), intervals, "x", "low", "high", by=on, totals={"n": (F.count("i"), F.sum)}).count() == 0
+    with pytest.raises(ValueError):
+        binned_range_join(points, intervals, "x", "low", "high", how="left", totals={})
+
+
+def test_range_totals_form_no_pairs(spark):
+    """An interval meets some cells for each power of 8, whatever it holds; together they are its run."""
+    rng = random.Random(2)
+    runs = [(0, 5000), (1, 4999), (7, 8), (511, 513), (8, 64)] + [tuple(sorted(rng.sample(range(5001), 2))) for _ in range(200)]
+    steps = [8 ** j for j in range(5)]
+    cells = spark.createDataFrame(runs, "_a long, _b long").select("_a", "_b", joins._cells_of(steps).alias("c")).collect()
+    for r in cells:
+        assert sorted(i for c in r.c for i in range(c["_cell"] * steps[c["_level"]], (c["_cell"] + 1) * steps[c["_level"]])) == list(range(r["_a"], r["_b"]))
+        assert len(r.c) <= 14 * len(steps)
+
+
 def test_checked_write_splits_and_counts_in_one_pass(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (50, "a"), (None, None), (60, "z"), (2, "b")], "n int, s string")
     path = str(tmp_path / "t")
