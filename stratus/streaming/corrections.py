@@ -21,6 +21,9 @@ from pyspark.sql.types import StructType
 from stratus.operators.forecast import _pickle_by_value
 from stratus.streaming.ingest import TS_FORMAT, replace_batch
 
+#: Sets of places by hash. Part of the state's key: a running stream keeps its number.
+BUCKETS = 512
+
 
 def newest_versions(rows: DataFrame, version: str, loc: str = "location_name", ts: str = "measured_at") -> DataFrame:
     """The rows of each (place, day) whose version is the newest seen so far. A streaming transformation.
@@ -31,17 +34,23 @@ def newest_versions(rows: DataFrame, version: str, loc: str = "location_name", t
     never = -(1 << 62)
 
     def keep(key: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        newest = np.array(state.get[0] if state.exists else [never - 1] * 31)
-        found = pd.concat(list(frames))                     # one place's month: some hundreds of rows a version
+        places, held = state.get if state.exists else ([], b"")
+        found = pd.concat(list(frames))                     # one bucket's month
+        at = {p: i for i, p in enumerate(places)}
+        row = np.fromiter((at.setdefault(None if null else p, len(at)) for p, null in zip(found[loc], found[loc].isna())), "int64", len(found))
+        newest = np.full(31 * len(at), never - 1, "int64")
+        newest[:31 * len(places)] = np.frombuffer(held, "int64")
+        slot = row * 31 + found[ts].dt.day.to_numpy() - 1
         versions = found[version].fillna(never).to_numpy("int64")
-        day = found[ts].dt.day.to_numpy() - 1
-        np.maximum.at(newest, day, versions)
-        state.update((newest.tolist(),))
-        yield found[versions == newest[day]][[f.name for f in schema.fields]]
+        np.maximum.at(newest, slot, versions)
+        state.update((list(at), newest.tobytes()))
+        yield found[versions == newest[slot]][[f.name for f in schema.fields]]
 
     _pickle_by_value()
-    return (rows.where(F.col(ts).isNotNull()).withColumn("_month", F.date_trunc("month", ts)).groupBy(loc, "_month")
-            .applyInPandasWithState(keep, schema, "versions array<long>", "append", GroupStateTimeout.NoTimeout))
+    held = f"places array<{schema[loc].dataType.simpleString()}>, versions binary"
+    return (rows.where(F.col(ts).isNotNull()).withColumn("_month", F.date_trunc("month", ts))
+            .withColumn("_bucket", F.pmod(F.hash(loc), F.lit(BUCKETS))).groupBy("_bucket", "_month")
+            .applyInPandasWithState(keep, schema, held, "append", GroupStateTimeout.NoTimeout))
 
 
 def ingest_corrections(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str, transform,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stratus.operators import daymaps, repair
 from stratus.plans import warehouse
 from stratus.sources.config import load_cities
-from stratus.streaming import ingest_corrections, land
+from stratus.streaming import corrections, ingest_corrections, land
 from test_warehouse import CITIES, documents
 
 DAY = dt.date(2024, 1, 30)
@@ -139,3 +139,17 @@ def test_an_older_version_that_lands_late_does_not_win(spark, tmp_path):
     assert state() == [("", 2, 3), ("a", 3, 3), ("b", 2, 2)]
     ingest()                                                     # nothing new
     assert state() == [("", 2, 3), ("a", 3, 3), ("b", 2, 2)]
+
+
+def test_corrections_call_python_per_bucket_not_per_place(spark, tmp_path):
+    """Many places of one month: the groups of the state are buckets, and the newest version still wins by place and day."""
+    base = str(tmp_path)
+    schema = "location_name string, measured_at timestamp_ntz, temperature_2m double, version long"
+    places = [None] + [f"p{k}" for k in range(1500)]
+    for version, named in ((1, places), (3, places[::2]), (None, places[:9]), (2, places[::3])):
+        rows = [(p, dt.datetime(2024, 1, day, 5), 0.5, version) for p in named for day in ((1, 31) if version == 1 else (31,))]
+        land(spark.createDataFrame(rows, schema).coalesce(1), f"{base}/landing")
+    ingest_corrections(spark, f"{base}/landing", spark.createDataFrame([], schema).schema, f"{base}/stage", f"{base}/_cp", lambda b: b, max_files=1)
+    got = {(r.location_name, r.measured_at.day): r.version for r in spark.read.parquet(f"{base}/stage").collect()}
+    assert got == {(p, 1): 1 for p in places} | {(p, 31): 3 if i % 2 == 0 else 2 if i % 3 == 0 else 1 for i, p in enumerate(places)}
+    assert spark.read.format("statestore").load(f"{base}/_cp").count() <= corrections.BUCKETS < len(places)
