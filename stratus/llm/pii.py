@@ -16,21 +16,20 @@ a logistic span classifier on votes, kind and length. Candidates it accepts that
 base span are added: social security numbers, accounts and names under
 their own kind, invalid matches of the base patterns as *suspect*.
 
-Both fits run on counts of vote patterns (at most 7 kinds x 3^5 votes x 4 lengths), which
-cover all candidates of the table: every step is an aggregate, only parameters reach the
-driver. All native columns, no Python on the executors. Defined results: a null or empty
+Both fits run on counts of vote patterns, which cover all candidates of the table: one
+aggregate whose result, at most 7 kinds x 3^5 votes x 4 lengths, the driver holds and fits. A
+Spark job for each round of the fits would leave its plan and compiled code in the driver. All
+native columns, no Python on the executors. Defined results: a null or empty
 text has no spans; null and repeated ids keep their rows; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import math
-from functools import reduce
-
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratus.llm.common import discard, saved, whole_text
+from stratus.llm.common import saved, whole_text
 from stratus.llm.spans import described, overlaps, with_spans
 
 BASE = ("email", "ip", "card", "phone")
@@ -142,65 +141,55 @@ def _length_bin(hit: Column) -> Column:
     return F.least(F.floor(F.length(hit) / 8).cast("int"), F.lit(3))
 
 
-def _vote_at(j: int) -> Column:
-    return F.element_at("votes", j + 1)
+#: A row of the pattern table: kind, votes, length and the number of such candidates.
+Pattern = tuple[str, tuple[int, ...], int, int]
 
 
-def reliabilities(patterns: DataFrame, rounds: int = 12) -> tuple[dict[str, float], list[dict[bool, dict[int, float]]]]:
-    """EM over ``kind, votes, n``: each kind's share of true candidates, and for every labeler
-    P(vote | true) and P(vote | false)."""
-    kinds = BASE + ADDED
-    total = F.aggregate("votes", F.lit(0), lambda acc, v: acc + v)
-    truth = 1 / (1 + F.exp(-1.5 * total.cast("double")))  # to begin with, the majority's voice
-    for _ in range(rounds):
-        sums = [F.sum(F.when(F.col("kind") == k, F.col("n") * w)).alias(f"{name}_{k}")
-                for k in kinds for name, w in (("true", truth), ("all", F.lit(1.0)))]
-        sums += [F.sum(F.when(_vote_at(j) == v, F.col("n") * w)).alias(f"{side}_{j}_{v}")
-                 for j in range(len(LABELERS)) for v in (-1, 0, 1) for side, w in (("t", truth), ("f", 1 - truth))]
-        row = patterns.agg(*sums).first()
-        prior = {k: ((row[f"true_{k}"] or 0.0) + 1) / ((row[f"all_{k}"] or 0.0) + 2) for k in kinds}
-        table = []
-        for j in range(len(LABELERS)):
-            both = {}
-            for side, flag in (("t", True), ("f", False)):
-                counts = {v: (row[f"{side}_{j}_{v}"] or 0.0) + 1 for v in (-1, 0, 1)}
-                both[flag] = {v: c / sum(counts.values()) for v, c in counts.items()}
-            table.append(both)
-        truth = _posterior(prior, table)
-    return prior, table
+def _columns(patterns: list[Pattern]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Kinds by number, votes (a column for each labeler), lengths and counts."""
+    kinds = np.array([(BASE + ADDED).index(p[0]) for p in patterns], int)
+    votes = np.array([p[1] for p in patterns], int).reshape(len(patterns), len(LABELERS))
+    return kinds, votes, np.array([p[2] for p in patterns], int), np.array([p[3] for p in patterns], float)
 
 
-def _posterior(prior: dict[str, float], table: list[dict[bool, dict[int, float]]]) -> Column:
-    odds = _choose(F.col("kind"), {k: math.log(p / (1 - p)) for k, p in prior.items()})
-    for j, both in enumerate(table):
-        odds = odds + _choose(_vote_at(j), {v: math.log(both[True][v] / both[False][v]) for v in (-1, 0, 1)})
-    return 1 / (1 + F.exp(-odds))
+def reliabilities(patterns: list[Pattern], rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
+    """EM over the counts: each kind's share of true candidates, and for every labeler and vote (-1, 0, 1)
+    P(vote | true) and P(vote | false), of shape (2, labelers, 3)."""
+    kinds, votes, _, n = _columns(patterns)
+    cast = votes[:, :, None] == np.array([-1, 0, 1])
+    truth = _logistic(1.5 * votes.sum(1))  # to begin with, the majority's voice
+    for _ in range(rounds):
+        prior = (np.bincount(kinds, n * truth, len(BASE + ADDED)) + 1) / (np.bincount(kinds, n, len(BASE + ADDED)) + 2)
+        table = np.stack([np.tensordot(n * side, cast, 1) + 1 for side in (truth, 1 - truth)])
+        table /= table.sum(2, keepdims=True)
+        truth = posterior(patterns, prior, table)
+    return prior, table
 
 
-def _choose(key: Column, values: dict) -> Column:
-    return reduce(lambda out, kv: F.when(key == kv[0], kv[1]).otherwise(out), values.items(), F.lit(0.0))
+def posterior(patterns: list[Pattern], prior: np.ndarray, table: np.ndarray) -> np.ndarray:
+    kinds, votes, _, _ = _columns(patterns)
+    says = np.log(table[0] / table[1])
+    return _logistic(np.log(prior / (1 - prior))[kinds] + says[np.arange(len(LABELERS)), votes + 1].sum(1))
 
 
-def _features() -> list[Column]:
-    """Indicator features of a pattern row: a constant, votes, kinds, lengths."""
-    flags = [F.lit(True)] + [_vote_at(j) == v for j in range(len(LABELERS)) for v in (-1, 1)]
-    flags += [F.col("kind") == k for k in BASE + ADDED] + [F.col("length") == b for b in range(4)]
-    return [f.cast("double") for f in flags]
+def _logistic(odds: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-odds))
 
 
-def _score(weights: list[float]) -> Column:
-    return 1 / (1 + F.exp(-sum((f * w for f, w in zip(_features(), weights)), F.lit(0.0))))
+def _features(patterns: list[Pattern]) -> np.ndarray:
+    """Indicator features of pattern rows: a constant, votes, kinds, lengths."""
+    kinds, votes, lengths, _ = _columns(patterns)
+    flags = [np.ones(len(patterns), bool)] + [votes[:, j] == v for j in range(len(LABELERS)) for v in (-1, 1)]
+    flags += [kinds == k for k in range(len(BASE + ADDED))] + [lengths == b for b in range(4)]
+    return np.stack(flags, 1).astype(float)
 
 
-def span_classifier(patterns: DataFrame, rounds: int = 25, step: float = 1.0) -> list[float]:
+def span_classifier(patterns: list[Pattern], truth: np.ndarray, rounds: int = 25, step: float = 1.0) -> np.ndarray:
     """Logistic regression of the posteriors ``truth`` on the features, by gradient descent over counts."""
-    weights = [0.0] * len(_features())
-    for _ in range(rounds):
-        miss = F.col("n") * (F.col("truth") - _score(weights))
-        row = patterns.agg(F.sum("n").alias("n"), *(F.sum(miss * f).alias(f"g{i}") for i, f in enumerate(_features()))).first()
-        if not row["n"]:
-            break
-        weights = [w * 0.999 + step * row[f"g{i}"] / row["n"] for i, w in enumerate(weights)]
+    flags, n = _features(patterns), _columns(patterns)[3]
+    weights = np.zeros(flags.shape[1])
+    for _ in range(rounds if n.sum() else 0):
+        weights = weights * 0.999 + step * (n * (truth - _logistic(flags @ weights))) @ flags / n.sum()
     return weights
 
 
@@ -217,13 +206,11 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     seen = found.select(F.explode(F.concat(*_PATTERNS)).alias("c")).select(
         "c.kind", "c.votes", _length_bin(F.col("c.hit")).alias("length"))
-    patterns = saved(seen.groupBy("kind", "votes", "length").agg(F.count("*").alias("n")).coalesce(1), "vote-patterns")
-    prior, table = reliabilities(patterns)
-    soft = saved(patterns.withColumn("truth", _posterior(prior, table)), "soft-labels")
-    weights = span_classifier(soft)
-    # the accepted patterns: a subset of the bounded pattern table
-    accepted = [(r.kind, list(r.votes), r.length) for r in soft.where(_score(weights) >= 0.5).collect()]
-    discard(patterns, soft)
+    # the counts of vote patterns: bounded, whatever the table
+    counted = seen.groupBy("kind", "votes", "length").agg(F.count("*").alias("n")).collect()
+    patterns = sorted((r.kind, tuple(r.votes), r.length, r.n) for r in counted)
+    weights = span_classifier(patterns, posterior(patterns, *reliabilities(patterns)))
+    accepted = [p[:3] for p, score in zip(patterns, _logistic(_features(patterns) @ weights)) if score >= 0.5]
     return _result(found, accepted, id_col)
 
 
