@@ -695,15 +695,16 @@ def q_stream_corrections(spark, sf):
     base = scratch_path(spark, "stream-corrections")
     ev = S.table(spark, sf, "events")
     even, third = F.col("user_id") % 2 == 0, F.col("user_id") % 3 == 0
+    files = ev.rdd.getNumPartitions()   # of a landing, which are one micro-batch
     for version, rows in ((1, ev), (3, ev.where(even)), (2, ev.where(even | third))):
-        land(rows.withColumn("version", F.lit(version)).coalesce(1), f"{base}/landing")
+        land(rows.withColumn("version", F.lit(version)).repartition(files), f"{base}/landing")
 
     def transform(b):
         shifted = b.withColumn("value", F.col("value") + 10 * (F.col("version") - 1))
         return S.events_as_stage(shifted, "version").select(*STREAM_COLS, "version")
 
     ingest_corrections(spark, f"{base}/landing", ev.schema.add("version", "long"), f"{base}/stage", f"{base}/_checkpoint",
-                       transform, max_files=1)
+                       transform, max_files=files)
     return spark.read.parquet(f"{base}/stage").select(*STREAM_COLS, "version")
 
 

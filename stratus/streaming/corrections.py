@@ -37,7 +37,8 @@ def newest_versions(rows: DataFrame, version: str, loc: str = "location_name", t
         places, held = state.get if state.exists else ([], b"")
         found = pd.concat(list(frames))                     # one bucket's month
         at = {p: i for i, p in enumerate(places)}
-        row = np.fromiter((at.setdefault(None if null else p, len(at)) for p, null in zip(found[loc], found[loc].isna())), "int64", len(found))
+        codes, names = pd.factorize(found[loc])             # -1: no place, the last of the rows
+        row = np.array([at.setdefault(p, len(at)) for p in [*names, *([None] if (codes < 0).any() else [])]])[codes]
         newest = np.full(31 * len(at), never - 1, "int64")
         newest[:31 * len(places)] = np.frombuffer(held, "int64")
         slot = row * 31 + found[ts].dt.day.to_numpy() - 1
