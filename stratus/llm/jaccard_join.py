@@ -12,9 +12,10 @@ or more, and gives every document the smallest id it reaches through links.
    a third of them stays untouched even at the threshold, and small sets are dealt
    ``families`` times, so that the chance to miss a link just at the threshold is at most 1.6e-9
    (sets of 9 and 11 tokens at 80 percent), and vanishes above it.
-3. Groups. The nodes of a seed's bucket are similar sets about a leader ``L``, the node
-   that stands in most buckets. Every member is compared with the leader; linked members get one
-   component label.
+3. Groups. The nodes of a seed's bucket are similar sets about a leader ``L``. The first node of a bucket is
+   the one that stands in most buckets; ``L`` is the first of the firsts of that node's own buckets, so that buckets
+   of one passage have one leader, who needn't be in all of them. Every member is compared with the leader; linked
+   members get one component label.
 4. Token-group matrix. Members that are not linked to their leader are *open* and may be linked to others of
    its group. Tokens in which a member and the leader differ are *apart*; ``x, y`` share exactly
    ``|L| - |lacking x| - |lacking y| + |apart x & apart y|`` tokens. The members are parted, similar ones
@@ -247,12 +248,16 @@ def _stars(seeds: DataFrame) -> DataFrame:
                     .where("first < last").select("sign"), "buckets")
     placed = saved(seeds.join(buckets, "sign").select("sign", "node"), "placed")
     degrees = placed.groupBy("node").agg(F.count("*").alias("degree"))
-    leads = saved(placed.join(degrees, "node").groupBy("sign").agg(
-        F.max(F.struct("degree", (-F.col("node")).alias("neg"))).alias("top"))
-        .select("sign", (-F.col("top.neg")).alias("v")), "leads")
+    tops = saved(placed.join(degrees, "node").groupBy("sign").agg(
+        F.max(F.struct("degree", (-F.col("node")).alias("neg"))).alias("top")), "tops")
+    firsts = tops.select("sign", (-F.col("top.neg")).alias("node"))
+    # only the first nodes' own rows are joined, and a node is first in no more buckets than it has signatures
+    best = (placed.join(firsts.select("node").distinct().hint("merge"), "node").join(tops.hint("merge"), "sign")
+            .groupBy("node").agg(F.max("top").alias("best")))
+    leads = saved(firsts.join(best.hint("merge"), "node").select("sign", (-F.col("best.neg")).alias("v")), "leads")
     stars = saved(placed.withColumnRenamed("node", "u").join(leads, "sign").where("u <> v").select("u", "v").distinct(),
                   "stars")
-    discard(buckets, placed, leads)
+    discard(buckets, placed, tops, leads)
     return stars
 
 

@@ -170,3 +170,29 @@ def test_a_passage_in_all_documents_opens_no_more_than_rows(spark, monkeypatch,
         assert len({r.component_id for r in rows}) == (1 if 100 * both >= 80 * union else size)
         most[size] = max(n for name, n in made if name in ("stars", "compared", "groups", "label-links"))
     assert most[1600] <= 5 * max(most[400], 1)
+
+
+@pytest.mark.parametrize("size", [400, 1600])
+def test_buckets_of_one_passage_have_one_leader(spark, size):
+    """Nodes of many shared buckets: every one is compared with one leader, not with one for each bucket's first node."""
+    passage = " ".join("common%d" % i for i in range(60))
+    rows = []
+    for k in range(size):
+        text = passage + " " + " ".join("own%d_%d" % (k, i) for i in range(9))
+        rows += [(int(sign), k) for sign in jaccard_join.signatures(jaccard_join.shingles(text.encode(), 5), 80)]
+    stars = jaccard_join._stars(spark.createDataFrame(rows, "sign long, node long")).collect()
+    assert len(stars) == size - 1 and len({r.v for r in stars}) == 1
+
+
+def test_all_nodes_of_a_bucket_have_one_leader(spark):
+    """Chains of buckets: the nodes of a bucket share a leader, or one of them is the leader of the rest."""
+    rng = random.Random(4)
+    rows = sorted({(rng.randrange(60), rng.randrange(80)) for _ in range(200)})
+    stars = jaccard_join._stars(spark.createDataFrame(rows, "sign long, node long")).collect()
+    leaders = {}
+    for r in stars:
+        leaders.setdefault(r.u, set()).add(r.v)
+    for sign in range(60):
+        nodes = [n for s, n in rows if s == sign]
+        if len(nodes) > 1:
+            assert set.intersection(*({n} | leaders.get(n, set()) for n in nodes))
