@@ -216,10 +216,14 @@ def linked_labels(query: Group, group: Group, top: int, percent: int) -> np.ndar
 
 def _opened(compared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """``u, v``: pairs of component labels that links within the leaders' groups join."""
-    unsettled = compared.groupBy("v").agg(F.count("*").alias("n"), F.max(~F.col("linked")).alias("open")).where("open").drop("open")
+    # saved, so that the join with it can be split on a leader of many members
+    unsettled = saved(compared.groupBy("v").agg(F.count("*").alias("n"), F.max(~F.col("linked")).alias("open"))
+                      .where("open").drop("open"), "unsettled")
     members = compared.join(unsettled, "v").join(labels.withColumnRenamed("node", "u"), "u", "left").select(
         "v", (~F.col("linked")).alias("open"), "u", "size", "top", "lacking", "apart", F.coalesce("label", "u").alias("label"),
         F.pmod(F.xxhash64("u"), F.ceil(F.col("n") / ORDERED)).alias("salt"), F.array_min("apart").alias("least"))
+    # dealt by the salt too: the window would take rows already dealt by ``v`` as they are, all of a leader in one task
+    members = members.repartition("v", "open", "salt")
     so_far = (Window.partitionBy("v", "open", "salt").orderBy("least", "u").rowsBetween(Window.unboundedPreceding, -1))
     cost = F.sum(F.size("apart") + 64).over(so_far)
     groups = saved(members.withColumn("block", F.floor(F.coalesce(cost, F.lit(0)) / GROUP))
@@ -238,7 +242,7 @@ def _opened(compared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
                 yield pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["u", "v"])
 
     out = saved(pairs.mapInArrow(step, "u long, v long").distinct(), "label-links")
-    discard(groups)
+    discard(unsettled, groups)
     return out
 
 

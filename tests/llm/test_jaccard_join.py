@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from llm.helpers import frame
 from stratus.llm import jaccard_join
@@ -172,6 +173,35 @@ def test_a_passage_in_all_documents_opens_no_more_than_rows(spark, monkeypatch,
     assert most[1600] <= 5 * max(most[400], 1)
 
 
+def test_members_of_one_leader_are_dealt_to_several_tasks(spark, monkeypatch):
+    """One passage everywhere, so one leader: its members meet in one task no more than ``ORDERED`` at a time."""
+    tasks = []
+    keep = jaccard_join.saved
+
+    def dealt(df, name, **options):
+        if name == "groups":
+            salts = df.groupBy(F.spark_partition_id().alias("task"), "v").agg(F.countDistinct("open", "salt").alias("n"))
+            tasks.extend(salts.collect())
+        return keep(df, name, **options)
+
+    monkeypatch.setattr(jaccard_join, "saved", dealt)
+    monkeypatch.setattr(jaccard_join, "ORDERED", 20)
+    passage = " ".join("common%d" % i for i in range(60))
+    texts = [passage + " " + " ".join("own%d_%d" % (k, i) for i in range(9)) for k in range(400)]
+    # the members are dealt by their leader for the first join, labels are few enough to be broadcast
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "6k"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = jaccard_join.jaccard_components(frame(spark, texts), 5, 80).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len({r.component_id for r in rows}) == 400
+    assert len({r.v for r in tasks}) == 1 and len(tasks) > 1 and sum(r.n for r in tasks) >= 20
+
+
 @pytest.mark.parametrize("size", [400, 1600])
 def test_buckets_of_one_passage_have_one_leader(spark, size):
     """Nodes of many shared buckets: every one is compared with one leader, not with one for each bucket's first node."""
