@@ -23,8 +23,9 @@ or more, and gives every document the smallest id it reaches through links.
    Open members query the groups: the overlap with a group's union bounds the overlap with each of its members, and only
    groups that some query may be linked to are opened. In an opened group all overlaps come from
    one product of 0/1 matrices over the tokens that both sides hold, so they are exact and no pair
-   of members becomes a row. Pairs with one component label are left out, and of the links found one
-   for each pair of labels goes on.
+   of members becomes a row. Groups travel in tiles of some ``TILE`` apart tokens, once for each pair of tiles; a leader of
+   no more than a tile, so most of them, has one for all. Members linked to the leader go by its name, and of the links found
+   in a pair of tiles those of a spanning forest go on.
 
 Every link comes from an exact comparison of the two sets. Words are parted by the space and
 09-0D and A-Z is lower-cased; a text of fewer than ``n`` words is one n-gram.
@@ -38,12 +39,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratus.llm import repeats, winnow
@@ -54,6 +56,8 @@ from stratus.llm.components import components
 PARTS = 96
 #: Apart tokens of a group of the matrix (a member counts as 64 more); a group is one row.
 GROUP = 1 << 16
+#: Apart tokens (and 64 for a member) of a tile, the groups that travel together. A task holds two tiles at a time.
+TILE = 1 << 20
 #: Members of a leader that are put in order together before they are cut into groups.
 ORDERED = 1 << 15
 #: About the chance to miss a link at the threshold: families are added until an estimate is below this.
@@ -136,27 +140,30 @@ def apart_tokens(member: np.ndarray, leader: np.ndarray, percent: int) -> tuple[
 
 def _compared(stars: DataFrame, bodies: DataFrame, n: int, percent: int) -> DataFrame:
     """Members ``u`` and leaders ``v`` compared by their whole sets: ``linked``, the sizes ``size, top`` of member and
-    leader, ``lacking``, and the tokens ``apart``."""
+    leader, ``lacking``, and the tokens ``apart``. ``salt``: the members are dealt into ``salts`` shares of some ``ORDERED``."""
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdDecompressor()
         for batch in batches:
             facts, apart = [], []
-            for x, y in zip(batch.column(2), batch.column(3)):
+            for x, y in zip(batch.column(4), batch.column(5)):
                 member, leader = (shingles(z.decompress(t.as_py()), n) for t in (x, y))
                 linked, lacking, tokens = apart_tokens(member, leader, percent)
                 facts.append((linked, len(member), len(leader), lacking))
                 apart.append(tokens.view(np.int64))
             ends = np.cumsum([0, *map(len, apart)], dtype=np.int32)
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([f[0] for f in facts], pa.bool_()),
+            yield pa.record_batch([*batch.columns[:4], pa.array([f[0] for f in facts], pa.bool_()),
                                    *(pa.array([f[k] for f in facts], pa.int64()) for k in (1, 2, 3)),
                                    pa.ListArray.from_arrays(ends, np.concatenate([*apart, np.zeros(0, np.int64)]))],
-                                  names=["u", "v", "linked", "size", "top", "lacking", "apart"])
+                                  names=["u", "v", "salt", "salts", "linked", "size", "top", "lacking", "apart"])
 
     def body(name: str) -> DataFrame:
         return bodies.select(F.col("doc").alias(name), F.col("body").alias(f"{name}_body"))
 
-    return (stars.join(body("u"), "u").join(body("v"), "v").select("u", "v", "u_body", "v_body")
-            .mapInArrow(step, "u long, v long, linked boolean, size long, top long, lacking long, apart array<long>"))
+    salts = stars.groupBy("v").agg(F.ceil(F.count("*") / ORDERED).alias("salts"))
+    dealt = stars.join(salts, "v").withColumn("salt", F.pmod(F.xxhash64("u"), "salts"))
+    return (dealt.join(body("u"), "u").join(body("v"), "v").select("u", "v", "salt", "salts", "u_body", "v_body")
+            .mapInArrow(step, "u long, v long, salt long, salts long, linked boolean, size long, top long, lacking long, "
+                              "apart array<long>"))
 
 
 class Group:
@@ -169,6 +176,10 @@ class Group:
         self.tokens = lists.flatten().to_numpy()
         self.owner = np.repeat(np.arange(len(rows)), np.diff(lists.offsets.to_numpy()))
 
+    @cached_property
+    def union(self) -> np.ndarray:
+        return np.unique(self.tokens)
+
     def only(self, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The tokens of the members to keep, and their owners."""
         some = keep[self.owner]
@@ -185,7 +196,7 @@ def linked_labels(query: Group, group: Group, top: int, percent: int) -> np.ndar
     if len(query.label) == 0 or query.label.min() == query.label.max() == group.label.min() == group.label.max():
         return none
     # the bound by the group's union
-    union = np.unique(group.tokens)
+    union = group.union
     met = np.isin(query.tokens, union)
     met = np.bincount(query.owner[met], minlength=len(query.label))
     most = top - query.lacking - group.lacking.min() + met
@@ -214,43 +225,95 @@ def linked_labels(query: Group, group: Group, top: int, percent: int) -> np.ndar
     return np.unique(np.sort(labels, axis=1), axis=0)
 
 
-def _opened(compared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """``u, v``: pairs of component labels that links within the leaders' groups join."""
-    # saved, so that the join with it can be split on a leader of many members
-    unsettled = saved(compared.groupBy("v").agg(F.count("*").alias("n"), F.max(~F.col("linked")).alias("open"))
-                      .where("open").drop("open"), "unsettled")
-    members = compared.join(unsettled, "v").join(labels.withColumnRenamed("node", "u"), "u", "left").select(
-        "v", (~F.col("linked")).alias("open"), "u", "size", "top", "lacking", "apart", F.coalesce("label", "u").alias("label"),
-        F.pmod(F.xxhash64("u"), F.ceil(F.col("n") / ORDERED)).alias("salt"), F.array_min("apart").alias("least"))
-    # dealt by the salt too: the window would take rows already dealt by ``v`` as they are, all of a leader in one task
-    members = members.repartition("v", "open", "salt")
-    so_far = (Window.partitionBy("v", "open", "salt").orderBy("least", "u").rowsBetween(Window.unboundedPreceding, -1))
-    cost = F.sum(F.size("apart") + 64).over(so_far)
-    groups = saved(members.withColumn("block", F.floor(F.coalesce(cost, F.lit(0)) / GROUP))
-                   .groupBy("v", "open", "salt", "block")
-                   .agg(F.max("top").alias("top"), F.collect_list(F.struct("label", "size", "lacking", "apart")).alias("members"))
-                   .withColumn("place", F.struct("open", "salt", "block")), "groups")
-    asking = groups.where("open").select("v", "top", F.col("place").alias("asks"))
-    asked = asking.join(groups.select("v", "place"), "v").where("NOT place.open OR place >= asks")
-    pairs = (asked.join(groups.select("v", F.col("place").alias("asks"), F.col("members").alias("query")), ["v", "asks"])
-             .join(groups.select("v", "place", "members"), ["v", "place"]).select("top", "query", "members"))
+def forest(links: np.ndarray) -> np.ndarray:
+    """Links (two columns) that join what the given ones join: each name but the least of a component, and the least."""
+    names, at = np.unique(links, return_inverse=True)
+    x, y = at.reshape(-1, 2).T
+    root, before = np.arange(len(names)), None
+    while before is None or (root != before).any():
+        before = root.copy()
+        low = np.minimum(root[x], root[y])
+        for side in (x, y):
+            np.minimum.at(root, before[side], low)
+        root = root[root]
+    return np.stack([names, names[root]], axis=1)[root != np.arange(len(names))]
+
+
+def _groups(compared: DataFrame) -> DataFrame:
+    """The groups of the matrix, of leaders with open members, as ``v, open, salt, block``: the leader's size ``top``,
+    ``members``, the ``tile``, and the ``pairs`` of tiles that the group is wanted in.
+
+    The members of a tile are open ones or not. Wanted are the pairs ``one, two`` of an open tile with itself, with later
+    open ones and with all others. A leader of no more than a tile has the pair ``0, 0`` for all of its groups.
+    """
+    cost = F.col("size") - F.col("top") + 2 * F.col("lacking") + 64  # apart tokens by number
+
+    def tiles(kind: Column) -> Column:
+        return F.coalesce(F.floor(F.sum(F.when(kind, cost)) / F.max("salts") / TILE) + 1, F.lit(0))
+
+    unsettled = (compared.groupBy("v").agg(F.max("salts").alias("salts"), (F.sum(cost) <= TILE).alias("whole"),
+                                           tiles(~F.col("linked")).alias("open_tiles"), tiles(F.col("linked")).alias("tiles"))
+                 .where("open_tiles > 0").withColumn("salt", F.expr("explode(sequence(0L, salts - 1))")))
+    # joined by the salt too, so that a leader's members needn't meet in one task; the windows take the same deal
+    members = (compared.drop("salts").join(unsettled.hint("merge"), ["v", "salt"])
+               .withColumn("open", ~F.col("linked")).withColumn("least", F.array_min("apart")))
+    so_far = Window.partitionBy("v", "salt", "open").orderBy("least", "u").rowsBetween(Window.unboundedPreceding, -1)
+    groups = (members.withColumn("before", F.coalesce(F.sum(cost).over(so_far), F.lit(0)))
+              .groupBy("v", "salt", "open", F.floor(F.col("before") / GROUP).alias("block"))
+              .agg(*(F.max(c).alias(c) for c in ("top", "salts", "whole", "open_tiles", "tiles")),
+                   F.floor(F.min("before") / TILE).alias("nth"),
+                   F.collect_list(F.struct(F.expr("if(open, u, v)").alias("label"), "size", "lacking", "apart")).alias("members")))
+    # what a salt holds beyond its share goes to its last tile
+    return saved(groups.withColumn("asking", F.expr("salts * open_tiles"))
+                 .withColumn("tile", F.expr("if(open, salt * open_tiles + least(nth, open_tiles - 1), "
+                                            "asking + salt * tiles + least(nth, tiles - 1))"))
+                 .withColumn("pairs", F.expr("""if(whole, array(struct(0L AS one, 0L AS two)), concat(
+                     transform(sequence(0L, least(tile, asking - 1)), x -> struct(x AS one, tile AS two)),
+                     transform(filter(sequence(0L, asking + salts * tiles - 1), x -> tile < asking AND x > tile),
+                               x -> struct(tile AS one, x AS two))))"""))
+                 .select("v", "open", "salt", "block", "top", "tile", "members", "pairs"), "groups")
+
+
+def _label_links(groups: DataFrame, percent: int) -> DataFrame:
+    """``u, v``: links within the leaders' groups, as many as join what they join. Members linked to ``v`` are called ``v``."""
+    dealt = (groups.withColumn("pair", F.explode("pairs"))
+             .select("v", "pair.one", "pair.two", "open", "tile", "top", "members")
+             .repartition("v", "one", "two").sortWithinPartitions("v", "one", "two"))
+
+    def links(key: tuple, held: list[tuple]) -> pa.RecordBatch:
+        _, one, two = key
+        found = [np.zeros((0, 2), np.int64)]
+        for i, (is_open, tile, top, query) in enumerate(held):
+            if is_open and (one == two or tile == one):
+                for j, (other, place, _, group) in enumerate(held):
+                    # within a tile two open groups meet once
+                    if (j >= i or not other) if one == two else place == two:
+                        found.append(linked_labels(query, group, top, percent))
+        some = forest(np.concatenate(found))
+        return pa.record_batch([pa.array(some[:, 0]), pa.array(some[:, 1])], names=["u", "v"])
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
         for batch in batches:
-            for top, query, members in zip(*batch.columns):
-                found = linked_labels(Group(query), Group(members), top.as_py(), percent)
-                yield pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["u", "v"])
+            for *now, is_open, tile, top, members in zip(*batch.columns):
+                now = tuple(k.as_py() for k in now)
+                if now != key and held:
+                    yield links(key, held)
+                    held = []
+                key = now
+                held.append((is_open.as_py(), tile.as_py(), top.as_py(), Group(members)))
+        if held:
+            yield links(key, held)
 
-    out = saved(pairs.mapInArrow(step, "u long, v long").distinct(), "label-links")
-    discard(unsettled, groups)
-    return out
+    return saved(dealt.mapInArrow(step, "u long, v long").distinct(), "label-links")
 
 
-def _stars(seeds: DataFrame) -> DataFrame:
-    """``u, v``: the members and leaders of all groups, given as ``sign, node``."""
+def _stars(seeds: DataFrame, *read: DataFrame) -> DataFrame:
+    """``u, v``: the members and leaders of all groups, given as ``sign, node``. ``read`` is what goes once they are read."""
     buckets = saved(seeds.groupBy("sign").agg(F.min("node").alias("first"), F.max("node").alias("last"))
                     .where("first < last").select("sign"), "buckets")
     placed = saved(seeds.join(buckets, "sign").select("sign", "node"), "placed")
+    discard(buckets, *read)
     degrees = placed.groupBy("node").agg(F.count("*").alias("degree"))
     tops = saved(placed.join(degrees, "node").groupBy("sign").agg(
         F.max(F.struct("degree", (-F.col("node")).alias("neg"))).alias("top")), "tops")
@@ -261,7 +324,7 @@ def _stars(seeds: DataFrame) -> DataFrame:
     leads = saved(firsts.join(best.hint("merge"), "node").select("sign", (-F.col("best.neg")).alias("v")), "leads")
     stars = saved(placed.withColumnRenamed("node", "u").join(leads, "sign").where("u <> v").select("u", "v").distinct(),
                   "stars")
-    discard(buckets, placed, tops, leads)
+    discard(placed, tops, leads)
     return stars
 
 
@@ -275,9 +338,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
                   .agg(F.min("doc").alias("node"), F.any_value("signs").alias("signs")), "nodes")
     discard(full)
 
-    stars = _stars(nodes.select(F.explode("signs").alias("sign"), "node"))
     names = saved(nodes.drop("signs"), "node-names")
-    discard(nodes)
+    stars = _stars(nodes.select(F.explode("signs").alias("sign"), "node"), nodes)
 
     wanted = stars.select(F.col("u").alias("wanted")).union(stars.select("v")).distinct()
     # the list of nodes grows with the input: never broadcast it
@@ -285,12 +347,13 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
                    .select("doc", "body"), "bodies")
     compared = saved(_compared(stars, bodies, n, percent), "compared")
     discard(stars, bodies)
-    labels = saved(components(compared.where("linked").select("u", "v")).withColumnRenamed("component", "label"), "labels")
-    joined = saved(components(_opened(compared, labels, percent)).withColumnRenamed("node", "label"), "joined")
+    straight = saved(compared.where("linked").select("u", "v"), "leader-links")
+    groups = _groups(compared)
     discard(compared)
-    # the labels' own components; a node without links is its own label
-    final = (names.select("node").distinct().join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-             .join(joined, "label", "left").select("node", F.coalesce("component", "label").alias("component")))
+    links = _label_links(groups, percent)
+    discard(groups)
+    final = saved(components(straight.union(links)), "components")
+    discard(straight, links)
 
     own = names.join(final, "node", "left").select(
         F.col("set1").alias("_1"), F.col("set2").alias("_2"), F.coalesce("component", "node").alias("component"))

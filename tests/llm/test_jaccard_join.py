@@ -1,6 +1,7 @@
 """The n-gram Jaccard join against brute force."""
 
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from llm.helpers import frame
 from stratus.llm import jaccard_join
+from stratus.llm.common import saved
 from stratus.llm.components import components
 
 
@@ -226,3 +228,66 @@ def test_all_nodes_of_a_bucket_have_one_leader(spark):
         nodes = [n for s, n in rows if s == sign]
         if len(nodes) > 1:
             assert set.intersection(*({n} | leaders.get(n, set()) for n in nodes))
+
+
+def test_components_over_many_tiles_equal_brute_force(spark, monkeypatch):
+    """A leader's groups in several tiles and salts: open and other members, and members of one another."""
+    monkeypatch.setattr(jaccard_join, "GROUP", 300)
+    monkeypatch.setattr(jaccard_join, "TILE", 600)
+    monkeypatch.setattr(jaccard_join, "ORDERED", 12)
+    rng = random.Random(8)
+    shared = ["common%d" % i for i in range(60)]
+    texts = [" ".join(shared + ["own%d_%d" % (k % 25, i) for i in range(k % 25)] + ["x%d" % (k // 25)]) for k in range(75)]
+    texts += [" ".join(edited(rng, t.split(), 0.02)) for t in texts]
+    ids = rng.sample(range(10_000), len(texts))
+    got = {tuple(r) for r in jaccard_join.jaccard_components(frame(spark, texts, ids), 5, 80).collect()}
+    want, links = brute(texts, ids, 5, 80)
+    assert got == want and links > 20 and len({c for _, _, c in want}) > 3
+
+
+def test_groups_travel_about_as_often_as_there_are_documents(spark, monkeypatch, tmp_path):
+    """One passage everywhere, all members open: a group isn't sent to a task for each other group."""
+    keep, path = jaccard_join.Group.__init__, str(tmp_path / "made")
+
+    def counted(self, members):
+        with open(path, "ab") as f:
+            f.write(b"x")
+        keep(self, members)
+
+    monkeypatch.setattr(jaccard_join.Group, "__init__", counted)
+    monkeypatch.setattr(jaccard_join, "GROUP", 1000)
+    passage = " ".join("common%d" % i for i in range(60))
+    made = {}
+    for size in (400, 1600):
+        open(path, "wb").close()
+        texts = [passage + " " + " ".join("own%d_%d" % (k, i) for i in range(9)) for k in range(size)]
+        assert len({r.component_id for r in jaccard_join.jaccard_components(frame(spark, texts), 5, 80).collect()}) == size
+        with open(path, "rb") as f:
+            made[size] = len(f.read())
+    assert 10 < made[400] and made[1600] <= 5 * made[400]
+
+
+def test_a_forest_joins_what_the_links_join():
+    rng = np.random.default_rng(2)
+    for count in (0, 1, 30, 200):
+        links = rng.integers(-50, 50, (count, 2))
+        least = {int(k): int(k) for k in links.ravel()}
+        for _ in range(100):
+            for x, y in links.tolist():
+                least[x] = least[y] = min(least[x], least[y])
+        assert dict(jaccard_join.forest(links).tolist()) == {x: y for x, y in least.items() if x != y}
+
+
+def test_shuffle_files_go_with_the_step_that_wrote_them(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {p for p in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in p}
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", files()
+    set_before = spark.conf.get(key, None)
+    out = saved(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count(), "counts")
+    for _ in range(50):
+        left = files() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert out.count() == 100 and spark.conf.get(key, None) == set_before
