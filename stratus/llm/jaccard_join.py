@@ -138,23 +138,40 @@ def apart_tokens(member: np.ndarray, leader: np.ndarray, percent: int) -> tuple[
     return linked, len(leader) - both, np.setxor1d(member, leader, assume_unique=True)
 
 
+def parted(apart: np.ndarray, leader: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Apart tokens as a bit for each token of the leader, set if the member lacks it, and the tokens that only the member has.
+
+    Bits, as most members of a leader that lack some of its own tokens lack many, at 64 bits each otherwise.
+    """
+    at = np.minimum(np.searchsorted(leader, apart), len(leader) - 1)
+    lost = leader[at] == apart
+    bits = np.zeros(len(leader), bool)
+    bits[at[lost]] = True
+    return np.packbits(bits).tobytes(), apart[~lost]
+
+
 def _compared(stars: DataFrame, bodies: DataFrame, n: int, percent: int) -> DataFrame:
     """Members ``u`` and leaders ``v`` compared by their whole sets: ``linked``, the sizes ``size, top`` of member and
-    leader, ``lacking``, and the tokens ``apart``. ``salt``: the members are dealt into ``salts`` shares of some ``ORDERED``."""
+    leader, ``lacking``, the tokens apart as ``lost, extra`` (see ``parted``), and the ``least`` of them.
+    ``salt``: the members are dealt into ``salts`` shares of some ``ORDERED``."""
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdDecompressor()
         for batch in batches:
-            facts, apart = [], []
+            facts, extra, lost, least = [], [], [], []
             for x, y in zip(batch.column(4), batch.column(5)):
                 member, leader = (shingles(z.decompress(t.as_py()), n) for t in (x, y))
                 linked, lacking, tokens = apart_tokens(member, leader, percent)
                 facts.append((linked, len(member), len(leader), lacking))
-                apart.append(tokens.view(np.int64))
-            ends = np.cumsum([0, *map(len, apart)], dtype=np.int32)
+                least.append(int(tokens.view(np.int64).min()) if len(tokens) else None)
+                bits, tokens = parted(tokens, leader)
+                lost.append(bits)
+                extra.append(tokens.view(np.int64))
+            ends = np.cumsum([0, *map(len, extra)], dtype=np.int32)
             yield pa.record_batch([*batch.columns[:4], pa.array([f[0] for f in facts], pa.bool_()),
                                    *(pa.array([f[k] for f in facts], pa.int64()) for k in (1, 2, 3)),
-                                   pa.ListArray.from_arrays(ends, np.concatenate([*apart, np.zeros(0, np.int64)]))],
-                                  names=["u", "v", "salt", "salts", "linked", "size", "top", "lacking", "apart"])
+                                   pa.ListArray.from_arrays(ends, np.concatenate([*extra, np.zeros(0, np.int64)])),
+                                   pa.array(lost, pa.binary()), pa.array(least, pa.int64())],
+                                  names=["u", "v", "salt", "salts", "linked", "size", "top", "lacking", "extra", "lost", "least"])
 
     def body(name: str) -> DataFrame:
         return bodies.select(F.col("doc").alias(name), F.col("body").alias(f"{name}_body"))
@@ -163,18 +180,26 @@ def _compared(stars: DataFrame, bodies: DataFrame, n: int, percent: int) -> Data
     dealt = stars.join(salts, "v").withColumn("salt", F.pmod(F.xxhash64("u"), "salts"))
     return (dealt.join(body("u"), "u").join(body("v"), "v").select("u", "v", "salt", "salts", "u_body", "v_body")
             .mapInArrow(step, "u long, v long, salt long, salts long, linked boolean, size long, top long, lacking long, "
-                              "apart array<long>"))
+                              "extra array<long>, lost binary, least long"))
 
 
 class Group:
-    """Members of a group of the matrix: labels, sizes, numbers of lacking tokens, and apart tokens end to end."""
+    """Members of a group of the matrix: labels, sizes, numbers of lacking tokens, and apart tokens end to end.
+
+    The members bring their ``apart`` tokens, or ``lost`` and ``extra`` ones about a leader of ``top`` tokens; then a token
+    that the leader has goes by its place there, for all members alike.
+    """
 
-    def __init__(self, members: pa.StructScalar):
+    def __init__(self, members: pa.StructScalar, top: int | None = None):
         rows = members.values
         self.label, self.size, self.lacking = (rows.field(c).to_numpy() for c in ("label", "size", "lacking"))
-        lists = rows.field("apart")
+        lists = rows.field("apart" if top is None else "extra")
         self.tokens = lists.flatten().to_numpy()
         self.owner = np.repeat(np.arange(len(rows)), np.diff(lists.offsets.to_numpy()))
+        if top is not None:
+            bits = np.frombuffer(b"".join(rows.field("lost").to_pylist()), np.uint8).reshape(len(rows), -1)
+            owner, place = np.nonzero(np.unpackbits(bits, axis=1, count=top))
+            self.tokens, self.owner = np.concatenate([place, self.tokens]), np.concatenate([owner, self.owner])
 
     @cached_property
     def union(self) -> np.ndarray:
@@ -256,13 +281,14 @@ def _groups(compared: DataFrame) -> DataFrame:
                  .where("open_tiles > 0").withColumn("salt", F.expr("explode(sequence(0L, salts - 1))")))
     # joined by the salt too, so that a leader's members needn't meet in one task; the windows take the same deal
     members = (compared.drop("salts").join(unsettled.hint("merge"), ["v", "salt"])
-               .withColumn("open", ~F.col("linked")).withColumn("least", F.array_min("apart")))
+               .withColumn("open", ~F.col("linked")))
     so_far = Window.partitionBy("v", "salt", "open").orderBy("least", "u").rowsBetween(Window.unboundedPreceding, -1)
     groups = (members.withColumn("before", F.coalesce(F.sum(cost).over(so_far), F.lit(0)))
               .groupBy("v", "salt", "open", F.floor(F.col("before") / GROUP).alias("block"))
               .agg(*(F.max(c).alias(c) for c in ("top", "salts", "whole", "open_tiles", "tiles")),
                    F.floor(F.min("before") / TILE).alias("nth"),
-                   F.collect_list(F.struct(F.expr("if(open, u, v)").alias("label"), "size", "lacking", "apart")).alias("members")))
+                   F.collect_list(F.struct(F.expr("if(open, u, v)").alias("label"), "size", "lacking", "extra", "lost"))
+                   .alias("members")))
     # what a salt holds beyond its share goes to its last tile
     return saved(groups.withColumn("asking", F.expr("salts * open_tiles"))
                  .withColumn("tile", F.expr("if(open, salt * open_tiles + least(nth, open_tiles - 1), "
@@ -301,7 +327,7 @@ def _label_links(groups: DataFrame, percent: int) -> DataFrame:
                     yield links(key, held)
                     held = []
                 key = now
-                held.append((is_open.as_py(), tile.as_py(), top.as_py(), Group(members)))
+                held.append((is_open.as_py(), tile.as_py(), top.as_py(), Group(members, top.as_py())))
         if held:
             yield links(key, held)
 

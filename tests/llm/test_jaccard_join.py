@@ -249,10 +249,10 @@ def test_groups_travel_about_as_often_as_there_are_documents(spark, monkeypatch,
     """One passage everywhere, all members open: a group isn't sent to a task for each other group."""
     keep, path = jaccard_join.Group.__init__, str(tmp_path / "made")
 
-    def counted(self, members):
+    def counted(self, *members):
         with open(path, "ab") as f:
             f.write(b"x")
-        keep(self, members)
+        keep(self, *members)
 
     monkeypatch.setattr(jaccard_join.Group, "__init__", counted)
     monkeypatch.setattr(jaccard_join, "GROUP", 1000)
@@ -267,6 +267,26 @@ def test_groups_travel_about_as_often_as_there_are_documents(spark, monkeypatch,
     assert 10 < made[400] and made[1600] <= 5 * made[400]
 
 
+def test_members_parted_by_their_leader_share_the_same_tokens():
+    """Bits and extra tokens stand for the apart tokens: any two members share as many, and find the same links."""
+    rng = np.random.default_rng(6)
+    for size in (1, 8, 40, 300):
+        leader = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2))
+        pool = np.unique(rng.integers(0, 1 << 63, 40, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+        sets = [np.unique(np.concatenate([leader[rng.random(len(leader)) > 0.1], pool[rng.random(len(pool)) < 0.1]])) for _ in range(30)]
+        rows = []
+        for k, member in enumerate(sets):
+            _, lacking, apart = jaccard_join.apart_tokens(member, leader, 80)
+            lost, extra = jaccard_join.parted(apart, leader)
+            rows.append({"label": k, "size": len(member), "lacking": lacking, "lost": lost, "extra": extra.view(np.int64).tolist()})
+        kind = pa.list_(pa.struct([("label", pa.int64()), ("size", pa.int64()), ("lacking", pa.int64()), ("lost", pa.binary()),
+                                   ("extra", pa.list_(pa.int64()))]))
+        got = [jaccard_join.Group(pa.array([rows[a]], kind)[0], len(leader)) for a in (slice(0, 12), slice(12, 30))]
+        want = [as_group(leader, sets[a], range(30)[a], 80) for a in (slice(0, 12), slice(12, 30))]
+        assert all(sorted(np.bincount(x.owner)) == sorted(np.bincount(y.owner)) for x, y in zip(got, want))
+        assert (jaccard_join.linked_labels(*got, len(leader), 80) == jaccard_join.linked_labels(*want, len(leader), 80)).all()
+
+
 def test_a_forest_joins_what_the_links_join():
     rng = np.random.default_rng(2)
     for count in (0, 1, 30, 200):
